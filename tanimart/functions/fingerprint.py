@@ -56,6 +56,13 @@ def tanimoto(a: Column | str, a_pop: Column | str, b: Column | str, b_pop: Colum
     return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
 
 
+def tanimoto_from_counts(n_common: Column | str, a_pop: Column | str, b_pop: Column | str) -> Column:
+    """Tanimoto from |A AND B|, |A| and |B|; 0.0 when the union is empty."""
+    inter = _col(n_common)
+    union = _col(a_pop) + _col(b_pop) - inter
+    return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
+
+
 def to_bytes(fp: Column | str) -> Column:
     """Packed words -> 256-byte MSB-first BINARY (the stored exchange form)."""
     fp = _col(fp)

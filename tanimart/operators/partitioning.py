@@ -1,0 +1,30 @@
+"""Parallelism guards for CPU-bound stages.
+
+Spark sizes scan tasks by bytes.  When one input split holds far more work
+than bytes suggest (a single large row group of long texts, or a small table
+of fingerprints scored against many sources), the stage runs on a few cores.
+These helpers spread such inputs by key -- and only when needed, so a big,
+well-split input is never shuffled for nothing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def target_parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(spark.sparkContext.defaultParallelism, shuffle)
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a *scan* over all cores when it has fewer splits than cores.
+
+    Only call on a plain scan (+ project/filter): its partition count is
+    known from file listing alone, without running anything.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df

@@ -14,6 +14,7 @@ from tanimart import config
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import lookup
 from tanimart.operators import similarity as sim
+from tanimart.operators.partitioning import target_parallelism
 from tanimart.sources import tables
 
 
@@ -34,7 +35,8 @@ def all_pairs(spark: SparkSession, sf_dir: str, fps: DataFrame | None = None) ->
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
     n_ids = ids.count()  # size check of the broadcast side (ids are unique)
     sources = lookup.found(fps, ids)
-    return sim.score_pairs(sources, fps, n_sources=n_ids, exclude_self=True)
+    return sim.score_pairs(sources, fps, n_sources=n_ids, exclude_self=True,
+                           candidate_partitions=target_parallelism(fps))
 
 
 def fact_similarity(spark: SparkSession, sf_dir: str, n: int = config.TOP_N,

@@ -11,6 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tanimart.operators.partitioning import spread_scan
+
 # Table registry: table -> columns read from it.  A column list per table is
 # the whole configuration of the mirror step; nothing else is read.
 TABLE_COLUMNS: dict[str, list[str]] = {
@@ -74,8 +76,13 @@ def bench_key(c) -> F.Column:
 
 
 def molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue: mol_id, kind, text, lang, source, n_chars (one row per entry)."""
-    docs = read_table(spark, sf_dir, "documents").select(
+    """Catalogue: mol_id, kind, text, lang, source, n_chars (one row per entry).
+
+    The documents scan is spread over all cores when the files give fewer
+    splits than cores: everything downstream (tokenising, hashing) is
+    per-row CPU work.
+    """
+    docs = spread_scan(read_table(spark, sf_dir, "documents"), "doc_id").select(
         doc_key("doc_id").alias("mol_id"),
         F.lit("document").alias("kind"),
         "text", "lang", "source", "n_chars",
