@@ -74,3 +74,64 @@ fact AS (
 ORACLE: dict[str, str] = {
     "flagship_topk": "WITH " + _FACT + "SELECT * FROM fact",
 }
+
+_DIM = _FACT + """,
+ids AS (SELECT source_id AS mol_id FROM fact UNION SELECT target_id FROM fact),
+dictionary AS (
+    SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, 'document' AS kind, lang, n_chars, text
+    FROM documents
+    UNION ALL
+    SELECT 'B' || CAST(item_id AS VARCHAR), 'benchmark', CAST(NULL AS VARCHAR),
+           CAST(length(text) AS BIGINT), text
+    FROM benchmark
+),
+props AS (SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, quality, toxic FROM labels),
+dim AS (
+    SELECT i.mol_id, d.kind, d.lang, d.n_chars,
+           CAST(len(list_filter(regexp_split_to_array(lower(d.text), '[^a-z0-9]+'), lambda x: x <> '')) AS INTEGER) AS n_words,
+           CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS INTEGER) AS n_lines,
+           p.quality, p.toxic
+    FROM ids i LEFT JOIN dictionary d ON d.mol_id = i.mol_id
+    LEFT JOIN props p ON p.mol_id = i.mol_id
+)
+"""
+
+_SLOTS = """,
+slots AS (
+    SELECT CAST(row_number() OVER (ORDER BY md5(source_id), source_id) AS INTEGER) AS slot, source_id
+    FROM (SELECT DISTINCT source_id FROM fact)
+    ORDER BY md5(source_id), source_id
+    LIMIT 10
+)
+"""
+
+ORACLE.update({
+    "scoped_dimension": "WITH " + _DIM + "SELECT * FROM dim",
+    "avg_per_source": "WITH " + _FACT + """
+        SELECT source_id, ROUND(CAST(AVG(score) AS DOUBLE), 4) AS avg_score
+        FROM fact GROUP BY source_id""",
+    "property_deviation": "WITH " + _DIM + """
+        SELECT f.source_id, s.n_chars AS source_n_chars,
+               ROUND(CAST(AVG(ABS(t.n_chars - s.n_chars)) AS DOUBLE), 4) AS avg_n_chars_deviation
+        FROM fact f JOIN dim s ON f.source_id = s.mol_id JOIN dim t ON f.target_id = t.mol_id
+        GROUP BY f.source_id, s.n_chars""",
+    "sample_sources": "WITH " + _FACT + _SLOTS + "SELECT slot, source_id FROM slots",
+    "pivot_sources": "WITH " + _FACT + _SLOTS + """
+        SELECT f.target_id,
+               """ + ",\n               ".join(
+        f"MAX(f.score) FILTER (WHERE s.slot = {i}) AS source_{i:02d}" for i in range(1, 11)) + """
+        FROM fact f JOIN slots s USING (source_id)
+        GROUP BY f.target_id""",
+    "neighbor_chain": "WITH " + _FACT + """
+        SELECT source_id, target_id, score,
+               LEAD(target_id) OVER (PARTITION BY source_id ORDER BY rank) AS next_target_id,
+               MAX(target_id) FILTER (WHERE rank = 2) OVER (PARTITION BY source_id) AS second_target_id
+        FROM fact""",
+    "grouped_average": "WITH " + _DIM + """
+        SELECT CASE WHEN GROUPING(f.source_id) = 1 THEN 'TOTAL' ELSE f.source_id END AS source_id,
+               CASE WHEN GROUPING(d.n_lines) = 1 THEN 'TOTAL' ELSE CAST(d.n_lines AS VARCHAR) END AS n_lines,
+               CASE WHEN GROUPING(d.n_words) = 1 THEN 'TOTAL' ELSE CAST(d.n_words AS VARCHAR) END AS n_words,
+               ROUND(CAST(AVG(f.score) AS DOUBLE), 4) AS avg_score
+        FROM fact f JOIN dim d ON d.mol_id = f.source_id
+        GROUP BY GROUPING SETS ((f.source_id), (d.n_lines, d.n_words), (d.n_words), ())""",
+})

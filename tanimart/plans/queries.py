@@ -10,7 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tanimart import config
+from tanimart.operators import lookup
+from tanimart.plans import mart
 from tanimart.plans import similarity as simplan
+from tanimart.sources import tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,3 +28,54 @@ def register(fn):
 def flagship_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-10 Tanimoto neighbours per benchmark source, with tie flag."""
     return simplan.fact_similarity(spark, sf_dir)
+
+
+# --- the mart ---------------------------------------------------------------
+
+def _fact_and_bound(spark: SparkSession, sf_dir: str):
+    fact = simplan.fact_similarity(spark, sf_dir)
+    n_sources = lookup.requested_ids(tables.source_requests(spark, sf_dir)).count()
+    return fact, n_sources * (config.TOP_N + 1)
+
+
+def _dim(spark: SparkSession, sf_dir: str, fact: DataFrame, bound: int) -> DataFrame:
+    return mart.dimension(fact, tables.molecules(spark, sf_dir), tables.properties(spark, sf_dir), bound)
+
+
+@register
+def scoped_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension rows for every id the fact references."""
+    fact, bound = _fact_and_bound(spark, sf_dir)
+    return _dim(spark, sf_dir, fact, bound)
+
+
+@register
+def avg_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.average_per_source(simplan.fact_similarity(spark, sf_dir))
+
+
+@register
+def property_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, bound = _fact_and_bound(spark, sf_dir)
+    return mart.property_deviation(fact, _dim(spark, sf_dir, fact, bound), "n_chars")
+
+
+@register
+def sample_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.sampled_sources(simplan.fact_similarity(spark, sf_dir))
+
+
+@register
+def pivot_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.pivot_sources(simplan.fact_similarity(spark, sf_dir))
+
+
+@register
+def neighbor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.neighbor_chain(simplan.fact_similarity(spark, sf_dir))
+
+
+@register
+def grouped_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, bound = _fact_and_bound(spark, sf_dir)
+    return mart.grouped_average(fact, _dim(spark, sf_dir, fact, bound))
