@@ -7,8 +7,6 @@ scoring loop stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,24 +34,35 @@ def mask_of(bit: Column | str) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), offset)
 
 
-def popcount(fp: Column | str) -> Column:
-    """Number of on bits of a packed fingerprint."""
-    fp = _col(fp)
-    return reduce(lambda a, b: a + b, [F.bit_count(fp[i]) for i in range(config.N_WORDS)])
+# The word-wise expressions below are written as SQL text: one parse on the
+# JVM instead of a few hundred Python->JVM calls per expression.
 
+def popcount_sql(fp: str) -> str:
+    return " + ".join(f"bit_count({fp}[{i}])" for i in range(config.N_WORDS))
 
-def common_bits(a: Column | str, b: Column | str) -> Column:
-    """|A AND B| for two packed fingerprints (32 ANDs + popcounts)."""
-    a, b = _col(a), _col(b)
-    return reduce(lambda x, y: x + y,
-                  [F.bit_count(a[i].bitwiseAND(b[i])) for i in range(config.N_WORDS)])
 
+def popcount(fp: str) -> Column:
+    """Number of on bits of a packed fingerprint column ``fp``."""
+    return F.expr(popcount_sql(fp))
+
+
+def common_bits_sql(a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}[{i}] & {b}[{i}])" for i in range(config.N_WORDS))
 
-def tanimoto(a: Column | str, a_pop: Column | str, b: Column | str, b_pop: Column | str) -> Column:
-    """|A AND B| / |A OR B| as double; 0.0 when both fingerprints are empty."""
-    inter = common_bits(a, b)
-    union = _col(a_pop) + _col(b_pop) - inter
-    return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
+
+def common_bits(a: str, b: str) -> Column:
+    """|A AND B| for two packed fingerprint columns (32 ANDs + popcounts)."""
+    return F.expr(common_bits_sql(a, b))
+
+
+def tanimoto(a: str, a_pop: str, b: str, b_pop: str) -> Column:
+    """|A AND B| / |A OR B| as double; 0.0 when both fingerprints are empty.
+
+    Single-expression form (for small inputs and tests); the scoring
+    operator computes the intersection once and calls
+    ``tanimoto_from_counts``.
+    """
+    return tanimoto_from_counts(common_bits(a, b), a_pop, b_pop)
 
 
 def tanimoto_from_counts(n_common: Column | str, a_pop: Column | str, b_pop: Column | str) -> Column:
@@ -63,23 +72,21 @@ def tanimoto_from_counts(n_common: Column | str, a_pop: Column | str, b_pop: Col
     return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
 
 
-def to_bytes(fp: Column | str) -> Column:
+def to_bytes(fp: str) -> Column:
     """Packed words -> 256-byte MSB-first BINARY (the stored exchange form)."""
-    fp = _col(fp)
-    return F.unhex(F.concat(*[F.lpad(F.hex(fp[i]), 16, "0") for i in range(config.N_WORDS)]))
+    parts = ", ".join(f"lpad(hex({fp}[{i}]), 16, '0')" for i in range(config.N_WORDS))
+    return F.expr(f"unhex(concat({parts}))")
 
 
-def from_bytes(raw: Column | str) -> Column:
+def from_bytes(raw: str) -> Column:
     """256-byte BINARY -> packed words; any other length raises."""
-    raw = _col(raw)
     n_bytes = config.FINGERPRINT_BITS // 8
-    words = F.array(*[
-        F.conv(F.hex(F.substring(raw, i * 8 + 1, 8)), 16, -10).cast("bigint")
-        for i in range(config.N_WORDS)
-    ])
-    return F.when(F.length(raw) == n_bytes, words).otherwise(
-        F.raise_error(F.concat(F.lit(f"fingerprint must be {n_bytes} bytes, got "),
-                               F.length(raw).cast("string"))).cast(f"array<bigint>"))
+    words = ", ".join(f"CAST(conv(hex(substring({raw}, {i * 8 + 1}, 8)), 16, -10) AS BIGINT)"
+                      for i in range(config.N_WORDS))
+    return F.expr(
+        f"CASE WHEN length({raw}) = {n_bytes} THEN array({words}) "
+        f"ELSE CAST(raise_error(concat('fingerprint must be {n_bytes} bytes, got ', "
+        f"CAST(length({raw}) AS STRING))) AS ARRAY<BIGINT>) END")
 
 
 def on_bits(fp: Column | str) -> Column:

@@ -41,7 +41,7 @@ def safe_date(c: Column | str, formats: list[str] | None = None) -> Column:
     """Text -> date using an explicit list of formats, NULL when none fits."""
     c = F.col(c) if isinstance(c, str) else c
     fmts = formats or config.DATE_FORMATS
-    return F.coalesce(*[F.try_to_date(F.trim(c), F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.try_to_date(F.trim(c), f) for f in fmts])
 
 
 def normalized_name(c: Column | str) -> Column:

@@ -31,25 +31,29 @@ def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "tex
     return _feature_rows(df, id_col, text_col).distinct()
 
 
-def _pack_aggs(bit: Column) -> list[Column]:
-    word, mask = fpx.word_of(bit), fpx.mask_of(bit)
-    return [F.bit_or(F.when(word == i, mask)).alias(f"_w{i}") for i in range(config.N_WORDS)]
+def _pack_aggs(bit: str) -> list[Column]:
+    """One bit_or per word: OR of the masks of the bits that fall in it."""
+    top = config.WORD_BITS - 1
+    return [F.expr(f"bit_or(CASE WHEN shiftright({bit}, 6) = {i} "
+                   f"THEN shiftleft(1L, {top} - ({bit} & 63)) END)").alias(f"_w{i}")
+            for i in range(config.N_WORDS)]
 
 
 def _finish(grouped: DataFrame) -> DataFrame:
-    fp = F.array(*[F.coalesce(F.col(f"_w{i}"), F.lit(0).cast("bigint")) for i in range(config.N_WORDS)])
-    return grouped.select("mol_id", fp.alias("fp")).withColumn("n_bits", fpx.popcount("fp"))
+    words = ", ".join(f"coalesce(_w{i}, 0L)" for i in range(config.N_WORDS))
+    return (grouped.selectExpr("mol_id", f"array({words}) AS fp")
+            .withColumn("n_bits", fpx.popcount("fp")))
 
 
 def fingerprints(df: DataFrame, id_col: str = "mol_id", text_col: str = "text") -> DataFrame:
     """(mol_id, fp ARRAY<BIGINT>(32), n_bits) for entries with >= 1 feature."""
     rows = _feature_rows(df, id_col, text_col)
-    return _finish(rows.groupBy("mol_id").agg(*_pack_aggs(F.col("bit"))))
+    return _finish(rows.groupBy("mol_id").agg(*_pack_aggs("bit")))
 
 
 def pack_bits(bits: DataFrame) -> DataFrame:
     """Long form (mol_id, bit) -> packed (mol_id, fp, n_bits)."""
-    return _finish(bits.groupBy("mol_id").agg(*_pack_aggs(F.col("bit"))))
+    return _finish(bits.groupBy("mol_id").agg(*_pack_aggs("bit")))
 
 
 def unpack(fps: DataFrame) -> DataFrame:

@@ -135,3 +135,110 @@ ORACLE.update({
         FROM fact f JOIN dim d ON d.mol_id = f.source_id
         GROUP BY GROUPING SETS ((f.source_id), (d.n_lines, d.n_words), (d.n_words), ())""",
 })
+
+_RAW = """
+raw AS (
+    SELECT ' ' || CAST(o_orderkey AS VARCHAR) AS compound_id,
+           upper('  customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || ' ') AS compound_name,
+           CAST(o_totalprice AS VARCHAR) AS molecular_weight,
+           CAST(NULL AS VARCHAR) AS logp,
+           CAST(NULL AS VARCHAR) AS ic50_nm,
+           strftime(o_orderdate, '%Y-%m-%d') AS assay_date,
+           o_orderpriority AS lab_id,
+           'batch_01_orders.csv' AS _source_file
+    FROM orders
+    UNION ALL
+    SELECT 'E' || CAST(event_id AS VARCHAR),
+           'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0'),
+           CAST(NULL AS VARCHAR),
+           CAST(value AS VARCHAR),
+           regexp_extract(props, '([0-9]+)', 1),
+           strftime(ts, '%Y-%m-%d'),
+           event_type,
+           'batch_02_events.csv'
+    FROM events
+),
+typed AS (
+    SELECT trim(compound_id) AS compound_id,
+           trim(compound_name) AS compound_name,
+           CASE WHEN TRY_CAST(molecular_weight AS DOUBLE) > 0 THEN TRY_CAST(molecular_weight AS DOUBLE) END AS molecular_weight,
+           TRY_CAST(logp AS DOUBLE) AS logp,
+           CASE WHEN TRY_CAST(ic50_nm AS DOUBLE) > 0 THEN TRY_CAST(ic50_nm AS DOUBLE) END AS ic50_nm,
+           CAST(TRY_STRPTIME(trim(assay_date), '%Y-%m-%d') AS DATE) AS assay_date,
+           trim(lab_id) AS lab_id,
+           _source_file
+    FROM raw
+    WHERE trim(compound_name) <> ''
+),
+ov(override_from, override_to) AS (VALUES ('paracetamol', 'acetaminophen')),
+matched AS (
+    SELECT t.*, c.c_custkey AS matched_id
+    FROM typed t
+    LEFT JOIN ov ON lower(trim(t.compound_name)) = lower(trim(ov.override_from))
+    LEFT JOIN customer c ON lower(coalesce(ov.override_to, trim(t.compound_name))) = lower(c.c_name)
+)
+"""
+
+_LABELLED = """
+labelled AS (
+    SELECT d.doc_id, l.quality, l.toxic,
+           CAST(len(list_filter(regexp_split_to_array(lower(d.text), '[^a-z0-9]+'), lambda x: x <> '')) AS INTEGER) AS n_words
+    FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+    WHERE NULLIF(d.text, '') IS NOT NULL
+)
+"""
+
+_REQUESTED = "SELECT DISTINCT 'B' || CAST(item_id AS VARCHAR) AS mol_id FROM benchmark"
+
+ORACLE.update({
+    "scan_project": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "blank_to_null": """
+        SELECT doc_id, NULLIF(text, '') AS text, NULLIF(lang, '') AS lang,
+               NULLIF(source, '') AS source, n_chars
+        FROM documents""",
+    "schema_align": "WITH " + _RAW + "SELECT * FROM raw",
+    "typed_clean": "WITH " + _RAW + "SELECT * FROM typed",
+    "name_match": "WITH " + _RAW + "SELECT * FROM matched",
+    "match_audit": "WITH " + _RAW + """,
+        c AS (
+            SELECT (SELECT count(*) FROM raw) AS total_rows,
+                   (SELECT count(*) FROM raw WHERE trim(compound_name) <> '') AS kept_rows,
+                   (SELECT count(*) FROM matched) AS output_rows,
+                   (SELECT count(*) FROM matched WHERE matched_id IS NULL) AS unmatched_rows
+        )
+        SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
+               output_rows, unmatched_rows, output_rows - kept_rows AS fanout_rows
+        FROM c""",
+    "validate_split": "WITH " + _LABELLED + """
+        SELECT doc_id, quality, toxic, n_words FROM labelled WHERE n_words >= 3""",
+    "validation_counts": "WITH " + _LABELLED + """
+        SELECT count(*) FILTER (WHERE n_words >= 3) AS valid_rows,
+               count(*) FILTER (WHERE n_words < 3) AS rejected_rows
+        FROM labelled""",
+    "keyset_page": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
+        FROM orders ORDER BY o_orderkey LIMIT 50000""",
+    "fingerprint_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
+    "fingerprint_roundtrip": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
+    "source_lookup": "WITH " + _BITS + f"""
+        SELECT mol_id, CAST(n_bits AS INTEGER) AS n_bits FROM pop
+        WHERE mol_id IN ({_REQUESTED})""",
+    "source_missing": "WITH " + _BITS + f"""
+        SELECT mol_id FROM ({_REQUESTED}) r
+        WHERE mol_id NOT IN (SELECT mol_id FROM pop)""",
+    "similarity_all_pairs": "WITH " + _PAIRS + "SELECT * FROM pairs",
+    "load_log_current": """
+        SELECT table_name, version, loaded_at, row_count FROM (
+            SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS version,
+                   ts AS loaded_at, event_id AS row_count,
+                   row_number() OVER (PARTITION BY event_type, user_id
+                                      ORDER BY ts DESC, event_id DESC) AS rn
+            FROM events) WHERE rn = 1""",
+    "load_log_latest": """
+        SELECT table_name, version, loaded_at, row_count FROM (
+            SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS version,
+                   ts AS loaded_at, event_id AS row_count,
+                   row_number() OVER (PARTITION BY event_type
+                                      ORDER BY ts DESC, CAST(user_id AS VARCHAR) DESC, event_id DESC) AS rn
+            FROM events) WHERE rn = 1""",
+})

@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tanimart import config
-from tanimart.operators import lookup
-from tanimart.plans import mart
+from tanimart.functions import fingerprint as fpx
+from tanimart.functions import text as tx
+from tanimart.operators import clean, lookup, match, paging, validate
+from tanimart.operators import fingerprints as fpo
+from tanimart.plans import inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
 from tanimart.sources import tables
 
@@ -79,3 +82,124 @@ def neighbor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grouped_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, bound = _fact_and_bound(spark, sf_dir)
     return mart.grouped_average(fact, _dim(spark, sf_dir, fact, bound))
+
+
+# --- scans, cleaning, matching ---------------------------------------------
+
+@register
+def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirror scan: an explicit column list, pruned at the Parquet reader."""
+    return tables.read_table(spark, sf_dir, "orders",
+                             ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+
+
+@register
+def blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every string column of documents with '' turned into NULL."""
+    return tables.blank_strings_to_null(tables.read_table(spark, sf_dir, "documents"))
+
+
+@register
+def schema_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw batches with different headers, resolved and concatenated."""
+    return inputs.raw_input(spark, sf_dir)
+
+
+@register
+def typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw batches typed: trimmed text, safe numbers and dates, name required."""
+    return clean.typed_input(inputs.raw_input(spark, sf_dir))
+
+
+def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = clean.typed_input(inputs.raw_input(spark, sf_dir))
+    return match.match_names(typed, inputs.customer_dictionary(spark, sf_dir),
+                             match.overrides_frame(spark))
+
+
+@register
+def name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed input matched to the customer dictionary by normalised name."""
+    return _matched(spark, sf_dir)
+
+
+@register
+def match_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the match load: total, kept, dropped, output, unmatched, fan-out."""
+    return match.match_audit(inputs.raw_input(spark, sf_dir), _matched(spark, sf_dir))
+
+
+def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = tables.read_table(spark, sf_dir, "labels")
+    return docs.join(labels, "doc_id")
+
+
+@register
+def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents whose text passes the validity rule."""
+    valid, _ = validate.split(_labelled_documents(spark, sf_dir))
+    return valid.select("doc_id", "quality", "toxic",
+                        tx.word_count("text").cast("int").alias("n_words"))
+
+
+@register
+def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.counts(_labelled_documents(spark, sf_dir))
+
+
+@register
+def keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First page (reference batch size) of orders in key order."""
+    return paging.keyset_page(scan_project(spark, sf_dir), "o_orderkey")
+
+
+# --- fingerprints and sources ------------------------------------------------
+
+@register
+def fingerprint_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long form (mol_id, bit) of every catalogue entry."""
+    return fpo.fingerprint_bits(simplan.valid_molecules(spark, sf_dir))
+
+
+@register
+def fingerprint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bits -> packed words -> 256-byte binary -> words -> bits (lossless)."""
+    fps = simplan.catalogue_fingerprints(spark, sf_dir)
+    stored = fps.select("mol_id", fpx.to_bytes("fp").alias("fp_bytes"))
+    back = stored.select("mol_id", fpx.from_bytes("fp_bytes").alias("fp"))
+    return fpo.unpack(back)
+
+
+@register
+def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested sources that have a fingerprint, with their bit counts."""
+    fps = simplan.catalogue_fingerprints(spark, sf_dir)
+    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
+    return lookup.found(fps, ids).select("mol_id", "n_bits")
+
+
+@register
+def source_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested sources without a fingerprint."""
+    fps = simplan.catalogue_fingerprints(spark, sf_dir)
+    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
+    return lookup.missing(ids, fps)
+
+
+@register
+def similarity_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full score table: every source against every other entry."""
+    return simplan.all_pairs(spark, sf_dir)
+
+
+# --- load log -----------------------------------------------------------------
+
+@register
+def load_log_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loadlog.current_entries(loadlog.events_as_log(spark, sf_dir))
+
+
+@register
+def load_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loadlog.latest_version(loadlog.events_as_log(spark, sf_dir))
