@@ -17,6 +17,7 @@ from tanimart.operators import clean, lookup, match, paging, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.plans import inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
+from tanimart.session import ensure_checkpoint_dir
 from tanimart.sources import tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,8 +37,16 @@ def flagship_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the mart ---------------------------------------------------------------
 
 def _fact_and_bound(spark: SparkSession, sf_dir: str):
-    fact = simplan.fact_similarity(spark, sf_dir)
-    n_sources = lookup.requested_ids(tables.source_requests(spark, sf_dir)).count()
+    """The fact, computed once and checkpointed, with a bound on its ids.
+
+    The views read the fact more than once (and the dimension reads it
+    again), so it is materialised in the session's checkpoint folder: the
+    similarity job runs once and the lineage is cut.  The fact is bounded
+    (sources x TOP_N rows).
+    """
+    ensure_checkpoint_dir(spark)
+    fact = simplan.fact_similarity(spark, sf_dir).checkpoint(eager=True)
+    n_sources = simplan.source_request_bound(spark, sf_dir)
     return fact, n_sources * (config.TOP_N + 1)
 
 
@@ -70,7 +79,8 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pivot_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.pivot_sources(simplan.fact_similarity(spark, sf_dir))
+    fact, _ = _fact_and_bound(spark, sf_dir)  # read twice: picks, then cells
+    return mart.pivot_sources(fact)
 
 
 @register

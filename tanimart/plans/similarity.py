@@ -33,12 +33,21 @@ def all_pairs(spark: SparkSession, sf_dir: str, fps: DataFrame | None = None) ->
     """Every found source scored against every other catalogue entry."""
     fps = fps if fps is not None else catalogue_fingerprints(spark, sf_dir)
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    n_ids = ids.count()  # size check of the broadcast side (ids are unique)
+    n_ids = source_request_bound(spark, sf_dir)  # size check of the broadcast side
     sources = lookup.found(fps, ids)
     return sim.score_pairs(sources, fps, n_sources=n_ids, exclude_self=True,
                            candidate_partitions=target_parallelism(fps))
 
 
+def source_request_bound(spark: SparkSession, sf_dir: str) -> int:
+    """Upper bound on the number of sources: the row count of the request table.
+
+    Distinct found sources can only be fewer.  A bare row count is answered
+    from Parquet footers.
+    """
+    return tables.read_table(spark, sf_dir, "benchmark", ["item_id"]).count()
+
+
 def fact_similarity(spark: SparkSession, sf_dir: str, n: int = config.TOP_N,
                     fps: DataFrame | None = None) -> DataFrame:
     """The fact: top ``n`` neighbours per source with rank and tie flag."""
