@@ -29,6 +29,7 @@ def start(spark: SparkSession, input_root: str, output_path: str, checkpoint: st
     root = input_root.rstrip("/")
 
     paths = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv")
              .option("maxFilesPerTrigger", max_files_per_trigger)
