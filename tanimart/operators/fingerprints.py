@@ -17,10 +17,14 @@ from tanimart.functions import text as tx
 
 
 def _feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per (entry, feature occurrence) with its bit."""
+    """One row per (entry, distinct feature) with its bit.
+
+    Features are de-duplicated inside each row first (a fingerprint is a
+    set), which roughly halves the rows hashed and aggregated on real text.
+    """
+    feats = F.array_distinct(F.split(F.lower(F.col(text_col)), config.TOKEN_SPLIT_PATTERN))
     return (
-        df.select(F.col(id_col).alias("mol_id"),
-                  F.explode(F.split(F.lower(F.col(text_col)), config.TOKEN_SPLIT_PATTERN)).alias("feature"))
+        df.select(F.col(id_col).alias("mol_id"), F.explode(feats).alias("feature"))
         .filter(F.col("feature") != "")
         .select("mol_id", fpx.feature_bit("feature").alias("bit"))
     )
