@@ -61,8 +61,17 @@ def pack_bits(bits: DataFrame) -> DataFrame:
 
 
 def unpack(fps: DataFrame) -> DataFrame:
-    """Packed -> long form (mol_id, bit); exact inverse of ``pack_bits``."""
-    return fps.select("mol_id", F.explode(fpx.on_bits("fp")).alias("bit"))
+    """Packed -> long form (mol_id, bit); exact inverse of ``pack_bits``.
+
+    Generators only (no per-element lambdas): non-zero words are exploded
+    with their index, then each word's 64-character binary string (MSB
+    first, matching the layout) with the character position.
+    """
+    words = fps.select("mol_id", F.posexplode("fp").alias("word", "w")).filter(F.col("w") != 0)
+    chars = words.select("mol_id", "word",
+                         F.posexplode(F.split(F.lpad(F.bin("w"), config.WORD_BITS, "0"), "")).alias("pos", "c"))
+    return (chars.filter(F.col("c") == "1")
+            .select("mol_id", (F.col("word") * config.WORD_BITS + F.col("pos")).cast("int").alias("bit")))
 
 
 def failed_entries(df: DataFrame, fps: DataFrame, id_col: str = "mol_id") -> DataFrame:

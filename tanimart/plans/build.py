@@ -98,6 +98,9 @@ def mirror_tables(wh: Warehouse, sf_dir: str, version: str, force: bool = False)
 
 RAW_INPUT = "bronze.raw_input"
 
+# Rows per file of the full score table (~24 bytes a row before compression).
+FULL_TABLE_FILE_ROWS = 5_000_000
+
 
 def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     """Load batch files not loaded before; returns the files loaded.
@@ -172,7 +175,15 @@ def build_similarity(wh: Warehouse, version: str, force: bool = False,
         raise sinks.EmptyResult("no sources requested")
     pairs = sim.score_pairs(lookup.found(fps, ids), fps, n_sources=n_ids,
                             candidate_partitions=target_parallelism(fps))
-    sinks.replace(pairs, wh.path("gold.similarity_full"), partition_by=["source_id"],
+    # One folder per source.  Cluster each source's rows into a few tasks
+    # first (source + salt), so the write makes ~rows/FULL_TABLE_FILE_ROWS
+    # files per source instead of one file per (task, source); the salt
+    # splits a source over several tasks, so no source is one task.
+    n_cands = fps.count()  # answered from Parquet footers
+    per_source = max(1, -(-n_cands // FULL_TABLE_FILE_ROWS))
+    salt = F.pmod(F.xxhash64("target_id"), F.lit(per_source))
+    clustered = pairs.repartition(max(1, n_ids * per_source), "source_id", salt)
+    sinks.replace(clustered, wh.path("gold.similarity_full"), partition_by=["source_id"],
                   require_rows=True)
     full = wh.read("gold.similarity_full")
     rows = sinks.replace(sim.top_n(full, n), wh.path("gold.fact_similarity"), require_rows=True)
