@@ -89,6 +89,20 @@ def from_bytes(raw: str) -> Column:
         f"CAST(length({raw}) AS STRING))) AS ARRAY<BIGINT>) END")
 
 
+def to_base64(fp: str) -> Column:
+    """Packed words -> base64 text of the 256 bytes (for text-only channels).
+
+    One line: Spark may wrap base64 output at 76 characters, so line breaks
+    are removed.
+    """
+    return F.regexp_replace(F.base64(to_bytes(fp)), "[\\r\\n]", "")
+
+
+def from_base64(text: str) -> Column:
+    """Base64 text of 256 bytes -> packed words (length checked)."""
+    return from_bytes(f"unbase64({text})")
+
+
 def on_bits(fp: Column | str) -> Column:
     """ARRAY<INT> of the on-bit positions, ascending (inverse of packing)."""
     fp = _col(fp)

@@ -24,7 +24,11 @@ def spread_scan(df: DataFrame, key: str) -> DataFrame:
     Only call on a plain scan (+ project/filter): its partition count is
     known from file listing alone, without running anything.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        return df
+    if splits < target:
         return df.repartition(target, key)
     return df

@@ -70,6 +70,15 @@ def score_pairs(sources: DataFrame, candidates: DataFrame, n_sources: int,
     return out
 
 
+def narrow_scores(df: DataFrame, col: str = "score") -> DataFrame:
+    """Scores as float32 (storage width of the original warehouse).
+
+    Optional: ranks and ties are unchanged, since two distinct Tanimoto
+    values with denominators <= 2048 differ by more than a float32 step.
+    """
+    return df.withColumn(col, F.col(col).cast("float"))
+
+
 def top_n(pairs: DataFrame, n: int = config.TOP_N) -> DataFrame:
     """Top ``n`` targets per source with the cutoff-tie flag.
 

@@ -74,3 +74,22 @@ def test_tanimoto_properties(spark):
         assert s == (len(sets[x] & sets[y]) / len(u) if u else 0.0)
         if x == y and sets[x]:
             assert s == 1.0
+
+
+def test_base64_roundtrip(spark):
+    fps = fps_frame(spark, [("X", [1, 64, 2000])])
+    txt = fps.select(fpx.to_base64("fp").alias("t"))
+    assert len(txt.first().t) == 344          # 256 bytes in base64
+    back = txt.select(fpx.from_base64("t").alias("fp")).first().fp
+    assert back == fp_from_bits([1, 64, 2000])
+
+
+def test_float32_scores_keep_order(spark):
+    from tanimart.operators import similarity as sim
+    from .helpers import pairs_frame
+    df = pairs_frame(spark, [38 / 39, 37 / 38, 0.5, 0.5])
+    a = [(r.target_id, r.rank, r.tied_at_cutoff) for r in sim.top_n(df, 3).orderBy("rank").collect()]
+    b = [(r.target_id, r.rank, r.tied_at_cutoff) for r in
+         sim.top_n(sim.narrow_scores(df), 3).orderBy("rank").collect()]
+    assert a == b
+    assert sim.narrow_scores(df).schema["score"].dataType.simpleString() == "float"
