@@ -72,19 +72,22 @@ def tanimoto_from_counts(n_common: Column | str, a_pop: Column | str, b_pop: Col
     return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
 
 
+# Bytes <-> words are export/import paths, not the scoring loop: they are
+# written as array lambdas so the generated code stays small next to the
+# pack aggregate.
+
 def to_bytes(fp: str) -> Column:
     """Packed words -> 256-byte MSB-first BINARY (the stored exchange form)."""
-    parts = ", ".join(f"lpad(hex({fp}[{i}]), 16, '0')" for i in range(config.N_WORDS))
-    return F.expr(f"unhex(concat({parts}))")
+    return F.expr(f"unhex(concat_ws('', transform({fp}, w -> lpad(hex(w), 16, '0'))))")
 
 
 def from_bytes(raw: str) -> Column:
     """256-byte BINARY -> packed words; any other length raises."""
     n_bytes = config.FINGERPRINT_BITS // 8
-    words = ", ".join(f"CAST(conv(hex(substring({raw}, {i * 8 + 1}, 8)), 16, -10) AS BIGINT)"
-                      for i in range(config.N_WORDS))
+    words = (f"transform(sequence(0, {config.N_WORDS - 1}), "
+             f"i -> CAST(conv(hex(substring({raw}, i * 8 + 1, 8)), 16, -10) AS BIGINT))")
     return F.expr(
-        f"CASE WHEN length({raw}) = {n_bytes} THEN array({words}) "
+        f"CASE WHEN length({raw}) = {n_bytes} THEN {words} "
         f"ELSE CAST(raise_error(concat('fingerprint must be {n_bytes} bytes, got ', "
         f"CAST(length({raw}) AS STRING))) AS ARRAY<BIGINT>) END")
 

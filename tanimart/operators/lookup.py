@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tanimart import config
+
 
 def requested_ids(requests: DataFrame, id_col: str = "mol_id") -> DataFrame:
     """Distinct non-NULL requested ids."""
     return requests.select(F.col(id_col).alias("mol_id")).filter(F.col("mol_id").isNotNull()).distinct()
 
 
-def found(fps: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``fps`` whose id was requested (broadcast semi join).
+def found(fps: DataFrame, ids: DataFrame, id_bound: int | None = None) -> DataFrame:
+    """Rows of ``fps`` whose id was requested (semi join).
 
-    ``ids`` is the query set; callers bound its size before calling (it is
-    what gets broadcast).
+    The id set is broadcast when its row bound is known to fit
+    (``MAX_BROADCAST_IDS``); with no bound or a larger one the join is left
+    to AQE (broadcast on runtime size, else shuffle).
     """
-    return fps.join(F.broadcast(ids.select("mol_id")), "mol_id", "left_semi")
+    keys = ids.select("mol_id")
+    if id_bound is not None and id_bound <= config.MAX_BROADCAST_IDS:
+        keys = F.broadcast(keys)
+    return fps.join(keys, "mol_id", "left_semi")
 
 
 def missing(ids: DataFrame, fps: DataFrame) -> DataFrame:

@@ -173,7 +173,7 @@ def build_similarity(wh: Warehouse, version: str, force: bool = False,
     n_ids = requests.count()
     if n_ids == 0:
         raise sinks.EmptyResult("no sources requested")
-    pairs = sim.score_pairs(lookup.found(fps, ids), fps, n_sources=n_ids,
+    pairs = sim.score_pairs(lookup.found(fps, ids, n_ids), fps, n_sources=n_ids,
                             candidate_partitions=target_parallelism(fps))
     # One folder per source.  Cluster each source's rows into a few tasks
     # first (source + salt), so the write makes ~rows/FULL_TABLE_FILE_ROWS

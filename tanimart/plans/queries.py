@@ -186,7 +186,7 @@ def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources that have a fingerprint, with their bit counts."""
     fps = simplan.catalogue_fingerprints(spark, sf_dir)
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    return lookup.found(fps, ids).select("mol_id", "n_bits")
+    return lookup.found(fps, ids, simplan.source_request_bound(spark, sf_dir)).select("mol_id", "n_bits")
 
 
 @register

@@ -34,7 +34,7 @@ def all_pairs(spark: SparkSession, sf_dir: str, fps: DataFrame | None = None) ->
     fps = fps if fps is not None else catalogue_fingerprints(spark, sf_dir)
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
     n_ids = source_request_bound(spark, sf_dir)  # size check of the broadcast side
-    sources = lookup.found(fps, ids)
+    sources = lookup.found(fps, ids, n_ids)
     return sim.score_pairs(sources, fps, n_sources=n_ids, exclude_self=True,
                            candidate_partitions=target_parallelism(fps))
 
