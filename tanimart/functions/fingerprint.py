@@ -23,19 +23,18 @@ def feature_bit(feature: Column | str) -> Column:
     return (F.conv(prefix, 16, 10).cast("bigint") % F.lit(config.FINGERPRINT_BITS)).cast("int")
 
 
-def word_of(bit: Column | str) -> Column:
-    """Index of the word holding ``bit``."""
-    return F.shiftright(_col(bit), 6)
+# The word-wise expressions below are written as SQL text: one parse on the
+# JVM instead of a few hundred Python->JVM calls per expression.
 
+def word_sql(bit: str) -> str:
+    """Index of the word holding bit column ``bit``."""
+    return f"shiftright({bit}, 6)"
 
-def mask_of(bit: Column | str) -> Column:
-    """Single-bit BIGINT mask of ``bit`` inside its word (MSB first)."""
-    offset = F.lit(config.WORD_BITS - 1) - _col(bit).bitwiseAND(F.lit(63))
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), offset)
 
+def mask_sql(bit: str) -> str:
+    """Single-bit BIGINT mask of ``bit`` inside its word (MSB first)."""
+    return f"shiftleft(1L, {config.WORD_BITS - 1} - ({bit} & {config.WORD_BITS - 1}))"
 
-# The word-wise expressions below are written as SQL text: one parse on the
-# JVM instead of a few hundred Python->JVM calls per expression.
 
 def popcount_sql(fp: str) -> str:
     return " + ".join(f"bit_count({fp}[{i}])" for i in range(config.N_WORDS))
@@ -104,14 +103,3 @@ def to_base64(fp: str) -> Column:
 def from_base64(text: str) -> Column:
     """Base64 text of 256 bytes -> packed words (length checked)."""
     return from_bytes(f"unbase64({text})")
-
-
-def on_bits(fp: Column | str) -> Column:
-    """ARRAY<INT> of the on-bit positions, ascending (inverse of packing)."""
-    fp = _col(fp)
-    return F.filter(
-        F.sequence(F.lit(0), F.lit(config.FINGERPRINT_BITS - 1)),
-        lambda b: F.call_function(
-            "shiftright", F.element_at(fp, F.shiftright(b, 6) + 1),
-            F.lit(config.WORD_BITS - 1) - b.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1,
-    )

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tanimart import config
 from tanimart.functions import fingerprint as fpx
-from tanimart.functions import text as tx
 
 
 def _feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -37,9 +36,8 @@ def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "tex
 
 def _pack_aggs(bit: str) -> list[Column]:
     """One bit_or per word: OR of the masks of the bits that fall in it."""
-    top = config.WORD_BITS - 1
-    return [F.expr(f"bit_or(CASE WHEN shiftright({bit}, 6) = {i} "
-                   f"THEN shiftleft(1L, {top} - ({bit} & 63)) END)").alias(f"_w{i}")
+    word, mask = fpx.word_sql(bit), fpx.mask_sql(bit)
+    return [F.expr(f"bit_or(CASE WHEN {word} = {i} THEN {mask} END)").alias(f"_w{i}")
             for i in range(config.N_WORDS)]
 
 

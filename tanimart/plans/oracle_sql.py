@@ -88,7 +88,7 @@ dictionary AS (
 props AS (SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, quality, toxic FROM labels),
 dim AS (
     SELECT i.mol_id, d.kind, d.lang, d.n_chars,
-           CAST(len(list_filter(regexp_split_to_array(lower(d.text), '[^a-z0-9]+'), lambda x: x <> '')) AS INTEGER) AS n_words,
+           CAST(len(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS INTEGER) AS n_words,
            CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS INTEGER) AS n_lines,
            p.quality, p.toxic
     FROM ids i LEFT JOIN dictionary d ON d.mol_id = i.mol_id
@@ -182,7 +182,7 @@ matched AS (
 _LABELLED = """
 labelled AS (
     SELECT d.doc_id, l.quality, l.toxic,
-           CAST(len(list_filter(regexp_split_to_array(lower(d.text), '[^a-z0-9]+'), lambda x: x <> '')) AS INTEGER) AS n_words
+           CAST(len(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS INTEGER) AS n_words
     FROM documents d JOIN labels l ON l.doc_id = d.doc_id
     WHERE NULLIF(d.text, '') IS NOT NULL
 )
