@@ -108,7 +108,8 @@ def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     Discovery matches the whole key against the pattern; every file's header
     is resolved before any data is written (a bad header fails the run and
     writes nothing); each file is logged with its key as the version, so a
-    re-run loads nothing twice.
+    re-run loads nothing twice, and each file's rows live in their own
+    partition, so even a re-load after a crash replaces rather than appends.
     """
     spark = wh.spark
     files = csv_ingest.list_batch_files(spark, input_root)
@@ -118,8 +119,13 @@ def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     if not new:
         return []
     frames = [csv_ingest.read_batch(spark, f) for f in new]  # headers checked here
-    batch = csv_ingest.union_batches(frames).withColumn("_ingested_at", F.current_timestamp())
-    sinks.append(batch, wh.path(RAW_INPUT))
+    batch = (csv_ingest.union_batches(frames)
+             .withColumn("_ingested_at", F.current_timestamp())
+             .withColumn("_file_id", F.substring(F.sha2("_source_file", 256), 1, 16)))
+    # One partition per file, replaced dynamically: if a run dies after the
+    # write but before the log rows, the re-run rewrites the same partitions
+    # instead of appending the rows a second time.
+    sinks.overwrite_partitions(batch, wh.path(RAW_INPUT), ["_file_id"])
     counts = dict(wh.spark.read.parquet(wh.path(RAW_INPUT))
                   .filter(F.col("_source_file").isin(new))
                   .groupBy("_source_file").count().collect())

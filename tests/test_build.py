@@ -45,8 +45,13 @@ def test_version_gate_skip_and_force(spark, scratch):
 
 
 def test_full_chain_and_empty_fact_guard(spark, scratch):
-    wh = build.Warehouse(spark, scratch)
-    out = build.run_all(wh, SF_SMALL, "v1")
+    wh = build.Warehouse(spark, f"{scratch}/wh")
+    write(f"{scratch}/in/batch_01.csv",
+          "compound_id,compound_name,IC50_nM\n"
+          "1,CUSTOMER#000000001 ,5\n2,  ,7\n3,paracetamol,-1\n")
+    out = build.run_all(wh, SF_SMALL, "v1", input_root=f"{scratch}/in")
+    matched = {r.compound_id: (r.matched_id, r.ic50_nm) for r in wh.read("silver.matched_input").collect()}
+    assert matched == {"1": (1, 5.0), "3": (None, None)}
     assert out["similarity"].rows == 40 * 10
     fact = wh.read("gold.fact_similarity")
     assert fact.count() == 400
