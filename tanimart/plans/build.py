@@ -19,7 +19,7 @@ from tanimart import config
 from tanimart.operators import clean, lookup, match, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
-from tanimart.operators.partitioning import target_parallelism
+from tanimart.operators.partitioning import spread_scan, target_parallelism
 from tanimart.plans import loadlog, mart
 from tanimart.sources import csv_ingest, sinks, tables
 
@@ -151,7 +151,7 @@ def build_molecules(wh: Warehouse, version: str, force: bool = False) -> BuildRe
 def build_fingerprints(wh: Warehouse, version: str, force: bool = False) -> BuildResult:
     """Packed fingerprints, files of at most BATCH_ROWS rows, sorted by id."""
     return wh.build("silver.fingerprint", version,
-                    lambda: fpo.fingerprints(wh.read("silver.molecule")),
+                    lambda: fpo.fingerprints(spread_scan(wh.read("silver.molecule"), "mol_id")),
                     force=force, max_records_per_file=config.BATCH_ROWS,
                     sort_within=["mol_id"])
 

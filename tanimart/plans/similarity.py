@@ -20,7 +20,7 @@ from tanimart.sources import tables
 
 def valid_molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue entries with a non-blank structure text."""
-    mols = tables.molecules(spark, sf_dir)
+    mols = tables.molecules(spark, sf_dir, spread=True)
     return mols.filter(F.nullif(F.col("text"), F.lit("")).isNotNull())
 
 

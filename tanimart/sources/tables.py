@@ -75,14 +75,17 @@ def bench_key(c) -> F.Column:
     return F.concat(F.lit(BENCH_PREFIX), F.col(c).cast("string"))
 
 
-def molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
+def molecules(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Catalogue: mol_id, kind, text, lang, source, n_chars (one row per entry).
 
-    The documents scan is spread over all cores when the files give fewer
-    splits than cores: everything downstream (tokenising, hashing) is
-    per-row CPU work.
+    With ``spread`` the documents scan is spread over all cores when the
+    files give fewer splits than cores -- for callers that tokenise every
+    row (fingerprints); callers that keep only a few rows leave it off.
     """
-    docs = spread_scan(read_table(spark, sf_dir, "documents"), "doc_id").select(
+    docs = read_table(spark, sf_dir, "documents")
+    if spread:
+        docs = spread_scan(docs, "doc_id")
+    docs = docs.select(
         doc_key("doc_id").alias("mol_id"),
         F.lit("document").alias("kind"),
         "text", "lang", "source", "n_chars",
