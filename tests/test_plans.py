@@ -18,9 +18,14 @@ def test_scan_reads_only_projected_columns(spark):
 
 
 def test_flagship_limits_before_shuffle_and_broadcasts_sources(spark):
-    plan = executed(E.queries()["flagship_topk"](spark, SF_SMALL))
+    df = E.queries()["flagship_topk"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "BroadcastNestedLoopJoin" in plan and "BuildRight" in plan
+    # fingerprints are computed once: the source side reuses the exchange
+    assert "ReusedExchange" in plan
     # the document scan reads only id and text
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
