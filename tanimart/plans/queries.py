@@ -17,7 +17,7 @@ from tanimart.operators import clean, lookup, match, paging, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.plans import inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
-from tanimart.session import ensure_checkpoint_dir
+from tanimart.session import materialize
 from tanimart.sources import tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,8 +44,7 @@ def _fact_and_bound(spark: SparkSession, sf_dir: str):
     similarity job runs once and the lineage is cut.  The fact is bounded
     (sources x TOP_N rows).
     """
-    ensure_checkpoint_dir(spark)
-    fact = simplan.fact_similarity(spark, sf_dir).checkpoint(eager=True)
+    fact = materialize(simplan.fact_similarity(spark, sf_dir))
     n_sources = simplan.source_request_bound(spark, sf_dir)
     return fact, n_sources * (config.TOP_N + 1)
 

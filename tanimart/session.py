@@ -48,3 +48,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Compute ``df`` once into the checkpoint folder and cut its lineage.
+
+    Uses the session's ``spark.checkpoint.dir`` (a scratch folder only when
+    none is set).  Where checkpointing is unavailable (e.g. a remote session
+    without a context), the lazy plan is returned unchanged: same results,
+    recomputed instead of re-read.
+    """
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    except Exception:  # noqa: BLE001 - no context / no checkpoint support
+        return df
