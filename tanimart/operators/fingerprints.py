@@ -75,3 +75,16 @@ def unpack(fps: DataFrame) -> DataFrame:
 def failed_entries(df: DataFrame, fps: DataFrame, id_col: str = "mol_id") -> DataFrame:
     """Entries that produced no fingerprint (no feature in the text)."""
     return df.select(F.col(id_col).alias("mol_id")).join(fps.select("mol_id"), "mol_id", "left_anti")
+
+
+def counts(df: DataFrame, fps: DataFrame, id_col: str = "mol_id") -> DataFrame:
+    """(succeeded_rows, failed_rows) of a fingerprint run, in one aggregate.
+
+    Input rows and fingerprint rows are tagged and counted together, so the
+    input is never joined back to its (large) output.
+    """
+    tagged = (df.select(F.lit(True).alias("_in"))
+              .unionByName(fps.select(F.lit(False).alias("_in"))))
+    c = tagged.agg(F.count_if(F.col("_in")).alias("_n_in"),
+                   F.count_if(~F.col("_in")).alias("succeeded_rows"))
+    return c.select("succeeded_rows", (F.col("_n_in") - F.col("succeeded_rows")).alias("failed_rows"))

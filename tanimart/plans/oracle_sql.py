@@ -242,3 +242,8 @@ ORACLE.update({
                                       ORDER BY ts DESC, CAST(user_id AS VARCHAR) DESC, event_id DESC) AS rn
             FROM events) WHERE rn = 1""",
 })
+
+ORACLE["fingerprint_counts"] = "WITH " + _BITS + """
+    SELECT (SELECT count(*) FROM pop) AS succeeded_rows,
+           (SELECT count(*) FROM molecules WHERE NULLIF(text, '') IS NOT NULL) - (SELECT count(*) FROM pop)
+               AS failed_rows"""

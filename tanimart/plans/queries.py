@@ -180,6 +180,13 @@ def fingerprint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpo.unpack(back)
 
 
+@register
+def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries fingerprinted vs entries without any feature."""
+    mols = simplan.valid_molecules(spark, sf_dir).select("mol_id", "text")
+    return fpo.counts(mols, fpo.fingerprints(mols))
+
+
 @register
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources that have a fingerprint, with their bit counts."""

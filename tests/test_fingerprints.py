@@ -44,6 +44,7 @@ def test_fingerprint_deterministic_and_failed_entries(spark):
     assert set(got) == {"A", "C"}            # B has no feature
     assert got["A"] == got["C"] and got["A"][1] == 2
     assert [r.mol_id for r in fpo.failed_entries(mols, fps).collect()] == ["B"]
+    assert fpo.counts(mols, fps).first().asDict() == {"succeeded_rows": 2, "failed_rows": 1}
     again = {r.mol_id: r.fp for r in fpo.fingerprints(mols).collect()}
     assert again["A"] == got["A"][0]
 
