@@ -113,9 +113,13 @@ def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     """
     spark = wh.spark
     files = csv_ingest.list_batch_files(spark, input_root)
-    done = {r[0] for r in wh.log().filter(F.col("table_name") == RAW_INPUT)
-            .select("version").distinct().collect()} if files else set()
-    new = [f for f in files if f not in done]
+    if not files:
+        return []
+    # Diff against the log in Spark: only the new names (bounded by the
+    # listing) come back, never the whole history of loaded keys.
+    listed = spark.createDataFrame([(f,) for f in files], "version string")
+    loaded = wh.log().filter(F.col("table_name") == RAW_INPUT).select("version")
+    new = sorted(r[0] for r in listed.join(loaded, "version", "left_anti").collect())
     if not new:
         return []
     frames = [csv_ingest.read_batch(spark, f) for f in new]  # headers checked here
