@@ -12,8 +12,9 @@ Plan shape (one source block):
 Every source is scored against every candidate, zero-overlap pairs included:
 that is the result the warehouse defines (a zero score can enter the top N).
 The broadcast side is the query set, whose size is checked before planning;
-a larger set is cut into blocks that are each broadcast and scored in turn,
-so no executor ever holds more than one block.
+a larger set is cut into blocks whose sizes are counted before each is
+broadcast and scored in turn, so no executor ever holds more than one
+block of checked size.
 """
 
 from __future__ import annotations
@@ -59,10 +60,17 @@ def score_pairs(sources: DataFrame, candidates: DataFrame, n_sources: int,
 
     if n_sources <= max_broadcast:
         return one_block(src)
-    # Cut the sources into blocks that each fit the broadcast bound (hash
-    # blocks with 2x headroom) and score them one after another.
+    # Cut the sources into hash blocks and score them one after another.
+    # Block sizes are counted (one small aggregate: one row per block) and
+    # the block count doubled until the largest block fits the bound, so
+    # every broadcast has a checked size.
     n_blocks = 2 * math.ceil(n_sources / max_broadcast)
-    keyed = src.withColumn("_block", F.pmod(F.xxhash64("source_id"), F.lit(n_blocks)))
+    while True:
+        keyed = src.withColumn("_block", F.pmod(F.xxhash64("source_id"), F.lit(n_blocks)))
+        largest = keyed.groupBy("_block").count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_broadcast:
+            break
+        n_blocks *= 2
     parts = [one_block(keyed.filter(F.col("_block") == b).drop("_block")) for b in range(n_blocks)]
     out = parts[0]
     for p in parts[1:]:
