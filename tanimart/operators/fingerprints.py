@@ -30,8 +30,13 @@ def _feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "text") -> DataFrame:
-    """Long form: distinct (mol_id, bit).  Entries without features vanish."""
-    return _feature_rows(df, id_col, text_col).distinct()
+    """Long form: distinct (mol_id, bit).  Entries without features vanish.
+
+    Built as unpack(pack): the only exchange carries one packed row per
+    entry (~300 bytes) instead of one row per (entry, bit) as a DISTINCT
+    would (~200 rows per entry on real text); the round trip is lossless.
+    """
+    return unpack(fingerprints(df, id_col, text_col))
 
 
 def _pack_aggs(bit: str) -> list[Column]:
