@@ -1,7 +1,8 @@
 """tanimart: a Spark-native similarity warehouse.
 
 Layers (bronze -> silver -> gold) are plain DataFrame -> DataFrame functions;
-only ``tanimart.plans.build`` writes anything.
+only the jobs in ``tanimart.plans.build`` and ``tanimart.streaming`` write
+(through ``tanimart.sources.sinks``).
 """
 
 __version__ = "0.1.0"
