@@ -76,13 +76,16 @@ def sampled_sources(fact: DataFrame, k: int = config.PIVOT_SOURCES) -> DataFrame
     """A repeatable pick of ``k`` distinct sources: smallest md5(id) first.
 
     Returns (slot 1..k, source_id).  ``orderBy().limit(k)`` is a top-k (each
-    task keeps k rows), so only k rows ever reach one task.
+    task keeps k rows), so only k rows ever reach one task; the slots are
+    their positions in one sorted array of those k rows.
     """
     picked = (fact.select("source_id").distinct()
               .orderBy(F.md5("source_id"), "source_id").limit(k))
-    return picked.select(
-        F.row_number().over(Window.orderBy(F.md5("source_id"), "source_id")).cast("int").alias("slot"),
-        "source_id")
+    # Number the k picks by their position in one sorted array (k elements).
+    ordered = picked.agg(F.sort_array(F.collect_list(
+        F.struct(F.md5("source_id").alias("h"), F.col("source_id")))).alias("picks"))
+    return ordered.select(F.posexplode("picks").alias("pos", "p")).select(
+        (F.col("pos") + 1).cast("int").alias("slot"), F.col("p.source_id").alias("source_id"))
 
 
 def pivot_sources(fact: DataFrame, k: int = config.PIVOT_SOURCES) -> DataFrame:
