@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,22 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per session's context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="llm-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._llm_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

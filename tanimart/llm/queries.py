@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import chat, mixing, sharding, url_filter, warc
+from . import ann, chat, mixing, quality, sharding, url_filter, warc
 from .common import fresh_path, read
 
 #: Fixed rules of the URL filter: host, path, verdict.
@@ -34,6 +34,12 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op3_ann_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every vector whose id is divisible by 20."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op4_mix_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed so that a source's share is the square root of its count."""
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -49,11 +55,30 @@ def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(read(spark, sf_dir, "conversations"))
 
 
+#: Documents whose id has this remainder are held out of every fit.
+HELD_OUT = "pmod(crc32(cast(coalesce(cast({0} as string), '') as binary)), 5) = 0"
+#: Least score that counts as label 1.
+QUALITY_LEAST = 0.3
+
+
+def quality_model(spark: SparkSession, sf_dir: str):
+    """Model fitted on the labelled documents that are not held out."""
+    labels = read(spark, sf_dir, "labels").where(~F.expr(HELD_OUT.format("doc_id"))).select("doc_id", "quality")
+    return quality.train(read(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op9_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    scored = quality.score(read(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select(
+        "doc_id", F.expr(HELD_OUT.format("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
+
+
 def op10_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the rules and its aliases."""
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_index, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op10_url_equivalence)
+    f.__name__: f for f in (op1_warc_index, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op9_quality_nbsvm, op10_url_equivalence)
 }
