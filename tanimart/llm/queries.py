@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import ann, chat, mixing, quality, sharding, url_filter, warc
+from . import ann, chat, decontam, mixing, quality, sharding, url_filter, warc
 from .common import fresh_path, read
 
 #: Fixed rules of the URL filter: host, path, verdict.
@@ -34,6 +34,11 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op2_decontaminate_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that match."""
+    return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_ann_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every vector whose id is divisible by 20."""
     vectors = read(spark, sf_dir, "embeddings")
@@ -80,5 +85,5 @@ def op10_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_index, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op9_quality_nbsvm, op10_url_equivalence)
+    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op9_quality_nbsvm, op10_url_equivalence)
 }
