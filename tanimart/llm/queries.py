@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import ann, chat, decontam, mixing, quality, sharding, url_filter, warc
+from . import ann, chat, decontam, mixing, ngram_join, quality, sharding, url_filter, warc
 from .common import fresh_path, read
 
 #: Fixed rules of the URL filter: host, path, verdict.
@@ -60,6 +60,11 @@ def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(read(spark, sf_dir, "conversations"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of Jaccard 0.9 on 3-word shingles."""
+    return ngram_join.join(read(spark, sf_dir, "documents"), 3, 90, 100)
+
+
 #: Documents whose id has this remainder are held out of every fit.
 HELD_OUT = "pmod(crc32(cast(coalesce(cast({0} as string), '') as binary)), 5) = 0"
 #: Least score that counts as label 1.
@@ -85,5 +90,5 @@ def op10_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op9_quality_nbsvm, op10_url_equivalence)
+    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op8_ngram_join, op9_quality_nbsvm, op10_url_equivalence)
 }
