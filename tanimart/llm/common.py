@@ -7,6 +7,7 @@ where that setting is absent (tests).
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -74,3 +75,10 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def as_long(col):
     """A 60-bit integer from the first 15 hex digits of an MD5 column."""
     return F.conv(F.substring(col, 1, 15), 16, 10).cast("long")
+
+
+def settle(spark: SparkSession) -> None:
+    """Drop what finished steps left: once their plans are garbage, Spark's
+    cleaner deletes their shuffle files on all executors."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

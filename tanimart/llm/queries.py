@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import ann, chat, decontam, mixing, ngram_join, quality, sharding, url_filter, warc
+from . import ann, chat, decontam, mixing, ngram_join, quality, sharding, suffix_dedup, url_filter, warc
 from .common import fresh_path, read
 
 #: Fixed rules of the URL filter: host, path, verdict.
@@ -55,6 +55,11 @@ def op5_shard_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), 16)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to 100-byte strings that start earlier."""
+    return suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+
+
 def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from every participant's perspective."""
     return chat.perspectives(read(spark, sf_dir, "conversations"))
@@ -90,5 +95,5 @@ def op10_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op7_chat_perspectives, op8_ngram_join, op9_quality_nbsvm, op10_url_equivalence)
+    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op6_suffix_dedup, op7_chat_perspectives, op8_ngram_join, op9_quality_nbsvm, op10_url_equivalence)
 }
