@@ -61,14 +61,23 @@ def _draw(records: DataFrame, weight, per_row) -> DataFrame:
     return records.where(u < weight * per_row)
 
 
-def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def place(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with their ``shard`` and ``slot`` (columns of these
+    names are replaced), dealt to partitions by shard range and in slot order."""
+    rows = save(docs.drop("shard", "slot").withColumn("__tie", F.monotonically_increasing_id()), "shard-rows")
+    placed = shard(rows, shards, id_col, text_col, "__tie").select("__tie", "shard", "slot")
+    return rows.join(placed, "__tie").drop("__tie").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+
+
+def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", tie_col: str | None = None) -> DataFrame:
     """Return (id, size, text_crc32, law, shard, slot, grown_shard).
 
     size: UTF-8 bytes of the text (null: 0) plus 1; text_crc32 of a null text
     is that of the empty one (0).  A null id sorts before all others.  Repeated
     rows are records of their own (told apart by their place in the written
     key table).  An empty table gives no rows.  Other columns are not read.
-    grown_shard is null: the law is ``bytes``.
+    grown_shard is null: the law is ``bytes``.  With ``tie_col`` (a long that
+    tells all rows apart) that column is returned as well.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     records = docs.select(
@@ -77,7 +86,7 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         F.crc32(text.cast("binary")).alias("text_crc32"),
         as_long(F.md5(text.cast("binary"))).alias("key"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.monotonically_increasing_id().alias("tie"),
+        (F.monotonically_increasing_id() if tie_col is None else F.col(tie_col)).alias("tie"),
     )
     records = save(records, "shard-keys")
     total = records.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
@@ -127,4 +136,5 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     return ordered.join(F.broadcast(edges), "shard").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("rank") - F.col("first_rank")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        *([] if tie_col is None else [F.col("tie").alias(tie_col)]),
     )
