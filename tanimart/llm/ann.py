@@ -140,7 +140,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         for b in range(blocks):
             own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).dropDuplicates(["id"]).collect()
             own.sort(key=lambda r: r.id)
-            held = spark.sparkContext.broadcast((np.array([r.id for r in own], np.int64), np.array([r.v for r in own], np.float64).reshape(len(own), -1)))
+            held = spark.sparkContext.broadcast((np.array([r.id for r in own], np.int64), np.array([r.v for r in own], np.float64).reshape(len(own), facts.dim)))
 
             def run(batches: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
                 ids, parts = [], []

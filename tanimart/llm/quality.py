@@ -78,7 +78,7 @@ def _svm(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: np.ndar
                 w[rows[i]] += step * y[i] * values[i]
                 w[-1] += step * y[i]
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < 1e-5:
             break
     return w
 
