@@ -40,6 +40,8 @@ LEAST_WORDS = 5
 MOST_WINDOW = 32
 #: Item text bytes looked up in one pass; a larger benchmark takes several.
 PASS_BYTES = 16 << 20
+#: Text bytes worked on together.
+SLICE = 1 << 19
 
 _GAP = np.ones(256, dtype=bool)
 _GAP[48:58] = _GAP[97:123] = _GAP[65:91] = _GAP[128:] = False
@@ -79,6 +81,8 @@ class Walk:
         are followed by a blank)."""
         n = len(codes)
         h, held, bits = np.zeros(n + 1, dtype=np.uint32), -1, None
+        here, after = h[:-1], h[1:]
+        moved, differ, word = np.empty(n, dtype=np.int32), np.empty(n, dtype=np.uint32), np.empty(n, dtype=np.uint32)
         for j in range(max(self.sampled), -1, -1):
             if j // 24 != held:
                 held = j // 24
@@ -86,10 +90,16 @@ class Walk:
                 bits ^= bits >> np.uint32(15)
                 bits *= np.uint32(0x2C1B3C6D)
                 bits ^= bits >> np.uint32(13)
-            # h[i] becomes h[i + 1] where the pointer moves
-            np.copyto(h[:-1], h[1:], where=(bits & np.uint32(1 << (j % 24 + 4))) != 0)
+                bits = bits.view(np.int32)
+            # h[i] becomes h[i + 1] where the pointer moves (the bit as a mask)
+            np.left_shift(bits, np.int32(27 - j % 24), out=moved)
+            np.right_shift(moved, np.int32(31), out=moved)
+            np.bitwise_xor(here, after, out=differ)
+            np.bitwise_and(differ, moved.view(np.uint32), out=differ)
+            np.bitwise_xor(here, differ, out=here)
             if j in self.sampled:
-                h[:-1] += codes * self.factors[j]
+                np.multiply(codes, self.factors[j], out=word)
+                np.add(here, word, out=here)
         h = h[:-1]
         h ^= h >> np.uint32(16)
         return h * np.uint32(0x9E3779B1)
@@ -151,7 +161,14 @@ class Benchmark:
             return []
         found = np.unique(np.stack([np.concatenate(rows), np.concatenate(items), np.concatenate(starts)], 1), axis=0)
         best: dict[tuple[int, int], int] = {}
-        for row, item, start in found[self._plausible(codes, first, found)].tolist():
+        found = found[self._plausible(codes, first, found)]
+        for row, item, start in found.tolist():  # whole copies at once
+            own = self.words[item]
+            if int(first[row]) <= start <= int(first[row + 1]) - len(own) and (codes[start:start + len(own)] == own).all():
+                best[row, item] = 0
+        for row, item, start in found.tolist():
+            if best.get((row, item)) == 0:
+                continue
             d = int(self.edits[item])
             a, b = max(int(first[row]), start - d), min(int(first[row + 1]), start + int(self.length[item]) + d)
             cost = least_edits(self.words[item], codes[a:b])
@@ -218,7 +235,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             for batch in batches:
                 data, off = tokens(batch.column(1))
                 rows, who, cost = [], [], []
-                for i, j in tk.slices(off):
+                for i, j in tk.slices(off, SLICE):
                     for row, item, edits in index.hits(data, off[i:j + 1]):
                         rows.append(i + row)
                         who.append(index.ids[item])
@@ -242,7 +259,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
             for batch in batches:
                 data, off = tokens(batch.column(at))
                 keep = np.ones(len(off) - 1, dtype=bool)
-                for i, j in tk.slices(off):
+                for i, j in tk.slices(off, SLICE):
                     for row, _, _ in index.hits(data, off[i:j + 1]):
                         keep[i + row] = False
                 yield batch.filter(pa.array(keep))
