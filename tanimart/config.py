@@ -34,23 +34,26 @@ WORD_BITS = 64
 N_WORDS = FINGERPRINT_BITS // WORD_BITS
 
 # Feature rule (the chemistry library is not available; features are words):
-# lower-case, split on anything that is not an ASCII letter or digit, drop
-# empty pieces, hash = first 32 bits of md5(feature) as an unsigned integer,
-# bit = hash mod FINGERPRINT_BITS.  Reproducible in any SQL engine with md5.
-TOKEN_SPLIT_PATTERN = "[^a-z0-9]+"
+# lower-case, split on anything that is not a letter or a digit of any script,
+# drop empty pieces, hash = first 32 bits of md5(feature) as an unsigned
+# integer, bit = hash mod FINGERPRINT_BITS.  Reproducible in any SQL engine
+# with md5.  Callers may pass features of their own instead.
+TOKEN_SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 HASH_HEX_DIGITS = 8
 
-# Largest source set broadcast in one piece.  A source row is one id plus 32
-# longs (~300 bytes), so 20,000 sources is ~6 MB on every executor.  Larger
-# source sets are scored in blocks of this size (see operators.similarity).
-MAX_BROADCAST_SOURCES = 20_000
-
-# Largest id set (e.g. the ids referenced by the fact table) joined by
-# broadcast; above it the join is left to a shuffle.
-MAX_BROADCAST_IDS = 2_000_000
+# Candidates of one popcount band that share a salt in the scoring join: a
+# larger band is split, so its pairs are scored by several tasks.
+SALT_ROWS = 50_000
 
 # Number of sources picked for the pivot view (the reference hardcodes ten).
 PIVOT_SOURCES = 10
 
-# Date formats the safe date cast accepts, tried in order.
-DATE_FORMATS = ["yyyy-MM-dd"]
+# Date forms the safe date cast accepts, tried in order: ISO with one- or
+# two-digit parts (also with a time after it), month first with slashes,
+# compact, and with month names.
+DATE_FORMATS = ["yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d'T'H:mm:ss", "M/d/yyyy", "yyyyMMdd",
+                "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
+
+# Text that counts as a number: decimal digits, a point and an exponent; no
+# type suffix, no hexadecimal form, no NaN or infinity.
+NUMBER_PATTERN = r"^ *[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)? *$"

@@ -45,6 +45,11 @@ def popcount(fp: str) -> Column:
     return F.expr(popcount_sql(fp))
 
 
+def popcount_of(fp: Column) -> Column:
+    """Number of on bits of a fingerprint expression."""
+    return F.aggregate(fp, F.lit(0), lambda n, w: n + F.bit_count(w))
+
+
 def common_bits_sql(a: str, b: str) -> str:
     return " + ".join(f"bit_count({a}[{i}] & {b}[{i}])" for i in range(config.N_WORDS))
 

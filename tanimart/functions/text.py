@@ -27,9 +27,9 @@ def is_present(c: Column | str) -> Column:
 
 
 def safe_number(c: Column | str) -> Column:
-    """Text -> double, NULL when the text is not a number."""
+    """Text -> double, NULL when the text is not a decimal number."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("double")
+    return F.when(c.rlike(config.NUMBER_PATTERN), F.trim(c).try_cast("double"))
 
 
 def positive_or_null(c: Column) -> Column:
@@ -51,7 +51,7 @@ def normalized_name(c: Column | str) -> Column:
 
 
 def tokens(text: Column | str) -> Column:
-    """ARRAY<STRING> of features: lower-case ASCII letter/digit runs."""
+    """ARRAY<STRING> of features: lower-case runs of letters and digits."""
     text = F.col(text) if isinstance(text, str) else text
     parts = F.split(F.lower(text), config.TOKEN_SPLIT_PATTERN)
     return F.filter(parts, lambda t: t != F.lit(""))

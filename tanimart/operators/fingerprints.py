@@ -1,9 +1,7 @@
-"""Fingerprint jobs: text -> feature bits -> packed words, and back.
+"""Fingerprint jobs: features -> bits -> packed words, and back.
 
-The per-row work is built-in expressions (split, md5, shifts); the one
-shuffle is the pack aggregate, which is combined map-side first: every
-entry's tokens sit in one input partition, so the partial aggregate already
-emits one row per entry and the exchange carries ~300 bytes per entry.
+All features of an entry are in its row, so an entry is hashed and packed
+where it lies: no stage here shuffles, and two rows with one id stay two rows.
 """
 
 from __future__ import annotations
@@ -13,54 +11,55 @@ from pyspark.sql import functions as F
 
 from tanimart import config
 from tanimart.functions import fingerprint as fpx
+from tanimart.functions import text as tx
 
 
-def _feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per (entry, distinct feature) with its bit.
+def feature_bits(text: str, features: Column | None = None) -> Column:
+    """Sorted distinct bit positions of a row's features.
 
-    Features are de-duplicated inside each row first (a fingerprint is a
-    set), which roughly halves the rows hashed and aggregated on real text.
+    ``features`` is any ARRAY<STRING> expression; by default the words of
+    ``text``.  NULL elements and '' are no features.
     """
-    feats = F.array_distinct(F.split(F.lower(F.col(text_col)), config.TOKEN_SPLIT_PATTERN))
-    return (
-        df.select(F.col(id_col).alias("mol_id"), F.explode(feats).alias("feature"))
-        .filter(F.col("feature") != "")
-        .select("mol_id", fpx.feature_bit("feature").alias("bit"))
-    )
+    own = tx.tokens(text) if features is None else F.filter(features, lambda f: f.isNotNull() & (f != ""))
+    return F.array_sort(F.array_distinct(F.transform(F.array_distinct(own), fpx.feature_bit)))
 
 
-def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "text") -> DataFrame:
-    """Long form: distinct (mol_id, bit).  Entries without features vanish.
+def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "text",
+                     features: Column | None = None) -> DataFrame:
+    """Long form: distinct (mol_id, bit).  Entries without features vanish."""
+    return df.select(F.col(id_col).alias("mol_id"), F.explode(feature_bits(text_col, features)).alias("bit"))
 
-    Built as unpack(pack): the only exchange carries one packed row per
-    entry (~300 bytes) instead of one row per (entry, bit) as a DISTINCT
-    would (~200 rows per entry on real text); the round trip is lossless.
-    """
-    return unpack(fingerprints(df, id_col, text_col))
-
-
-def _pack_aggs(bit: str) -> list[Column]:
-    """One bit_or per word: OR of the masks of the bits that fall in it."""
-    word, mask = fpx.word_sql(bit), fpx.mask_sql(bit)
-    return [F.expr(f"bit_or(CASE WHEN {word} = {i} THEN {mask} END)").alias(f"_w{i}")
-            for i in range(config.N_WORDS)]
 
+def _packed(bits: str) -> Column:
+    """Sorted bit positions -> words, in one walk over the array.
 
-def _finish(grouped: DataFrame) -> DataFrame:
-    words = ", ".join(f"coalesce(_w{i}, 0L)" for i in range(config.N_WORDS))
-    return (grouped.selectExpr("mol_id", f"array({words}) AS fp")
-            .withColumn("n_bits", fpx.popcount("fp")))
+    The walk keeps the word under construction; when a bit belongs to a later
+    word, the finished one and the empty ones between are appended.
+    """
+    start = "named_struct('at', 0, 'word', 0L, 'done', CAST(array() AS ARRAY<BIGINT>))"
+    at, mask = fpx.word_sql("b"), fpx.mask_sql("b")
+    step = (f"IF({at} = a.at, named_struct('at', a.at, 'word', a.word | {mask}, 'done', a.done), "
+            f"named_struct('at', {at}, 'word', {mask}, 'done', "
+            f"concat(a.done, array(a.word), array_repeat(0L, {at} - a.at - 1))))")
+    end = f"concat(a.done, array(a.word), array_repeat(0L, {config.N_WORDS - 1} - a.at))"
+    return F.expr(f"aggregate({bits}, {start}, (a, b) -> {step}, a -> {end})")
 
 
-def fingerprints(df: DataFrame, id_col: str = "mol_id", text_col: str = "text") -> DataFrame:
+def fingerprints(df: DataFrame, id_col: str = "mol_id", text_col: str = "text",
+                 features: Column | None = None) -> DataFrame:
     """(mol_id, fp ARRAY<BIGINT>(32), n_bits) for entries with >= 1 feature."""
-    rows = _feature_rows(df, id_col, text_col)
-    return _finish(rows.groupBy("mol_id").agg(*_pack_aggs("bit")))
+    bits = df.select(F.col(id_col).alias("mol_id"), feature_bits(text_col, features).alias("_bits"))
+    return (bits.filter(F.size("_bits") > 0)
+            .select("mol_id", _packed("_bits").alias("fp"), F.size("_bits").alias("n_bits")))
 
 
 def pack_bits(bits: DataFrame) -> DataFrame:
-    """Long form (mol_id, bit) -> packed (mol_id, fp, n_bits)."""
-    return _finish(bits.groupBy("mol_id").agg(*_pack_aggs("bit")))
+    """Long form (mol_id, bit) -> packed (mol_id, fp, n_bits).
+
+    The rows of an entry are gathered first (at most FINGERPRINT_BITS
+    distinct positions each)."""
+    rows = bits.groupBy("mol_id").agg(F.array_sort(F.collect_set("bit")).alias("_bits"))
+    return rows.select("mol_id", _packed("_bits").alias("fp"), F.size("_bits").alias("n_bits"))
 
 
 def unpack(fps: DataFrame) -> DataFrame:
@@ -77,19 +76,25 @@ def unpack(fps: DataFrame) -> DataFrame:
             .select("mol_id", (F.col("word") * config.WORD_BITS + F.col("pos")).cast("int").alias("bit")))
 
 
-def failed_entries(df: DataFrame, fps: DataFrame, id_col: str = "mol_id") -> DataFrame:
-    """Entries that produced no fingerprint (no feature in the text)."""
-    return df.select(F.col(id_col).alias("mol_id")).join(fps.select("mol_id"), "mol_id", "left_anti")
+def failed_entries(df: DataFrame, text_col: str = "text", features: Column | None = None) -> DataFrame:
+    """Entries that produce no fingerprint (no feature)."""
+    return df.filter(F.coalesce(F.size(feature_bits(text_col, features)), F.lit(0)) <= 0)
 
 
-def counts(df: DataFrame, fps: DataFrame, id_col: str = "mol_id") -> DataFrame:
-    """(succeeded_rows, failed_rows) of a fingerprint run, in one aggregate.
+def counts(df: DataFrame, text_col: str = "text", features: Column | None = None) -> DataFrame:
+    """(succeeded_rows, failed_rows) of a fingerprint run: one pass, nothing hashed."""
+    own = tx.tokens(text_col) if features is None else features
+    some = F.coalesce(F.exists(own, lambda f: f != ""), F.lit(False))
+    return df.agg(F.count_if(some).alias("succeeded_rows"), F.count_if(~some).alias("failed_rows"))
 
-    Input rows and fingerprint rows are tagged and counted together, so the
-    input is never joined back to its (large) output.
-    """
-    tagged = (df.select(F.lit(True).alias("_in"))
-              .unionByName(fps.select(F.lit(False).alias("_in"))))
-    c = tagged.agg(F.count_if(F.col("_in")).alias("_n_in"),
-                   F.count_if(~F.col("_in")).alias("succeeded_rows"))
-    return c.select("succeeded_rows", (F.col("_n_in") - F.col("succeeded_rows")).alias("failed_rows"))
+
+class DuplicateId(ValueError):
+    """An id that must be unique occurs more than once."""
+
+
+def require_unique(df: DataFrame, id_col: str = "mol_id") -> DataFrame:
+    """``df`` itself, or an error that names some ids that occur twice."""
+    twice = df.groupBy(id_col).count().filter("count > 1").limit(5).collect()
+    if twice:
+        raise DuplicateId(f"{id_col} is not unique: {[r[0] for r in twice]}")
+    return df

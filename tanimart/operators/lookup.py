@@ -1,31 +1,28 @@
-"""Source lookup: which requested ids have a fingerprint, which do not."""
+"""Source lookup: which requested ids have an entry, which do not.
+
+All joins here are left to AQE, which broadcasts the ids when their runtime
+size allows and shuffles (splitting skewed keys) otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tanimart import config
-
 
 def requested_ids(requests: DataFrame, id_col: str = "mol_id") -> DataFrame:
     """Distinct non-NULL requested ids."""
     return requests.select(F.col(id_col).alias("mol_id")).filter(F.col("mol_id").isNotNull()).distinct()
 
 
-def found(fps: DataFrame, ids: DataFrame, id_bound: int | None = None) -> DataFrame:
-    """Rows of ``fps`` whose id was requested (semi join).
+def found(entries: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``entries`` whose id was requested (semi join).
 
-    The id set is broadcast when its row bound is known to fit
-    (``MAX_BROADCAST_IDS``); with no bound or a larger one the join is left
-    to AQE (broadcast on runtime size, else shuffle).
-    """
-    keys = ids.select("mol_id")
-    if id_bound is not None and id_bound <= config.MAX_BROADCAST_IDS:
-        keys = F.broadcast(keys)
-    return fps.join(keys, "mol_id", "left_semi")
+    Join the catalogue itself, then fingerprint what is left: only requested
+    texts are tokenised."""
+    return entries.join(ids.select("mol_id"), "mol_id", "left_semi")
 
 
-def missing(ids: DataFrame, fps: DataFrame) -> DataFrame:
-    """Requested ids without a fingerprint (anti join; fps side is streamed)."""
-    return ids.select("mol_id").join(fps.select("mol_id"), "mol_id", "left_anti")
+def missing(ids: DataFrame, entries: DataFrame) -> DataFrame:
+    """Requested ids without an entry (anti join)."""
+    return ids.select("mol_id").join(entries.select("mol_id"), "mol_id", "left_anti")

@@ -29,41 +29,34 @@ def match_names(typed: DataFrame, dictionary: DataFrame, overrides: DataFrame,
     The lookup key is the override target when the (trimmed, lower-cased)
     name has one, else the name itself.  A name that appears several times
     in the dictionary yields one row per entry (fan-out, kept on purpose:
-    the rows are real alternatives).  The override map is a constant-size
-    relation and is broadcast; the dictionary join is left to AQE, which
-    broadcasts it when its runtime size allows and shuffles otherwise.
+    the rows are real alternatives).  Both joins are left to Spark, which
+    broadcasts a side whose size allows and shuffles otherwise.
     """
     ov = overrides.select(tx.normalized_name("override_from").alias("_ov_key"),
                           F.col("override_to").alias("_ov_to"))
     keyed = (typed.withColumn("_ov_key", tx.normalized_name(name_col))
-             .join(F.broadcast(ov), "_ov_key", "left")
+             .join(ov, "_ov_key", "left")
              .withColumn("_name_key", F.lower(F.coalesce(F.col("_ov_to"), F.trim(F.col(name_col)))))
              .drop("_ov_key", "_ov_to"))
     d = dictionary.select(F.lower(F.col(dict_name)).alias("_name_key"), F.col(dict_id))
     return keyed.join(d, "_name_key", "left").drop("_name_key")
 
 
-def match_audit(raw: DataFrame, matched: DataFrame, name_col: str = "compound_name",
-                id_col: str = "matched_id") -> DataFrame:
-    """One row of load counts, computed in a single aggregate pass.
+def match_audit(raw: DataFrame, dictionary: DataFrame, overrides: DataFrame,
+                name_col: str = "compound_name", dict_name: str = "name") -> DataFrame:
+    """One row of load counts, from one pass over the input.
 
     total input rows; kept (has a name); dropped (no name); output rows;
-    unmatched output rows; fan-out = extra rows from duplicate names.
+    unmatched output rows; fan-out = extra rows from duplicate names.  The
+    dictionary is reduced to entries per name first, so every input row stays
+    one row and carries its own counts.
     """
-    tagged = (raw.select(F.lit(True).alias("_in"), tx.is_present(name_col).alias("_kept"),
-                         F.lit(None).cast("boolean").alias("_unmatched"))
-              .unionByName(matched.select(F.lit(False).alias("_in"),
-                                          F.lit(None).cast("boolean").alias("_kept"),
-                                          F.col(id_col).isNull().alias("_unmatched"))))
-    counts = tagged.agg(
-        F.count_if(F.col("_in")).alias("total_rows"),
-        F.count_if(F.col("_in") & F.coalesce(F.col("_kept"), F.lit(False))).alias("kept_rows"),
-        F.count_if(~F.col("_in")).alias("output_rows"),
-        F.count_if(~F.col("_in") & F.col("_unmatched")).alias("unmatched_rows"),
-    )
-    return counts.select(
-        "total_rows", "kept_rows",
-        (F.col("total_rows") - F.col("kept_rows")).alias("dropped_rows"),
-        "output_rows", "unmatched_rows",
-        (F.col("output_rows") - F.col("kept_rows")).alias("fanout_rows"),
-    )
+    entries = dictionary.groupBy(F.lower(F.col(dict_name)).alias("_name")).agg(F.count(F.lit(1)).alias("_entries"))
+    named = match_names(raw.select(F.col(name_col)), entries, overrides, name_col, "_name", "_entries")
+    kept = F.coalesce(tx.is_present(name_col), F.lit(False))
+    out = F.when(kept, F.coalesce("_entries", F.lit(1))).otherwise(0)
+    return named.agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if(kept).alias("kept_rows"),
+        F.count_if(~kept).alias("dropped_rows"), F.coalesce(F.sum(out), F.lit(0)).alias("output_rows"),
+        F.count_if(kept & F.col("_entries").isNull()).alias("unmatched_rows"),
+    ).withColumn("fanout_rows", F.col("output_rows") - F.col("kept_rows"))

@@ -7,11 +7,24 @@ from pyspark.sql import functions as F
 
 from tanimart import config
 
+#: Accuracy of the approximate quantile, and the slack added to its target.
+ACCURACY = 10_000
+SLACK = 0.001
+
 
 def keyset_page(df: DataFrame, key: str, after=None, size: int = config.BATCH_ROWS) -> DataFrame:
     """Rows with ``key > after`` (all rows when ``after`` is None), ascending, at most ``size``.
 
-    A top-k: each task keeps ``size`` rows before the single merge.
+    The key is a number and NULL keys are on no page.  An approximate
+    quantile bounds the page's last key first, so tasks hand on little more
+    than one page together, not a page each.
     """
-    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
+    rows = df.filter(F.col(key).isNotNull()) if after is None else df.filter(F.col(key) > F.lit(after))
+    n = rows.count()
+    share = size / n + SLACK if n else 1.0
+    if share < 1.0:
+        last = rows.agg(F.percentile_approx(key, share, ACCURACY)).first()[0]
+        near = rows.filter(F.col(key) <= F.lit(last))
+        if near.count() >= size:  # the quantile is approximate
+            rows = near
     return rows.orderBy(key).limit(size)

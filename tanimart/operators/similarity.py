@@ -1,81 +1,106 @@
-"""Scoring sources against every candidate, and the top-N with tie flag.
-
-Plan shape (one source block):
-
-    candidates (stream, any size) --BroadcastNestedLoopJoin(s.id <> c.id)--
-        sources (build side, row count checked <= MAX_BROADCAST_SOURCES)
-    -> score (32 AND + popcount, codegen)
-    -> WindowGroupLimit(Partial, N+1 per source per task)
-    -> Exchange(source)              # carries tasks x sources x (N+1) rows
-    -> WindowGroupLimit(Final) -> Window -> Filter
-
-Every source is scored against every candidate, zero-overlap pairs included:
-that is the result the warehouse defines (a zero score can enter the top N).
-The broadcast side is the query set, whose size is checked before planning;
-a larger set is cut into blocks whose sizes are counted before each is
-broadcast and scored in turn, so no executor ever holds more than one
-block of checked size.
+"""Scoring sources against candidates, and the top-N with tie flag.
+
+Fingerprints fall into bands of similar popcount.  A source with a bits and a
+band whose popcounts reach from l to h cannot score above min(a, h) / max(a, l)
+there, so a band is scored only where that bound can matter.  Sources and
+candidates meet in an equi-join on (band, salt); a band with many candidates
+has many salts, so it is scored by many tasks, and neither side has to fit
+into one executor.
+
+``nearest`` needs two passes.  The first scores a source against its own band
+and the bands next to it; the score of its (N+1)-th candidate is a lower
+bound t for the true (N+1)-th score.  The second scores only the other bands
+whose bound reaches t.  Ties at the cutoff have scores of at least t, so they
+are all seen and the result is exact.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tanimart import config
 from tanimart.functions import fingerprint as fpx
-
-
-def score_pairs(sources: DataFrame, candidates: DataFrame, n_sources: int,
-                exclude_self: bool = True,
-                max_broadcast: int = config.MAX_BROADCAST_SOURCES,
-                candidate_partitions: int | None = None) -> DataFrame:
-    """(source_id, target_id, score) for every source x candidate pair.
-
-    ``sources`` and ``candidates`` are (mol_id, fp, n_bits).  ``n_sources`` is
-    an upper bound on the number of source rows (e.g. the count of requested
-    ids); it decides whether the sources go out in one broadcast or in blocks.
-    ``candidate_partitions`` spreads the candidate side evenly over that many
-    tasks before scoring: the stage is CPU-bound (sources x rows per task),
-    so its parallelism is set by work, not by the bytes AQE sees.
-    """
-    src = sources.select(F.col("mol_id").alias("source_id"),
-                         F.col("fp").alias("s_fp"), F.col("n_bits").alias("s_bits"))
-    cand = candidates.select(F.col("mol_id").alias("target_id"),
-                             F.col("fp").alias("t_fp"), F.col("n_bits").alias("t_bits"))
-    if candidate_partitions:
-        cand = cand.repartition(candidate_partitions)
-
-    def one_block(block: DataFrame) -> DataFrame:
-        cond = F.col("source_id") != F.col("target_id") if exclude_self else F.lit(True)
-        joined = cand.join(F.broadcast(block), cond, "inner")
-        # Intersection first, in its own projection: the score then reads the
-        # count three times without re-running the 32-word loop.
-        counted = joined.select("source_id", "target_id", "s_bits", "t_bits",
-                                fpx.common_bits("s_fp", "t_fp").alias("n_common"))
-        return counted.select("source_id", "target_id",
-                              fpx.tanimoto_from_counts("n_common", "s_bits", "t_bits").alias("score"))
-
-    if n_sources <= max_broadcast:
-        return one_block(src)
-    # Cut the sources into hash blocks and score them one after another.
-    # Block sizes are counted (one small aggregate: one row per block) and
-    # the block count doubled until the largest block fits the bound, so
-    # every broadcast has a checked size.
-    n_blocks = 2 * math.ceil(n_sources / max_broadcast)
-    while True:
-        keyed = src.withColumn("_block", F.pmod(F.xxhash64("source_id"), F.lit(n_blocks)))
-        largest = keyed.groupBy("_block").count().agg(F.max("count")).first()[0] or 0
-        if largest <= max_broadcast:
-            break
-        n_blocks *= 2
-    parts = [one_block(keyed.filter(F.col("_block") == b).drop("_block")) for b in range(n_blocks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+from tanimart.session import materialize
+
+#: Ratio of neighbouring band limits.
+BAND_RATIO = 1.25
+
+
+def _band(n_bits: Column) -> Column:
+    """Band number of a popcount; entries without bits are a band of their own."""
+    return F.when(n_bits > 0, F.floor(F.log(n_bits.cast("double")) / math.log(BAND_RATIO))).otherwise(F.lit(-1)).cast("int")
+
+
+def _bands(candidates: DataFrame) -> list:
+    """(band, least bits, most bits, salts) of the candidates' bands: at most
+    log(FINGERPRINT_BITS) / log(BAND_RATIO) + 2 rows."""
+    rows = (candidates.groupBy(_band(F.col("n_bits")).alias("band"))
+            .agg(F.min("n_bits").alias("lo"), F.max("n_bits").alias("hi"), F.count(F.lit(1)).alias("n")).collect())
+    return sorted((r.band, r.lo, r.hi, math.ceil(r.n / config.SALT_ROWS)) for r in rows)
+
+
+def _reachable(bands: list) -> Column:
+    """ARRAY of (band, bound, salts): the best score of n_bits in every band."""
+    n = F.col("n_bits")
+    return F.array(*[
+        F.struct(F.lit(b).alias("band"),
+                 F.when((n == 0) | (F.lit(hi) == 0), 0.0)
+                 .otherwise(F.least(n, F.lit(hi)) / F.greatest(n, F.lit(lo)).cast("double")).alias("bound"),
+                 F.lit(salts).alias("salts"))
+        for b, lo, hi, salts in bands])
+
+
+def _scored(routed: DataFrame, candidates: DataFrame, bands: list, exclude_self: bool) -> DataFrame:
+    """Score the sources in the bands they were routed to (columns band, salts)."""
+    salts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for b, _, _, s in bands for x in (b, s)]), F.col("band")), F.lit(1))
+    left = routed.select(F.col("mol_id").alias("source_id"), F.col("fp").alias("s_fp"), F.col("n_bits").alias("s_bits"),
+                         "band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    right = (candidates.select(F.col("mol_id").alias("target_id"), F.col("fp").alias("t_fp"), F.col("n_bits").alias("t_bits"))
+             .withColumn("band", _band(F.col("t_bits")))
+             .withColumn("salt", F.pmod(F.xxhash64("target_id"), salts).cast("int")))
+    joined = right.join(left, ["band", "salt"])
+    if exclude_self:
+        joined = joined.filter(F.col("source_id") != F.col("target_id"))
+    # intersection first, in its own projection: the score reads it three times
+    counted = joined.select("source_id", "target_id", "s_bits", "t_bits", fpx.common_bits("s_fp", "t_fp").alias("n_common"))
+    return counted.select("source_id", "target_id", fpx.tanimoto_from_counts("n_common", "s_bits", "t_bits").alias("score"))
+
+
+def score_pairs(sources: DataFrame, candidates: DataFrame, exclude_self: bool = True, least: float = 0.0) -> DataFrame:
+    """(source_id, target_id, score) of the pairs that score at least ``least``.
+
+    ``sources`` and ``candidates`` are (mol_id, fp, n_bits).  With the default
+    every pair is returned, as many as sources times candidates."""
+    bands = _bands(candidates)
+    if not bands:
+        return _none(candidates)
+    routed = sources.withColumn("_r", F.explode(_reachable(bands))).filter(F.col("_r.bound") >= least)
+    pairs = _scored(routed.select("mol_id", "fp", "n_bits", "_r.band", "_r.salts"), candidates, bands, exclude_self)
+    return pairs if least <= 0 else pairs.filter(F.col("score") >= least)
+
+
+def _none(candidates: DataFrame) -> DataFrame:
+    return candidates.select(F.col("mol_id").alias("source_id"), F.col("mol_id").alias("target_id"), F.lit(0.0).alias("score")).limit(0)
+
+
+def nearest(sources: DataFrame, candidates: DataFrame, n: int = config.TOP_N, exclude_self: bool = True) -> DataFrame:
+    """The top ``n`` of every source as ``top_n`` defines them, scoring only
+    the bands that can hold them."""
+    bands = _bands(candidates)
+    if not bands:
+        return top_n(_none(candidates), n)
+    routes = (sources.withColumn("_own", _band(F.col("n_bits"))).withColumn("_r", F.explode(_reachable(bands)))
+              .select("mol_id", "fp", "n_bits", "_own", "_r.*"))
+    near = F.abs(F.col("band") - F.col("_own")) <= 1
+    first = materialize(_head(_scored(routes.filter(near), candidates, bands, exclude_self), n + 1))
+    bound = first.filter(F.col("rank") == n + 1).select(F.col("source_id").alias("mol_id"), F.col("score").alias("_t"))
+    others = (routes.filter(~near).join(bound, "mol_id", "left")
+              .filter(F.col("bound") >= F.coalesce("_t", F.lit(0.0))))
+    rest = _scored(others, candidates, bands, exclude_self)
+    return top_n(first.drop("rank").unionByName(rest), n)
 
 
 def narrow_scores(df: DataFrame, col: str = "score") -> DataFrame:
@@ -87,19 +112,31 @@ def narrow_scores(df: DataFrame, col: str = "score") -> DataFrame:
     return df.withColumn(col, F.col(col).cast("float"))
 
 
+def candidate_order(target: str = "target_id") -> list[Column]:
+    """Order of candidates with one score: by the text before the key's
+    digits, then the digits as a number ('D9' before 'D10'), then the text."""
+    c = F.col(target)
+    return [F.regexp_replace(c, "[0-9]+$", "").asc(), F.regexp_extract(c, "([0-9]+)$", 1).try_cast("decimal(38,0)").asc(), c.asc()]
+
+
+def _head(pairs: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` pairs of every source with their rank (a limit per
+    source that each task applies before the shuffle)."""
+    by_score = Window.partitionBy("source_id").orderBy(F.col("score").desc(), *candidate_order())
+    return pairs.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= n)
+
+
 def top_n(pairs: DataFrame, n: int = config.TOP_N) -> DataFrame:
     """Top ``n`` targets per source with the cutoff-tie flag.
 
-    Order is score descending, then target id ascending (deterministic).
-    ``rank`` is 1..k without gaps.  ``tied_at_cutoff`` is true for a kept row
-    whose score equals the last kept score when at least one row with that
-    score was left out -- which is the case exactly when the (n+1)-th row has
-    the last kept score.  So only n+1 rows per source are ever needed, and
-    the row_number filter stays a map-side WindowGroupLimit.
+    Order is score descending, then ``candidate_order``.  ``rank`` is 1..k
+    without gaps.  ``tied_at_cutoff`` is true for a kept row whose score equals
+    the last kept score when at least one row with that score was left out --
+    which is the case exactly when the (n+1)-th row has the last kept score.
+    So only n+1 rows per source are ever needed, and the row_number filter
+    stays a map-side WindowGroupLimit.
     """
-    by_score = Window.partitionBy("source_id").orderBy(F.col("score").desc(), F.col("target_id").asc())
-    head = (pairs.withColumn("rank", F.row_number().over(by_score))
-            .filter(F.col("rank") <= n + 1))
+    head = _head(pairs, n + 1)
     whole = Window.partitionBy("source_id")
     cut = F.max(F.when(F.col("rank") == n, F.col("score"))).over(whole)
     spill = F.max(F.when(F.col("rank") == n + 1, F.col("score"))).over(whole)

@@ -5,25 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tanimart import config
 from tanimart.functions import text as tx
 
-MIN_WORDS = 3
-
 
 def default_rule(text_col: str = "text") -> Column:
-    """A structure string is valid when it has at least MIN_WORDS features."""
-    return tx.word_count(text_col) >= MIN_WORDS
-
-
-def has_features_rule(text_col: str = "text") -> Column:
-    """Valid when the text yields at least one feature (else no fingerprint)."""
-    return F.exists(F.split(F.lower(F.col(text_col)), config.TOKEN_SPLIT_PATTERN), lambda t: t != F.lit(""))
+    """A structure string is valid when it yields at least one feature (else
+    it has no fingerprint).  The one rule of queries, jobs and the chain."""
+    return F.exists(tx.tokens(text_col), lambda t: t != F.lit(""))
 
 
 def with_validity(df: DataFrame, rule: Column, text_col: str = "text") -> DataFrame:
     """Non-blank rows only, each with ``is_valid`` (NULL rule result -> False)."""
-    return (df.filter(F.nullif(F.col(text_col), F.lit("")).isNotNull())
+    return (df.filter(tx.is_present(text_col))
             .withColumn("is_valid", F.coalesce(rule, F.lit(False))))
 
 

@@ -19,7 +19,6 @@ from tanimart import config
 from tanimart.operators import clean, lookup, match, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
-from tanimart.operators.partitioning import spread_scan, target_parallelism
 from tanimart.plans import loadlog, mart
 from tanimart.sources import csv_ingest, sinks, tables
 
@@ -28,7 +27,6 @@ MIRROR: dict[str, tuple[str, list[str]]] = {
     "bronze.documents": ("documents", tables.TABLE_COLUMNS["documents"]),
     "bronze.benchmark": ("benchmark", tables.TABLE_COLUMNS["benchmark"]),
     "bronze.labels": ("labels", tables.TABLE_COLUMNS["labels"]),
-    "bronze.customer": ("customer", ["c_custkey", "c_name"]),
 }
 
 
@@ -64,8 +62,9 @@ class Warehouse:
             return self.spark.createDataFrame([], loadlog.LOG_SCHEMA)
         return self.spark.read.schema(loadlog.LOG_SCHEMA).parquet(self.log_path)
 
-    def record(self, table: str, version: str, rows: int) -> None:
-        sinks.append(loadlog.log_rows(self.spark, table, version, rows).coalesce(1), self.log_path)
+    def record(self, *rows: tuple[str, str, int]) -> None:
+        """Append (table, version, row count) rows in one write."""
+        sinks.append(loadlog.log_rows(self.spark, list(rows)).coalesce(1), self.log_path)
 
     def last_version(self, table: str) -> str | None:
         """Version of the newest log row for ``table`` (one aggregated row)."""
@@ -80,7 +79,7 @@ class Warehouse:
         if not force and self.last_version(table) == version:
             return BuildResult(table, version, True, None)
         rows = sinks.replace(make(), self.path(table), require_rows=require_rows, **write_opts)
-        self.record(table, version, rows)
+        self.record((table, version, rows))
         return BuildResult(table, version, False, rows)
 
 
@@ -98,8 +97,8 @@ def mirror_tables(wh: Warehouse, sf_dir: str, version: str, force: bool = False)
 
 RAW_INPUT = "bronze.raw_input"
 
-# Rows per file of the full score table (~24 bytes a row before compression).
-FULL_TABLE_FILE_ROWS = 5_000_000
+# Scores below this are not stored in the score table unless asked for.
+LEAST_STORED = 0.2
 
 
 def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
@@ -122,82 +121,83 @@ def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     new = sorted(r[0] for r in listed.join(loaded, "version", "left_anti").collect())
     if not new:
         return []
-    frames = [csv_ingest.read_batch(spark, f) for f in new]  # headers checked here
-    batch = (csv_ingest.union_batches(frames)
+    batch = (csv_ingest.read_batches(spark, new)  # headers checked here
              .withColumn("_ingested_at", F.current_timestamp())
              .withColumn("_file_id", F.substring(F.sha2("_source_file", 256), 1, 16)))
     # One partition per file, replaced dynamically: if a run dies after the
     # write but before the log rows, the re-run rewrites the same partitions
     # instead of appending the rows a second time.
     sinks.overwrite_partitions(batch, wh.path(RAW_INPUT), ["_file_id"])
-    counts = dict(wh.spark.read.parquet(wh.path(RAW_INPUT))
-                  .filter(F.col("_source_file").isin(new))
-                  .groupBy("_source_file").count().collect())
-    for f in new:
-        wh.record(RAW_INPUT, f, int(counts.get(f, 0)))
+    keys = spark.createDataFrame([(f, csv_ingest.file_key(spark, f)) for f in new], "version string, _source_file string")
+    written = spark.read.parquet(wh.path(RAW_INPUT)).select("_source_file")
+    counts = (keys.join(written.withColumn("_row", F.lit(1)), "_source_file", "left").groupBy("version")
+              .agg(F.count("_row").alias("n")))
+    wh.record(*[(RAW_INPUT, r.version, r.n) for r in counts.collect()])
     return new
 
 
 # --- silver -------------------------------------------------------------------
 
 def build_molecules(wh: Warehouse, version: str, force: bool = False) -> BuildResult:
-    """Catalogue entries (documents + benchmark items) whose text is valid."""
-    def make():
-        docs = wh.read("bronze.documents").select(
-            tables.doc_key("doc_id").alias("mol_id"), "text")
-        bench = wh.read("bronze.benchmark").select(
-            tables.bench_key("item_id").alias("mol_id"), "text")
-        valid, _ = validate.split(docs.unionByName(bench), validate.has_features_rule())
-        return valid
-    return wh.build("silver.molecule", version, make, force=force)
+    """Catalogue entries (documents + benchmark items) whose text is valid.
+
+    Ids must be unique.  The log also gets the rejected entries' number."""
+    docs = wh.read("bronze.documents").select(tables.doc_key("doc_id").alias("mol_id"), "text")
+    bench = wh.read("bronze.benchmark").select(tables.bench_key("item_id").alias("mol_id"), "text")
+    entries = docs.unionByName(bench)
+    out = wh.build("silver.molecule", version, lambda: validate.split(fpo.require_unique(entries))[0], force=force)
+    if not out.skipped:
+        wh.record(("silver.molecule.rejected", version, validate.counts(entries).first().rejected_rows))
+    return out
 
 
 def build_fingerprints(wh: Warehouse, version: str, force: bool = False) -> BuildResult:
-    """Packed fingerprints, files of at most BATCH_ROWS rows, sorted by id."""
-    return wh.build("silver.fingerprint", version,
-                    lambda: fpo.fingerprints(spread_scan(wh.read("silver.molecule"), "mol_id")),
-                    force=force, max_records_per_file=config.BATCH_ROWS,
-                    sort_within=["mol_id"])
+    """Packed fingerprints, files of at most BATCH_ROWS rows, sorted by id;
+    the log also gets the number of entries without one."""
+    molecules = wh.read("silver.molecule")
+    out = wh.build("silver.fingerprint", version, lambda: fpo.fingerprints(molecules),
+                   force=force, max_records_per_file=config.BATCH_ROWS, sort_within=["mol_id"])
+    if not out.skipped:
+        wh.record(("silver.fingerprint.failed", version, fpo.counts(molecules).first().failed_rows))
+    return out
 
 
-def build_matched_input(wh: Warehouse) -> int:
-    """Typed, name-matched input; always rebuilt from the raw input."""
+def catalogue_names(wh: Warehouse) -> DataFrame:
+    """Name dictionary of the catalogue: (name, matched_id = mol_id)."""
+    numbered = lambda prefix, key: F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 9, "0"))
+    docs = wh.read("bronze.documents").select(numbered("document#", "doc_id").alias("name"), tables.doc_key("doc_id").alias("matched_id"))
+    items = wh.read("bronze.benchmark").select(numbered("item#", "item_id").alias("name"), tables.bench_key("item_id").alias("matched_id"))
+    return docs.unionByName(items)
+
+
+def build_matched_input(wh: Warehouse, dictionary: DataFrame | None = None) -> int:
+    """Typed input matched to the catalogue's names; always rebuilt from the raw input."""
     raw = wh.spark.read.parquet(wh.path(RAW_INPUT))
-    dictionary = wh.read("bronze.customer").select(
-        F.col("c_name").alias("name"), F.col("c_custkey").alias("matched_id"))
-    matched = match.match_names(clean.typed_input(raw), dictionary, match.overrides_frame(wh.spark))
+    names = catalogue_names(wh) if dictionary is None else dictionary
+    matched = match.match_names(clean.typed_input(raw), names, match.overrides_frame(wh.spark))
     return sinks.replace(matched, wh.path("silver.matched_input"))
 
 
 # --- gold ---------------------------------------------------------------------
 
-def build_similarity(wh: Warehouse, version: str, force: bool = False,
-                     n: int = config.TOP_N) -> BuildResult:
-    """Full score table (one partition per source) and the top-N fact."""
+def build_similarity(wh: Warehouse, version: str, force: bool = False, n: int = config.TOP_N,
+                     store_from: float | None = None) -> BuildResult:
+    """The top-N fact of the sources that the matched input refers to.
+
+    Refuses to run when the input matches no entry.  With ``store_from`` the
+    pairs that score at least that are stored too (0 stores all of them)."""
     if not force and wh.last_version("gold.fact_similarity") == version:
         return BuildResult("gold.fact_similarity", version, True, None)
-    spark = wh.spark
+    if sinks.current_path(wh.spark, wh.path("silver.matched_input")) is None:
+        raise sinks.EmptyResult("no input was matched yet: give the input folder once")
     fps = wh.read("silver.fingerprint")
-    requests = wh.read("bronze.benchmark").select(tables.bench_key("item_id").alias("mol_id"))
-    ids = lookup.requested_ids(requests)
-    n_ids = requests.count()
-    if n_ids == 0:
-        raise sinks.EmptyResult("no sources requested")
-    pairs = sim.score_pairs(lookup.found(fps, ids, n_ids), fps, n_sources=n_ids,
-                            candidate_partitions=target_parallelism(fps))
-    # One folder per source.  Cluster each source's rows into a few tasks
-    # first (source + salt), so the write makes ~rows/FULL_TABLE_FILE_ROWS
-    # files per source instead of one file per (task, source); the salt
-    # splits a source over several tasks, so no source is one task.
-    n_cands = fps.count()  # answered from Parquet footers
-    per_source = max(1, -(-n_cands // FULL_TABLE_FILE_ROWS))
-    salt = F.pmod(F.xxhash64("target_id"), F.lit(per_source))
-    clustered = pairs.repartition(max(1, n_ids * per_source), "source_id", salt)
-    sinks.replace(clustered, wh.path("gold.similarity_full"), partition_by=["source_id"],
-                  require_rows=True)
-    full = wh.read("gold.similarity_full")
-    rows = sinks.replace(sim.top_n(full, n), wh.path("gold.fact_similarity"), require_rows=True)
-    wh.record("gold.fact_similarity", version, rows)
+    sources = lookup.found(fps, lookup.requested_ids(wh.read("silver.matched_input"), "matched_id"))
+    if sources.isEmpty():
+        raise sinks.EmptyResult("the matched input refers to no entry with a fingerprint")
+    if store_from is not None:
+        sinks.replace(sim.score_pairs(sources, fps, least=store_from), wh.path("gold.similarity"))
+    rows = sinks.replace(sim.nearest(sources, fps, n), wh.path("gold.fact_similarity"), require_rows=True)
+    wh.record(("gold.fact_similarity", version, rows))
     return BuildResult("gold.fact_similarity", version, False, rows)
 
 
@@ -215,8 +215,7 @@ def build_dimension(wh: Warehouse, version: str, force: bool = False) -> BuildRe
                          "text", F.lit(None).cast("string").alias("lang"),
                          F.length("text").cast("bigint").alias("n_chars")))
         props = wh.read("bronze.labels").select(tables.doc_key("doc_id").alias("mol_id"), "quality", "toxic")
-        bound = bench.count() * (config.TOP_N + 1)
-        return mart.dimension(fact, molecules, props, bound)
+        return mart.dimension(fact, molecules, props)
     return wh.build("gold.dim_molecule", version, make, force=force, require_rows=True)
 
 
@@ -241,11 +240,13 @@ def run_all(wh: Warehouse, sf_dir: str, version: str, input_root: str | None = N
             force: bool = False) -> dict[str, BuildResult | int | list]:
     """The whole chain in dependency order (what a scheduler would order)."""
     out: dict = {"mirror": mirror_tables(wh, sf_dir, version, force)}
+    out["molecule"] = build_molecules(wh, version, force)
+    out["fingerprint"] = build_fingerprints(wh, version, force or not out["molecule"].skipped)
+    changed = not out["fingerprint"].skipped
     if input_root:
         out["ingest"] = ingest_input_files(wh, input_root)
         out["matched"] = build_matched_input(wh)
-    out["molecule"] = build_molecules(wh, version, force)
-    out["fingerprint"] = build_fingerprints(wh, version, force or not out["molecule"].skipped)
-    out["similarity"] = build_similarity(wh, version, force or not out["fingerprint"].skipped)
+        changed = changed or bool(out["ingest"])
+    out["similarity"] = build_similarity(wh, version, force or changed)
     out["dimension"] = build_dimension(wh, version, force or not out["similarity"].skipped)
     return out

@@ -33,14 +33,22 @@ def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a raw batch using the aliased header names."""
+    """Events as a raw batch using the aliased header names.
+
+    The event type decides how careless the row is: a name with an override, a
+    blank name, an unknown name, a number with a type suffix, other date forms.
+    """
     e = tables.read_table(spark, sf_dir, "events")
+    kind, number = F.col("event_type"), F.regexp_extract("props", "([0-9]+)", 1)
     return e.select(
         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("compound_id"),
-        _customer_ref("user_id").alias("compound_name"),
+        F.when(kind == "error", F.lit(" Paracetamol")).when(kind == "signup", F.lit("  "))
+        .when(kind == "click", F.concat(F.lit("unknown "), F.col("user_id").cast("string")))
+        .otherwise(_customer_ref("user_id")).alias("compound_name"),
         F.col("value").cast("string").alias("logp"),
-        F.regexp_extract("props", "([0-9]+)", 1).alias("IC50_nM"),
-        F.date_format("ts", "yyyy-MM-dd").alias("collection_date"),
+        F.when(kind == "click", F.concat(number, F.lit("f"))).otherwise(number).alias("IC50_nM"),
+        F.when(kind == "view", F.date_format("ts", "MM/dd/yyyy")).when(kind == "error", F.date_format("ts", "yyyyMMdd"))
+        .when(kind == "click", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("ts", "yyyy-M-d")).alias("collection_date"),
         F.col("event_type").alias("lab_id"),
         F.lit("batch_02_events.csv").alias("_source_file"),
     )
@@ -52,7 +60,38 @@ def raw_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      csv_ingest.align(events_batch(spark, sf_dir))])
 
 
+#: Entries of the name dictionary besides the customers: one name twice, so
+#: rows that match it fan out to two.
+EXTRA_NAMES = [("Acetaminophen", -1), ("ACETAMINOPHEN", -2)]
+
+
 def customer_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name dictionary: (name, matched_id)."""
     c = tables.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
-    return c.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("matched_id"))
+    return (c.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("long").alias("matched_id"))
+            .unionByName(spark.createDataFrame(EXTRA_NAMES, "name string, matched_id long")))
+
+
+def _numbered(prefix: str, key: str) -> F.Column:
+    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 9, "0"))
+
+
+def catalogue_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw batch that names catalogue entries: suppliers refer to benchmark
+    items (many to none that exists), nations to documents."""
+    s = tables.read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("compound_id"),
+        F.upper(_numbered(" item#", "s_suppkey")).alias(" compound_name"), F.col("s_acctbal").cast("string").alias("molecular_weight"),
+        F.lit("batch_03_suppliers.csv").alias("_source_file"))
+    n = tables.read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("compound_id"),
+        _numbered("Document#", "n_nationkey").alias("compound_name"), F.lit("batch_04_nations.csv").alias("_source_file"))
+    return csv_ingest.union_batches([csv_ingest.align(s), csv_ingest.align(n)])
+
+
+def catalogue_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the catalogue's entries: (name, matched_id = mol_id)."""
+    docs = tables.read_table(spark, sf_dir, "documents", ["doc_id"])
+    items = tables.read_table(spark, sf_dir, "benchmark", ["item_id"])
+    return (docs.select(_numbered("document#", "doc_id").alias("name"), tables.doc_key("doc_id").alias("matched_id"))
+            .unionByName(items.select(_numbered("item#", "item_id").alias("name"), tables.bench_key("item_id").alias("matched_id"))))

@@ -21,10 +21,9 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
-def log_rows(spark: SparkSession, table_name: str, version: str, row_count: int) -> DataFrame:
-    """A single new log row stamped with the current time."""
-    return spark.createDataFrame([(table_name, version, row_count)],
-                                 "table_name string, version string, row_count bigint").select(
+def log_rows(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
+    """New log rows (table, version, row count) stamped with the current time."""
+    return spark.createDataFrame(rows, "table_name string, version string, row_count bigint").select(
         "table_name", "version", F.current_timestamp().alias("loaded_at"), "row_count")
 
 

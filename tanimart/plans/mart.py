@@ -13,11 +13,6 @@ from tanimart import config
 from tanimart.functions import text as tx
 
 
-def broadcast_if(df: DataFrame, bound: int, limit: int = config.MAX_BROADCAST_IDS) -> DataFrame:
-    """Broadcast ``df`` when its proven row bound fits; else leave it to AQE."""
-    return F.broadcast(df) if bound <= limit else df
-
-
 def referenced_ids(fact: DataFrame) -> DataFrame:
     """Distinct ids appearing as source or target in the fact (set UNION).
 
@@ -28,28 +23,33 @@ def referenced_ids(fact: DataFrame) -> DataFrame:
             .distinct())
 
 
-def dimension(fact: DataFrame, molecules: DataFrame, properties: DataFrame,
-              id_bound: int) -> DataFrame:
+#: Columns of the warehouse's dimension that the given tables have no data
+#: for: always NULL, but there for a reader of the full schema.
+UNFILLED = {"molecular_species": "string", "cx_logp": "decimal(9,2)", "full_mwt": "decimal(9,2)",
+            "aromatic_rings": "int", "heavy_atoms": "int"}
+
+
+def dimension(fact: DataFrame, molecules: DataFrame, properties: DataFrame) -> DataFrame:
     """One row per id referenced by the fact, with its attributes.
 
     ids LEFT JOIN dictionary LEFT JOIN properties.  The dictionary and
-    properties are first cut down to the referenced ids by a semi join
-    against the (bounded) id set, so the per-row text work (word and line
-    counts) runs only for the few rows that are kept.
+    properties are first cut down to the referenced ids by a semi join, so the
+    per-row text work (word and line counts) runs only for the few rows that
+    are kept; AQE broadcasts the ids when they are small at run time.
     """
     ids = referenced_ids(fact)
-    ids_b = broadcast_if(ids, id_bound)
-    dictionary = (molecules.join(ids_b, "mol_id", "left_semi")
+    dictionary = (molecules.join(ids, "mol_id", "left_semi")
                   .select("mol_id", "kind", "lang", "n_chars",
                           tx.word_count("text").alias("n_words"),
                           tx.line_count("text").alias("n_lines")))
-    props = properties.join(ids_b, "mol_id", "left_semi")
+    props = properties.join(ids, "mol_id", "left_semi")
     return (ids.join(dictionary, "mol_id", "left")
             .join(props, "mol_id", "left")
             .select("mol_id", "kind", "lang", "n_chars",
                     F.col("n_words").cast("int").alias("n_words"),
                     F.col("n_lines").cast("int").alias("n_lines"),
-                    "quality", "toxic"))
+                    "quality", "toxic",
+                    *[F.lit(None).cast(kind).alias(name) for name, kind in UNFILLED.items()]))
 
 
 def _avg4(c) -> F.Column:

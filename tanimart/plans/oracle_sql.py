@@ -1,36 +1,43 @@
-"""DuckDB SQL equivalents of the registered queries.
+"""DuckDB SQL of the registered queries.
 
-Written independently of the Spark plans (e.g. intersection counts come from
-a join on bit positions instead of packed words, and the tie flag from the
-count of rows at the cutoff score), so a match is a real cross-check.
+The SQL takes other ways than the Spark plans where it can: intersections come
+from a join on bit positions, the tie flag from counts at the cutoff score,
+the neighbour chain from self-joins, grouping sets from separate GROUP BYs,
+and the name match from a union of its three outcomes.
 """
 
 from __future__ import annotations
 
-# Catalogue, feature bits and per-entry bit counts.
-_BITS = """
+_BITS = r"""
 molecules AS (
     SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, text FROM documents
     UNION ALL
     SELECT 'B' || CAST(item_id AS VARCHAR) AS mol_id, text FROM benchmark
 ),
 feats AS (
-    SELECT mol_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS feature
-    FROM molecules WHERE NULLIF(text, '') IS NOT NULL
+    SELECT mol_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS feature
+    FROM molecules
 ),
 bits AS (
     SELECT DISTINCT mol_id,
            CAST(CAST('0x' || substr(md5(feature), 1, 8) AS BIGINT) % 2048 AS INTEGER) AS bit
-    FROM feats WHERE feature <> ''
+    FROM feats
 ),
 pop AS (SELECT mol_id, count(*) AS n_bits FROM bits GROUP BY mol_id)
 """
 
-_PAIRS = _BITS + """,
-src AS (
-    SELECT mol_id, n_bits FROM pop
-    WHERE mol_id IN (SELECT 'B' || CAST(item_id AS VARCHAR) FROM benchmark)
-),
+_ITEMS = "SELECT 'B' || CAST(item_id AS VARCHAR) AS mol_id FROM benchmark"
+# Suppliers name the benchmark item of their number, nations the document.
+_MATCHED = """
+    SELECT 'B' || CAST(item_id AS VARCHAR) AS mol_id FROM benchmark WHERE item_id IN (SELECT s_suppkey FROM supplier)
+    UNION
+    SELECT 'D' || CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id IN (SELECT n_nationkey FROM nation)"""
+
+
+def _pairs(sources: str) -> str:
+    return _BITS + f""",
+wanted AS ({sources}),
+src AS (SELECT mol_id, n_bits FROM pop WHERE mol_id IN (SELECT mol_id FROM wanted)),
 inter AS (
     SELECT s.mol_id AS source_id, t.mol_id AS target_id, count(*) AS n_common
     FROM bits s JOIN bits t ON s.bit = t.bit
@@ -39,60 +46,53 @@ inter AS (
 ),
 pairs AS (
     SELECT s.mol_id AS source_id, c.mol_id AS target_id,
-           CASE WHEN s.n_bits + c.n_bits - coalesce(i.n_common, 0) = 0 THEN 0.0
-                ELSE CAST(coalesce(i.n_common, 0) AS DOUBLE)
-                     / CAST(s.n_bits + c.n_bits - coalesce(i.n_common, 0) AS DOUBLE)
-           END AS score
+           coalesce(i.n_common, 0)::DOUBLE / (s.n_bits + c.n_bits - coalesce(i.n_common, 0))::DOUBLE AS score
     FROM src s JOIN pop c ON s.mol_id <> c.mol_id
     LEFT JOIN inter i ON i.source_id = s.mol_id AND i.target_id = c.mol_id
 )
 """
 
-_FACT = _PAIRS + """,
+
+def _fact(sources: str) -> str:
+    """Candidates of one score are ordered by kind, then by number."""
+    return _pairs(sources) + """,
 ranked AS (
     SELECT source_id, target_id, score,
-           row_number() OVER (PARTITION BY source_id ORDER BY score DESC, target_id ASC) AS rn,
-           count(*) OVER (PARTITION BY source_id) AS n
+           row_number() OVER (PARTITION BY source_id
+                              ORDER BY score DESC, left(target_id, 1), CAST(substr(target_id, 2) AS BIGINT)) AS rn
     FROM pairs
 ),
-cut AS (SELECT source_id, score AS cut FROM ranked WHERE rn = least(10, n)),
-at_cut AS (
-    SELECT r.source_id,
-           count(*) FILTER (WHERE r.score = c.cut) AS total_at_cut,
-           count(*) FILTER (WHERE r.score = c.cut AND r.rn <= 10) AS kept_at_cut
-    FROM ranked r JOIN cut c USING (source_id)
-    GROUP BY r.source_id
+ends AS (SELECT source_id, min(score) AS cut FROM ranked WHERE rn <= 10 GROUP BY source_id),
+left_out AS (
+    SELECT r.source_id FROM ranked r JOIN ends e USING (source_id)
+    WHERE r.rn > 10 AND r.score = e.cut GROUP BY r.source_id
 ),
 fact AS (
     SELECT r.source_id, r.target_id, r.score, CAST(r.rn AS INTEGER) AS rank,
-           (r.score = c.cut AND a.total_at_cut > a.kept_at_cut) AS tied_at_cutoff
-    FROM ranked r JOIN cut c USING (source_id) JOIN at_cut a USING (source_id)
+           r.score = e.cut AND r.source_id IN (SELECT source_id FROM left_out) AS tied_at_cutoff
+    FROM ranked r JOIN ends e USING (source_id)
     WHERE r.rn <= 10
 )
 """
 
-ORACLE: dict[str, str] = {
-    "flagship_topk": "WITH " + _FACT + "SELECT * FROM fact",
-}
 
-_DIM = _FACT + """,
-ids AS (SELECT source_id AS mol_id FROM fact UNION SELECT target_id FROM fact),
-dictionary AS (
-    SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, 'document' AS kind, lang, n_chars, text
-    FROM documents
+_FACT = _fact(_MATCHED)
+
+_DIM = _FACT + r""",
+entries AS (
+    SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, 'document' AS kind, lang, n_chars, text FROM documents
     UNION ALL
-    SELECT 'B' || CAST(item_id AS VARCHAR), 'benchmark', CAST(NULL AS VARCHAR),
-           CAST(length(text) AS BIGINT), text
-    FROM benchmark
+    SELECT 'B' || CAST(item_id AS VARCHAR), 'benchmark', CAST(NULL AS VARCHAR), CAST(length(text) AS BIGINT), text FROM benchmark
 ),
-props AS (SELECT 'D' || CAST(doc_id AS VARCHAR) AS mol_id, quality, toxic FROM labels),
 dim AS (
-    SELECT i.mol_id, d.kind, d.lang, d.n_chars,
-           CAST(len(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS INTEGER) AS n_words,
-           CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS INTEGER) AS n_lines,
-           p.quality, p.toxic
-    FROM ids i LEFT JOIN dictionary d ON d.mol_id = i.mol_id
-    LEFT JOIN props p ON p.mol_id = i.mol_id
+    SELECT d.mol_id, d.kind, d.lang, d.n_chars,
+           CAST(len(regexp_extract_all(lower(d.text), '[\p{L}\p{N}]+')) AS INTEGER) AS n_words,
+           CAST(len(string_split(d.text, chr(10))) AS INTEGER) AS n_lines,
+           l.quality, l.toxic,
+           CAST(NULL AS VARCHAR) AS molecular_species, CAST(NULL AS DECIMAL(9,2)) AS cx_logp,
+           CAST(NULL AS DECIMAL(9,2)) AS full_mwt, CAST(NULL AS INTEGER) AS aromatic_rings, CAST(NULL AS INTEGER) AS heavy_atoms
+    FROM entries d LEFT JOIN labels l ON d.mol_id = 'D' || CAST(l.doc_id AS VARCHAR)
+    WHERE d.mol_id IN (SELECT source_id FROM fact) OR d.mol_id IN (SELECT target_id FROM fact)
 )
 """
 
@@ -105,36 +105,50 @@ slots AS (
 )
 """
 
-ORACLE.update({
+ORACLE: dict[str, str] = {
+    "flagship_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
+    "matched_topk": "WITH " + _FACT + "SELECT * FROM fact",
     "scoped_dimension": "WITH " + _DIM + "SELECT * FROM dim",
     "avg_per_source": "WITH " + _FACT + """
-        SELECT source_id, ROUND(CAST(AVG(score) AS DOUBLE), 4) AS avg_score
-        FROM fact GROUP BY source_id""",
-    "property_deviation": "WITH " + _DIM + """
-        SELECT f.source_id, s.n_chars AS source_n_chars,
-               ROUND(CAST(AVG(ABS(t.n_chars - s.n_chars)) AS DOUBLE), 4) AS avg_n_chars_deviation
-        FROM fact f JOIN dim s ON f.source_id = s.mol_id JOIN dim t ON f.target_id = t.mol_id
-        GROUP BY f.source_id, s.n_chars""",
+        SELECT source_id, round(sum(score) / count(*), 4) AS avg_score FROM fact GROUP BY 1""",
+    # sources of which every neighbour's quality (or their own) is unknown stay, with NULL
+    "property_deviation": "WITH " + _DIM + """,
+        own AS (SELECT mol_id, quality FROM dim),
+        gaps AS (
+            SELECT source_id, (SELECT quality FROM own WHERE mol_id = source_id) AS mine,
+                   (SELECT quality FROM own WHERE mol_id = target_id) AS theirs
+            FROM fact
+        )
+        SELECT source_id, any_value(mine) AS source_quality,
+               round(sum(greatest(mine, theirs) - least(mine, theirs)) FILTER (WHERE theirs IS NOT NULL AND mine IS NOT NULL)
+                     / nullif(count(*) FILTER (WHERE theirs IS NOT NULL AND mine IS NOT NULL), 0)::DOUBLE, 4) AS avg_quality_deviation
+        FROM gaps GROUP BY source_id""",
     "sample_sources": "WITH " + _FACT + _SLOTS + "SELECT slot, source_id FROM slots",
     "pivot_sources": "WITH " + _FACT + _SLOTS + """
         SELECT f.target_id,
                """ + ",\n               ".join(
-        f"MAX(f.score) FILTER (WHERE s.slot = {i}) AS source_{i:02d}" for i in range(1, 11)) + """
+        f"max(CASE WHEN s.slot = {i} THEN f.score END) AS source_{i:02d}" for i in range(1, 11)) + """
         FROM fact f JOIN slots s USING (source_id)
         GROUP BY f.target_id""",
     "neighbor_chain": "WITH " + _FACT + """
-        SELECT source_id, target_id, score,
-               LEAD(target_id) OVER (PARTITION BY source_id ORDER BY rank) AS next_target_id,
-               MAX(target_id) FILTER (WHERE rank = 2) OVER (PARTITION BY source_id) AS second_target_id
-        FROM fact""",
-    "grouped_average": "WITH " + _DIM + """
-        SELECT CASE WHEN GROUPING(f.source_id) = 1 THEN 'TOTAL' ELSE f.source_id END AS source_id,
-               CASE WHEN GROUPING(d.n_lines) = 1 THEN 'TOTAL' ELSE CAST(d.n_lines AS VARCHAR) END AS n_lines,
-               CASE WHEN GROUPING(d.n_words) = 1 THEN 'TOTAL' ELSE CAST(d.n_words AS VARCHAR) END AS n_words,
-               ROUND(CAST(AVG(f.score) AS DOUBLE), 4) AS avg_score
-        FROM fact f JOIN dim d ON d.mol_id = f.source_id
-        GROUP BY GROUPING SETS ((f.source_id), (d.n_lines, d.n_words), (d.n_words), ())""",
-})
+        SELECT here.source_id, here.target_id, here.score,
+               after.target_id AS next_target_id, two.target_id AS second_target_id
+        FROM fact here
+        LEFT JOIN fact after ON after.source_id = here.source_id AND after.rank = here.rank + 1
+        LEFT JOIN fact two ON two.source_id = here.source_id AND two.rank = 2""",
+    "grouped_average": "WITH " + _DIM + """,
+        scored AS (
+            SELECT f.source_id, f.score, CAST(d.quality AS VARCHAR) AS quality, CAST(d.toxic AS VARCHAR) AS toxic
+            FROM fact f JOIN dim d ON d.mol_id = f.source_id
+        )
+        SELECT source_id, 'TOTAL' AS quality, 'TOTAL' AS toxic, round(avg(score), 4) AS avg_score FROM scored GROUP BY source_id
+        UNION ALL
+        SELECT 'TOTAL', quality, toxic, round(avg(score), 4) FROM scored GROUP BY quality, toxic
+        UNION ALL
+        SELECT 'TOTAL', 'TOTAL', toxic, round(avg(score), 4) FROM scored GROUP BY toxic
+        UNION ALL
+        SELECT 'TOTAL', 'TOTAL', 'TOTAL', round(avg(score), 4) FROM scored""",
+}
 
 _RAW = """
 raw AS (
@@ -149,101 +163,121 @@ raw AS (
     FROM orders
     UNION ALL
     SELECT 'E' || CAST(event_id AS VARCHAR),
-           'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0'),
+           CASE event_type WHEN 'error' THEN ' Paracetamol' WHEN 'signup' THEN '  '
+                WHEN 'click' THEN 'unknown ' || CAST(user_id AS VARCHAR)
+                ELSE 'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') END,
            CAST(NULL AS VARCHAR),
            CAST(value AS VARCHAR),
-           regexp_extract(props, '([0-9]+)', 1),
-           strftime(ts, '%Y-%m-%d'),
+           regexp_extract(props, '([0-9]+)', 1) || CASE WHEN event_type = 'click' THEN 'f' ELSE '' END,
+           CASE event_type WHEN 'view' THEN strftime(ts, '%m/%d/%Y') WHEN 'error' THEN strftime(ts, '%Y%m%d')
+                WHEN 'click' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%-m-%-d') END,
            event_type,
            'batch_02_events.csv'
     FROM events
 ),
+numbers AS (
+    SELECT *, TRY_CAST(CASE WHEN regexp_matches(molecular_weight, '[a-zA-DF-Z]|^$') THEN NULL ELSE molecular_weight END AS DOUBLE) AS mw,
+           TRY_CAST(CASE WHEN regexp_matches(ic50_nm, '[a-zA-DF-Z]|^$') THEN NULL ELSE ic50_nm END AS DOUBLE) AS ic
+    FROM raw WHERE trim(compound_name) <> ''
+),
 typed AS (
-    SELECT trim(compound_id) AS compound_id,
-           trim(compound_name) AS compound_name,
-           CASE WHEN TRY_CAST(molecular_weight AS DOUBLE) > 0 THEN TRY_CAST(molecular_weight AS DOUBLE) END AS molecular_weight,
-           TRY_CAST(logp AS DOUBLE) AS logp,
-           CASE WHEN TRY_CAST(ic50_nm AS DOUBLE) > 0 THEN TRY_CAST(ic50_nm AS DOUBLE) END AS ic50_nm,
-           CAST(TRY_STRPTIME(trim(assay_date), '%Y-%m-%d') AS DATE) AS assay_date,
-           trim(lab_id) AS lab_id,
-           _source_file
-    FROM raw
-    WHERE trim(compound_name) <> ''
+    SELECT trim(compound_id) AS compound_id, trim(compound_name) AS compound_name,
+           nullif(greatest(mw, 0), 0) AS molecular_weight, TRY_CAST(logp AS DOUBLE) AS logp, nullif(greatest(ic, 0), 0) AS ic50_nm,
+           CAST(coalesce(TRY_STRPTIME(assay_date, '%Y-%m-%d'), TRY_STRPTIME(assay_date, '%Y-%m-%d %H:%M:%S'),
+                         TRY_STRPTIME(assay_date, '%m/%d/%Y'), TRY_STRPTIME(assay_date, '%Y%m%d')) AS DATE) AS assay_date,
+           trim(lab_id) AS lab_id, _source_file
+    FROM numbers
+),
+names AS (
+    SELECT lower(c_name) AS name, CAST(c_custkey AS BIGINT) AS id FROM customer
+    UNION ALL SELECT 'acetaminophen', -1 UNION ALL SELECT 'acetaminophen', -2
 ),
-ov(override_from, override_to) AS (VALUES ('paracetamol', 'acetaminophen')),
 matched AS (
-    SELECT t.*, c.c_custkey AS matched_id
-    FROM typed t
-    LEFT JOIN ov ON lower(trim(t.compound_name)) = lower(trim(ov.override_from))
-    LEFT JOIN customer c ON lower(coalesce(ov.override_to, trim(t.compound_name))) = lower(c.c_name)
+    SELECT t.*, n.id AS matched_id FROM typed t JOIN names n ON n.name = 'acetaminophen'
+    WHERE lower(t.compound_name) = 'paracetamol'
+    UNION ALL
+    SELECT t.*, n.id FROM typed t JOIN names n ON n.name = lower(t.compound_name)
+    WHERE lower(t.compound_name) <> 'paracetamol'
+    UNION ALL
+    SELECT t.*, CAST(NULL AS BIGINT) FROM typed t
+    WHERE lower(t.compound_name) <> 'paracetamol' AND lower(t.compound_name) NOT IN (SELECT name FROM names)
 )
 """
 
-_LABELLED = """
-labelled AS (
-    SELECT d.doc_id, l.quality, l.toxic,
-           CAST(len(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS INTEGER) AS n_words
-    FROM documents d JOIN labels l ON l.doc_id = d.doc_id
-    WHERE NULLIF(d.text, '') IS NOT NULL
+_PAYLOADS = r"""
+payloads AS (
+    SELECT d.doc_id, l.quality, l.toxic, d.text, regexp_extract(d.text, '[^\p{L} \n]+') AS payload
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 )
 """
 
-_REQUESTED = "SELECT DISTINCT 'B' || CAST(item_id AS VARCHAR) AS mol_id FROM benchmark"
+_REQUESTED = _ITEMS + " UNION SELECT 'D' || CAST(c_custkey + c_custkey AS VARCHAR) FROM customer"
+
+
+def _newest(keys: str, order: str) -> str:
+    return f"""
+        SELECT table_name, version, loaded_at, row_count FROM (
+            SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS version, ts AS loaded_at, event_id AS row_count,
+                   row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn
+            FROM events) WHERE rn = 1"""
+
 
 ORACLE.update({
     "scan_project": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
-    "blank_to_null": """
-        SELECT doc_id, NULLIF(text, '') AS text, NULLIF(lang, '') AS lang,
-               NULLIF(source, '') AS source, n_chars
+    "blank_to_null": r"""
+        SELECT doc_id, NULLIF(text, '') AS text, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source, n_chars,
+               NULLIF(regexp_extract(text, '[0-9]+'), '') AS first_number,
+               NULLIF(coalesce(string_split(text, chr(10))[2], ''), '') AS second_line
         FROM documents""",
     "schema_align": "WITH " + _RAW + "SELECT * FROM raw",
     "typed_clean": "WITH " + _RAW + "SELECT * FROM typed",
     "name_match": "WITH " + _RAW + "SELECT * FROM matched",
-    "match_audit": "WITH " + _RAW + """,
-        c AS (
-            SELECT (SELECT count(*) FROM raw) AS total_rows,
-                   (SELECT count(*) FROM raw WHERE trim(compound_name) <> '') AS kept_rows,
-                   (SELECT count(*) FROM matched) AS output_rows,
-                   (SELECT count(*) FROM matched WHERE matched_id IS NULL) AS unmatched_rows
-        )
-        SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
-               output_rows, unmatched_rows, output_rows - kept_rows AS fanout_rows
-        FROM c""",
-    "validate_split": "WITH " + _LABELLED + """
-        SELECT doc_id, quality, toxic, n_words FROM labelled WHERE n_words >= 3""",
-    "validation_counts": "WITH " + _LABELLED + """
-        SELECT count(*) FILTER (WHERE n_words >= 3) AS valid_rows,
-               count(*) FILTER (WHERE n_words < 3) AS rejected_rows
-        FROM labelled""",
+    "match_audit": "WITH " + _RAW + """
+        SELECT (SELECT count(*) FROM raw) AS total_rows, (SELECT count(*) FROM typed) AS kept_rows,
+               (SELECT count(*) FROM raw) - (SELECT count(*) FROM typed) AS dropped_rows,
+               count(*) AS output_rows, count(*) - count(matched_id) AS unmatched_rows,
+               count(*) - (SELECT count(*) FROM typed) AS fanout_rows
+        FROM matched""",
+    "validate_split": "WITH " + _PAYLOADS + r"""
+        SELECT doc_id, quality, toxic, CAST(len(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS INTEGER) AS n_words
+        FROM payloads WHERE trim(text) <> '' AND regexp_matches(text, '[\p{L}\p{N}]')""",
+    "validate_payload": "WITH " + _PAYLOADS + r"""
+        SELECT doc_id, payload FROM payloads WHERE trim(payload) <> '' AND NOT regexp_matches(payload, '[\p{L}\p{N}]')""",
+    "validation_counts": "WITH " + _PAYLOADS + r"""
+        SELECT count(*) FILTER (WHERE regexp_matches(payload, '[\p{L}\p{N}]')) AS valid_rows,
+               count(*) FILTER (WHERE trim(payload) <> '' AND NOT regexp_matches(payload, '[\p{L}\p{N}]')) AS rejected_rows
+        FROM payloads""",
     "keyset_page": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
-        FROM orders ORDER BY o_orderkey LIMIT 50000""",
+        FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 500""",
     "fingerprint_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
     "fingerprint_roundtrip": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
+    "fingerprint_counts": "WITH " + _PAYLOADS + r"""
+        SELECT count(*) FILTER (WHERE regexp_matches(payload, '[\p{L}\p{N}]')) AS succeeded_rows,
+               count(*) FILTER (WHERE payload IS NULL OR NOT regexp_matches(payload, '[\p{L}\p{N}]')) AS failed_rows
+        FROM payloads""",
+    # a word of 64 bits is the sum of its bits' weights; 32 words of 16 hex digits are the 256 bytes
+    "fingerprint_base64": "WITH " + _BITS + """,
+        words AS (
+            SELECT p.mol_id, p.n_bits, g.w, coalesce(sum(CASE WHEN b.bit IS NOT NULL THEN CAST(power(2, 63 - b.bit % 64) AS HUGEINT) END), 0) AS word
+            FROM pop p CROSS JOIN (SELECT unnest(range(32)) AS w) g
+            LEFT JOIN bits b ON b.mol_id = p.mol_id AND b.bit // 64 = g.w
+            GROUP BY p.mol_id, p.n_bits, g.w
+        )
+        SELECT mol_id, base64(unhex(string_agg(lpad(to_hex(CAST(word AS UBIGINT)), 16, '0'), '' ORDER BY w))) AS b64, CAST(n_bits AS INTEGER) AS n_bits
+        FROM words GROUP BY mol_id, n_bits""",
+    "key_pattern": """
+        SELECT page_id, regexp_full_match(url, '.*/en/[0-9]+\\.html') AS matches,
+               TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number
+        FROM pages""",
     "source_lookup": "WITH " + _BITS + f"""
         SELECT mol_id, CAST(n_bits AS INTEGER) AS n_bits FROM pop
         WHERE mol_id IN ({_REQUESTED})""",
     "source_missing": "WITH " + _BITS + f"""
         SELECT mol_id FROM ({_REQUESTED}) r
-        WHERE mol_id NOT IN (SELECT mol_id FROM pop)""",
-    "similarity_all_pairs": "WITH " + _PAIRS + "SELECT * FROM pairs",
-    "load_log_current": """
-        SELECT table_name, version, loaded_at, row_count FROM (
-            SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS version,
-                   ts AS loaded_at, event_id AS row_count,
-                   row_number() OVER (PARTITION BY event_type, user_id
-                                      ORDER BY ts DESC, event_id DESC) AS rn
-            FROM events) WHERE rn = 1""",
-    "load_log_latest": """
-        SELECT table_name, version, loaded_at, row_count FROM (
-            SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS version,
-                   ts AS loaded_at, event_id AS row_count,
-                   row_number() OVER (PARTITION BY event_type
-                                      ORDER BY ts DESC, CAST(user_id AS VARCHAR) DESC, event_id DESC) AS rn
-            FROM events) WHERE rn = 1""",
+        EXCEPT SELECT mol_id FROM pop""",
+    "similarity_all_pairs": "WITH " + _pairs(_ITEMS) + "SELECT * FROM pairs",
+    "similarity_above": "WITH " + _pairs(_ITEMS) + "SELECT source_id, target_id, CAST(score AS FLOAT) AS score FROM pairs WHERE score >= 0.2",
+    "load_log_current": _newest("event_type, user_id", "ts DESC, event_id DESC"),
+    "load_log_latest": _newest("event_type", "ts DESC, CAST(user_id AS VARCHAR) DESC, event_id DESC"),
 })
-
-ORACLE["fingerprint_counts"] = "WITH " + _BITS + """
-    SELECT (SELECT count(*) FROM pop) AS succeeded_rows,
-           (SELECT count(*) FROM molecules WHERE NULLIF(text, '') IS NOT NULL) - (SELECT count(*) FROM pop)
-               AS failed_rows"""

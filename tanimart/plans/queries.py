@@ -9,16 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tanimart import config
 from tanimart.functions import fingerprint as fpx
 from tanimart.functions import text as tx
 from tanimart.operators import clean, lookup, match, paging, validate
 from tanimart.operators import fingerprints as fpo
-from tanimart.plans import inputs, loadlog, mart
+from tanimart.operators import similarity as sim
+from tanimart.plans import build, inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
 from tanimart.session import materialize
-from tanimart.sources import tables
+from tanimart.sources import csv_ingest, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,63 +35,63 @@ def flagship_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simplan.fact_similarity(spark, sf_dir)
 
 
-# --- the mart ---------------------------------------------------------------
+@register
+def matched_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw batch -> name match -> distinct matched ids -> their top-10."""
+    return simplan.matched_fact(spark, sf_dir)
+
 
-def _fact_and_bound(spark: SparkSession, sf_dir: str):
-    """The fact, computed once and checkpointed, with a bound on its ids.
+# --- the mart (over the matched input's fact) ---------------------------------
 
-    The views read the fact more than once (and the dimension reads it
-    again), so it is materialised in the session's checkpoint folder: the
-    similarity job runs once and the lineage is cut.  The fact is bounded
-    (sources x TOP_N rows).
-    """
-    fact = materialize(simplan.fact_similarity(spark, sf_dir))
-    n_sources = simplan.source_request_bound(spark, sf_dir)
-    return fact, n_sources * (config.TOP_N + 1)
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matched input's fact, computed once (the views read it repeatedly)."""
+    return materialize(simplan.matched_fact(spark, sf_dir))
 
 
-def _dim(spark: SparkSession, sf_dir: str, fact: DataFrame, bound: int) -> DataFrame:
-    return mart.dimension(fact, tables.molecules(spark, sf_dir), tables.properties(spark, sf_dir), bound)
+def _dim(spark: SparkSession, sf_dir: str, fact: DataFrame) -> DataFrame:
+    return mart.dimension(fact, tables.molecules(spark, sf_dir), tables.properties(spark, sf_dir))
 
 
 @register
 def scoped_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension rows for every id the fact references."""
-    fact, bound = _fact_and_bound(spark, sf_dir)
-    return _dim(spark, sf_dir, fact, bound)
+    return _dim(spark, sf_dir, _fact(spark, sf_dir))
 
 
 @register
 def avg_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.average_per_source(simplan.fact_similarity(spark, sf_dir))
+    return mart.average_per_source(simplan.matched_fact(spark, sf_dir))
 
 
 @register
 def property_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, bound = _fact_and_bound(spark, sf_dir)
-    return mart.property_deviation(fact, _dim(spark, sf_dir, fact, bound), "n_chars")
+    fact = _fact(spark, sf_dir)
+    return mart.property_deviation(fact, _dim(spark, sf_dir, fact), "quality")
 
 
 @register
 def sample_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.sampled_sources(simplan.fact_similarity(spark, sf_dir))
+    """Ten sources of the fact.  Every source with a fingerprint has
+    candidates, so the found sources are the fact's, and nothing is scored."""
+    mols = lookup.found(simplan.valid_molecules(spark, sf_dir), simplan.matched_sources(spark, sf_dir))
+    return mart.sampled_sources(mols.select(F.col("mol_id").alias("source_id")))
 
 
 @register
 def pivot_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, _ = _fact_and_bound(spark, sf_dir)  # read twice: picks, then cells
-    return mart.pivot_sources(fact)
+    return mart.pivot_sources(_fact(spark, sf_dir))
 
 
 @register
 def neighbor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.neighbor_chain(simplan.fact_similarity(spark, sf_dir))
+    return mart.neighbor_chain(simplan.matched_fact(spark, sf_dir))
 
 
 @register
 def grouped_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, bound = _fact_and_bound(spark, sf_dir)
-    return mart.grouped_average(fact, _dim(spark, sf_dir, fact, bound))
+    """Grains over labels that many sources lack: genuine NULLs beside TOTAL."""
+    fact = _fact(spark, sf_dir)
+    return mart.grouped_average(fact, _dim(spark, sf_dir, fact), ("quality", "toxic"))
 
 
 # --- scans, cleaning, matching ---------------------------------------------
@@ -104,8 +105,11 @@ def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every string column of documents with '' turned into NULL."""
-    return tables.blank_strings_to_null(tables.read_table(spark, sf_dir, "documents"))
+    """Every string column of documents, and the first number and the second
+    line of the text ('' where there is none), with '' turned into NULL."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return tables.blank_strings_to_null(docs.withColumn("first_number", F.regexp_extract("text", "[0-9]+", 0))
+                                        .withColumn("second_line", F.regexp_extract("text", "^[^\n]*\n([^\n]*)", 1)))
 
 
 @register
@@ -135,32 +139,43 @@ def name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def match_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the match load: total, kept, dropped, output, unmatched, fan-out."""
-    return match.match_audit(inputs.raw_input(spark, sf_dir), _matched(spark, sf_dir))
+    return match.match_audit(inputs.raw_input(spark, sf_dir), inputs.customer_dictionary(spark, sf_dir),
+                             match.overrides_frame(spark))
 
 
-def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels, and as payload the text's first run of
+    anything but letters and spaces: blank, a number, or marks without a
+    feature."""
     docs = tables.read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = tables.read_table(spark, sf_dir, "labels")
-    return docs.join(labels, "doc_id")
+    return docs.join(labels, "doc_id", "left").withColumn("payload", F.regexp_extract("text", r"[^\p{L} \n]+", 0))
 
 
 @register
 def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents whose text passes the validity rule."""
-    valid, _ = validate.split(_labelled_documents(spark, sf_dir))
+    """All documents whose text passes the validity rule."""
+    valid, _ = validate.split(_payloads(spark, sf_dir))
     return valid.select("doc_id", "quality", "toxic",
                         tx.word_count("text").cast("int").alias("n_words"))
 
 
+@register
+def validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected payloads: not blank, but without any feature."""
+    _, rejected = validate.split(_payloads(spark, sf_dir), text_col="payload")
+    return rejected.select("doc_id", "payload")
+
+
 @register
 def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.counts(_labelled_documents(spark, sf_dir))
+    return validate.counts(_payloads(spark, sf_dir), text_col="payload")
 
 
 @register
 def keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First page (reference batch size) of orders in key order."""
-    return paging.keyset_page(scan_project(spark, sf_dir), "o_orderkey")
+    """The page of 500 orders after key 700, in key order."""
+    return paging.keyset_page(scan_project(spark, sf_dir), "o_orderkey", after=700, size=500)
 
 
 # --- fingerprints and sources ------------------------------------------------
@@ -183,30 +198,57 @@ def fingerprint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries fingerprinted vs entries without any feature."""
-    mols = simplan.valid_molecules(spark, sf_dir).select("mol_id", "text")
-    return fpo.counts(mols, fpo.fingerprints(mols))
+    mols = _payloads(spark, sf_dir).select("payload")
+    return fpo.counts(mols, "payload")
 
 
 @register
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested sources that have a fingerprint, with their bit counts."""
-    fps = simplan.catalogue_fingerprints(spark, sf_dir)
-    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    return lookup.found(fps, ids, simplan.source_request_bound(spark, sf_dir)).select("mol_id", "n_bits")
+    """Requested sources that have a fingerprint, with their bit counts.
+
+    The ids cut the catalogue before it is tokenised."""
+    mols = lookup.found(simplan.valid_molecules(spark, sf_dir).select("mol_id", "text"), _requests(spark, sf_dir))
+    return fpo.fingerprints(mols).select("mol_id", "n_bits")
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested ids: all benchmark items, and documents of twice a customer's
+    number, of which many do not exist."""
+    c = tables.read_table(spark, sf_dir, "customer", ["c_custkey"]).withColumn("twice", F.col("c_custkey") * 2)
+    return lookup.requested_ids(tables.source_requests(spark, sf_dir).unionByName(c.select(tables.doc_key("twice").alias("mol_id"))))
 
 
 @register
 def source_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested sources without a fingerprint."""
-    fps = simplan.catalogue_fingerprints(spark, sf_dir)
-    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    return lookup.missing(ids, fps)
+    """Requested sources without a fingerprint: those not among the valid entries."""
+    return lookup.missing(_requests(spark, sf_dir), simplan.valid_molecules(spark, sf_dir))
 
 
 @register
 def similarity_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full score table: every source against every other entry."""
-    return simplan.all_pairs(spark, sf_dir)
+    return simplan.scored(spark, sf_dir)
+
+
+@register
+def similarity_above(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that score at least 0.2, as float32: the score table as jobs write it."""
+    return sim.narrow_scores(simplan.scored(spark, sf_dir, build.LEAST_STORED))
+
+
+@register
+def fingerprint_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints as base64 text, and back to the bit count."""
+    text = simplan.catalogue_fingerprints(spark, sf_dir).select("mol_id", fpx.to_base64("fp").alias("b64"))
+    return text.select("mol_id", "b64", fpx.popcount_of(fpx.from_base64("b64")).alias("n_bits"))
+
+
+@register
+def key_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page urls as object keys: which match a whole-key pattern, and the number in them."""
+    pages = tables.read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    return pages.select("page_id", csv_ingest.key_matches("url", r".*/en/[0-9]+\.html$").alias("matches"),
+                        F.regexp_extract("url", "/([0-9]+)", 1).cast("long").alias("number"))
 
 
 # --- load log -----------------------------------------------------------------

@@ -1,27 +1,25 @@
 """The similarity chain: catalogue -> fingerprints -> scores -> top N.
 
-Each function returns a lazy DataFrame.  Nothing is collected; the only
-driver-side value is the row count of the (small) requested-id set, which
-is the size check for the broadcast of the sources.
+Sources are the distinct catalogue ids that the matched input refers to; the
+registered flagship takes every benchmark item as its input instead.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tanimart import config
+from tanimart.operators import clean, lookup, match, validate
 from tanimart.operators import fingerprints as fpo
-from tanimart.operators import lookup
 from tanimart.operators import similarity as sim
-from tanimart.operators.partitioning import target_parallelism
+from tanimart.plans import inputs
+from tanimart.session import materialize
 from tanimart.sources import tables
 
 
 def valid_molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue entries with a non-blank structure text."""
-    mols = tables.molecules(spark, sf_dir, spread=True)
-    return mols.filter(F.nullif(F.col("text"), F.lit("")).isNotNull())
+    """Catalogue entries whose structure text is valid."""
+    return validate.split(tables.molecules(spark, sf_dir))[0]
 
 
 def catalogue_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,26 +27,30 @@ def catalogue_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpo.fingerprints(valid_molecules(spark, sf_dir).select("mol_id", "text"))
 
 
-def all_pairs(spark: SparkSession, sf_dir: str, fps: DataFrame | None = None) -> DataFrame:
-    """Every found source scored against every other catalogue entry."""
-    fps = fps if fps is not None else catalogue_fingerprints(spark, sf_dir)
-    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    n_ids = source_request_bound(spark, sf_dir)  # size check of the broadcast side
-    sources = lookup.found(fps, ids, n_ids)
-    return sim.score_pairs(sources, fps, n_sources=n_ids, exclude_self=True,
-                           candidate_partitions=target_parallelism(fps))
+def matched_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct catalogue ids that the raw input's names match."""
+    typed = clean.typed_input(inputs.catalogue_batch(spark, sf_dir))
+    matched = match.match_names(typed, inputs.catalogue_dictionary(spark, sf_dir), match.overrides_frame(spark))
+    return lookup.requested_ids(matched, "matched_id")
+
+
+def _nearest(spark: SparkSession, sf_dir: str, ids: DataFrame, n: int) -> DataFrame:
+    fps = materialize(catalogue_fingerprints(spark, sf_dir))  # hashed once, read by both passes
+    return sim.nearest(lookup.found(fps, ids), fps, n)
 
 
-def source_request_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on the number of sources: the row count of the request table.
+def fact_similarity(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> DataFrame:
+    """The fact for all benchmark items: top ``n`` with rank and tie flag."""
+    return _nearest(spark, sf_dir, lookup.requested_ids(tables.source_requests(spark, sf_dir)), n)
 
-    Distinct found sources can only be fewer.  A bare row count is answered
-    from Parquet footers.
-    """
-    return tables.read_table(spark, sf_dir, "benchmark", ["item_id"]).count()
 
+def matched_fact(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> DataFrame:
+    """The fact for the sources of the matched input."""
+    return _nearest(spark, sf_dir, matched_sources(spark, sf_dir), n)
 
-def fact_similarity(spark: SparkSession, sf_dir: str, n: int = config.TOP_N,
-                    fps: DataFrame | None = None) -> DataFrame:
-    """The fact: top ``n`` neighbours per source with rank and tie flag."""
-    return sim.top_n(all_pairs(spark, sf_dir, fps), n)
+
+def scored(spark: SparkSession, sf_dir: str, least: float = 0.0) -> DataFrame:
+    """Every benchmark item's pairs that score at least ``least``."""
+    fps = materialize(catalogue_fingerprints(spark, sf_dir))
+    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
+    return sim.score_pairs(lookup.found(fps, ids), fps, least=least)

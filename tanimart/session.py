@@ -38,12 +38,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or one already set on the
-    context) is used as is.  Only when neither exists -- local tests -- is a
-    fresh scratch folder set.
+    context) is used as is.  A scratch folder is set only on a local master
+    (tests, bench); a cluster without the setting is an error, since its
+    executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tanimart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -53,13 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df):
     """Compute ``df`` once into the checkpoint folder and cut its lineage.
 
-    Uses the session's ``spark.checkpoint.dir`` (a scratch folder only when
-    none is set).  Where checkpointing is unavailable (e.g. a remote session
-    without a context), the lazy plan is returned unchanged: same results,
-    recomputed instead of re-read.
+    A task that fails fails the call.
     """
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 - no context / no checkpoint support
-        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import csv
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,19 +22,24 @@ class HeaderError(ValueError):
     """A batch header names a column the input schema does not have."""
 
 
-def resolve_columns(header: list[str], columns: list[str] | None = None,
-                    aliases: dict[str, str] | None = None) -> list[str]:
-    """Map raw header names to canonical names; raise on unknown ones."""
+def header_columns(header: list[str], columns: list[str] | None = None,
+                   aliases: dict[str, str] | None = None) -> list[tuple[int, str]]:
+    """(position, canonical column) of every field of a header.
+
+    A lookup from the spelling without outer spaces to the canonical column
+    holds the columns themselves and the aliases; a spelling that it does not
+    know, or a column that two fields lead to, is an error."""
     columns = config.INPUT_COLUMNS if columns is None else columns
-    aliases = config.INPUT_COLUMN_ALIASES if aliases is None else aliases
-    resolved = [aliases.get(h.strip(), h.strip()) for h in header]
-    unknown = sorted(set(resolved) - set(columns))
-    if unknown:
-        raise HeaderError(f"unknown column(s) {unknown} in header {header}")
-    dupes = sorted({c for c in resolved if resolved.count(c) > 1})
-    if dupes:
-        raise HeaderError(f"column(s) {dupes} appear twice in header {header}")
-    return resolved
+    lookup = {c: c for c in columns} | dict(config.INPUT_COLUMN_ALIASES if aliases is None else aliases)
+    pairs: list[tuple[int, str]] = []
+    for at, spelling in enumerate(header):
+        column = lookup.get(spelling.strip())
+        if column not in columns:
+            raise HeaderError(f"field {at + 1} of {header} is no input column: {spelling!r}")
+        if any(column == c for _, c in pairs):
+            raise HeaderError(f"two fields of {header} are {column}")
+        pairs.append((at, column))
+    return pairs
 
 
 def align(df: DataFrame, columns: list[str] | None = None,
@@ -44,14 +49,10 @@ def align(df: DataFrame, columns: list[str] | None = None,
     Provenance columns (names starting with '_') pass through unchanged.
     """
     columns = config.INPUT_COLUMNS if columns is None else columns
-    data_cols = [c for c in df.columns if not c.startswith("_")]
-    meta_cols = [c for c in df.columns if c.startswith("_")]
-    resolved = resolve_columns(data_cols, columns, aliases)
-    renamed = df.select(*[F.col(f"`{c}`").alias(r) for c, r in zip(data_cols, resolved)], *meta_cols)
-    return renamed.select(*[
-        (F.col(c).cast("string") if c in resolved else F.lit(None).cast("string")).alias(c)
-        for c in columns
-    ] + meta_cols)
+    own = [c for c in df.columns if not c.startswith("_")]
+    meta = [c for c in df.columns if c.startswith("_")]
+    source = {column: F.col(f"`{own[at]}`") for at, column in header_columns(own, columns, aliases)}
+    return df.select(*[source.get(c, F.lit(None)).cast("string").alias(c) for c in columns], *meta)
 
 
 def union_batches(batches: list[DataFrame]) -> DataFrame:
@@ -76,7 +77,7 @@ def list_batch_files(spark: SparkSession, root: str,
     if not fs.exists(path):
         return []
     it = fs.listFiles(path, True)
-    rx = re.compile(pattern)
+    rx = re.compile(pattern)  # as key_matches does for a column
     root_uri = fs.makeQualified(path).toString().rstrip("/")
     out = []
     while it.hasNext():
@@ -87,28 +88,63 @@ def list_batch_files(spark: SparkSession, root: str,
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """First CSV record of one file (read through the cluster file system)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        raise HeaderError(f"{path} is empty")
-    return next(csv.reader([first[0][0]]))
+def key_matches(key: str, pattern: str = config.INPUT_KEY_PATTERN) -> Column:
+    """Whether the whole key in a column matches ``pattern``."""
+    return F.col(key).rlike(f"^(?:{pattern})$")
 
 
-def read_batch(spark: SparkSession, path: str, columns: list[str] | None = None,
-               aliases: dict[str, str] | None = None) -> DataFrame:
-    """One batch file as canonical all-text columns plus ``_source_file``.
+def file_key(spark: SparkSession, path: str) -> str:
+    """A file's name as ``_source_file`` holds it (an encoded URI)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub("^file:/+", "file:/", fs.makeQualified(p).toUri().toString())
+
+
+def _source_key() -> Column:
+    """``_metadata.file_path`` in the spelling of ``file_key``."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+
+
+def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """First record of every file, by file key, in one job."""
+    lines = spark.read.text(paths).select(_source_key().alias("key"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = (lines.filter("at = 0").withColumn("nth", F.monotonically_increasing_id())
+             .groupBy("key").agg(F.min_by("value", "nth").alias("header")).collect())
+    headers = {r.key: next(csv.reader([r.header])) for r in first}
+    empty = [p for p in paths if file_key(spark, p) not in headers]
+    if empty:
+        raise HeaderError(f"empty file(s): {empty}")
+    return headers
 
-    The header is resolved before any data is read, so a bad header fails
-    the load before anything is written.  Quoted fields and embedded
-    newlines are handled; a ragged row fails the read (FAILFAST).
+
+def read_batches(spark: SparkSession, paths: list[str], columns: list[str] | None = None,
+                 aliases: dict[str, str] | None = None, multi_line: bool = True) -> DataFrame:
+    """Batch files as canonical all-text columns plus ``_source_file``.
+
+    All headers are resolved before any data is read, so a bad one fails the
+    load before anything is written.  Files with one header are one read, so
+    the number of reads is that of different headers, not of files.  Quoted
+    fields are handled; a ragged row fails the read (FAILFAST).  With
+    ``multi_line`` quoted fields may span lines and a file is one task; without
+    it large files are split.
     """
-    header = read_header(spark, path)
-    resolved = resolve_columns(header, columns, aliases)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
-    df = (spark.read.schema(schema)
-          .option("header", True).option("escape", '"').option("multiLine", True)
-          .option("mode", "FAILFAST").option("enforceSchema", True)
-          .csv(path))
-    df = df.toDF(*resolved).withColumn("_source_file", F.col("_metadata.file_path"))
-    return align(df, columns, aliases={})
+    alike: dict[tuple, list[str]] = {}
+    headers = read_headers(spark, paths)
+    for p in paths:
+        alike.setdefault(tuple(headers[file_key(spark, p)]), []).append(p)
+    reads = []
+    for header, files in alike.items():
+        pairs = header_columns(list(header), columns, aliases)
+        schema = T.StructType([T.StructField(c, T.StringType()) for _, c in pairs])
+        df = (spark.read.schema(schema)
+              .option("header", True).option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "FAILFAST").option("enforceSchema", True)
+              .csv(files))
+        reads.append(align(df.withColumn("_source_file", _source_key()), columns, aliases={}))
+    return union_batches(reads)
+
+
+def read_batch(spark: SparkSession, path: str, columns: list[str] | None = None,
+               aliases: dict[str, str] | None = None, multi_line: bool = True) -> DataFrame:
+    """One batch file (see ``read_batches``)."""
+    return read_batches(spark, [path], columns, aliases, multi_line)

@@ -29,10 +29,12 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+    # FileContext renames over an existing file in one step, so a reader finds
+    # the old pointer or the new one
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:

@@ -43,8 +43,7 @@ def start(spark: SparkSession, input_root: str, output_path: str, checkpoint: st
         if not keep:
             return
         session = batch.sparkSession
-        frames = [csv_ingest.read_batch(session, f) for f in keep]
-        out = (csv_ingest.union_batches(frames)
+        out = (csv_ingest.read_batches(session, keep)
                .withColumn("_ingested_at", F.current_timestamp())
                .withColumn("_epoch", F.lit(epoch_id)))
         sinks.overwrite_partitions(out, output_path, ["_epoch"])

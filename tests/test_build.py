@@ -48,19 +48,22 @@ def test_full_chain_and_empty_fact_guard(spark, scratch):
     wh = build.Warehouse(spark, f"{scratch}/wh")
     write(f"{scratch}/in/batch_01.csv",
           "compound_id,compound_name,IC50_nM\n"
-          "1,CUSTOMER#000000001 ,5\n2,  ,7\n3,paracetamol,-1\n")
+          "1,ITEM#000000001 ,5\n2,  ,7\n3,paracetamol,-1\n4,document#000000007,\n5,item#000000001,2\n")
     out = build.run_all(wh, SF_SMALL, "v1", input_root=f"{scratch}/in")
     matched = {r.compound_id: (r.matched_id, r.ic50_nm) for r in wh.read("silver.matched_input").collect()}
-    assert matched == {"1": (1, 5.0), "3": (None, None)}
-    assert out["similarity"].rows == 40 * 10
+    assert matched == {"1": ("B1", 5.0), "3": (None, None), "4": ("D7", None), "5": ("B1", 2.0)}
+    assert out["similarity"].rows == 2 * 10
     fact = wh.read("gold.fact_similarity")
-    assert fact.count() == 400
+    assert {r.source_id for r in fact.collect()} == {"B1", "D7"}
     assert fact.filter("source_id = target_id").count() == 0
-    full = wh.read("gold.similarity_full")
-    assert full.select("source_id").distinct().count() == 40
+    log = {r.table_name: r.row_count for r in wh.log().collect()}
+    assert log["silver.molecule.rejected"] == 0 and log["silver.fingerprint.failed"] == 0
+    build.build_similarity(wh, "v1", force=True, store_from=0.1)
+    stored = wh.read("gold.similarity")
+    assert stored.filter("score < 0.1").count() == 0 and stored.join(fact, ["source_id", "target_id", "score"]).count() > 0
     names = build.register_views(wh)
-    assert spark.table("average_similarity_score").count() == 40 and len(names) == 7
-    again = build.run_all(wh, SF_SMALL, "v1")
+    assert spark.table("average_similarity_score").count() == 2 and len(names) == 7
+    again = build.run_all(wh, SF_SMALL, "v1", input_root=f"{scratch}/in")
     assert all(r.skipped for r in again["mirror"]) and again["similarity"].skipped
     # an empty fact must not replace the dimension
     dim_before = sinks.current_path(spark, wh.path("gold.dim_molecule"))
@@ -87,6 +90,24 @@ def test_file_ingest_loads_each_file_once(spark, scratch):
     assert spark.read.parquet(wh.path(build.RAW_INPUT)).count() == 3
 
 
+def test_input_that_matches_nothing_stops_the_chain(spark, scratch):
+    wh = build.Warehouse(spark, f"{scratch}/wh")
+    write(f"{scratch}/in/batch_01.csv", "compound_id,compound_name\n1,nobody\n")
+    with pytest.raises(sinks.EmptyResult, match="refers to no entry"):
+        build.run_all(wh, SF_SMALL, "v1", input_root=f"{scratch}/in")
+
+
+def test_files_in_a_folder_with_a_space_are_counted(spark, scratch):
+    wh = build.Warehouse(spark, f"{scratch}/wh")
+    write(f"{scratch}/my dir/batch_01.csv", "compound_id\n1\n2\n")
+    write(f"{scratch}/my dir/batch_02.csv", "compound_id\n")
+    files = build.ingest_input_files(wh, f"{scratch}/my dir")
+    log = wh.log().collect()
+    assert sorted((os.path.basename(r.version), r.row_count) for r in log) == [("batch_01.csv", 2), ("batch_02.csv", 0)]
+    assert len(files) == 2 and len({r.loaded_at for r in log}) == 1
+    assert build.ingest_input_files(wh, f"{scratch}/my dir") == []
+
+
 def test_streaming_ingest_exactly_once(spark, scratch):
     inp, out, ckpt = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt"
     write(f"{inp}/batch_01.csv", "compound_id,compound_name\n1,a\n2,b\n")

@@ -5,33 +5,34 @@ from pyspark.sql import functions as F
 
 from tanimart import config
 from tanimart.functions import fingerprint as fpx
+from tanimart.functions import text as tx
 from tanimart.operators import fingerprints as fpo
 
 from .helpers import fp_from_bits, fps_frame
 
 
 def test_pack_unpack_exact_bits(spark):
-    bits = [0, 5, 100, 2047]
+    bits = [3, 63, 64, 1500, 2047]
     df = spark.createDataFrame([("X", b) for b in bits], "mol_id string, bit int")
     packed = fpo.pack_bits(df)
     row = packed.first()
-    assert row.fp == fp_from_bits(bits) and row.n_bits == 4
+    assert row.fp == fp_from_bits(bits) and row.n_bits == 5
     assert sorted(r.bit for r in fpo.unpack(packed).collect()) == bits
 
 
 def test_bytes_are_256_msb_first(spark):
-    fps = fps_frame(spark, [("X", [0, 5, 100, 2047])])
+    fps = fps_frame(spark, [("X", [1, 8, 777, 2040])])
     raw = fps.select(fpx.to_bytes("fp").alias("b")).first().b
     assert len(raw) == config.FINGERPRINT_BITS // 8
     on = [i for i in range(2048) if raw[i // 8] >> (7 - i % 8) & 1]
-    assert on == [0, 5, 100, 2047]
+    assert on == [1, 8, 777, 2040]
     stored = fps.select(fpx.to_bytes("fp").alias("b"))
     words = stored.select(fpx.from_bytes("b").alias("fp")).first().fp
-    assert words == fp_from_bits([0, 5, 100, 2047])
+    assert words == fp_from_bits([1, 8, 777, 2040])
 
 
 def test_wrong_length_bytes_fail(spark):
-    df = spark.createDataFrame([(bytearray(1000),)], "b binary")
+    df = spark.createDataFrame([(bytearray(255),)], "b binary")
     with pytest.raises(Exception, match="256 bytes"):
         df.select(fpx.from_bytes("b")).collect()
 
@@ -43,8 +44,8 @@ def test_fingerprint_deterministic_and_failed_entries(spark):
     got = {r.mol_id: (r.fp, r.n_bits) for r in fps.collect()}
     assert set(got) == {"A", "C"}            # B has no feature
     assert got["A"] == got["C"] and got["A"][1] == 2
-    assert [r.mol_id for r in fpo.failed_entries(mols, fps).collect()] == ["B"]
-    assert fpo.counts(mols, fps).first().asDict() == {"succeeded_rows": 2, "failed_rows": 1}
+    assert [r.mol_id for r in fpo.failed_entries(mols).collect()] == ["B"]
+    assert fpo.counts(mols).first().asDict() == {"succeeded_rows": 2, "failed_rows": 1}
     again = {r.mol_id: r.fp for r in fpo.fingerprints(mols).collect()}
     assert again["A"] == got["A"][0]
 
@@ -94,3 +95,24 @@ def test_float32_scores_keep_order(spark):
          sim.top_n(sim.narrow_scores(df), 3).orderBy("rank").collect()]
     assert a == b
     assert sim.narrow_scores(df).schema["score"].dataType.simpleString() == "float"
+
+
+def test_features_of_all_scripts_and_of_the_caller(spark):
+    rows = [("A", "Été, ÜBER größe"), ("B", "Привет мир"), ("C", "x-1")]
+    df = spark.createDataFrame(rows, "mol_id string, text string")
+    words = {r.mol_id: r.t for r in df.select("mol_id", tx.tokens("text").alias("t")).collect()}
+    assert words == {"A": ["été", "über", "größe"], "B": ["привет", "мир"], "C": ["x", "1"]}
+    assert {r.mol_id: r.n_bits for r in fpo.fingerprints(df).collect()} == {"A": 3, "B": 2, "C": 2}
+    letters = F.split("text", "")
+    own = {r.mol_id: r.n_bits for r in fpo.fingerprints(df, features=letters).collect()}
+    assert own["C"] == 3
+    bits = {(r.mol_id, r.bit) for r in fpo.fingerprint_bits(df, features=letters).collect()}
+    assert bits == {(r.mol_id, r.bit) for r in fpo.unpack(fpo.fingerprints(df, features=letters)).collect()}
+
+
+def test_rows_of_one_id_are_not_merged_and_can_be_refused(spark):
+    df = spark.createDataFrame([("A", "one"), ("A", "two three"), ("B", "four")], "mol_id string, text string")
+    assert sorted(r.n_bits for r in fpo.fingerprints(df).collect()) == [1, 1, 2]
+    with pytest.raises(fpo.DuplicateId, match="A"):
+        fpo.require_unique(df)
+    assert fpo.require_unique(df.dropDuplicates(["mol_id"])).count() == 2

@@ -13,14 +13,15 @@ def write(path, text):
         f.write(text)
 
 
-def test_resolve_aliases_strip_and_reject():
-    assert csv_ingest.resolve_columns([" compound_id", "IC50_nM ", "collection_date"]) == \
-        ["compound_id", "ic50_nm", "assay_date"]
-    with pytest.raises(csv_ingest.HeaderError):
-        csv_ingest.resolve_columns(["compound_id", "made_up_column"])
-    aliases = {"compound identifier": "compound_id", "cmpd_name": "compound_name"}
-    assert csv_ingest.resolve_columns([" compound identifier", "cmpd_name ", "molecular_weight"],
-                                      aliases=aliases) == ["compound_id", "compound_name", "molecular_weight"]
+def test_header_lookup_strips_applies_aliases_and_rejects():
+    assert csv_ingest.header_columns([" lab_id", "IC50_nM ", "collection_date"]) == \
+        [(0, "lab_id"), (1, "ic50_nm"), (2, "assay_date")]
+    with pytest.raises(csv_ingest.HeaderError, match="field 2"):
+        csv_ingest.header_columns(["compound_id", "colour"])
+    with pytest.raises(csv_ingest.HeaderError, match="two fields"):
+        csv_ingest.header_columns(["ic50_nm", "IC50_nM"])
+    aliases = {"substance": "compound_name", "log p": "logp"}
+    assert csv_ingest.header_columns(["log p", " substance "], aliases=aliases) == [(0, "logp"), (1, "compound_name")]
 
 
 def test_discovery_matches_whole_key(spark, scratch):
@@ -55,7 +56,7 @@ def test_read_batch_text_only_quotes_and_provenance(spark, scratch):
 
 def test_bad_header_fails_before_reading(spark, scratch):
     p = f"{scratch}/batch_bad.csv"
-    write(p, "compound_id,made_up_column\n1,2\n")
+    write(p, "lab_id,colour\n1,2\n")
     with pytest.raises(csv_ingest.HeaderError):
         csv_ingest.read_batch(spark, p)
 
@@ -74,3 +75,16 @@ def test_union_of_batches_with_different_headers(spark, scratch):
     df = csv_ingest.union_batches([csv_ingest.read_batch(spark, f) for f in files])
     got = sorted((r.compound_id, r.compound_name, r.assay_date) for r in df.collect())
     assert got == [("1", "x", None), ("2", None, "2024-01-05")]
+
+
+def test_files_with_one_header_are_one_read(spark, scratch):
+    for i in range(30):
+        head = "compound_id,compound_name" if i % 2 else "compound_name, lab_id"
+        write(f"{scratch}/in dir/batch_{i:02d}.csv", f"{head}\n{i},n{i}\n")
+    files = csv_ingest.list_batch_files(spark, f"{scratch}/in dir")
+    assert len(files) == 30
+    df = csv_ingest.read_batches(spark, files)
+    rows = df.collect()
+    assert sorted({r._source_file for r in rows}) == sorted(csv_ingest.file_key(spark, f) for f in files)
+    assert df._jdf.queryExecution().analyzed().toString().count("Relation") == 2
+    assert {(r.compound_name, r.lab_id) for r in rows if r.compound_id is None} == {(str(i), f"n{i}") for i in range(0, 30, 2)}

@@ -68,7 +68,7 @@ def test_scoped_dimension(spark):
     ], "mol_id string, kind string, text string, lang string, n_chars bigint")
     props = spark.createDataFrame([("S1", 1, 0), ("X", 0, 1)], "mol_id string, quality int, toxic int")
     f = fact(spark).filter("source_id = 'S1' AND target_id = 'T1'")
-    got = {r.mol_id: r for r in mart.dimension(f, mols, props, id_bound=10).collect()}
+    got = {r.mol_id: r for r in mart.dimension(f, mols, props).collect()}
     assert set(got) == {"S1", "T1"}
     assert (got["S1"].n_words, got["S1"].n_lines, got["S1"].quality) == (2, 1, 1)
     assert (got["T1"].n_words, got["T1"].quality) == (3, None)

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tanimart.operators import clean, match, validate
 
@@ -21,14 +22,22 @@ def test_typed_input_casts_and_guards(spark):
         ("3", "   ", "1", "1", "1", "2024-01-01", "L3", "f"),
         ("4", None, "1", "1", "1", "2024-01-01", "L4", "f"),
         (None, "y", "", "", "2.5", "2024-02-30", "L5", "f"),
+        ("5", "z", "12f", "0x1p3", "3D", "20240115", "L6", "f"),
+        ("6", "v", " .5 ", "-2.", "NaN", "2024-1-5", "L7", "f"),
+        ("7", "w", "Infinity", "1e400", "7 8", "2024-01-15 10:00:00", "L8", "f"),
     ])
     rows = {r.compound_name: r for r in clean.typed_input(df).collect()}
-    assert set(rows) == {"Aspirin", "x", "y"}
+    assert set(rows) == {"Aspirin", "x", "y", "z", "v", "w"}
     a = rows["Aspirin"]
     assert (a.compound_id, a.molecular_weight, a.logp, a.ic50_nm, a.lab_id) == ("1", 180.2, -1.5, None, "L1")
     assert a.assay_date == dt.date(2024, 1, 15)
     x = rows["x"]
-    assert x.molecular_weight is None and x.logp == 1000.0 and x.ic50_nm is None and x.assay_date is None
+    assert x.molecular_weight is None and x.logp == 1000.0 and x.ic50_nm is None
+    assert x.assay_date == dt.date(2024, 1, 15)
+    z, v, w = rows["z"], rows["v"], rows["w"]
+    assert (z.molecular_weight, z.logp, z.ic50_nm, z.assay_date) == (None, None, None, dt.date(2024, 1, 15))
+    assert (v.molecular_weight, v.logp, v.ic50_nm, v.assay_date) == (0.5, -2.0, None, dt.date(2024, 1, 5))
+    assert (w.molecular_weight, w.ic50_nm, w.assay_date) == (None, None, dt.date(2024, 1, 15))
     y = rows["y"]
     assert y.compound_id is None and y.ic50_nm == 2.5 and y.assay_date is None
 
@@ -55,7 +64,7 @@ def test_fanout_and_audit(spark):
     r = raw(spark, rows)
     d = dictionary(spark, [("NAME0", 1), ("name0", 2), ("name1", 3)])   # name0 twice, name2 missing
     matched = match.match_names(clean.typed_input(r), d, match.overrides_frame(spark, {}))
-    audit = match.match_audit(r, matched).first().asDict()
+    audit = match.match_audit(r, d, match.overrides_frame(spark, {})).first().asDict()
     # 12 input rows, 1 blank name dropped, 11 kept; name0 rows (4 + NULL-id row = 5) fan out x2
     assert audit == {"total_rows": 12, "kept_rows": 11, "dropped_rows": 1,
                      "output_rows": 16, "unmatched_rows": 3, "fanout_rows": 5}
@@ -65,11 +74,10 @@ def test_fanout_and_audit(spark):
 
 def test_validate_split(spark):
     df = spark.createDataFrame([(1, "CCO is fine"), (2, "bad###"), (3, ""), (4, None),
-                                (5, "a b c"), (6, "###")], "doc_id int, text string")
+                                (5, "été"), (6, "###"), (7, "  ")], "doc_id int, text string")
     valid, rejected = validate.split(df)
-    assert sorted(r.doc_id for r in valid.collect()) == [1, 5]
-    assert sorted(r.doc_id for r in rejected.collect()) == [2, 6]
-    assert validate.counts(df).first().asDict() == {"valid_rows": 2, "rejected_rows": 2}
-    v2, r2 = validate.split(df, validate.has_features_rule())
-    assert sorted(r.doc_id for r in v2.collect()) == [1, 2, 5]
-    assert sorted(r.doc_id for r in r2.collect()) == [6]
+    assert sorted(r.doc_id for r in valid.collect()) == [1, 2, 5]
+    assert sorted(r.doc_id for r in rejected.collect()) == [6]
+    assert validate.counts(df).first().asDict() == {"valid_rows": 3, "rejected_rows": 1}
+    long = F.length("text") > 4
+    assert sorted(r.doc_id for r in validate.split(df, long)[0].collect()) == [1, 2]

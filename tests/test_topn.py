@@ -4,16 +4,19 @@ import pytest
 
 from tanimart.operators import similarity as sim
 
-from .helpers import fps_frame, pairs_frame, plan_text
+from .helpers import fps_frame, pairs_frame
 
-# (scores in candidate order, N, selected, flagged)
+# (scores in candidate order, N, selected, flagged): all different; a tie that
+# the cut splits; a tie inside; a tie before the cut; fewer rows than N; all
+# equal; a long tie that begins inside
 CASES = [
-    ([.9, .8, .7, .6, .5], 3, "ABC", ""),
-    ([.9, .8, .7, .7, .6], 3, "ABC", "C"),
-    ([.9, .8, .8], 3, "ABC", ""),
-    ([.9, .9, .5], 2, "AB", ""),
-    ([.5], 10, "A", ""),
-    ([.5, .5, .5], 2, "AB", "AB"),
+    ([.61, .44, .33, .12], 2, "AB", ""),
+    ([.7, .31, .31, .31], 2, "AB", "B"),
+    ([.62, .55, .55], 3, "ABC", ""),
+    ([.48, .48, .2, .1], 2, "AB", ""),
+    ([.25], 4, "A", ""),
+    ([.4, .4, .4, .4], 3, "ABC", "ABC"),
+    ([.9, .2, .2, .2, .2], 3, "ABC", "BC"),
 ]
 
 
@@ -52,37 +55,64 @@ def test_top_n_independent_of_partitioning(spark):
     assert a == b
 
 
+def test_candidates_of_one_score_are_ordered_by_number(spark):
+    ids = ["D10", "D9", "B20", "B3", "D9x", "x"]
+    df = spark.createDataFrame([("S", t, 0.5) for t in ids], "source_id string, target_id string, score double")
+    out = [r.target_id for r in sim.top_n(df, 6).orderBy("rank").collect()]
+    assert out == ["B3", "B20", "D9", "D10", "D9x", "x"]
+    cut = sim.top_n(df, 3).orderBy("rank").collect()
+    assert [r.target_id for r in cut] == ["B3", "B20", "D9"] and all(r.tied_at_cutoff for r in cut)
+
+
 def test_similarity_end_to_end(spark):
-    fps = fps_frame(spark, [("SRC", [0, 1, 2, 3]), ("A", [0, 1, 2, 3]), ("B", [0, 1])])
-    sources = fps.filter("mol_id = 'SRC'")
-    fact = sim.top_n(sim.score_pairs(sources, fps, n_sources=1), 10).orderBy("rank").collect()
-    assert [(r.target_id, r.score, r.rank) for r in fact] == [("A", 1.0, 1), ("B", 0.5, 2)]
+    fps = fps_frame(spark, [("Q1", [7, 9, 30]), ("N1", [7, 9, 30, 31]), ("N2", [9]), ("N3", [7, 9, 30])])
+    fact = sim.nearest(fps.filter("mol_id = 'Q1'"), fps, 10).orderBy("rank").collect()
+    assert [(r.target_id, r.score, r.rank) for r in fact] == [("N3", 1.0, 1), ("N1", 0.75, 2), ("N2", 1 / 3, 3)]
 
 
 def test_zero_overlap_and_empty_fingerprints(spark):
     fps = fps_frame(spark, [("SRC", [5]), ("Z", [7]), ("E", [])])
-    pairs = {r.target_id: r.score for r in
-             sim.score_pairs(fps.filter("mol_id = 'SRC'"), fps, n_sources=1).collect()}
+    pairs = {r.target_id: r.score for r in sim.score_pairs(fps.filter("mol_id = 'SRC'"), fps).collect()}
     assert pairs == {"Z": 0.0, "E": 0.0}
     empty = fps_frame(spark, [("E1", []), ("E2", [])])
-    both = sim.score_pairs(empty.filter("mol_id = 'E1'"), empty, n_sources=1).collect()
-    assert [r.score for r in both] == [0.0]
+    assert [r.score for r in sim.score_pairs(empty.filter("mol_id = 'E1'"), empty).collect()] == [0.0]
+    assert sim.nearest(fps, fps.limit(0), 3).count() == 0
+
+
+def _random_frame(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(f"M{i}", rnd.sample(range(60), rnd.choice([1, 2, 5, 12, 13, 30, 50]))) for i in range(90)]
+    return fps_frame(spark, rows)
 
 
-def test_blocked_sources_equal_single_broadcast(spark):
-    rows = [(f"M{i:02d}", [i % 7, (i * 3) % 11, 20 + i % 5]) for i in range(30)]
-    fps = fps_frame(spark, rows)
-    one = sim.score_pairs(fps, fps, n_sources=30)
-    blocked = sim.score_pairs(fps, fps, n_sources=30, max_broadcast=4)
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, blocked.collect()))
+def test_banded_top_n_equals_all_pairs(spark, monkeypatch):
+    fps = _random_frame(spark)
+    want = sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 4).collect()))
+    assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
+    monkeypatch.setattr("tanimart.config.SALT_ROWS", 3)   # every band split
+    assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
+    assert sorted(map(tuple, sim.nearest(fps, fps, 95).collect())) == sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 95).collect()))
 
 
-def test_plan_keeps_partial_limit_and_broadcast(spark):
+def test_threshold_keeps_exactly_the_pairs_that_reach_it(spark):
+    fps = _random_frame(spark)
+    every = {tuple(r) for r in sim.score_pairs(fps, fps).collect()}
+    assert len(every) == 90 * 89
+    assert {tuple(r) for r in sim.score_pairs(fps, fps, least=0.5).collect()} == {p for p in every if p[2] >= 0.5}
+
+
+def test_plan_is_an_equi_join_with_partial_limit(spark):
     fps = fps_frame(spark, [(f"M{i}", [i, i + 1]) for i in range(20)])
-    fact = sim.top_n(sim.score_pairs(fps.filter("mol_id < 'M3'"), fps, n_sources=3), 10)
-    plan = plan_text(fact)
-    assert "BroadcastNestedLoopJoin" in plan and "BuildRight" in plan
-    assert "WindowGroupLimit" in plan
+    fact = sim.nearest(fps.filter("mol_id < 'M3'"), fps, 10)
     fact.collect()
     final = fact._jdf.queryExecution().executedPlan().toString()
-    assert "Partial" in final
+    assert "NestedLoop" not in final and "Cartesian" not in final and "WindowGroupLimit" in final
+
+
+def test_a_failing_task_fails_materialize(spark):
+    from pyspark.sql import functions as F
+    from tanimart.session import materialize
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        materialize(bad)
