@@ -4,8 +4,9 @@ Texts are sets of word shingles; two link when their Jaccard similarity is at
 least num/den.  Texts with equal sets form one class, and only classes go on.
 
 A class is routed by its prefix: the first tokens of its set in one global
-order (frequent tokens, found in a bounded sample of texts, last; else by
-hash).  Two classes that link share a prefix token, so each token that two or
+order: shingles of rare words first, then by hash, and frequent shingles last.
+Which words and shingles are frequent comes from a bounded sample of texts; it
+decides only how many unrelated texts meet, never which pairs are found.  Two classes that link share a prefix token, so each token that two or
 more classes share is a group to be joined; tokens shared by the same classes
 count once.  Large groups are cut into blocks and joined block pair by block
 pair.
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import bounded, save
+from .common import bounded, save, settle
 from .components import components
 
 #: Expected texts in the sample that finds frequent tokens, and how many of
@@ -45,29 +46,42 @@ BLOCK = 1024
 LEAF = 48
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> list[np.ndarray]:
-    """Each row's sorted distinct shingle hashes; fewer than k words are one
-    shingle, no words none."""
+def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a slice's words, and each row's first word."""
     lo, hi = int(off[0]), int(off[-1])
     part, off = tk.lowered(data[lo:hi]), off - lo
     start, end, first = tk.words(part, off)
-    n_rows = len(off) - 1
-    if not len(start):
-        return [np.zeros(0, np.uint64)] * n_rows
-    h = tk.spans_hash(tk.prefix(tk.BYTE[part]), start, end)
+    return tk.spans_hash(tk.prefix(tk.BYTE[part]), start, end) if len(start) else np.zeros(0, np.uint64), first
+
+
+def shingle_sets(data: np.ndarray, off: np.ndarray, k: int, common: Common | None = None) -> list:
+    """Each row's sorted distinct shingle hashes; fewer than k words are one
+    shingle, no words none.  With ``common`` each is a pair: the hashes, and
+    the same tokens as integers whose order is the global one."""
+    h, first = word_hashes(data, off)
     gram, row = tk.grams(h, first, k)
-    cut = np.searchsorted(row, np.arange(n_rows + 1))
-    sets = []
+    cut = np.searchsorted(row, np.arange(len(first)))
+    weight = None
+    if common is not None and len(gram):
+        sums = np.concatenate([[0], np.cumsum(common.weights(h))])
+        at = np.arange(len(gram)) + first[row] - cut[row]
+        weight = sums[at + k] - sums[at]
+    sets: list = []
     for r, n in enumerate(np.diff(first).tolist()):
+        if n >= k and common is not None:
+            own, at = np.unique(gram[cut[r]:cut[r + 1]], return_index=True)
+            sets.append((own, common.ordered(own, weight[cut[r] + at])))
+            continue
         if n >= k:
             sets.append(np.unique(gram[cut[r]:cut[r + 1]]))
         elif n:
             whole = np.full(1, n, dtype=np.uint64)
             for x in h[first[r]:first[r + 1]]:
                 whole = tk.mixed(whole * np.uint64(0x9E3779B97F4A7C15) + x)
-            sets.append(whole)
+            sets.append(whole if common is None else (whole, common.ordered(whole, np.zeros(1, np.int64))))
         else:
-            sets.append(np.zeros(0, np.uint64))
+            none = np.zeros(0, np.uint64)
+            sets.append(none if common is None else (none, np.zeros(0, np.int64)))
     return sets
 
 
@@ -78,13 +92,28 @@ def set_class(s: np.ndarray) -> int:
     return int(tk.mixed(tk.mixed(both[:1]) + both[1:])[0].astype(np.int64))
 
 
-def ordered(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Tokens as positive integers whose order is the global one."""
-    token = (s >> np.uint64(2)).astype(np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-        token |= (frequent[at] == s).astype(np.int64) << 62
-    return np.sort(token)
+class Common:
+    """What a sample knows of frequency: frequent shingles, and words with
+    the logarithm of their count (0 for words that it does not hold twice)."""
+
+    def __init__(self, shingles: np.ndarray, words: np.ndarray, counts: np.ndarray):
+        order = np.argsort(words)
+        self.shingles, self.words = np.sort(shingles), words[order]
+        self.logs = np.log2(counts[order].astype(np.float64)).astype(np.int64)
+
+    def weights(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.logs[at], 0)
+
+    def ordered(self, s: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Tokens as positive integers: frequent or not, weight, 54 bits of hash."""
+        token = (s >> np.uint64(10)).astype(np.int64) | (np.minimum(weight, 255).astype(np.int64) << 54)
+        if len(self.shingles):
+            at = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
+            token |= (self.shingles[at] == s).astype(np.int64) << 62
+        return np.sort(token)
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -190,16 +219,17 @@ class Group:
         out += zip(x.at[i].tolist(), y.at[j].tolist(), slack[i, j].tolist(), strict=True)
 
 
-def _profiles(docs: DataFrame, k: int, num: int, den: int, frequent, id_col: str, text_col: str) -> DataFrame:
+def _profiles(docs: DataFrame, k: int, num: int, den: int, common: Common, id_col: str, text_col: str) -> DataFrame:
     """(tie, doc_id, n, cls, prefix, map) per row, written once."""
-    held = docs.sparkSession.sparkContext.broadcast(frequent)
+    held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = tk.flat(batch.column(1))
             for i, j in tk.slices(off):
-                sets = shingle_sets(data, off[i:j + 1], k)
-                first = [ordered(s, held.value)[: len(s) - -(-len(s) * num // den) + 1] if len(s) else np.zeros(0, np.int64) for s in sets]
+                both = shingle_sets(data, off[i:j + 1], k, held.value)
+                sets = [s for s, _ in both]
+                first = [t[: len(t) - -(-len(t) * num // den) + 1] if len(t) else t for _, t in both]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
@@ -213,9 +243,10 @@ def _profiles(docs: DataFrame, k: int, num: int, den: int, frequent, id_col: str
     return save(out.withColumn("tie", F.monotonically_increasing_id()), "ngram-profiles")
 
 
-def _frequent(docs: DataFrame, k: int, id_col: str, text_col: str) -> np.ndarray:
-    """Tokens that FREQUENT or more texts of a bounded sample hold (at most
-    the sample's tokens / FREQUENT values)."""
+def _common(docs: DataFrame, k: int, id_col: str, text_col: str) -> Common:
+    """Frequent shingles (FREQUENT or more sampled texts hold them) and words
+    (two or more occurrences) of a bounded sample of texts: at most its words
+    / FREQUENT and / 2 values."""
     n = docs.count()
     share = int((1 << 30) * min(1.0, SAMPLE_TEXTS / max(1, n)))
 
@@ -223,17 +254,26 @@ def _frequent(docs: DataFrame, k: int, id_col: str, text_col: str) -> np.ndarray
         for batch in batches:
             data, off = tk.flat(batch.column(0))
             for i, j in tk.slices(off):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(data, off[i:j + 1], k)).astype(np.int64))], names=["token"])
+                own = off[i:j + 1]
+                for word, h in ((False, np.concatenate(shingle_sets(data, own, k))), (True, word_hashes(data, own)[0])):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), word)), pa.array(h.astype(np.int64))], names=["word", "token"])
 
     sample = docs.where(F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(1 << 30)) < share).select(F.col(text_col).cast("string").alias("text"))
-    counted = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT).select("token")
-    return np.sort(np.array([r.token for r in counted.collect()], dtype=np.int64).astype(np.uint64))
+    counted = sample.mapInArrow(run, "word boolean, token long").groupBy("word", "token").agg(F.count("*").alias("c"))
+    rows = counted.where(F.col("c") >= F.when(F.col("word"), 2).otherwise(FREQUENT)).collect()
+    unsigned = lambda x: np.array(x, dtype=np.int64).astype(np.uint64)
+    words = [r for r in rows if r.word]
+    return Common(unsigned([r.token for r in rows if not r.word]), unsigned([r.token for r in words]), np.array([r.c for r in words], dtype=np.int64))
+
 
+def _routes(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(unit, block, cls, n, pos): the groups to join, large ones in block pairs.
 
-def _routes(classes: DataFrame) -> DataFrame:
-    """(unit, block, cls, n, pos): the groups to join, large ones in block pairs."""
+    Two classes alone with a token meet only if their sizes, and what follows
+    the token in their sets, let them link."""
     spread = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = spread.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.min("n").alias("a"), F.max("n").alias("b")).where("c >= 2")
+    shared = spread.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.min("n").alias("a"), F.max("n").alias("b"), F.min(F.col("n") - F.col("pos")).alias("r"))
+    shared = shared.where(f"c > 2 OR c = 2 AND a * {den} >= b * {num} AND r * {num + den} >= (a + b) * {num}")
     # of tokens with the same classes the first in the global order
     once = shared.groupBy("c", "x", "a", "b").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
     live = spread.join(once, "token")
@@ -329,8 +369,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str
     is no other).  Rows that repeat an id are texts of their own; an empty table
     gives none; other columns are not read.
     """
-    frequent = _frequent(docs, k, id_col, text_col)
-    profiles = _profiles(docs, k, num, den, frequent, id_col, text_col)
+    profiles = _profiles(docs, k, num, den, _common(docs, k, id_col, text_col), id_col, text_col)
     slim = profiles.select("tie", "doc_id", "n", "cls")
     linked = _class_links(docs, profiles, k, num, den, id_col, text_col)
     member = slim.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
@@ -348,11 +387,13 @@ def _class_links(docs, profiles, k, num, den, id_col, text_col) -> DataFrame:
     first = slim.groupBy("cls").agg(F.min("tie").alias("tie"))
     again = save(slim.join(first, ["cls", "tie"], "left_anti").select("tie"), "ngram-copies")
     classes = profiles.where("cls IS NOT NULL").join(bounded(again), "tie", "left_anti").select("cls", "n", "prefix", "map")
-    routes = _routes(classes)
+    routes = _routes(classes, num, den)
     units = save(routes.join(classes.select("cls", "map"), "cls"), "ngram-units")
+    settle(docs.sparkSession)
     tried = save(_candidates(units.withColumn("label", F.col("cls")), num, den, True), "ngram-pairs")
     wanted = tried.select(F.col("a").alias("cls")).union(tried.select("b")).distinct()
     linked = save(_verified(tried, _sets(docs, profiles, wanted, k, id_col, text_col), num, den), "ngram-links")
+    settle(docs.sparkSession)
     label = save(components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root")), "ngram-labels")
     labelled = units.join(label, "cls", "left").withColumn("label", F.coalesce("root", "cls"))
     rest = save(_candidates(labelled, num, den, False).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
