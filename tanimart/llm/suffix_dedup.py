@@ -7,8 +7,9 @@ Windows (100-byte strings) are routed by their minimizer, the least hash of
 their 32-byte substrings, so equal windows meet.  A run of windows with one
 minimizer travels as one string; minimizers that occur at one place only are
 left out before any text moves.  Equal strings are combined before the
-shuffle; a minimizer with very many occurrences sends its windows one by one,
-each to a group of its own.
+shuffle.  The windows of a minimizer with very many occurrences are routed by
+their own hash instead, and those that occur at one place only are left out
+in turn.
 
 A task holds the different strings of its minimizers.  It cuts them into
 shards, builds each shard's Burrows-Wheeler transform, and merges these
@@ -36,9 +37,12 @@ from .common import bounded, save, settle
 
 #: Bytes of the minimizers' substrings.
 GRAM = 32
-#: Windows per string at most; occurrences that make a minimizer's windows travel alone.
+#: Windows per string at most; occurrences that make a minimizer's windows
+#: travel alone, and how many such minimizers there are at most (broadcast,
+#: 8 bytes each; with more the number of occurrences asked for grows).
 RUN = 64
-HOT = 20_000
+HOT = 10_000
+MOST_HOT = 500_000
 #: Symbols merged together, shards they are cut into, bytes of a slice.
 MERGE_SYMBOLS = 1 << 19
 SHARDS = 4
@@ -199,34 +203,71 @@ def _text_key():
     return F.xxhash64("text").alias("th")
 
 
-def _live(texts: DataFrame, length: int) -> DataFrame:
-    """(h, hot) of minimizers that occur at two or more places of different classes."""
+def _routed(data: np.ndarray, off: np.ndarray, length: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, windows, group, hash, sums, bytes, offsets) of the strings
+    of a slice: runs of windows, or single windows of hot minimizers."""
+    row, start, windows, h, sums, part, o = runs(data, off, length)
+    alone = _among(h, hot)
+    if alone.any():
+        times = np.where(alone, windows, 1)
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        row, start, windows, h, alone = (np.repeat(x, times) for x in (row, start, windows, h, alone))
+        start, windows = start + np.where(alone, nth, 0), np.where(alone, 1, windows)
+    at = o[row] + start
+    s = tk.spans_hash(sums, at, at + windows + length - 1) if len(at) else h
+    return row, start, windows, np.where(alone, tk.mixed(h ^ s), h), s, alone, sums, part, o
+
+
+def _places(texts: DataFrame, length: int, hot: np.ndarray | None) -> DataFrame:
+    """(h, c) of groups that occur at two or more places of different classes:
+    of all minimizers, or (with ``hot``) of the single windows of those."""
+    held = None if hot is None else texts.sparkSession.sparkContext.broadcast(hot)
+
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = tk.flat(batch.column(1))
             th = batch.column(0).to_numpy().view(np.uint64)
             for i, j in tk.slices(off, SLICE):
-                row, start, windows, h, sums, part, o = runs(data, off[i:j + 1], length)
-                if not len(h):
-                    continue
-                twice = repeated_inside(part, o, row, start, windows, h, sums, length)
+                if held is None:
+                    row, start, windows, h, sums, part, o = runs(data, off[i:j + 1], length)
+                    twice = repeated_inside(part, o, row, start, windows, h, sums, length) if len(h) else np.zeros(0, bool)
+                else:
+                    row, start, _, h, _, alone, *_ = _routed(data, off[i:j + 1], length, held.value)
+                    row, start, h = row[alone], start[alone], h[alone]
+                    twice = np.zeros(len(h), dtype=bool)
                 loc = tk.mixed(th[i + row] + tk.mixed(start.astype(np.uint64)))
                 h, loc = np.concatenate([h, h[twice]]), np.concatenate([loc, loc[twice] + np.uint64(1)])
                 yield _emit([_signed(h), _signed(loc)], ["h", "loc"], [pa.int64()] * 2)
 
     found = texts.select("th", "text").mapInArrow(places, "h long, loc long")
-    grouped = found.groupBy("h").agg(F.min("loc").alias("a"), F.max("loc").alias("b"), F.count("*").alias("c")).where("a <> b")
-    return save(grouped.select("h", (F.col("c") >= HOT).alias("hot")), "suffix-live")
+    return found.groupBy("h").agg(F.min("loc").alias("a"), F.max("loc").alias("b"), F.count("*").alias("c")).where("a <> b").select("h", "c")
+
+
+def _live(texts: DataFrame, length: int) -> tuple[DataFrame, np.ndarray]:
+    """(h) of the groups that can hold repeats, and the hot minimizers."""
+    spark = texts.sparkSession
+    many = save(_places(texts, length, None), "suffix-live")
+    settle(spark)
+    total = many.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first().n
+    least = max(HOT, total // MOST_HOT)
+    hot = np.sort(np.array([r.h for r in many.where(F.col("c") >= least).select("h").collect()], dtype=np.int64).view(np.uint64))
+    if not len(hot):
+        return many.select("h"), hot
+    alone = save(_places(texts, length, hot), "suffix-live-windows")
+    settle(spark)
+    return many.where(F.col("c") < least).select("h").union(alone.select("h")), hot
+
 
+def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
+    """(th, hs): each class's live groups."""
+    held = texts.sparkSession.sparkContext.broadcast(hot)
 
-def _marks(texts: DataFrame, live: DataFrame, length: int) -> DataFrame:
-    """(th, hs, hots): each class's live minimizers."""
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = tk.flat(batch.column(1))
             th = batch.column(0).to_numpy()
             for i, j in tk.slices(off, SLICE):
-                row, _, _, h, *_ = runs(data, off[i:j + 1], length)
+                row, _, _, h, *_ = _routed(data, off[i:j + 1], length, held.value)
                 order = np.lexsort((h, row))
                 row, h = row[order], h[order]
                 once = np.ones(len(h), dtype=bool)
@@ -234,51 +275,41 @@ def _marks(texts: DataFrame, live: DataFrame, length: int) -> DataFrame:
                 yield _emit([_signed(h[once]), th[i + row[once]]], ["h", "th"], [pa.int64()] * 2)
 
     found = texts.select("th", "text").mapInArrow(pairs, "h long, th long").join(live, "h")
-    return save(found.groupBy("th").agg(F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hots")), "suffix-marks")
+    return save(found.groupBy("th").agg(F.collect_set("h").alias("hs")), "suffix-marks")
 
 
 _STRING = "h long, s long, id long, th long, start long, windows int, bytes binary"
 
 
-def _strings(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
+def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
     """Every occurrence of a live string; of equal ones in a slice the first
     carries the bytes."""
+    held = texts.sparkSession.sparkContext.broadcast(hot)
+
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "s", "id", "th", "start", "windows", "bytes"]
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
         for batch in batches:
             ids, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, off = tk.flat(batch.column(2))
-            lists = [(c.flatten().to_numpy().view(np.uint64), c.value_lengths().to_numpy()) for c in (batch.column(3), batch.column(4))]
-            (hs, n_hs), (hots, n_hots) = lists
-            live_row, hot_row = (np.repeat(np.arange(len(n)), n) for n in (n_hs, n_hots))
-            live = np.sort(tk.mixed(hs + tk.mixed(live_row.astype(np.uint64))))
-            hot = np.sort(tk.mixed(hots + tk.mixed(hot_row.astype(np.uint64))))
+            hs, n_hs = batch.column(3).flatten().to_numpy().view(np.uint64), batch.column(3).value_lengths().to_numpy()
+            live = np.sort(tk.mixed(hs + tk.mixed(np.repeat(np.arange(len(n_hs)), n_hs).astype(np.uint64))))
             for i, j in tk.slices(off, SLICE):
-                row, start, windows, h, sums, part, o = runs(data, off[i:j + 1], length)
-                key = tk.mixed(h + tk.mixed((row + i).astype(np.uint64)))
-                keep = _among(key, live)
-                row, start, windows, h, key = (x[keep] for x in (row, start, windows, h, key))
-                alone = _among(key, hot)
-                if alone.any():  # one string per window, grouped by its own hash too
-                    times = np.where(alone, windows, 1)
-                    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    row, start, windows, h, alone = (np.repeat(x, times) for x in (row, start, windows, h, alone))
-                    start, windows = start + np.where(alone, nth, 0), np.where(alone, 1, windows)
-                at, size = o[row] + start, windows + length - 1
-                s = tk.spans_hash(sums, at, at + size)
-                h = np.where(alone, tk.mixed(h ^ s), h)
+                row, start, windows, h, s, _, _, part, o = _routed(data, off[i:j + 1], length, held.value)
+                keep = _among(tk.mixed(h + tk.mixed((row + i).astype(np.uint64))), live)
+                row, start, windows, h, s = (x[keep] for x in (row, start, windows, h, s))
                 order = np.lexsort((start, ths[i + row], ids[i + row], s, h))
-                row, start, windows, h, s, at, size = (x[order] for x in (row, start, windows, h, s, at, size))
+                row, start, windows, h, s = (x[order] for x in (row, start, windows, h, s))
+                at, size = o[row] + start, windows + length - 1
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
                 lens = np.where(first, size, 0)
                 ends = np.concatenate([[0], np.cumsum(lens)])
                 flat = part[np.repeat(at - ends[:-1], lens) + np.arange(ends[-1])]
-                held = pa.Array.from_buffers(pa.binary(), len(h), [pa.py_buffer(np.packbits(first, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
-                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), held], names, kinds)
+                carried = pa.Array.from_buffers(pa.binary(), len(h), [pa.py_buffer(np.packbits(first, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), carried], names, kinds)
 
-    both = texts.select("id", "th", "text").join(marks, "th").select("id", "th", "text", "hs", "hots")
+    both = texts.select("id", "th", "text").join(marks, "th").select("id", "th", "text", "hs")
     return save(both.mapInArrow(cut, _STRING), "suffix-strings")
 
 
@@ -382,12 +413,11 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     # rows that repeat an earlier row's text need no look at their text
     copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select(F.col("id").alias("copy")).distinct(), "suffix-copies")
     long = long.join(bounded(copies), F.col("id") == F.col("copy"), "left_anti")
-    live = _live(long, length)
-    settle(spark)
-    marks = _marks(long, live, length)
+    live, hot = _live(long, length)
+    marks = _marks(long, live, hot, length)
     settle(spark)
     marked = long.join(bounded(marks.select("th")), "th", "leftsemi")
-    strings = _strings(marked, marks, length)
+    strings = _strings(marked, marks, hot, length)
     settle(spark)
     merged = save(_merged(strings, length), "suffix-merged")
     settle(spark)
