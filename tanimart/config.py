@@ -41,9 +41,10 @@ N_WORDS = FINGERPRINT_BITS // WORD_BITS
 TOKEN_SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 HASH_HEX_DIGITS = 8
 
-# Candidates of one popcount band that share a salt in the scoring join: a
-# larger band is split, so its pairs are scored by several tasks.
-SALT_ROWS = 50_000
+# Scoring join: pairs that one (band, salt) holds at most, and the fewest
+# candidates a band is cut down to for it.
+SALT_PAIRS = 100_000
+SALT_ROWS = 200
 
 # Number of sources picked for the pivot view (the reference hardcodes ten).
 PIVOT_SOURCES = 10

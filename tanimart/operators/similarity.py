@@ -34,12 +34,14 @@ def _band(n_bits: Column) -> Column:
     return F.when(n_bits > 0, F.floor(F.log(n_bits.cast("double")) / math.log(BAND_RATIO))).otherwise(F.lit(-1)).cast("int")
 
 
-def _bands(candidates: DataFrame) -> list:
+def _bands(candidates: DataFrame, sources: DataFrame) -> list:
     """(band, least bits, most bits, salts) of the candidates' bands: at most
     log(FINGERPRINT_BITS) / log(BAND_RATIO) + 2 rows."""
+    asked = sources.count()
     rows = (candidates.groupBy(_band(F.col("n_bits")).alias("band"))
             .agg(F.min("n_bits").alias("lo"), F.max("n_bits").alias("hi"), F.count(F.lit(1)).alias("n")).collect())
-    return sorted((r.band, r.lo, r.hi, math.ceil(r.n / config.SALT_ROWS)) for r in rows)
+    return sorted((r.band, r.lo, r.hi, max(1, min(math.ceil(r.n * asked / config.SALT_PAIRS), math.ceil(r.n / config.SALT_ROWS))))
+                  for r in rows)
 
 
 def _reachable(bands: list) -> Column:
@@ -61,11 +63,14 @@ def _scored(routed: DataFrame, candidates: DataFrame, bands: list, exclude_self:
     right = (candidates.select(F.col("mol_id").alias("target_id"), F.col("fp").alias("t_fp"), F.col("n_bits").alias("t_bits"))
              .withColumn("band", _band(F.col("t_bits")))
              .withColumn("salt", F.pmod(F.xxhash64("target_id"), salts).cast("int")))
-    joined = right.join(left, ["band", "salt"])
+    # the work is pairs, not bytes: a given number of partitions is not coalesced
+    spark = candidates.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    joined = right.repartition(tasks, "band", "salt").join(left, ["band", "salt"])
     if exclude_self:
         joined = joined.filter(F.col("source_id") != F.col("target_id"))
     # intersection first, in its own projection: the score reads it three times
-    counted = joined.select("source_id", "target_id", "s_bits", "t_bits", fpx.common_bits("s_fp", "t_fp").alias("n_common"))
+    counted = joined.select("source_id", "target_id", "s_bits", "t_bits", fpx.common_bits_walk("s_fp", "t_fp").alias("n_common"))
     return counted.select("source_id", "target_id", fpx.tanimoto_from_counts("n_common", "s_bits", "t_bits").alias("score"))
 
 
@@ -74,7 +79,7 @@ def score_pairs(sources: DataFrame, candidates: DataFrame, exclude_self: bool =
 
     ``sources`` and ``candidates`` are (mol_id, fp, n_bits).  With the default
     every pair is returned, as many as sources times candidates."""
-    bands = _bands(candidates)
+    bands = _bands(candidates, sources)
     if not bands:
         return _none(candidates)
     routed = sources.withColumn("_r", F.explode(_reachable(bands))).filter(F.col("_r.bound") >= least)
@@ -89,7 +94,7 @@ def _none(candidates: DataFrame) -> DataFrame:
 def nearest(sources: DataFrame, candidates: DataFrame, n: int = config.TOP_N, exclude_self: bool = True) -> DataFrame:
     """The top ``n`` of every source as ``top_n`` defines them, scoring only
     the bands that can hold them."""
-    bands = _bands(candidates)
+    bands = _bands(candidates, sources)
     if not bands:
         return top_n(_none(candidates), n)
     routes = (sources.withColumn("_own", _band(F.col("n_bits"))).withColumn("_r", F.explode(_reachable(bands)))

@@ -91,6 +91,7 @@ def test_banded_top_n_equals_all_pairs(spark, monkeypatch):
     want = sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 4).collect()))
     assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
     monkeypatch.setattr("tanimart.config.SALT_ROWS", 3)   # every band split
+    monkeypatch.setattr("tanimart.config.SALT_PAIRS", 9)
     assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
     assert sorted(map(tuple, sim.nearest(fps, fps, 95).collect())) == sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 95).collect()))
 
