@@ -16,9 +16,11 @@ shards, builds each shard's Burrows-Wheeler transform, and merges these
 without sorting all suffixes again: the interleave (which shard the i-th
 suffix of the merged order comes from) starts as the plain sequence of the
 shards and is refined step by step; a stable distribution of the interleave
-by the transforms' symbols orders the suffixes by one symbol more.  The
-boundaries that appear in step d separate common prefixes of length d - 1, so
-after 100 steps the blocks left are the intervals of equal 100-byte strings.
+by the transforms' symbols orders the suffixes by one symbol (a pair of bytes)
+more.  The boundaries that appear in step d separate common prefixes of d - 1
+pairs, so after 50 steps the blocks left are the intervals of equal 100-byte
+strings.  A string without another of its minimizer, and without that
+minimizer twice, is alone in its intervals and is not merged.
 The smallest place in a block stays, all others are repeats.
 """
 
@@ -37,10 +39,9 @@ from .common import bounded, save, settle
 
 #: Bytes of the minimizers' substrings.
 GRAM = 32
-#: Windows per string at most; occurrences that make a minimizer's windows
-#: travel alone, and how many such minimizers there are at most (broadcast,
-#: 8 bytes each; with more the number of occurrences asked for grows).
-RUN = 64
+#: Occurrences that make a minimizer's windows travel alone, and how many such
+#: minimizers there are at most (broadcast, 8 bytes each; with more the number
+#: of occurrences asked for grows).
 HOT = 10_000
 MOST_HOT = 500_000
 #: Symbols merged together, shards they are cut into, bytes of a slice.
@@ -76,11 +77,11 @@ def runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ..
     after = np.append(start[1:], len(m)) if len(start) else start
     total = np.concatenate([[0], np.cumsum(valid)])
     count = total[after] - total[start]
-    pieces = -(-count // RUN)
+    pieces = -(-count // span)  # more windows only where the minimizer comes again
     which = np.repeat(np.arange(len(start)), pieces)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    at = start[which] + nth * RUN
-    windows = np.minimum(RUN, count[which] - nth * RUN)
+    at = start[which] + nth * span
+    windows = np.minimum(span, count[which] - nth * span)
     row = np.searchsorted(off, at, side="right") - 1
     # empty rows share an offset; the last of them holds the byte
     return row, at - off[row], windows, m[at], sums, part, off
@@ -103,17 +104,23 @@ def repeated_inside(part: np.ndarray, off: np.ndarray, row, start, windows, h, s
 
 
 def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, string, offset) of a shard's suffixes in order: the symbol
-    before each (0 at a string's start), ends ordered by string."""
+    """(symbols, string, offset) of a shard's suffixes in order.
+
+    A symbol is a pair of bytes; a suffix's symbol in the transform is the
+    pair before it.  Suffixes of less than a pair are the ends: they come
+    first, by string and length, and no suffix is before their pairs."""
     size = np.array([len(s) + 1 for s in strings])
     ends = np.cumsum(size) - 1
-    text = np.zeros(ends[-1] + 1, dtype=np.uint8)
+    text = np.zeros(ends[-1] + 1, dtype=np.int64)
     body = np.ones(len(text), dtype=bool)
     body[ends] = False
-    text[body] = np.frombuffer(b"".join(strings), dtype=np.uint8) + 1
-    rank = text.astype(np.int64) + len(strings)
-    rank[ends] = np.arange(len(strings))
-    left = np.repeat(ends, size) - np.arange(len(text))  # symbols before the end
+    text[body] = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    left = np.repeat(ends, size) - np.arange(len(text))  # bytes before the end
+    pair = np.zeros(len(text), dtype=np.int64)
+    pair[:-1] = text[:-1] * 256 + text[1:]
+    short = left < 2
+    rank = pair + 2 * len(strings)
+    rank[short] = np.arange(short.sum())
     step, most = 1, int(size.max())
     while True:
         order = np.argsort(rank, kind="stable")
@@ -122,39 +129,49 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         change[1:] = rank[order][1:] != rank[order][:-1]
         new = np.empty_like(change)
         new[order] = np.cumsum(change)
-        if new.max() == len(new) - 1 or step >= most:
+        if new.max() == len(new) - 1 or 2 * step >= most:
             break
         after = np.zeros_like(new)
-        ok = left >= step
-        after[ok] = new[np.flatnonzero(ok) + step] + 1
+        ok = left >= 2 * step
+        after[ok] = new[np.flatnonzero(ok) + 2 * step] + 1
         rank, step = new * (len(new) + 1) + after, 2 * step
-    before = np.concatenate([[0], text[:-1]])
-    before[ends[:-1] + 1] = 0
     owner = np.repeat(np.arange(len(strings)), size)
-    return before[order].astype(np.uint8), owner[order], (np.arange(len(text)) - (ends - size + 1)[owner])[order]
+    offset = np.arange(len(text)) - (ends - size + 1)[owner]
+    before = np.zeros(len(text), dtype=np.uint16)
+    before[2:] = pair[:-2]
+    return before[order], owner[order], offset[order]
 
 
-def interleave(symbols: list[np.ndarray], counts: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms: (shard of every merged rank, block of every merged
-    rank), blocks being the suffixes with equal first ``depth`` symbols."""
-    size = [len(s) for s in symbols]
-    n, ends = sum(size), sum(counts)
-    every = np.concatenate(symbols)
+    rank), blocks being the suffixes with equal first ``depth`` pairs.
+
+    Each step orders the suffixes by one pair more.  The rows whose suffix is
+    the first or second of its string stand for no suffix before it and drop
+    out; the ends take their places, each a block of its own."""
+    size = [len(p[0]) for p in parts]
+    n = sum(size)
+    counts = [int((p[2] < 2).sum()) for p in parts]
+    ends = sum(counts)
+    every, goes = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] >= 2 for p in parts])
     z = np.repeat(np.arange(len(size), dtype=np.uint8), size)
     top = np.repeat(np.arange(len(size), dtype=np.uint8), counts)
     block = np.zeros(n, dtype=np.int32)
+    merged, on = np.empty(n, dtype=np.uint16), np.empty(n, dtype=bool)
+    new = np.empty(n, dtype=np.int32)
+    new[:ends] = np.arange(ends)
     for _ in range(depth):
-        merged = np.empty(n, dtype=np.uint8)
-        merged[np.argsort(z, kind="stable")] = every
-        move = np.argsort(merged, kind="stable")[ends:]  # the ends keep their order
+        at = np.concatenate([np.flatnonzero(z == k) for k in range(len(size))])
+        merged[at], on[at] = every, goes
+        rows = np.flatnonzero(on)
+        move = rows[np.argsort(merged[rows], kind="stable")]
         c, b = merged[move], block[move]
-        new = np.empty(n, dtype=np.int32)
-        new[:ends] = np.arange(ends)
         edge = np.ones(n - ends, dtype=np.int32)
         edge[1:] = (c[1:] != c[:-1]) | (b[1:] != b[:-1])
-        new[ends:] = np.cumsum(edge) + ends - 1
+        np.cumsum(edge, out=new[ends:])
+        new[ends:] += ends - 1
         z = np.concatenate([top, z[move]])
-        block = new
+        block = new.copy()
         if n and new[-1] == n - 1:  # all suffixes told apart
             break
     return z, block
@@ -165,7 +182,9 @@ def repeats(strings: list[bytes], places: list[tuple[int, int, int]], windows: l
     place; ``places`` are (id, text, start) of the strings' first occurrences."""
     shards = [list(range(k, len(strings), SHARDS)) for k in range(min(SHARDS, len(strings)))]
     parts = [transform([strings[i] for i in own]) for own in shards]
-    z, block = interleave([p[0] for p in parts], [len(own) for own in shards], length)
+    if length % 2:
+        raise ValueError("pairs need an even length")
+    z, block = interleave(parts, length // 2)
     doc = {d: k for k, d in enumerate(sorted({p[:2] for p in places}))}
     rank, start = np.array([doc[p[:2]] for p in places]), np.array([p[2] for p in places])
     string, offset, found = [], [], []
@@ -278,7 +297,7 @@ def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> D
     return save(found.groupBy("th").agg(F.collect_set("h").alias("hs")), "suffix-marks")
 
 
-_STRING = "h long, s long, id long, th long, start long, windows int, bytes binary"
+_STRING = "h long, s long, id long, th long, start long, windows int, twice boolean, bytes binary"
 
 
 def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
@@ -287,19 +306,20 @@ def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -
     held = texts.sparkSession.sparkContext.broadcast(hot)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "s", "id", "th", "start", "windows", "bytes"]
-        kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+        names = ["h", "s", "id", "th", "start", "windows", "twice", "bytes"]
+        kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.binary()]
         for batch in batches:
             ids, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, off = tk.flat(batch.column(2))
             hs, n_hs = batch.column(3).flatten().to_numpy().view(np.uint64), batch.column(3).value_lengths().to_numpy()
             live = np.sort(tk.mixed(hs + tk.mixed(np.repeat(np.arange(len(n_hs)), n_hs).astype(np.uint64))))
             for i, j in tk.slices(off, SLICE):
-                row, start, windows, h, s, _, _, part, o = _routed(data, off[i:j + 1], length, held.value)
+                row, start, windows, h, s, _, sums, part, o = _routed(data, off[i:j + 1], length, held.value)
                 keep = _among(tk.mixed(h + tk.mixed((row + i).astype(np.uint64))), live)
                 row, start, windows, h, s = (x[keep] for x in (row, start, windows, h, s))
+                twice = repeated_inside(part, o, row, start, windows, h, sums, length) if len(h) else np.zeros(0, bool)
                 order = np.lexsort((start, ths[i + row], ids[i + row], s, h))
-                row, start, windows, h, s = (x[order] for x in (row, start, windows, h, s))
+                row, start, windows, h, s, twice = (x[order] for x in (row, start, windows, h, s, twice))
                 at, size = o[row] + start, windows + length - 1
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
@@ -307,7 +327,7 @@ def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -
                 ends = np.concatenate([[0], np.cumsum(lens)])
                 flat = part[np.repeat(at - ends[:-1], lens) + np.arange(ends[-1])]
                 carried = pa.Array.from_buffers(pa.binary(), len(h), [pa.py_buffer(np.packbits(first, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
-                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), carried], names, kinds)
+                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), twice, carried], names, kinds)
 
     both = texts.select("id", "th", "text").join(marks, "th").select("id", "th", "text", "hs")
     return save(both.mapInArrow(cut, _STRING), "suffix-strings")
@@ -329,8 +349,7 @@ def _merged(strings: DataFrame, length: int) -> DataFrame:
         state = {"h": None, "symbols": 0, "out": []}
 
         def close():
-            # one string is merged too: its own windows can repeat
-            if group and (len(group) > 1 or any(v[1] > 1 for v in group.values())):
+            if len(group) > 1 or any(v[2] for v in group.values()):
                 ready.extend((state["h"], b, *v) for b, v in group.items())
                 state["symbols"] += sum(len(b) + 1 for b in group)
             else:
@@ -351,13 +370,13 @@ def _merged(strings: DataFrame, length: int) -> DataFrame:
             return _emit(list(zip(*rows, strict=True)) or [[]] * 6, names, kinds)
 
         for batch in batches:
-            for h, s, i, th, start, windows, data in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+            for h, s, i, th, start, windows, twice, data in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
                 if h != state["h"]:
                     close()
                     state["h"] = h
                 old = group.get(data)
                 if old is None or (i, th, start) < old[0]:
-                    group[data] = ((i, th, start), windows, None, s)
+                    group[data] = ((i, th, start), windows, twice, s)
             yield drain()
         close()
         solve()

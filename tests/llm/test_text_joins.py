@@ -236,24 +236,27 @@ def test_removed_spans_match_brute_force(llm, monkeypatch, hot, symbols):
 
 
 def test_merged_transforms_order_all_suffixes():
+    """Ends first, then by pairs of bytes; blocks are equal first pairs."""
     rng = random.Random(1)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))).encode() for _ in range(21)]
     shards = [strings[k::3] for k in range(3)]
     parts = [suffix_dedup.transform(s) for s in shards]
-    z, block = suffix_dedup.interleave([p[0] for p in parts], [len(s) for s in shards], 40)
-    suffixes, nth = [], [0, 0, 0]
-    for k in z.tolist():
-        _, owner, at = parts[k]
-        suffixes.append((shards[k][owner[nth[k]]][at[nth[k]]:], owner[nth[k]] * 3 + k))
-        nth[k] += 1
-    # in order by text; an end sorts before any byte
-    texts = [s for s, _ in suffixes]
-    assert texts == sorted(texts)
-    assert len(set(block.tolist())) == len(block)
-    _, block = suffix_dedup.interleave([p[0] for p in parts], [len(s) for s in shards], 2)
-    for i in range(1, len(texts)):
-        same = texts[i][:2] == texts[i - 1][:2] and len(texts[i]) >= 2
-        assert (block[i] == block[i - 1]) == same
+    pairs = lambda s: tuple(s[i:i + 2] for i in range(0, len(s) // 2 * 2, 2))
+    for depth in (1, 3, 40):
+        z, block = suffix_dedup.interleave(parts, depth)
+        nth, texts = [0, 0, 0], []
+        for k in z.tolist():
+            _, owner, at = parts[k]
+            texts.append(shards[k][owner[nth[k]]][at[nth[k]]:])
+            nth[k] += 1
+        ends = sum(len(t) < 2 for t in texts)
+        assert all(len(t) < 2 for t in texts[:ends]) and ends == 2 * len(strings)
+        if depth == 40:
+            assert [pairs(t) for t in texts] == sorted(pairs(t) for t in texts)
+            assert len(set(block.tolist())) == len(block)
+        for i in range(ends + 1, len(texts)):
+            if min(len(texts[i]), len(texts[i - 1])) >= 2 * depth:
+                assert (block[i] == block[i - 1]) == (texts[i][:2 * depth] == texts[i - 1][:2 * depth])
 
 
 def test_suffix_odd_rows(llm, odd_docs, no_docs):
