@@ -206,11 +206,9 @@ class Group:
         ones_a, ones_b = (np.bitwise_count(m).sum(1, dtype=np.int64) for m in (a, b))
         both = np.bitwise_count(a[:, None, :] & b[None, :, :]).sum(2, dtype=np.int64)
         most = np.minimum(na - ones_a[:, None], nb - ones_b[None, :]) + both
-        # the group's token is the first that the two share, or another group has the pair
-        most = np.minimum(most, np.minimum(na - self.pos[x.at][:, None], nb - self.pos[y.at][None, :]))
         slack = most * (self.num + self.den) - self.num * (na + nb)
         ok = (slack >= 0) & (self.label[x.at][:, None] != self.label[y.at][None, :])
-        ok &= (np.minimum(na, nb) * self.den >= self.num * np.maximum(na, nb))
+        ok &= _can_link(na, nb, self.pos[x.at][:, None], self.pos[y.at][None, :], self.num, self.den)
         if self.block is not None:
             ok &= self.block[x.at][:, None] != self.block[y.at][None, :]
         if x is y:
@@ -284,8 +282,52 @@ def _routes(classes: DataFrame, num: int, den: int) -> DataFrame:
                        F.when(F.col("blocks") == 1, -1).otherwise(F.when(F.col("block") == F.col("other"), -1).otherwise(F.col("block"))).alias("block"), "cls", "n", "pos")
 
 
+def _can_link(na, nb, pos_a, pos_b, num: int, den: int):
+    """Whether sizes, and what follows the group's token in both sets, allow a
+    link.  (The token is the first that the two share, or another group has
+    the pair.)"""
+    most = np.minimum(na - pos_a, nb - pos_b)
+    return (most * (num + den) >= num * (na + nb)) & (np.minimum(na, nb) * den >= num * np.maximum(na, nb))
+
+
+def _paired(routes: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``routes`` that have a possible partner in their group,
+    before any bitmap moves."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pick(table: pa.Table) -> pa.Table:
+            key = [table.column(c).to_numpy() for c in ("token", "part")]
+            n, pos, block = (table.column(c).to_numpy() for c in ("n", "pos", "block"))
+            cuts = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
+            keep = np.zeros(len(n), dtype=bool)
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(n)], strict=True):
+                own = _can_link(n[i:j, None], n[None, i:j], pos[i:j, None], pos[None, i:j], num, den)
+                if block[i] >= 0:
+                    own &= block[i:j, None] != block[None, i:j]
+                np.fill_diagonal(own, False)
+                keep[i:j] = own.any(1)
+            return table.filter(pa.array(keep))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            table = pa.Table.from_batches(held).combine_chunks()
+            token, part = table.column("token").to_numpy(), table.column("part").to_numpy()
+            last = int(np.flatnonzero((token != token[-1]) | (part != part[-1])).max(initial=-1)) + 1
+            if last:  # the last group may go on
+                yield from pick(table.slice(0, last).combine_chunks()).to_batches()
+                held = table.slice(last).to_batches()
+        if held:
+            yield from pick(pa.Table.from_batches(held).combine_chunks()).to_batches()
+
+    near = routes.repartition("token", "part").sortWithinPartitions("token", "part")
+    return near.mapInArrow(run, routes.schema)
+
+
 def _candidates(units: DataFrame, num: int, den: int, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of classes that may link, over all groups."""
+    """(token, part, a, b): the groups' pairs of classes that may link."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         key = None
@@ -307,10 +349,13 @@ def _candidates(units: DataFrame, num: int, den: int, best_only: bool) -> DataFr
 
         def flush():
             if len(held) > 1:
-                return list(dict.fromkeys(join()))
+                return [(*key, *p) for p in dict.fromkeys(join())]
             return []
 
-        schema = ["a", "b"]
+        def emit(rows):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
+                                              names=["token", "part", "a", "b"])
+
         for batch in batches:
             out = []
             columns = [batch.column(i).to_pylist() for i in range(8)]
@@ -319,12 +364,11 @@ def _candidates(units: DataFrame, num: int, den: int, best_only: bool) -> DataFr
                     out += flush()
                     held, key = [], (token, part)
                 held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=schema)
-        out = flush()
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=schema)
+            yield emit(out)
+        yield emit(flush())
 
     near = units.select("token", "part", "cls", "n", "pos", "block", "label", "map").repartition("token", "part").sortWithinPartitions("token", "part")
-    return near.mapInArrow(run, "a long, b long").distinct()
+    return near.mapInArrow(run, "token long, part int, a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -384,19 +428,25 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str
 def _class_links(docs, profiles, k, num, den, id_col, text_col) -> DataFrame:
     """Verified links (a, b) between classes that connect all linked classes."""
     slim = profiles.where("cls IS NOT NULL").select("tie", "cls")
-    first = slim.groupBy("cls").agg(F.min("tie").alias("tie"))
-    again = save(slim.join(first, ["cls", "tie"], "left_anti").select("tie"), "ngram-copies")
-    classes = profiles.where("cls IS NOT NULL").join(bounded(again), "tie", "left_anti").select("cls", "n", "prefix", "map")
+    kept = slim.groupBy("cls").agg(F.min("tie").alias("tie"))
+    copies = save(slim.join(kept, ["cls", "tie"], "left_anti").select("tie"), "ngram-copies")
+    classes = profiles.where("cls IS NOT NULL").join(bounded(copies), "tie", "left_anti").select("cls", "n", "prefix", "map")
     routes = _routes(classes, num, den)
+    routes = save(_paired(routes, num, den), "ngram-routes")
+    settle(docs.sparkSession)
     units = save(routes.join(classes.select("cls", "map"), "cls"), "ngram-units")
     settle(docs.sparkSession)
-    tried = save(_candidates(units.withColumn("label", F.col("cls")), num, den, True), "ngram-pairs")
+    first = save(_candidates(units.withColumn("label", F.col("cls")), num, den, True), "ngram-pairs")
+    tried = save(first.select("a", "b").distinct(), "ngram-tried")
     wanted = tried.select(F.col("a").alias("cls")).union(tried.select("b")).distinct()
     linked = save(_verified(tried, _sets(docs, profiles, wanted, k, id_col, text_col), num, den), "ngram-links")
     settle(docs.sparkSession)
     label = save(components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root")), "ngram-labels")
-    labelled = units.join(label, "cls", "left").withColumn("label", F.coalesce("root", "cls"))
-    rest = save(_candidates(labelled, num, den, False).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+    # a group without a candidate pair has none for other labels either
+    alive = save(first.select("token", "part").distinct(), "ngram-alive")
+    again = units.join(bounded(alive), ["token", "part"], "leftsemi")
+    labelled = again.join(label, "cls", "left").withColumn("label", F.coalesce("root", "cls"))
+    rest = save(_candidates(labelled, num, den, False).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
     wanted = rest.select(F.col("a").alias("cls")).union(rest.select("b")).distinct()
     more = save(_verified(rest, _sets(docs, profiles, wanted, k, id_col, text_col), num, den), "ngram-links")
     return linked.union(more)
