@@ -16,9 +16,9 @@ shards, builds each shard's Burrows-Wheeler transform, and merges these
 without sorting all suffixes again: the interleave (which shard the i-th
 suffix of the merged order comes from) starts as the plain sequence of the
 shards and is refined step by step; a stable distribution of the interleave
-by the transforms' symbols orders the suffixes by one symbol (a pair of bytes)
+by the transforms' symbols (four bytes each) orders the suffixes by one symbol
 more.  The boundaries that appear in step d separate common prefixes of d - 1
-pairs, so after 50 steps the blocks left are the intervals of equal 100-byte
+symbols, so after 25 steps the blocks left are the intervals of equal 100-byte
 strings.  A string without another of its minimizer, and without that
 minimizer twice, is alone in its intervals and is not merged.
 The smallest place in a block stays, all others are repeats.
@@ -42,7 +42,7 @@ GRAM = 32
 #: Occurrences that make a minimizer's windows travel alone, and how many such
 #: minimizers there are at most (broadcast, 8 bytes each; with more the number
 #: of occurrences asked for grows).
-HOT = 10_000
+HOT = 25_000
 MOST_HOT = 500_000
 #: Symbols merged together, shards they are cut into, bytes of a slice.
 MERGE_SYMBOLS = 1 << 19
@@ -103,57 +103,76 @@ def repeated_inside(part: np.ndarray, off: np.ndarray, row, start, windows, h, s
     return np.searchsorted(key, (rank << 32) + at + windows + span - 1) - np.searchsorted(key, (rank << 32) + at) >= 2
 
 
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, string, offset) of a shard's suffixes in order.
-
-    A symbol is a pair of bytes; a suffix's symbol in the transform is the
-    pair before it.  Suffixes of less than a pair are the ends: they come
-    first, by string and length, and no suffix is before their pairs."""
+def codes(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, bytes before the end, sizes) of the strings' suffixes, one after
+    another, the empty one included; a code is the first ``width`` bytes as a
+    number (only where there are so many)."""
     size = np.array([len(s) + 1 for s in strings])
     ends = np.cumsum(size) - 1
-    text = np.zeros(ends[-1] + 1, dtype=np.int64)
-    body = np.ones(len(text), dtype=bool)
+    text = np.zeros(ends[-1] + width, dtype=np.int64)
+    body = np.zeros(len(text), dtype=bool)
+    body[:ends[-1]] = True
     body[ends] = False
     text[body] = np.frombuffer(b"".join(strings), dtype=np.uint8)
-    left = np.repeat(ends, size) - np.arange(len(text))  # bytes before the end
-    pair = np.zeros(len(text), dtype=np.int64)
-    pair[:-1] = text[:-1] * 256 + text[1:]
-    short = left < 2
-    rank = pair + 2 * len(strings)
+    n = int(ends[-1]) + 1
+    code = np.zeros(n, dtype=np.int64)
+    for k in range(width):
+        code = code * 256 + text[k:k + n]
+    return code, np.repeat(ends, size) - np.arange(n), size
+
+
+def alphabet(strings: list[bytes]) -> tuple[int, np.ndarray | None]:
+    """Bytes per symbol, and the symbols' codes in order: four bytes where the
+    strings hold no more than 65,535 different ones, else pairs as they are."""
+    code, left, _ = codes(strings, 4)
+    table = np.unique(code[left >= 4])
+    return (4, table) if len(table) < 1 << 16 else (2, None)
+
+
+def transform(strings: list[bytes], width: int, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, string, offset) of a shard's suffixes in order.
+
+    A symbol is ``width`` bytes; a suffix's symbol in the transform is the one
+    before it.  Suffixes of less than a symbol are the ends: they come first,
+    by string and length, and no suffix is before their symbols."""
+    code, left, size = codes(strings, width)
+    if table is not None:
+        code = np.searchsorted(table, code)
+    short = left < width
+    rank = code + width * len(strings)
     rank[short] = np.arange(short.sum())
     step, most = 1, int(size.max())
     while True:
         order = np.argsort(rank, kind="stable")
-        change = np.empty(len(order), dtype=np.int64)
-        change[0] = 0
-        change[1:] = rank[order][1:] != rank[order][:-1]
+        change, ranked = np.zeros(len(order), dtype=np.int64), rank[order]
+        change[1:] = ranked[1:] != ranked[:-1]
         new = np.empty_like(change)
         new[order] = np.cumsum(change)
-        if new.max() == len(new) - 1 or 2 * step >= most:
+        if new.max() == len(new) - 1 or width * step >= most:
             break
         after = np.zeros_like(new)
-        ok = left >= 2 * step
-        after[ok] = new[np.flatnonzero(ok) + 2 * step] + 1
+        ok = left >= width * step
+        after[ok] = new[np.flatnonzero(ok) + width * step] + 1
         rank, step = new * (len(new) + 1) + after, 2 * step
     owner = np.repeat(np.arange(len(strings)), size)
-    offset = np.arange(len(text)) - (ends - size + 1)[owner]
-    before = np.zeros(len(text), dtype=np.uint16)
-    before[2:] = pair[:-2]
+    offset = size[owner] - 1 - left
+    before = np.zeros(len(code), dtype=np.uint16)
+    before[width:] = code[:-width]
     return before[order], owner[order], offset[order]
 
 
-def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms: (shard of every merged rank, block of every merged
-    rank), blocks being the suffixes with equal first ``depth`` pairs.
+    rank), blocks being the suffixes with equal first ``depth`` symbols.
 
-    Each step orders the suffixes by one pair more.  The rows whose suffix is
-    the first or second of its string stand for no suffix before it and drop
+    Each step orders the suffixes by one symbol more.  The rows whose suffix
+    starts less than a symbol into its string have no suffix before and drop
     out; the ends take their places, each a block of its own."""
     size = [len(p[0]) for p in parts]
     n = sum(size)
-    counts = [int((p[2] < 2).sum()) for p in parts]
+    counts = [int((p[2] < width).sum()) for p in parts]
     ends = sum(counts)
-    every, goes = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] >= 2 for p in parts])
+    every, goes = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] >= width for p in parts])
     z = np.repeat(np.arange(len(size), dtype=np.uint8), size)
     top = np.repeat(np.arange(len(size), dtype=np.uint8), counts)
     block = np.zeros(n, dtype=np.int32)
@@ -181,10 +200,9 @@ def repeats(strings: list[bytes], places: list[tuple[int, int, int]], windows: l
     """For each string the windows (booleans) that also start at an earlier
     place; ``places`` are (id, text, start) of the strings' first occurrences."""
     shards = [list(range(k, len(strings), SHARDS)) for k in range(min(SHARDS, len(strings)))]
-    parts = [transform([strings[i] for i in own]) for own in shards]
-    if length % 2:
-        raise ValueError("pairs need an even length")
-    z, block = interleave(parts, length // 2)
+    width, table = alphabet(strings)
+    parts = [transform([strings[i] for i in own], width, table) for own in shards]
+    z, block = interleave(parts, length // width, width)
     doc = {d: k for k, d in enumerate(sorted({p[:2] for p in places}))}
     rank, start = np.array([doc[p[:2]] for p in places]), np.array([p[2] for p in places])
     string, offset, found = [], [], []
@@ -418,10 +436,10 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     Texts are UTF-8 bytes, a null text is empty.  Order is by id (null last);
     of rows with one id the smaller text hash comes first, equal rows follow
     each other in any order.  An empty table gives no rows; other columns are
-    not read.  ``length`` must be at least 40.
+    not read.  ``length`` is a multiple of 4, at least 40.
     """
-    if length < GRAM + 8:
-        raise ValueError("length is too small")
+    if length < GRAM + 8 or length % 4:
+        raise ValueError("length must be at least 40 and a multiple of 4")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))

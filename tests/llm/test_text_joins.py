@@ -235,28 +235,39 @@ def test_removed_spans_match_brute_force(llm, monkeypatch, hot, symbols):
     assert _got(suffix_dedup.deduplicate(llm.createDataFrame(rows, DOC).repartition(3))) == _deduplicated(rows, 100)
 
 
-def test_merged_transforms_order_all_suffixes():
-    """Ends first, then by pairs of bytes; blocks are equal first pairs."""
+@pytest.mark.parametrize("width", [2, 4])
+def test_merged_transforms_order_all_suffixes(width):
+    """Ends first, then by symbols; blocks are equal first symbols."""
     rng = random.Random(1)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))).encode() for _ in range(21)]
     shards = [strings[k::3] for k in range(3)]
-    parts = [suffix_dedup.transform(s) for s in shards]
-    pairs = lambda s: tuple(s[i:i + 2] for i in range(0, len(s) // 2 * 2, 2))
+    table = suffix_dedup.alphabet(strings)[1] if width == 4 else None
+    parts = [suffix_dedup.transform(s, width, table) for s in shards]
+    symbols = lambda s: tuple(s[i:i + width] for i in range(0, len(s) // width * width, width))
     for depth in (1, 3, 40):
-        z, block = suffix_dedup.interleave(parts, depth)
+        z, block = suffix_dedup.interleave(parts, depth, width)
         nth, texts = [0, 0, 0], []
         for k in z.tolist():
             _, owner, at = parts[k]
             texts.append(shards[k][owner[nth[k]]][at[nth[k]]:])
             nth[k] += 1
-        ends = sum(len(t) < 2 for t in texts)
-        assert all(len(t) < 2 for t in texts[:ends]) and ends == 2 * len(strings)
+        ends = sum(len(t) < width for t in texts)
+        assert all(len(t) < width for t in texts[:ends]) and ends == sum(min(width, len(s) + 1) for s in strings)
         if depth == 40:
-            assert [pairs(t) for t in texts] == sorted(pairs(t) for t in texts)
+            assert [symbols(t) for t in texts] == sorted(symbols(t) for t in texts)
             assert len(set(block.tolist())) == len(block)
         for i in range(ends + 1, len(texts)):
-            if min(len(texts[i]), len(texts[i - 1])) >= 2 * depth:
-                assert (block[i] == block[i - 1]) == (texts[i][:2 * depth] == texts[i - 1][:2 * depth])
+            if min(len(texts[i]), len(texts[i - 1])) >= width * depth:
+                assert (block[i] == block[i - 1]) == (texts[i][:width * depth] == texts[i - 1][:width * depth])
+
+
+def test_many_symbols_fall_back_to_pairs():
+    rng = random.Random(3)
+    noise = [rng.randbytes(120) for _ in range(700)]
+    assert suffix_dedup.alphabet(noise)[0] == 2 and suffix_dedup.alphabet(noise[:5])[0] == 4
+    strings = [*noise, noise[3][10:] + noise[4][:10]]
+    masks = suffix_dedup.repeats(strings, [(i, 0, 0) for i in range(701)], [21] * 700 + [21], 100)
+    assert not any(m.any() for m in masks[:700]) and masks[700].tolist() == [True] * 11 + [False] * 10
 
 
 def test_suffix_odd_rows(llm, odd_docs, no_docs):
