@@ -143,7 +143,7 @@ def transform(strings: list[bytes], width: int, table: np.ndarray | None) -> tup
     rank[short] = np.arange(short.sum())
     step, most = 1, int(size.max())
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)  # equal ranks are told apart by a later round
         change, ranked = np.zeros(len(order), dtype=np.int64), rank[order]
         change[1:] = ranked[1:] != ranked[:-1]
         new = np.empty_like(change)
