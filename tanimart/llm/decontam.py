@@ -1,8 +1,10 @@
 """Benchmark decontamination by CGK embedding and bit sampling.
 
-Texts and items are sequences of words (lower-cased runs of letters and
-digits).  A text is contaminated by an item of n words if some stretch of it
-is within floor(0.2 n) word edits of the item.
+Texts and items are sequences of words: lower-cased runs of letters, numbers
+and their marks (Unicode classes).  In scripts that put no spaces between words
+(Chinese, Japanese, Thai, ...) each letter with its marks is a word.  A text is
+contaminated by an item of n words if some stretch of it is within
+floor(0.2 n) word edits of the item.
 
 The CGK walk reads a sequence with one pointer: at step j it emits the word
 under the pointer and moves on if bit j of the word's hash is set.  Two
@@ -15,12 +17,16 @@ stands at position i in step j goes on the same way wherever it began.
 
 An item is looked up through all its windows of the largest power of two
 within two thirds of its length, in TABLES independent tables; candidates are
-aligned with the whole item and verified by exact edit distance.
+aligned with the whole item and verified by exact edit distance.  Items too
+short for an edit are looked up as a whole by one key.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +40,8 @@ TABLES = 4
 SAMPLES = 4
 #: Share of an item's words that may be edited.
 MOST_EDITS = 0.2
-#: Items with fewer words are too short to tell and match nothing.
-LEAST_WORDS = 5
+#: Items without a word are empty and match nothing.
+LEAST_WORDS = 1
 #: Longest window; longer items have more windows of this size.
 MOST_WINDOW = 32
 #: Item text bytes looked up in one pass; a larger benchmark takes several.
@@ -44,7 +50,56 @@ PASS_BYTES = 16 << 20
 SLICE = 1 << 19
 
 _GAP = np.ones(256, dtype=bool)
-_GAP[48:58] = _GAP[97:123] = _GAP[65:91] = _GAP[128:] = False
+_GAP[48:58] = _GAP[97:123] = _GAP[65:91] = False
+#: Kinds of characters: between words, inside a word, a word of its own, and
+#: going on with what stands before.
+BETWEEN, INSIDE, ALONE, MARK = range(4)
+#: Blocks of scripts without spaces: Thai, Lao, Myanmar, Khmer, Tai Le to New
+#: Tai Lue, Tai Tham, Balinese, Japanese and Chinese, Yi, Javanese, Myanmar
+#: extended, Tai Viet, Han compatibility, halfwidth kana, kana supplements, Han.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x3005, 0x3007), (0x3021, 0x312F),
+    (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+@cache
+def kinds() -> np.ndarray:
+    """Kind of every code point."""
+    classes = np.frombuffer("".join(unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1)).encode(), np.uint8)
+    out = np.zeros(len(classes), dtype=np.uint8)
+    out[(classes == ord("L")) | (classes == ord("N"))] = INSIDE
+    for lo, hi in UNSPACED:
+        out[lo:hi + 1][classes[lo:hi + 1] == ord("L")] = ALONE
+    out[0x3007] = out[0x3021:0x302A] = ALONE  # Han numerals of class N
+    out[classes == ord("M")] = MARK
+    out[0x200C:0x200E] = MARK  # joiners
+    return out
+
+
+def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first word of each row) of the words of rows off[i]:off[i+1]
+    of the UTF-8 ``data``."""
+    if not len(data) or int(data.max()) < 128:
+        return tk.words(data, off, _GAP)
+    at = np.flatnonzero((data & 0xC0) != 0x80)  # characters
+    lead, size = data[at], np.diff(at, append=len(data))
+    code = np.where(lead < 0x80, lead, lead & (0xFF >> np.minimum(size + 1, 7))).astype(np.int32)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << 6 | (data[at[more] + k] & 0x3F)
+    kind = kinds()[code]
+    rows = np.searchsorted(at, off[off < len(data)])
+    edge = np.zeros(len(at), dtype=bool)
+    edge[rows] = True
+    kind[edge & (kind == MARK)] = BETWEEN
+    # a mark is of the kind of the character it follows
+    base = kind[np.maximum.accumulate(np.where(kind != MARK, np.arange(len(at)), 0))]
+    first = (base != BETWEEN) & (kind != MARK)
+    first[1:] &= edge[1:] | (kind[1:] == ALONE) | (base[:-1] != INSIDE)
+    last = base != BETWEEN
+    last[:-1] &= first[1:] | edge[1:] | (base[1:] == BETWEEN)
+    start, end = at[first], (at + size)[last]
+    return start, end, np.searchsorted(start, off)
 
 
 def tokens(column) -> tuple[np.ndarray, np.ndarray, list]:
@@ -56,7 +111,7 @@ def word_codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """32-bit codes of the words of a slice, and each row's first word."""
     lo, hi = int(off[0]), int(off[-1])
     part, off = data[lo:hi], off - lo
-    start, end, first = tk.words(part, off, _GAP)
+    start, end, first = spans(part, off)
     if not len(start):
         return np.zeros(0, np.uint32), first
     return (tk.spans_hash(tk.prefix(tk.BYTE[part]), start, end) >> np.uint64(32)).astype(np.uint32), first
@@ -105,8 +160,20 @@ class Walk:
         return h * np.uint32(0x9E3779B1)
 
 
+def whole_keys(codes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of n words from every position that has so many."""
+    m = len(codes) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64)
+    h = codes[:m].astype(np.uint64)
+    for k in range(1, n):
+        h = tk.mixed(h * np.uint64(0x9E3779B97F4A7C15) + codes[k:m + k])
+    return h
+
+
 class Benchmark:
-    """Items, their window keys per (window size, table)."""
+    """Items, their window keys per (window size, table), and the whole keys
+    of items that allow no edit."""
 
     def __init__(self, items: list[tuple[int, str]]):
         column = pa.array([t for _, t in items], pa.string())
@@ -122,8 +189,15 @@ class Benchmark:
         self.maps = np.zeros((len(self.words), 4096), dtype=bool)
         for k, own in enumerate(self.words):
             self.maps[k, own >> np.uint32(20)] = True
-        for w in sorted({window_words(n) for n in self.length.tolist()}):
-            members = [k for k, n in enumerate(self.length.tolist()) if window_words(n) == w]
+        self.whole = []
+        for n in np.unique(self.length[self.edits == 0]).tolist():
+            who = np.flatnonzero(self.length == n)
+            key = np.concatenate([whole_keys(self.words[k], n) for k in who.tolist()])
+            order = np.argsort(key, kind="stable")
+            self.whole.append((n, key[order], who[order]))
+        longer = [(k, window_words(n)) for k, n in enumerate(self.length.tolist()) if self.edits[k]]
+        for w in sorted({w for _, w in longer}):
+            members = [k for k, own in longer if own == w]
             for t in range(TABLES):
                 walk, keys, who, where = Walk(w, t), [], [], []
                 for k in members:
@@ -157,10 +231,18 @@ class Benchmark:
                 rows.append(row_of[pos])
                 items.append(who[entry])
                 starts.append(pos - where[entry])
+        best: dict[tuple[int, int], int] = {}
+        for n, key, who in self.whole:
+            h = whole_keys(codes, n)
+            pos = np.flatnonzero(np.arange(n - 1, len(codes)) < ends[:len(h)])
+            lo, hi = np.searchsorted(key, h[pos], "left"), np.searchsorted(key, h[pos], "right")
+            for k in range(int((hi - lo).max(initial=0))):
+                on = np.flatnonzero(hi - lo > k)
+                pairs = np.unique(np.stack([row_of[pos[on]], who[lo[on] + k]], 1), axis=0)
+                best.update(((row, item), 0) for row, item in pairs.tolist())
         if not rows:
-            return []
+            return [(row, item, 0) for row, item in best]
         found = np.unique(np.stack([np.concatenate(rows), np.concatenate(items), np.concatenate(starts)], 1), axis=0)
-        best: dict[tuple[int, int], int] = {}
         found = found[self._plausible(codes, first, found)]
         for row, item, start in found.tolist():  # whole copies at once
             own = self.words[item]

@@ -94,6 +94,35 @@ def test_decontamination_odd_rows(llm, odd_docs, no_docs, monkeypatch):
     assert decontam.clean(odd_docs, bench.where("1 = 0")).count() == odd_docs.count()
 
 
+def test_short_items_and_unspaced_scripts_are_found(llm):
+    """Items of one to four words, and items without spaces, as verbatim copies and edited."""
+    chinese = "今天天气很好我们一起去公园散步然后回家吃饭看电视"
+    thai = "ภาษาไทยไม่มีช่องว่างระหว่างคำ"
+    hindi = "हिन्दी में शब्दों के बीच स्थान होता है"
+    items = [(0, "Yes"), (1, "blue whale"), (2, "the blue whale"), (3, "the big blue whale"), (4, chinese), (5, thai), (6, hindi), (7, "はい"), (8, "whale"), (9, "été — Über"), (10, " ́?!"), (11, "Blue, WHALE!")]
+    docs = [(0, "a yes b"), (1, "yesterday"), (2, "see the big blue whale swim"), (3, "the blue"), (4, "whale"), (5, f"前文前文{chinese}后文，abc"), (6, f"我说{chinese[:10]}在{chinese[11:]}了"),
+            (7, chinese[:8]), (8, f"ก่อน{thai}หลัง"), (9, f"x {hindi} y"), (10, "abcはいdef"), (11, "un été über"), (12, "́?! blue"), (13, "whale blue"), (14, None), (15, "in the blue whale")]
+    want = {(0, 0, 0), (2, 1, 0), (2, 3, 0), (2, 8, 0), (2, 11, 0), (4, 8, 0), (5, 4, 0), (6, 4, 1), (8, 5, 0), (9, 6, 0), (10, 7, 0), (11, 9, 0), (13, 8, 0), (15, 1, 0), (15, 2, 0), (15, 8, 0), (15, 11, 0)}
+    docs, items = llm.createDataFrame(docs, DOC).coalesce(1), llm.createDataFrame(items, "item_id long, text string")
+    assert {tuple(r) for r in decontam.matches(docs, items).collect()} == want
+    assert {r.doc_id for r in decontam.clean(docs, items).collect()} == {1, 3, 7, 12, 14}
+
+
+def test_words_by_unicode_class():
+    """Marks go on with a word, letters of unspaced scripts stand alone, rows are cut apart."""
+    import numpy as np
+
+    def cut(*rows):
+        data = [r.encode() for r in rows]
+        off = np.cumsum([0, *map(len, data)])
+        whole = b"".join(data)
+        start, end, first = decontam.spans(np.frombuffer(whole, np.uint8), off)
+        return [[whole[a:b].decode() for a, b in zip(start[i:j], end[i:j], strict=True)] for i, j in zip(first[:-1], first[1:], strict=True)]
+
+    assert cut("abc", "", "d_e f9") == [["abc"], [], ["d", "e", "f9"]]
+    assert cut("été—ét", "́x", "中文ab中", "ก่อa", "", "한국어 말", "𠀀x½") == [["été", "ét"], ["x"], ["中", "文", "ab", "中"], ["ก่", "อ", "a"], [], ["한국어", "말"], ["𠀀", "x½"]]
+
+
 # --- n-gram Jaccard join
 
 def _shingles(text, k):
