@@ -256,6 +256,13 @@ ORACLE.update({
         SELECT count(*) FILTER (WHERE regexp_matches(payload, '[\p{L}\p{N}]')) AS succeeded_rows,
                count(*) FILTER (WHERE payload IS NULL OR NOT regexp_matches(payload, '[\p{L}\p{N}]')) AS failed_rows
         FROM payloads""",
+    # entries with a row among the features, and the others
+    "catalogue_fingerprint_counts": "WITH " + _BITS + """
+        SELECT (SELECT count(*) FROM pop) AS succeeded_rows,
+               (SELECT count(*) FROM molecules WHERE mol_id NOT IN (SELECT mol_id FROM pop)) AS failed_rows""",
+    "catalogue_validation_counts": "WITH " + _BITS + """
+        SELECT (SELECT count(*) FROM pop) AS valid_rows,
+               (SELECT count(*) FROM molecules WHERE trim(text) <> '' AND mol_id NOT IN (SELECT mol_id FROM pop)) AS rejected_rows""",
     # a word of 64 bits is the sum of its bits' weights; 32 words of 16 hex digits are the 256 bytes
     "fingerprint_base64": "WITH " + _BITS + """,
         words AS (

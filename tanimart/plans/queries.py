@@ -169,6 +169,8 @@ def validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with and without a feature (see ``catalogue_validation_counts``
+    for whole texts)."""
     return validate.counts(_payloads(spark, sf_dir), text_col="payload")
 
 
@@ -197,11 +199,25 @@ def fingerprint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries fingerprinted vs entries without any feature."""
+    """Payloads (a fragment of each document) with and without a feature; see
+    ``catalogue_fingerprint_counts`` for whole texts."""
     mols = _payloads(spark, sf_dir).select("payload")
     return fpo.counts(mols, "payload")
 
 
+@register
+def catalogue_fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries fingerprinted vs entries without any feature: whole texts of the
+    whole catalogue."""
+    return fpo.counts(tables.molecules(spark, sf_dir), "text")
+
+
+@register
+def catalogue_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid and rejected entries: whole texts of the whole catalogue."""
+    return validate.counts(tables.molecules(spark, sf_dir))
+
+
 @register
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources that have a fingerprint, with their bit counts.

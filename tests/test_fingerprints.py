@@ -116,3 +116,13 @@ def test_rows_of_one_id_are_not_merged_and_can_be_refused(spark):
     with pytest.raises(fpo.DuplicateId, match="A"):
         fpo.require_unique(df)
     assert fpo.require_unique(df.dropDuplicates(["mol_id"])).count() == 2
+
+
+def test_catalogue_counts_read_whole_texts_of_both_tables(spark, scratch):
+    """Texts whose first fragment has no feature count by their words."""
+    from tanimart.plans import queries
+    docs = [(1, "Some words, and a mark.", "en", "a", 1), (2, "...", "en", "a", 1), (3, "x", "en", "a", 1), (4, " ", "en", "a", 1), (5, None, "en", "a", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(1, "an item."), (2, "?!")], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    assert tuple(queries.REGISTRY["catalogue_fingerprint_counts"](spark, scratch).first()) == (3, 4)
+    assert tuple(queries.REGISTRY["catalogue_validation_counts"](spark, scratch).first()) == (3, 2)
