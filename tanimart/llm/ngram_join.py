@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -217,8 +217,18 @@ class Group:
         out += zip(x.at[i].tolist(), y.at[j].tolist(), slack[i, j].tolist(), strict=True)
 
 
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def _first(id_col: str = "doc_id") -> Column:
+    """Of a group's rows the smallest id (null last), then the smallest text hash."""
+    return F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "th"))
+
+
 def _profiles(docs: DataFrame, k: int, num: int, den: int, common: Common, id_col: str, text_col: str) -> DataFrame:
-    """(tie, doc_id, n, cls, prefix, map) per row, written once."""
+    """(tie, doc_id, th, n, cls, prefix, map) per row, written once; th is the
+    text's hash."""
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,14 +240,14 @@ def _profiles(docs: DataFrame, k: int, num: int, den: int, common: Common, id_co
                 first = [t[: len(t) - -(-len(t) * num // den) + 1] if len(t) else t for _, t in both]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_class(s) if len(s) else None for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first))),
-                    pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n", "cls", "prefix", "map"])
+                    pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "th", "n", "cls", "prefix", "map"])
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("th"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = slim.mapInArrow(run, f"doc_id {kind}, n long, cls long, prefix array<long>, map binary")
+    out = slim.mapInArrow(run, f"doc_id {kind}, th long, n long, cls long, prefix array<long>, map binary")
     return save(out.withColumn("tie", F.monotonically_increasing_id()), "ngram-profiles")
 
 
@@ -414,17 +424,21 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str
     gives none; other columns are not read.
     """
     profiles = _profiles(docs, k, num, den, _common(docs, k, id_col, text_col), id_col, text_col)
-    slim = profiles.select("tie", "doc_id", "n", "cls")
-    linked = _class_links(docs, profiles, k, num, den, id_col, text_col)
-    member = slim.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    roots = components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root"))
-    rooted = save(member.join(roots, "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root")), "ngram-roots")
+    rooted = _rooted(docs, profiles, F.min("doc_id"), k, num, den, id_col, text_col)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     table = rooted.join(named, "root").select("cls", "component_id")
-    return slim.join(table, "cls", "left").select(
+    return profiles.select("doc_id", "n", "cls").join(table, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _rooted(docs, profiles, least: Column, k, num, den, id_col, text_col) -> DataFrame:
+    """(cls, least, root): each class with ``least`` of its rows and its component."""
+    linked = _class_links(docs, profiles, k, num, den, id_col, text_col)
+    member = profiles.where("cls IS NOT NULL").groupBy("cls").agg(least.alias("least"))
+    roots = components(linked, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root"))
+    return save(member.join(roots, "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root")), "ngram-roots")
+
+
 def _class_links(docs, profiles, k, num, den, id_col, text_col) -> DataFrame:
     """Verified links (a, b) between classes that connect all linked classes."""
     slim = profiles.where("cls IS NOT NULL").select("tie", "cls")
@@ -454,14 +468,24 @@ def _class_links(docs, profiles, k, num, den, id_col, text_col) -> DataFrame:
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that stay when of each
-    component the row with the smallest id is kept (of repeated rows with that
-    id, one).  Rows with a null id and rows without shingles stay."""
-    member = save(join(docs, k, num, den, id_col, text_col), "ngram-members")
-    gone = save(member.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "ngram-gone")
-    kept = docs.join(bounded(gone), F.col(id_col) == F.col("__gone"), "left_anti")
-    repeated = save(member.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("c")).where("c > 1").select("__again"), "ngram-again")
+    component one row is kept: the one with the smallest id (null last), of rows
+    with that id the one with the smallest text hash, of rows equal in both any
+    one.  Rows without shingles stay.
+
+    A row is told by its id and its text's hash, so rows that share an id, or
+    have none, go or stay each on its own.
+    """
+    profiles = _profiles(docs, k, num, den, _common(docs, k, id_col, text_col), id_col, text_col)
+    rooted = _rooted(docs, profiles, _first(), k, num, den, id_col, text_col)
+    stays = rooted.groupBy("root").agg(F.min("least").alias("stays"))
+    table = rooted.join(stays, "root").select("cls", "stays")
+    member = save(profiles.where("cls IS NOT NULL").select("doc_id", "th", "cls").join(table, "cls").select(
+        F.col("doc_id").alias("__id_of"), F.col("th").alias("__text_of"), (F.col("doc_id").eqNullSafe(F.col("stays.id")) & (F.col("th") == F.col("stays.th"))).alias("stays")), "ngram-members")
+    same = F.col(id_col).eqNullSafe(F.col("__id_of")) & (_text_hash(text_col) == F.col("__text_of"))
+    gone = save(member.where("NOT stays").select("__id_of", "__text_of").distinct(), "ngram-gone")
+    kept = docs.join(bounded(gone), same, "left_anti")
+    repeated = save(member.where("stays").groupBy("__id_of", "__text_of").agg(F.count("*").alias("c")).where("c > 1").select("__id_of", "__text_of"), "ngram-again")
     if repeated.isEmpty():
         return kept
-    again = F.col(id_col) == F.col("__again")
-    once = kept.join(bounded(repeated), again, "leftsemi").dropDuplicates([id_col, text_col])
-    return kept.join(bounded(repeated), again, "left_anti").unionByName(once)
+    once = kept.join(bounded(repeated), same, "leftsemi").dropDuplicates([id_col, text_col])
+    return kept.join(bounded(repeated), same, "left_anti").unionByName(once)

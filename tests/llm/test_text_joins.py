@@ -201,6 +201,27 @@ def test_join_odd_rows(llm, odd_docs, no_docs):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 4, 5, 6, 7, 9, 10, 11, 13]
 
 
+def _near(rng, n):
+    """A text and two near copies that are near each other only through it."""
+    words = [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    return " ".join(words), " ".join([*words[:-4], "a1", "b1", "c1", "d1"]), " ".join(["a2", "b2", "c2", "d2", *words[4:]])
+
+
+def test_one_of_each_tells_rows_that_share_an_id_apart(llm):
+    rng = random.Random(22)
+    (a, a1, a2), (b, b1, _), (c, c1, _), (d, d1, _) = (_near(rng, 80) for _ in range(4))
+    alone, free = _near(rng, 50)[0], _near(rng, 50)[0]
+    rows = [(1, a), (7, a1), (7, alone), (8, b), (8, b1), (None, a2), (None, c), (None, c1), (None, free), (9, d), (None, d1), (10, free), (11, ""), (11, None), (None, ""),
+            (12, d), (12, "last one of all texts in here")]
+    kept = collections.Counter((r.doc_id, r.text) for r in ngram_join.one_of_each(llm.createDataFrame(rows, DOC), 3, 80, 100).collect())
+    sure = [(1, a), (7, alone), (9, d), (10, free), (11, ""), (11, None), (None, ""), (12, "last one of all texts in here")]
+    assert all(kept[r] == 1 for r in sure)
+    rest = kept - collections.Counter(sure)
+    assert sorted(rest.values()) == [1, 1] and {i for i, _ in rest} == {8, None} and {t for _, t in rest} & {b, b1} and {t for _, t in rest} & {c, c1}
+    twice = llm.createDataFrame([(None, a)] * 3 + [(5, b)] * 2 + [(5, b1)], DOC)
+    assert sorted((r.doc_id or 0) for r in ngram_join.one_of_each(twice, 3, 80, 100).collect()) == [0, 5]
+
+
 def test_join_query(llm):
     rows = [(r.doc_id, r.text) for r in llm.read.parquet(f"{SF}/documents.parquet").collect()]
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in op8_ngram_join(llm, SF).collect())
