@@ -448,8 +448,8 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     first = save(slim.groupBy("th").agg(F.min("id").alias("first"), F.count("*").alias("c")), "suffix-classes")
     long = texts.where(F.octet_length("text") >= length)
     # rows that repeat an earlier row's text need no look at their text
-    copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select(F.col("id").alias("copy")).distinct(), "suffix-copies")
-    long = long.join(bounded(copies), F.col("id") == F.col("copy"), "left_anti")
+    copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select("id", "th").distinct(), "suffix-copies")
+    long = long.join(bounded(copies), ["id", "th"], "left_anti")
     live, hot = _live(long, length)
     marks = _marks(long, live, hot, length)
     settle(spark)

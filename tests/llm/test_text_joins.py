@@ -328,6 +328,16 @@ def test_suffix_odd_rows(llm, odd_docs, no_docs):
     assert suffix_dedup.deduplicate(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("same", [None, 7])
+def test_copies_under_a_shared_id_take_no_other_row_along(llm, same):
+    """A copy of row 3 under an id (or none) that another text shares."""
+    rng = random.Random(11)
+    passage, whole = prose(rng, 40), prose(rng, 80)
+    other = prose(rng, 20) + " " + passage
+    rows = [(1, prose(rng, 30) + " " + passage), (3, whole), (same, whole), (same, other), (9, prose(rng, 10) + " " + other)]
+    assert _got(suffix_dedup.deduplicate(llm.createDataFrame(rows, DOC))) == _deduplicated(rows, 100)
+
+
 def test_suffix_query(llm):
     rows = [(r.doc_id, r.text) for r in llm.read.parquet(f"{SF}/documents.parquet").collect()]
     assert _got(op6_suffix_dedup(llm, SF)) == _deduplicated(rows, 100)
