@@ -11,6 +11,8 @@ the default.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,18 +51,62 @@ def page_key(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value in a tag, entities decoded; empty if it has none."""
+    found = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|["']?([^\s"'>]+))"""
+    return decoded(F.concat(*[F.regexp_extract(tag, found, k) for k in (1, 2, 3)]))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with numeric and HTML 4 entities (and ``&apos;``) replaced, once."""
+    names = F.create_map(*[F.lit(x) for n, c in ({"apos": 39} | name2codepoint).items() for x in (n, chr(c))])
+
+    def piece(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z0-9]+);", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7)).cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(code.isNull(), F.try_element_at(names, name))
+        return F.when(i == 0, p).when(char.isNotNull(), F.concat(char, F.substring(p, F.length(name) + 2, F.length(p)))).otherwise(F.concat(F.lit("&"), p))
+
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
+
+
+def resolved(base: Column, to: Column) -> Column:
+    """``to`` as an absolute URL, seen from the page ``base``; null where it is
+    none (empty, another kind of scheme, or relative to a page without host).
+
+    Dot segments are removed from relative targets; absolute ones stay as they are."""
+    to = F.regexp_replace(to, r"^\s+|\s+$", "")
+    scheme, origin = F.regexp_extract(base, "^([^:/?#]+)://", 1), F.regexp_extract(base, "^([^:/?#]+://[^/?#]+)", 1)
+    path = url_path(base)
+    joined = F.when(to.startswith("/"), to).when(to.startswith("?"), F.concat(path, to)).otherwise(
+        F.concat(F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, "^(.*/)", 1)), to))
+    steps = F.split(F.regexp_extract(joined, "^([^?#]*)", 1), "/")
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda out, s: F.when(s == ".", out).when(
+        s == "..", F.when(F.size(out) > 1, F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).otherwise(out)).otherwise(F.concat(out, F.array(s))))
+    relative = F.concat(origin, F.array_join(kept, "/"), F.regexp_extract(joined, "^[^?#]*(.*)$", 1))
+    return (F.when(to == "", None).when(to.startswith("#"), base).when(to.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), to).when(to.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), None)
+            .when(origin == "", None).when(to.startswith("//"), F.concat(scheme, F.lit(":"), to)).otherwise(relative))
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b) page keys joined by a canonical link or a meta refresh of the page.
+    """(a, b) page keys joined by the canonical links and meta refreshes of the page.
 
-    Only absolute targets count.  Null urls or html give no edge."""
+    Attributes come in any order and quoting, with entities; relative targets
+    count from the page's url.  Null urls or html give no edge."""
     html = F.col(html_col)
-    canonical = F.coalesce(
-        F.nullif(F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical["']?[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1), F.lit("")),
-        F.nullif(F.regexp_extract(html, r"""(?is)<link\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)["']?[^>]*\brel\s*=\s*["']?canonical\b""", 1), F.lit("")))
-    refresh = F.nullif(F.regexp_extract(html, r"""(?is)<meta\b[^>]*http-equiv\s*=\s*["']?refresh["']?[^>]*\burl\s*=\s*["']?([^"'\s>]+)""", 1), F.lit(""))
+    tags = lambda name: F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b[^>]*>"), F.lit(0))
+    links = F.filter(tags("link"), lambda t: F.array_contains(F.split(F.lower(attribute(t, "rel")), r"\s+"), "canonical"))
+    refreshes = F.filter(tags("meta"), lambda t: F.lower(F.trim(attribute(t, "http-equiv"))) == "refresh")
+    # seconds, then the target with or without "url="; broken quotes cut the content short
+    target = lambda t: F.coalesce(
+        F.nullif(F.regexp_extract(attribute(t, "content"), r"""(?is)^\s*+[\d.]*+\s*+[;,]?+\s*+(?:url\s*+=\s*+)?+["']?+\s*+([^"'\s]+)""", 1), F.lit("")),
+        F.nullif(decoded(F.regexp_extract(t, r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1)), F.lit("")))
     has = html.rlike(r"(?i)canonical|refresh")
-    found = pages.where(has).select(page_key(F.col(url_col)).alias("a"), F.explode(F.array(canonical, refresh)).alias("to"))
-    return found.select("a", page_key(F.col("to")).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    found = pages.where(has).select(
+        F.col(url_col).alias("url"), F.explode(F.concat(F.transform(links, lambda t: attribute(t, "href")), F.transform(refreshes, target))).alias("to"))
+    found = found.select(page_key(F.col("url")).alias("a"), page_key(resolved(F.col("url"), F.col("to"))).alias("b"))
+    return found.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
 def fitting_rule(host: Column, path: Column, rules: list) -> Column:
@@ -85,7 +131,8 @@ def judge(pages: DataFrame, rules: list, redirects: DataFrame | None = None, id_
     """Return (id, host, path, rule, verdict, alias_class) per page.
 
     ``rules``: (host, path, "allow" | "block").  ``redirects``: optional
-    (src, dst) URLs besides the links found in the pages.  A null or odd url
+    (src, dst) URLs besides the links found in the pages; a relative dst counts
+    from src.  A null or odd url
     has empty host and path, fits no rule and gets the default; repeated rows
     are judged alike and each returned; an empty table gives no rows.  Hot
     classes are never gathered: a class's decision is a min per component,
@@ -98,7 +145,7 @@ def judge(pages: DataFrame, rules: list, redirects: DataFrame | None = None, id_
     judged = save(judged.withColumn("fit", fit).select("page_id", "host", "path", "node", "fit.rule", F.col("fit.verdict").alias("own")), "url-judged")
     edges = [] if html_col is None else [link_edges(pages, url_col, html_col)]
     if redirects is not None:
-        edges.append(redirects.select(page_key(F.col("src")).alias("a"), page_key(F.col("dst")).alias("b")))
+        edges.append(redirects.select(page_key(F.col("src")).alias("a"), page_key(resolved(F.col("src"), F.col("dst"))).alias("b")))
     votes = judged.where("node IS NOT NULL AND own IS NOT NULL").groupBy("node").agg(F.min("own").alias("own"))  # allow < block
     classes = None
     if edges:

@@ -102,6 +102,25 @@ def test_decisions_spread_over_redirects_and_canonical_links(llm):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "block", 9: "allow", 10: "block"}
 
 
+def test_every_form_of_link_is_an_edge(llm):
+    link, meta = '<link rel="canonical" href="%s">', '<meta http-equiv="refresh" content="%s">'
+    base, forms = "http://h.net/d/e/p.html?q=1#f", [
+        (link % "/de/1", "h.net/de/1"), (link % "//host.org/x", "host.org/x"), (link % "x.html", "h.net/d/e/x.html"), (link % "./x.html", "h.net/d/e/x.html"), (link % "../x/../y", "h.net/d/y"),
+        (link % "../../../z", "h.net/z"), (link % "?a=2&amp;b=3", "h.net/d/e/p.html?a=2&b=3"), (link % "http://o.org/a?x=1&#38;y=2", "o.org/a?x=1&y=2"), (link % "http://o.org/&#xe9;&eacute;&amp;lt;&z", "o.org/éé&lt;&z"),
+        ("<LINK HREF='/u' REL='alternate Canonical'/>", "h.net/u"), ("<link href=/u rel=canonical>", "h.net/u"), (link % " http://o.org/s ", "o.org/s"),
+        (meta % "0; url=/r", "h.net/r"), ('<meta content="5;URL=next.html" http-equiv="Refresh">', "h.net/d/e/next.html"), (meta % "0;url='http://o.org/?a&amp;b'", "o.org?a&b"), (meta % "3, http://o.org/t", "o.org/t"),
+        ("<meta content=0;url=//o.org/v http-equiv=refresh>", "o.org/v"), (meta % "0; url=http://o.org/w>", "o.org/w"),
+        (link % "", None), (link % "#top", None), (link % "mailto:a@b.c", None), (link % "javascript:x()", None), (meta % "30", None), (meta % "0; url=", None), ('<link rel="stylesheet" href="/canonical.css">', None)]
+    rows = [(i, base.replace("h.net", f"h{i}.net"), html) for i, (html, _) in enumerate(forms)]
+    df = llm.createDataFrame([*rows, (90, None, link % "/a"), (91, "odd", link % "/a")], "page_id long, url string, html string")
+    want = {(f"h{i}.net/d/e/p.html?q=1", to.replace("h.net", f"h{i}.net")) for i, (_, to) in enumerate(forms) if to}
+    assert {(r.a, r.b) for r in url_filter.link_edges(df).collect()} == want
+    rows = [(1, "http://a.net/x/1", link % "/de/1?a=1&amp;b=2"), (2, "https://a.net/de/1?b=2&a=1", None), (3, "http://c.net/", None), (4, "http://c.net/old", None)]
+    moved = llm.createDataFrame([("http://c.net/old", "/")], "src string, dst string")
+    got = _judge(llm, rows, [("a.net", "/de/", "block"), ("c.net", "/old", "block")], redirects=moved)
+    assert {i: r.verdict for i, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block"}
+
+
 def test_urls_empty_and_repeated(llm):
     assert _judge(llm, [], URL_RULES) == {}
     df = llm.createDataFrame([(1, "http://a.org/", None), (1, "http://a.org/", None), (None, None, None)], "page_id long, url string, html string")
