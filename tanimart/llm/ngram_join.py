@@ -398,9 +398,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _sets(docs: DataFrame, profiles: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(cls, tokens) of the wanted classes, from one text of each."""
-    ids = save(profiles.join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("__id")), "ngram-wanted")
-    held = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(bounded(ids.select("__id").distinct()), "__id", "leftsemi")
+    """(cls, tokens) of the wanted classes, from one text of each: its id may
+    be null or repeated, so the text's hash goes with it."""
+    ids = save(profiles.select("cls", "doc_id", "th").join(wanted, "cls").groupBy("cls").agg(_first().alias("first")).select("cls", F.col("first.id").alias("own"), "first.th"), "ngram-wanted")
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("__th"))
+    held = texts.join(bounded(ids.select("own", "th")), (F.col("__th") == F.col("th")) & F.col("__id").eqNullSafe(F.col("own")), "leftsemi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

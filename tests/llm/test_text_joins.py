@@ -207,6 +207,14 @@ def _near(rng, n):
     return " ".join(words), " ".join([*words[:-4], "a1", "b1", "c1", "d1"]), " ".join(["a2", "b2", "c2", "d2", *words[4:]])
 
 
+def test_null_id_near_copy_bridges_two_documents(llm):
+    bridge, one, two = _near(random.Random(21), 60)
+    rows = [(1, one), (2, two), (None, bridge), (4, "something else entirely here"), (None, "one more with no id")]
+    assert (2, 58, 1) in _linked(rows, 3, 85, 100) and (2, 58, 2) in _linked(rows[:2], 3, 85, 100)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(llm.createDataFrame(rows, DOC), 3, 85, 100).collect())
+    assert got == _linked(rows, 3, 85, 100)
+
+
 def test_one_of_each_tells_rows_that_share_an_id_apart(llm):
     rng = random.Random(22)
     (a, a1, a2), (b, b1, _), (c, c1, _), (d, d1, _) = (_near(rng, 80) for _ in range(4))
