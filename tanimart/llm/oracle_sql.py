@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express on whole tables.
 
-The others (1, 2, 3, 5, 6, 8, 9, pipeline) need base32, CRC-32, approximate
-search, edit distances or a trained model, or are too slow as SQL; tests
+The others (1, 2, 3, 5, 6, 8, 9, 11, 13, pipeline) need base32, CRC-32, approximate
+search, edit distances, eigenvectors, a tokenizer or a trained model, or are too slow as SQL; tests
 compare them with brute force, a round trip or held-out accuracy.
 """
 
@@ -119,8 +119,38 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copies AS INTEGER) AS mix_copie
        CAST('0x' || substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || copy), 1, 13) AS BIGINT) AS mix_key
 FROM copied"""
 
+_GAP = "[\\x20\\x09-\\x0D]"
+_WORD = "[^\\x20\\x09-\\x0D]"
+_DRAW = "CAST('0x' || substr(digest, {}, 8) AS BIGINT)"
+
+_FIM = f"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+           regexp_extract_all(coalesce(text, ''), '{_GAP}*{_WORD}+|{_GAP}+') AS tokens
+    FROM documents
+),
+drawn AS (
+    SELECT doc_id, text, tokens, CAST(len(tokens) AS BIGINT) AS n,
+           {_DRAW.format(1)} % (len(tokens) + 1) AS a, {_DRAW.format(9)} % (len(tokens) + 1) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_DRAW.format(17)} % 100 >= 50 THEN 'plain'
+                WHEN {_DRAW.format(25)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM t
+),
+parts AS (
+    SELECT doc_id, text, n, form, array_to_string(tokens[:least(a, b)], '') AS prefix,
+           array_to_string(tokens[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(tokens[greatest(a, b) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
 ORACLE: dict[str, str] = {
     "op4_mix_poisson": _MIX,
     "op7_chat_perspectives": _CHAT,
     "op10_url_equivalence": _URLS,
+    "op12_fim_wavelet": _FIM,
 }

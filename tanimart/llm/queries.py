@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import ann, chat, decontam, mixing, ngram_join, quality, sharding, suffix_dedup, url_filter, warc
+from . import ann, chat, decontam, fim, mixing, ngram_join, packing, quality, sharding, suffix_dedup, url_filter, warc, whitening
 from .common import fresh_path, read
 
 #: Fixed rules of the URL filter: host, path, verdict.
@@ -94,6 +94,29 @@ def op10_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_whiten_cholesky_qr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on its 16 whitening components."""
+    rows = whitening.whiten(read(spark, sf_dir, "embeddings"), 16)
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_fim_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, and the text rebuilt from it."""
+    out = fim.transform(read(spark, sf_dir, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("fim_text")).alias("output_sha256"),
+                      sha(fim.restored("fim_text", "form")).alias("restored_sha256"))
+
+
+def op13_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens.
+
+    The checksum is taken from the written ids, which stay where they are."""
+    table = packing.pieces(read(spark, sf_dir, "documents"), capacity=1024)
+    slim = table.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(slim, 1024).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op6_suffix_dedup, op7_chat_perspectives, op8_ngram_join, op9_quality_nbsvm, op10_url_equivalence)
+    f.__name__: f for f in (op1_warc_index, op2_decontaminate_cgk, op3_ann_collisions, op4_mix_poisson, op5_shard_splitters, op6_suffix_dedup, op7_chat_perspectives, op8_ngram_join, op9_quality_nbsvm, op10_url_equivalence, op11_whiten_cholesky_qr, op12_fim_wavelet, op13_pack_best_fit)
 }
