@@ -19,6 +19,7 @@ every task numbers its own, and the tasks' counts are summed up before it.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -32,13 +33,24 @@ from . import textkit as tk
 from .common import save
 
 #: Text bytes tokenised together (a longer text is a slice of its own).
-SLICE = 1 << 21
+SLICE = 1 << 22
 #: Different stretches whose ids a worker keeps; full, it starts anew.
-KEPT = 400_000
+KEPT = 600_000
 #: Stretches at most so long are kept.
 SHORT = 48
 
-_held: dict = {}  # of this worker: tokenizer and known stretches by tokenizer text
+_held: dict = {}  # of this worker: tokenizer, model and known stretches by tokenizer text
+
+#: Stretches that the splitting pattern leaves whole: one word of letters (ASCII,
+#: Latin up to U+027F, Cyrillic up to U+047F), with the space before it.
+WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9\xd0\xd1][\x80-\xbf])+")
+#: Byte-level models spell a byte as a character: visible Latin-1 as itself, the
+#: others, in order, from U+0100 on.
+_SEEN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+SPELLING = {b: chr(b) for b in _SEEN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SEEN)))}
+
+#: A second random value per byte: spans are equal if two independent hashes are.
+_BYTE2 = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 class _Kind:
@@ -97,18 +109,24 @@ def _tokenizer(text: str, specials: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_str(text)
         tokenizer.encode_special_tokens = not specials
-        _held[key] = (tokenizer, {})
+        _held[key] = (tokenizer, tokenizer.model, {})
     return _held[key]
 
 
-def encoded(part: np.ndarray, off: np.ndarray, tokenizer, known: dict, by_stretch: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, offsets) of the texts off[i]:off[i+1] of ``part``."""
+def encoded(part: np.ndarray, off: np.ndarray, tokenizer, model, known: dict, by_stretch: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, offsets) of the texts off[i]:off[i+1] of ``part``.
+
+    ``by_stretch``: each different stretch is tokenised once, a single word by
+    the merges alone; else the texts as they are."""
     raw = part.tobytes()
 
     def ids_of(keys: list[bytes]) -> list[bytes]:
         found = tokenizer.encode_batch([k.decode("utf-8", "replace") for k in keys], add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def merged(word: bytes) -> bytes:
+        return array("I", [t.id for t in model.tokenize(word.decode("latin-1").translate(SPELLING))]).tobytes()
+
     if not by_stretch:
         flat = ids_of([raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
         return np.frombuffer(b"".join(flat), np.uint32), np.concatenate([[0], np.cumsum([len(x) // 4 for x in flat])]).astype(np.int64)
@@ -116,27 +134,24 @@ def encoded(part: np.ndarray, off: np.ndarray, tokenizer, known: dict, by_stretc
     start, end = place[:-1], place[1:]
     if not len(start):
         return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-    sums = tk.prefix(tk.BYTE[part])
-    _, first, which = np.unique(tk.spans_hash(sums, start, end), return_index=True, return_inverse=True)
-    # equal hashes: the bytes are compared, whatever differs is looked up itself
-    size = end - start
-    odd = size != size[first][which]
-    same = np.flatnonzero(~odd)
-    own = np.repeat(start[same] - (np.cumsum(size[same]) - size[same]), size[same]) + np.arange(size[same].sum())
-    like = np.repeat(start[first][which[same]] - (np.cumsum(size[same]) - size[same]), size[same]) + np.arange(size[same].sum())
-    wrong = part[own] != part[like]
-    if wrong.any():
-        odd[same[np.searchsorted(np.cumsum(size[same]), np.flatnonzero(wrong), side="right")]] = True
-    extra = np.flatnonzero(odd)
+    hashes = tk.spans_hash(tk.prefix(tk.BYTE[part]), start, end)
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    check = tk.spans_hash(tk.prefix(_BYTE2[part]), start, end)
+    extra = np.flatnonzero(check != check[first][which])  # equal in one hash only
     which[extra] = len(first) + np.arange(len(extra))
     first = np.concatenate([first, extra])
     keys = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
     values = [known.get(k) for k in keys]
     missing = [i for i, v in enumerate(values) if v is None]
-    for i, v in zip(missing, ids_of([keys[i] for i in missing]), strict=True):
+    words = [i for i in missing if WORD.fullmatch(keys[i])]
+    others = sorted(set(missing) - set(words))
+    for i in words:
+        values[i] = merged(keys[i])
+    for i, v in zip(others, ids_of([keys[i] for i in others]), strict=True):
         values[i] = v
+    for i in missing:
         if len(keys[i]) <= SHORT:
-            known[keys[i]] = v
+            known[keys[i]] = values[i]
     if len(known) > KEPT:
         known.clear()
     flat, many = np.frombuffer(b"".join(values), np.uint32), np.array([len(v) // 4 for v in values], np.int64)
@@ -173,18 +188,18 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024,
     spec = json.loads(content)
     split = spec.get("pre_tokenizer") or {}
     # stretches are tokenised alone only where that is known to change nothing
-    by_stretch = not specials and spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    by_stretch = not specials and spec.get("normalizer") is None and spec["model"].get("type", "BPE") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
     kind = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)] + [T.StructField(c, t) for c, t in _PIECE])
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        worker, known = _tokenizer(held.value, specials)
+        worker, model, known = _tokenizer(held.value, specials)
         for batch in batches:
             data, off = tk.flat(batch.column(1))
             for i, j in tk.slices(off, SLICE):
-                ids, o = encoded(data[off[i]:off[j]], off[i:j + 1] - off[i], worker, known, by_stretch)
+                ids, o = encoded(data[off[i]:off[j]], off[i:j + 1] - off[i], worker, model, known, by_stretch)
                 size = np.diff(o) + 1  # with the end id
                 all_ids = np.empty(len(ids) + len(size), "<u4")
                 last = np.cumsum(size) - 1

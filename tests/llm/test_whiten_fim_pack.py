@@ -206,11 +206,11 @@ def test_packing_query_matches_the_tokenizer(llm, tokenizer):
 
 def test_stretches_change_no_ids(llm, tokenizer):
     rng = random.Random(11)
-    letters = ["a", "B", "é", "ß", "Ж", "漢", "😀", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x85", "\xa0", " ", "　", " ", "'", "'s", "'ll", ".", "...", "_", "-", "1", "23", "²", "½", "\x00", "\x1c", "\x7f", "é", "<|endoftext|>", "the", " word", " end.\n"]
+    letters = ["a", "B", "é", "ß", "Ж", "漢", "😀", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x85", "\xa0", " ", "　", " ", "'", "'s", "'ll", ".", "...", "_", "-", "1", "23", "²", "½", "\x00", "\x1c", "\x7f", "é", "<|endoftext|>", "the", " word", " end.\n", "größe", " Ünïcödé", " слово", "×", "ʰ", "ɐ"]
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(4000)] + ["", " ", "\n", "a\n", "\na", "a \n b", "don't 'tis \n'll"]
     part = np.frombuffer("".join(texts).encode(), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
-    ids, o = packing.encoded(part, off, tokenizer, {}, True)
+    ids, o = packing.encoded(part, off, tokenizer, tokenizer.model, {}, True)
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [ids[a:b].tolist() for a, b in zip(o[:-1], o[1:], strict=True)] == want
 
