@@ -41,10 +41,10 @@ N_WORDS = FINGERPRINT_BITS // WORD_BITS
 TOKEN_SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 HASH_HEX_DIGITS = 8
 
-# Scoring join: pairs that one (band, salt) holds at most, and the fewest
-# candidates a band is cut down to for it.
-SALT_PAIRS = 100_000
-SALT_ROWS = 200
+# Scoring: rows of a block of sources and of a block of candidates (256 bytes
+# each); two blocks meet in one task.
+BLOCK_SOURCES = 512
+BLOCK_CANDIDATES = 4096
 
 # Number of sources picked for the pivot view (the reference hardcodes ten).
 PIVOT_SOURCES = 10
@@ -52,9 +52,10 @@ PIVOT_SOURCES = 10
 # Date forms the safe date cast accepts, tried in order: ISO with one- or
 # two-digit parts (also with a time after it), month first with slashes,
 # compact, and with month names.
-DATE_FORMATS = ["yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d'T'H:mm:ss", "M/d/yyyy", "yyyyMMdd",
-                "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
+DATE_FORMATS = ["yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d'T'H:mm:ss", "yyyy-M-d'T'H:mm", "yyyy/M/d",
+                "M/d/yyyy", "M/d/yy", "yyyyMMdd", "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
 
-# Text that counts as a number: decimal digits, a point and an exponent; no
-# type suffix, no hexadecimal form, no NaN or infinity.
-NUMBER_PATTERN = r"^ *[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
+# Text that counts as a number: decimal digits, a point and an exponent, with
+# white space around; no type suffix, no hexadecimal form, no NaN or infinity.
+NUMBER_PADDING = " \t\n\x0b\f\r"
+NUMBER_PATTERN = r"^[ \t\n\x0B\f\r]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\n\x0B\f\r]*$"

@@ -5,7 +5,7 @@ All of these are built-in Spark expressions; no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tanimart import config
@@ -27,9 +27,11 @@ def is_present(c: Column | str) -> Column:
 
 
 def safe_number(c: Column | str) -> Column:
-    """Text -> double, NULL when the text is not a decimal number."""
+    """Text -> double, NULL when the text is not a decimal number or is too
+    large for a double (it must not pass as infinity)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike(config.NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    value = F.when(c.rlike(config.NUMBER_PATTERN), F.btrim(c, F.lit(config.NUMBER_PADDING)).try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def positive_or_null(c: Column) -> Column:
@@ -38,10 +40,28 @@ def positive_or_null(c: Column) -> Column:
 
 
 def safe_date(c: Column | str, formats: list[str] | None = None) -> Column:
-    """Text -> date using an explicit list of formats, NULL when none fits."""
+    """Text -> date using an explicit list of formats, NULL when none fits.
+
+    A year of two digits is one of 1970 to 2069."""
     c = F.col(c) if isinstance(c, str) else c
     fmts = formats or config.DATE_FORMATS
-    return F.coalesce(*[F.try_to_date(F.trim(c), f) for f in fmts])
+
+    def parsed(form: str) -> Column:
+        date = F.try_to_date(F.trim(c), form)
+        if not form.endswith("/yy"):
+            return date
+        return F.when(F.year(date) > 2069, F.add_months(date, -1200)).otherwise(date)
+
+    return F.coalesce(*[parsed(f) for f in fmts])
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is evaluated once per row, however often and
+    under whatever filter it is read: the optimizer copies the expression of a
+    projected column into the filters it pushes below joins and projections,
+    but moves none below a generator.  Joins that do not read the column still
+    go below it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def normalized_name(c: Column | str) -> Column:

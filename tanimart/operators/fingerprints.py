@@ -26,8 +26,12 @@ def feature_bits(text: str, features: Column | None = None) -> Column:
 
 def fingerprint_bits(df: DataFrame, id_col: str = "mol_id", text_col: str = "text",
                      features: Column | None = None) -> DataFrame:
-    """Long form: distinct (mol_id, bit).  Entries without features vanish."""
-    return df.select(F.col(id_col).alias("mol_id"), F.explode(feature_bits(text_col, features)).alias("bit"))
+    """Long form: distinct (mol_id, bit).  Entries without features vanish.
+
+    The outer form: a plain ``explode`` is given a filter on the array's size,
+    and that filter would hash every text once more."""
+    bits = df.select(F.col(id_col).alias("mol_id"), F.explode_outer(feature_bits(text_col, features)).alias("bit"))
+    return bits.filter(F.col("bit").isNotNull())
 
 
 def _packed(bits: str) -> Column:
@@ -48,7 +52,7 @@ def _packed(bits: str) -> Column:
 def fingerprints(df: DataFrame, id_col: str = "mol_id", text_col: str = "text",
                  features: Column | None = None) -> DataFrame:
     """(mol_id, fp ARRAY<BIGINT>(32), n_bits) for entries with >= 1 feature."""
-    bits = df.select(F.col(id_col).alias("mol_id"), feature_bits(text_col, features).alias("_bits"))
+    bits = tx.once(df, "_bits", feature_bits(text_col, features)).select(F.col(id_col).alias("mol_id"), "_bits")
     return (bits.filter(F.size("_bits") > 0)
             .select("mol_id", _packed("_bits").alias("fp"), F.size("_bits").alias("n_bits")))
 
@@ -67,11 +71,12 @@ def unpack(fps: DataFrame) -> DataFrame:
 
     Generators only (no per-element lambdas): non-zero words are exploded
     with their index, then each word's 64-character binary string (MSB
-    first, matching the layout) with the character position.
+    first, matching the layout) with the character position.  Outer forms, so
+    that no filter on an array's size evaluates it twice.
     """
-    words = fps.select("mol_id", F.posexplode("fp").alias("word", "w")).filter(F.col("w") != 0)
+    words = fps.select("mol_id", F.posexplode_outer("fp").alias("word", "w")).filter(F.col("w") != 0)
     chars = words.select("mol_id", "word",
-                         F.posexplode(F.split(F.lpad(F.bin("w"), config.WORD_BITS, "0"), "")).alias("pos", "c"))
+                         F.posexplode_outer(F.split(F.lpad(F.bin("w"), config.WORD_BITS, "0"), "")).alias("pos", "c"))
     return (chars.filter(F.col("c") == "1")
             .select("mol_id", (F.col("word") * config.WORD_BITS + F.col("pos")).cast("int").alias("bit")))
 

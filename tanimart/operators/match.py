@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tanimart import config
 from tanimart.functions import text as tx
 
-OVERRIDE_SCHEMA = T.StructType([
-    T.StructField("override_from", T.StringType()),
-    T.StructField("override_to", T.StringType()),
-])
+OVERRIDE_SCHEMA = pa.schema([("override_from", pa.string()), ("override_to", pa.string())])
 
 
 def overrides_frame(spark: SparkSession, overrides: dict[str, str] | None = None) -> DataFrame:
-    """The override map as a (tiny, constant) relation; empty map -> no rows."""
+    """The override map as a constant relation; empty map -> no rows.
+
+    From an Arrow table, so it is a literal in the plan: Spark knows its size
+    and broadcasts it without a shuffle of the other side."""
     overrides = config.NAME_OVERRIDES if overrides is None else overrides
-    return spark.createDataFrame(list(overrides.items()), OVERRIDE_SCHEMA)
+    columns = [list(overrides.keys()), list(overrides.values())]
+    return spark.createDataFrame(pa.table(columns, schema=OVERRIDE_SCHEMA))
 
 
 def match_names(typed: DataFrame, dictionary: DataFrame, overrides: DataFrame,

@@ -15,13 +15,14 @@ def default_rule(text_col: str = "text") -> Column:
 
 
 def with_validity(df: DataFrame, rule: Column, text_col: str = "text") -> DataFrame:
-    """Non-blank rows only, each with ``is_valid`` (NULL rule result -> False)."""
-    return (df.filter(tx.is_present(text_col))
-            .withColumn("is_valid", F.coalesce(rule, F.lit(False))))
+    """Rows with ``is_valid``: NULL where the text is blank, else the rule (its
+    NULL is False).  The rule is evaluated once per row, above the joins that
+    cut ``df`` by its other columns."""
+    return tx.once(df, "is_valid", F.when(tx.is_present(text_col), F.coalesce(rule, F.lit(False))))
 
 
 def split(df: DataFrame, rule: Column | None = None, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) frames over one lazily shared input."""
+    """(valid, rejected) frames over one lazily shared input; blank rows are in neither."""
     flagged = with_validity(df, rule if rule is not None else default_rule(text_col), text_col)
     return flagged.filter("is_valid").drop("is_valid"), flagged.filter(~F.col("is_valid")).drop("is_valid")
 

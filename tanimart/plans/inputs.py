@@ -9,6 +9,7 @@ different column subsets) -- the same shapes the CSV loader resolves.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def customer_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name dictionary: (name, matched_id)."""
     c = tables.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     return (c.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("long").alias("matched_id"))
-            .unionByName(spark.createDataFrame(EXTRA_NAMES, "name string, matched_id long")))
+            .unionByName(spark.createDataFrame(pa.table({"name": [n for n, _ in EXTRA_NAMES], "matched_id": [i for _, i in EXTRA_NAMES]}))))
 
 
 def _numbered(prefix: str, key: str) -> F.Column:

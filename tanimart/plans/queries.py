@@ -222,8 +222,9 @@ def catalogue_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources that have a fingerprint, with their bit counts.
 
-    The ids cut the catalogue before it is tokenised."""
-    mols = lookup.found(simplan.valid_molecules(spark, sf_dir).select("mol_id", "text"), _requests(spark, sf_dir))
+    The ids cut the catalogue before any text is read (a valid entry is one
+    with a fingerprint)."""
+    mols = lookup.found(tables.molecules(spark, sf_dir).select("mol_id", "text"), _requests(spark, sf_dir))
     return fpo.fingerprints(mols).select("mol_id", "n_bits")
 
 
@@ -236,8 +237,10 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def source_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested sources without a fingerprint: those not among the valid entries."""
-    return lookup.missing(_requests(spark, sf_dir), simplan.valid_molecules(spark, sf_dir))
+    """Requested sources without a fingerprint: those not among the valid
+    entries, of which only the requested ones are checked."""
+    ids = _requests(spark, sf_dir)
+    return lookup.missing(ids, validate.split(lookup.found(tables.molecules(spark, sf_dir), ids))[0])
 
 
 @register

@@ -22,9 +22,18 @@ def valid_molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.split(tables.molecules(spark, sf_dir))[0]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where its scan has fewer tasks than cores (files
+    of one row group do not split); larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def catalogue_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(mol_id, fp, n_bits) for every catalogue entry with a feature."""
-    return fpo.fingerprints(valid_molecules(spark, sf_dir).select("mol_id", "text"))
+    """(mol_id, fp, n_bits) for every catalogue entry with a feature.
+
+    An entry is valid when it has a feature, so no other check reads its text."""
+    return fpo.fingerprints(spread(tables.molecules(spark, sf_dir).select("mol_id", "text")))
 
 
 def matched_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,8 +90,8 @@ def test_banded_top_n_equals_all_pairs(spark, monkeypatch):
     fps = _random_frame(spark)
     want = sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 4).collect()))
     assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
-    monkeypatch.setattr("tanimart.config.SALT_ROWS", 3)   # every band split
-    monkeypatch.setattr("tanimart.config.SALT_PAIRS", 9)
+    monkeypatch.setattr("tanimart.config.BLOCK_CANDIDATES", 3)   # every band split
+    monkeypatch.setattr("tanimart.config.BLOCK_SOURCES", 9)
     assert sorted(map(tuple, sim.nearest(fps, fps, 4).collect())) == want
     assert sorted(map(tuple, sim.nearest(fps, fps, 95).collect())) == sorted(map(tuple, sim.top_n(sim.score_pairs(fps, fps), 95).collect()))
 
@@ -104,7 +104,7 @@ def test_threshold_keeps_exactly_the_pairs_that_reach_it(spark):
 
 
 def test_plan_is_an_equi_join_with_partial_limit(spark):
-    fps = fps_frame(spark, [(f"M{i}", [i, i + 1]) for i in range(20)])
+    fps = fps_frame(spark, [(f"M{i}", list(range(2 * i + 1))) for i in range(20)])  # several bands
     fact = sim.nearest(fps.filter("mol_id < 'M3'"), fps, 10)
     fact.collect()
     final = fact._jdf.queryExecution().executedPlan().toString()
