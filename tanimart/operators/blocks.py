@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tanimart import config
+from tanimart.session import ship
 
 #: Pairs scored together.
 TILE = 1 << 17
@@ -146,6 +147,7 @@ def meet(routed: DataFrame, candidates: DataFrame, salts: Column, source_blocks:
                      *([order_key("mol_id").alias("order_key")] if n else [])))
     # the work is pairs, not bytes: a given number of partitions is not coalesced
     spark = candidates.sparkSession
+    ship(spark)
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def score(sources: pa.Table, others: pa.Table) -> pa.Table:

@@ -6,7 +6,7 @@ where it lies: no stage here shuffles, and two rows with one id stay two rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tanimart import config
@@ -50,9 +50,14 @@ def _packed(bits: str) -> Column:
 
 
 def fingerprints(df: DataFrame, id_col: str = "mol_id", text_col: str = "text",
-                 features: Column | None = None) -> DataFrame:
-    """(mol_id, fp ARRAY<BIGINT>(32), n_bits) for entries with >= 1 feature."""
+                 features: Column | None = None, failed: Observation | None = None) -> DataFrame:
+    """(mol_id, fp ARRAY<BIGINT>(32), n_bits) for entries with >= 1 feature.
+
+    ``failed`` observes ``failed_rows``, the entries without one, on the job
+    that reads the result."""
     bits = tx.once(df, "_bits", feature_bits(text_col, features)).select(F.col(id_col).alias("mol_id"), "_bits")
+    if failed is not None:
+        bits = bits.observe(failed, F.count_if(F.coalesce(F.size("_bits"), F.lit(0)) <= 0).alias("failed_rows"))
     return (bits.filter(F.size("_bits") > 0)
             .select("mol_id", _packed("_bits").alias("fp"), F.size("_bits").alias("n_bits")))
 

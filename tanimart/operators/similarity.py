@@ -50,19 +50,17 @@ def _source_blocks(sources: DataFrame) -> int:
 
 
 def _reachable(bands: list) -> Column:
-    """ARRAY of (band, bound, salts): the best score of n_bits in every band."""
-    n = F.col("n_bits")
-    return F.array(*[
-        F.struct(F.lit(b).alias("band"),
-                 F.when((n == 0) | (F.lit(hi) == 0), 0.0)
-                 .otherwise(F.least(n, F.lit(hi)) / F.greatest(n, F.lit(lo)).cast("double")).alias("bound"),
-                 F.lit(salts).alias("salts"))
-        for b, lo, hi, salts in bands])
+    """ARRAY of (band, bound, salts): the best score of n_bits in every band.
+
+    SQL text: one parse instead of some hundred calls."""
+    bound = "IF(n_bits = 0 OR {hi} = 0, 0D, least(n_bits, {hi}) / CAST(greatest(n_bits, {lo}) AS DOUBLE))"
+    rows = [f"named_struct('band', {b}, 'bound', {bound.format(lo=lo, hi=hi)}, 'salts', {salts})" for b, lo, hi, salts in bands]
+    return F.expr(f"array({', '.join(rows)})")
 
 
 def _met(routed: DataFrame, candidates: DataFrame, bands: list, source_blocks: int, exclude_self: bool, **kw) -> DataFrame:
     """``blocks.meet`` over the candidates of ``bands``."""
-    salts = F.create_map(*[F.lit(x) for b, _, _, s in bands for x in (b, s)])
+    salts = F.expr(f"map({', '.join(f'{b}, {s}' for b, _, _, s in bands)})")
     banded = candidates.select("mol_id", "fp", "n_bits", band(F.col("n_bits")).alias("band")).filter(F.col("band").isin([b[0] for b in bands]))
     return blocks.meet(routed, banded, salts[F.col("band")], source_blocks, exclude_self, **kw)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tanimart.functions import text as tx
@@ -21,9 +21,15 @@ def with_validity(df: DataFrame, rule: Column, text_col: str = "text") -> DataFr
     return tx.once(df, "is_valid", F.when(tx.is_present(text_col), F.coalesce(rule, F.lit(False))))
 
 
-def split(df: DataFrame, rule: Column | None = None, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) frames over one lazily shared input; blank rows are in neither."""
+def split(df: DataFrame, rule: Column | None = None, text_col: str = "text",
+          seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) frames over one lazily shared input; blank rows are in neither.
+
+    ``seen`` observes ``valid_rows`` and ``rejected_rows`` on the job that
+    reads one of the frames."""
     flagged = with_validity(df, rule if rule is not None else default_rule(text_col), text_col)
+    if seen is not None:
+        flagged = flagged.observe(seen, F.count_if("is_valid").alias("valid_rows"), F.count_if(~F.col("is_valid")).alias("rejected_rows"))
     return flagged.filter("is_valid").drop("is_valid"), flagged.filter(~F.col("is_valid")).drop("is_valid")
 
 

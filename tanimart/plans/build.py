@@ -12,14 +12,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tanimart import config
+from tanimart.functions import text as tx
 from tanimart.operators import clean, lookup, match, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
 from tanimart.plans import loadlog, mart
+from tanimart.session import materialize
 from tanimart.sources import csv_ingest, sinks, tables
 
 # Bronze mirror registry: bronze table -> (source table, columns read).
@@ -74,12 +76,15 @@ class Warehouse:
 
     # -- gated build -------------------------------------------------------------
     def build(self, table: str, version: str, make, force: bool = False,
-              require_rows: bool = False, **write_opts) -> BuildResult:
-        """Build ``table`` from ``make()`` unless ``version`` is already built."""
+              require_rows: bool = False, also=lambda: [], **write_opts) -> BuildResult:
+        """Build ``table`` from ``make()`` unless ``version`` is already built.
+
+        ``also`` gives further log rows once the table is written: counts that
+        were observed on the write's own job."""
         if not force and self.last_version(table) == version:
             return BuildResult(table, version, True, None)
         rows = sinks.replace(make(), self.path(table), require_rows=require_rows, **write_opts)
-        self.record((table, version, rows))
+        self.record((table, version, rows), *also())
         return BuildResult(table, version, False, rows)
 
 
@@ -129,7 +134,10 @@ def ingest_input_files(wh: Warehouse, input_root: str) -> list[str]:
     # instead of appending the rows a second time.
     sinks.overwrite_partitions(batch, wh.path(RAW_INPUT), ["_file_id"])
     keys = spark.createDataFrame([(f, csv_ingest.file_key(spark, f)) for f in new], "version string, _source_file string")
-    written = spark.read.parquet(wh.path(RAW_INPUT)).select("_source_file")
+    # only the partitions just written are read again
+    own = F.substring(F.sha2(F.col("_source_file"), 256), 1, 16)
+    ids = [r[0] for r in keys.select(own).collect()]
+    written = spark.read.parquet(wh.path(RAW_INPUT)).where(F.col("_file_id").isin(ids)).select("_source_file")
     counts = (keys.join(written.withColumn("_row", F.lit(1)), "_source_file", "left").groupBy("version")
               .agg(F.count("_row").alias("n")))
     wh.record(*[(RAW_INPUT, r.version, r.n) for r in counts.collect()])
@@ -145,9 +153,9 @@ def build_molecules(wh: Warehouse, version: str, force: bool = False) -> BuildRe
     docs = wh.read("bronze.documents").select(tables.doc_key("doc_id").alias("mol_id"), "text")
     bench = wh.read("bronze.benchmark").select(tables.bench_key("item_id").alias("mol_id"), "text")
     entries = docs.unionByName(bench)
-    out = wh.build("silver.molecule", version, lambda: validate.split(fpo.require_unique(entries))[0], force=force)
-    if not out.skipped:
-        wh.record(("silver.molecule.rejected", version, validate.counts(entries).first().rejected_rows))
+    seen = Observation(f"molecules_{version}")
+    out = wh.build("silver.molecule", version, lambda: validate.split(fpo.require_unique(entries), seen=seen)[0], force=force,
+                   also=lambda: [("silver.molecule.rejected", version, seen.get["rejected_rows"])])
     return out
 
 
@@ -155,11 +163,10 @@ def build_fingerprints(wh: Warehouse, version: str, force: bool = False) -> Buil
     """Packed fingerprints, files of at most BATCH_ROWS rows, sorted by id;
     the log also gets the number of entries without one."""
     molecules = wh.read("silver.molecule")
-    out = wh.build("silver.fingerprint", version, lambda: fpo.fingerprints(molecules),
-                   force=force, max_records_per_file=config.BATCH_ROWS, sort_within=["mol_id"])
-    if not out.skipped:
-        wh.record(("silver.fingerprint.failed", version, fpo.counts(molecules).first().failed_rows))
-    return out
+    failed = Observation(f"fingerprints_{version}")
+    return wh.build("silver.fingerprint", version, lambda: fpo.fingerprints(molecules, failed=failed),
+                    force=force, max_records_per_file=config.BATCH_ROWS, sort_within=["mol_id"],
+                    also=lambda: [("silver.fingerprint.failed", version, failed.get["failed_rows"])])
 
 
 def catalogue_names(wh: Warehouse) -> DataFrame:
@@ -171,36 +178,73 @@ def catalogue_names(wh: Warehouse) -> DataFrame:
 
 
 def build_matched_input(wh: Warehouse, dictionary: DataFrame | None = None) -> int:
-    """Typed input matched to the catalogue's names; always rebuilt from the raw input."""
+    """Typed input matched to the catalogue's names; always rebuilt from the raw input.
+
+    The log gets what the job itself observed: rows without a name (dropped),
+    rows that match no entry, and extra rows of names with several entries."""
     raw = wh.spark.read.parquet(wh.path(RAW_INPUT))
     names = catalogue_names(wh) if dictionary is None else dictionary
+    read, out = Observation("input_read"), Observation("input_matched")
+    kept = F.coalesce(tx.is_present("compound_name"), F.lit(False))
+    raw = raw.observe(read, F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
     matched = match.match_names(clean.typed_input(raw), names, match.overrides_frame(wh.spark))
-    return sinks.replace(matched, wh.path("silver.matched_input"))
+    matched = matched.observe(out, F.count_if(F.col("matched_id").isNull()).alias("unmatched"))
+    rows = sinks.replace(matched, wh.path("silver.matched_input"))
+    version = sinks.current_path(wh.spark, wh.path("silver.matched_input")).rsplit("/", 1)[1]
+    counts = {"dropped": read.get["dropped"], "unmatched": out.get["unmatched"], "fanout": rows - read.get["kept"]}
+    wh.record(("silver.matched_input", version, rows), *((f"silver.matched_input.{k}", version, n) for k, n in counts.items()))
+    return rows
 
 
 # --- gold ---------------------------------------------------------------------
 
 def build_similarity(wh: Warehouse, version: str, force: bool = False, n: int = config.TOP_N,
-                     store_from: float | None = None) -> BuildResult:
+                     store_from: float | None = None, changed: bool = False) -> BuildResult:
     """The top-N fact of the sources that the matched input refers to.
 
-    Refuses to run when the input matches no entry.  With ``store_from`` the
-    pairs that score at least that are stored too (0 stores all of them)."""
-    if not force and wh.last_version("gold.fact_similarity") == version:
+    Refuses to run when the input matches no entry.  With ``changed`` an earlier
+    result is brought up to date, with ``force`` all is scored again.  With
+    ``store_from`` the pairs that score at least that are stored too (0 stores
+    all of them)."""
+    if not force and not changed and wh.last_version("gold.fact_similarity") == version:
         return BuildResult("gold.fact_similarity", version, True, None)
     if sinks.current_path(wh.spark, wh.path("silver.matched_input")) is None:
         raise sinks.EmptyResult("no input was matched yet: give the input folder once")
     fps = wh.read("silver.fingerprint")
-    sources = lookup.found(fps, lookup.requested_ids(wh.read("silver.matched_input"), "matched_id"))
+    sources = materialize(lookup.found(fps, lookup.requested_ids(wh.read("silver.matched_input"), "matched_id")))
     if sources.isEmpty():
         raise sinks.EmptyResult("the matched input refers to no entry with a fingerprint")
     if store_from is not None:
         sinks.replace(sim.score_pairs(sources, fps, least=store_from), wh.path("gold.similarity"))
-    rows = sinks.replace(sim.nearest(sources, fps, n), wh.path("gold.fact_similarity"), require_rows=True)
+    keep_head(wh, sources, fps, n, anew=force)
+    rows = sinks.replace(sim.flagged(wh.read(HEAD), n), wh.path("gold.fact_similarity"), require_rows=True)
     wh.record(("gold.fact_similarity", version, rows))
     return BuildResult("gold.fact_similarity", version, False, rows)
 
 
+HEAD = "gold.similarity_head"
+
+
+def keep_head(wh: Warehouse, sources: DataFrame, fps: DataFrame, n: int, anew: bool = False) -> None:
+    """Bring the stored first ``n`` + 1 rows per source up to date.
+
+    The log tells which fingerprint table they were made from; from there only
+    what changed is scored (see ``similarity.maintained``).  They are made anew
+    where there are none, where they hold another number of rows, or where that
+    fingerprint table is gone."""
+    basis = sinks.current_path(wh.spark, wh.path("silver.fingerprint"))
+    last = wh.last_version(HEAD)
+    before, _, rows = last.rpartition("#") if last else ("", "", "")
+    if anew or not before or rows != str(n) or not sinks.exists(wh.spark, before):
+        head = sim.head(sources, fps, n)
+    elif before == basis:
+        nothing = fps.limit(0)
+        head = sim.maintained(wh.read(HEAD), sources, fps, nothing.select("mol_id"), nothing, n)
+    else:
+        head = sim.maintained(wh.read(HEAD), sources, fps, *sim.changes(wh.spark.read.parquet(before), fps), n)
+    wh.record((HEAD, f"{basis}#{n}", sinks.replace(head, wh.path(HEAD))))
+
+
 def build_dimension(wh: Warehouse, version: str, force: bool = False) -> BuildResult:
     """Dimension scoped to the fact; refuses to run on an empty fact."""
     def make():
@@ -247,6 +291,6 @@ def run_all(wh: Warehouse, sf_dir: str, version: str, input_root: str | None = N
         out["ingest"] = ingest_input_files(wh, input_root)
         out["matched"] = build_matched_input(wh)
         changed = changed or bool(out["ingest"])
-    out["similarity"] = build_similarity(wh, version, force or changed)
+    out["similarity"] = build_similarity(wh, version, force, changed=changed)
     out["dimension"] = build_dimension(wh, version, force or not out["similarity"].skipped)
     return out

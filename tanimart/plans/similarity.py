@@ -7,6 +7,7 @@ registered flagship takes every benchmark item as its input instead.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tanimart import config
 from tanimart.operators import clean, lookup, match, validate
@@ -45,7 +46,7 @@ def matched_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _nearest(spark: SparkSession, sf_dir: str, ids: DataFrame, n: int) -> DataFrame:
     fps = materialize(catalogue_fingerprints(spark, sf_dir))  # hashed once, read by both passes
-    return sim.nearest(lookup.found(fps, ids), fps, n)
+    return sim.nearest(materialize(lookup.found(fps, ids)), fps, n)  # the sources are read several times
 
 
 def fact_similarity(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> DataFrame:
@@ -62,4 +63,27 @@ def scored(spark: SparkSession, sf_dir: str, least: float = 0.0) -> DataFrame:
     """Every benchmark item's pairs that score at least ``least``."""
     fps = materialize(catalogue_fingerprints(spark, sf_dir))
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    return sim.score_pairs(lookup.found(fps, ids), fps, least=least)
+    return sim.score_pairs(materialize(lookup.found(fps, ids)), fps, least=least)
+
+
+def earlier_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mol_id, text): the catalogue as it may have been before.  Of three parts
+    (by a hash of the id) one is not there yet, one has the first half of its
+    texts, one is as now; and of every fourth benchmark item there is another
+    entry, which has left since."""
+    now = tables.molecules(spark, sf_dir).select("mol_id", "text")
+    part = F.pmod(F.crc32(F.col("mol_id").cast("binary")), F.lit(3))
+    half = F.expr("substring(text, 1, CAST(length(text) / 2 AS INT))")
+    items = tables.read_table(spark, sf_dir, "benchmark", ["item_id", "text"]).filter("item_id % 4 = 0")
+    return (now.filter(part != 0).select("mol_id", F.when(part == 1, half).otherwise(F.col("text")).alias("text"))
+            .unionByName(items.select(F.concat(F.lit("R"), F.col("item_id").cast("string")).alias("mol_id"), "text")))
+
+
+def maintained_fact(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> DataFrame:
+    """The fact for all benchmark items, kept up from the earlier catalogue's: only
+    entries that came or changed, and sources that lost a row, are scored."""
+    before = materialize(fpo.fingerprints(spread(earlier_catalogue(spark, sf_dir))))
+    fps = materialize(catalogue_fingerprints(spark, sf_dir))
+    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
+    state = sim.head(materialize(lookup.found(before, ids)), before, n)
+    return sim.flagged(sim.maintained(state, materialize(lookup.found(fps, ids)), fps, *sim.changes(before, fps), n), n)

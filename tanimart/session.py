@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,20 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per context, for stages
+    that run Python in tasks.  Tests and programs started elsewhere than in the
+    package's folder need it too."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tanimart_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():  # not when the package itself came as a zip file
+        target = Path(tempfile.mkdtemp(prefix="tanimart-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(target))
+    sc._tanimart_shipped = True

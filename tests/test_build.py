@@ -73,6 +73,35 @@ def test_full_chain_and_empty_fact_guard(spark, scratch):
     assert sinks.current_path(spark, wh.path("gold.dim_molecule")) == dim_before
 
 
+def test_fact_is_kept_up_and_equals_a_rebuild(spark, scratch, monkeypatch):
+    wh = build.Warehouse(spark, f"{scratch}/wh")
+    header = "compound_id,compound_name\n"
+    write(f"{scratch}/in/batch_01.csv", header + "1,item#000000001\n2,document#000000007\n3,\n4,nobody\n")
+    build.run_all(wh, SF_SMALL, "v1", input_root=f"{scratch}/in")
+    counts = {r.table_name: r.row_count for r in wh.log().collect() if r.table_name.startswith("silver.matched_input")}
+    assert counts == {"silver.matched_input": 3, "silver.matched_input.dropped": 1, "silver.matched_input.unmatched": 1, "silver.matched_input.fanout": 0}
+    # a smaller catalogue with other texts, and one more source
+    near = {r.target_id for r in wh.read("gold.fact_similarity").filter("source_id = 'D7'").collect()}
+    docs = wh.read("bronze.documents")
+    gone = F.concat(F.lit("D"), "doc_id").isin(sorted(near)[:1])
+    less = docs.filter(~gone).withColumn("text", F.when(F.col("doc_id") % 9 == 4, F.reverse("text")).otherwise(F.col("text")))
+    sinks.replace(less, wh.path("bronze.documents"))
+    build.build_molecules(wh, "v2")
+    build.build_fingerprints(wh, "v2")
+    write(f"{scratch}/in/batch_02.csv", header + "5,item#000000002\n")
+    build.ingest_input_files(wh, f"{scratch}/in")
+    build.build_matched_input(wh)
+    built = []
+    whole = build.sim.maintained
+    monkeypatch.setattr(build.sim, "maintained", lambda *a, **k: built.append(1) or whole(*a, **k))
+    build.build_similarity(wh, "v2")
+    assert built == [1]
+    kept = sorted(map(tuple, wh.read("gold.fact_similarity").collect()))
+    build.build_similarity(wh, "v2", force=True)
+    assert built == [1] and sorted(map(tuple, wh.read("gold.fact_similarity").collect())) == kept
+    assert {r[0] for r in kept} == {"B1", "B2", "D7"}
+
+
 def test_file_ingest_loads_each_file_once(spark, scratch):
     wh = build.Warehouse(spark, f"{scratch}/wh")
     inp = f"{scratch}/in"
