@@ -86,19 +86,19 @@ def head(sources: DataFrame, candidates: DataFrame, n: int = config.TOP_N, exclu
     every source, scoring only the bands that can hold them."""
     bands = _bands(candidates)
     if not bands:
-        return _ranked(_none(candidates), n + 1)
+        return ranked(_none(candidates), n + 1)
     source_blocks = _source_blocks(sources)
     routes = (sources.withColumn("_own", band(F.col("n_bits"))).withColumn("_r", F.explode(_reachable(bands)))
               .select("mol_id", "fp", "n_bits", "_own", "_r.*"))
     near = F.abs(F.col("band") - F.col("_own")) <= 1
-    first = materialize(_ranked(_met(routes.filter(near), candidates, bands, source_blocks, exclude_self, n=n + 1), n + 1))
+    first = materialize(ranked(_met(routes.filter(near), candidates, bands, source_blocks, exclude_self, n=n + 1), n + 1))
     bound = first.filter(F.col("rank") == n + 1).select(F.col("source_id").alias("mol_id"), F.col("score").alias("_t"))
     others = materialize(routes.filter(~near).join(bound, "mol_id", "left").filter(F.col("bound") >= F.coalesce("_t", F.lit(0.0))))
     asked = {r.band for r in others.select("band").distinct().collect()}  # of the bands above
     if not asked:
         return first
     rest = _met(others, candidates, [b for b in bands if b[0] in asked], source_blocks, exclude_self, n=n + 1)
-    return _ranked(first.drop("rank").unionByName(rest), n + 1)
+    return ranked(first.drop("rank").unionByName(rest), n + 1)
 
 
 def nearest(sources: DataFrame, candidates: DataFrame, n: int = config.TOP_N, exclude_self: bool = True) -> DataFrame:
@@ -136,7 +136,7 @@ def maintained(state: DataFrame, sources: DataFrame, candidates: DataFrame, remo
     anew = sources.join(same.select("mol_id"), "mol_id", "left_anti")
     kept = state.join(same.select(F.col("mol_id").alias("source_id")), "source_id", "left_semi")
     grown = kept.unionByName(head(same, added, n, exclude_self).drop("rank"))
-    return _ranked(grown, n + 1).unionByName(head(materialize(anew), candidates, n, exclude_self))
+    return ranked(grown, n + 1).unionByName(head(materialize(anew), candidates, n, exclude_self))
 
 
 def narrow_scores(df: DataFrame, col: str = "score") -> DataFrame:
@@ -153,7 +153,7 @@ def candidate_order(target: str = "target_id") -> list[Column]:
     return [blocks.order_key(target).asc()]
 
 
-def _ranked(pairs: DataFrame, n: int) -> DataFrame:
+def ranked(pairs: DataFrame, n: int) -> DataFrame:
     """The first ``n`` pairs of every source with their rank (a limit per
     source that each task applies before the shuffle)."""
     by_score = Window.partitionBy("source_id").orderBy(F.col("score").desc(), *candidate_order())
@@ -167,7 +167,7 @@ def top_n(pairs: DataFrame, n: int = config.TOP_N) -> DataFrame:
     source are ever needed, and the row_number filter stays a map-side
     WindowGroupLimit.
     """
-    return flagged(_ranked(pairs, n + 1), n)
+    return flagged(ranked(pairs, n + 1), n)
 
 
 def flagged(ranked: DataFrame, n: int = config.TOP_N) -> DataFrame:

@@ -107,6 +107,7 @@ slots AS (
 
 ORACLE: dict[str, str] = {
     "flagship_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
+    "indexed_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
     "maintained_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
     "matched_topk": "WITH " + _FACT + "SELECT * FROM fact",
     "scoped_dimension": "WITH " + _DIM + "SELECT * FROM dim",

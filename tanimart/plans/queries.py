@@ -47,6 +47,12 @@ def maintained_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simplan.maintained_fact(spark, sf_dir)
 
 
+@register
+def indexed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's result by the bound index, which skips blocks."""
+    return simplan.indexed_fact(spark, sf_dir)
+
+
 # --- the mart (over the matched input's fact) ---------------------------------
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanimart import config
-from tanimart.operators import clean, lookup, match, validate
+from tanimart.operators import bound_index, clean, lookup, match, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
 from tanimart.plans import inputs
@@ -87,3 +87,11 @@ def maintained_fact(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) ->
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
     state = sim.head(materialize(lookup.found(before, ids)), before, n)
     return sim.flagged(sim.maintained(state, materialize(lookup.found(fps, ids)), fps, *sim.changes(before, fps), n), n)
+
+
+def indexed_fact(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> DataFrame:
+    """The fact for all benchmark items by the bound index of the catalogue."""
+    fps = catalogue_fingerprints(spark, sf_dir)
+    index = bound_index.build(fps)
+    ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
+    return bound_index.nearest(lookup.found(index.rows, ids), index, n)

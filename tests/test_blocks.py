@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tanimart.operators import blocks
+from tanimart.operators import blocks, bound_index
 from tanimart.operators import similarity as sim
 
 from .helpers import fp_from_bits, fps_frame
@@ -113,3 +113,41 @@ def test_maintained_from_nothing_and_to_nothing(spark):
     assert _got(sim.flagged(full, 2)) == _plain(entries, entries, 2)
     removed, added = sim.changes(fps, nothing)
     assert sim.maintained(full, nothing, nothing, removed, added, 2).count() == 0
+
+
+@pytest.mark.parametrize("seed", [6, 7, 8])
+def test_index_finds_what_sorting_finds(spark, monkeypatch, seed):
+    rnd = random.Random(seed)
+    monkeypatch.setattr("tanimart.config.BLOCK_SOURCES", 5)
+    monkeypatch.setattr("tanimart.operators.bound_index.CHUNK_GROUPS", 6)
+    names = [f"D{i}" for i in range(120)]
+    entries = _entries(rnd, names)
+    for c in range(12):  # clusters of near copies, some equal (ties at the cutoff)
+        base = rnd.sample(range(2048), 40)
+        for k in range(9):
+            entries[f"C{c}x{k}"] = base[:40 - k // 3] + rnd.sample(range(2048), k // 3)
+    index = bound_index.build(_frame(spark, entries).repartition(3), 4, 3)
+    assert index.groups.count() > 3 and index.blocks.agg({"n": "sum"}).first()[0] == len(entries)
+    sources = {m: entries[m] for m in rnd.sample(sorted(entries), 25)}
+    frame = _frame(spark, sources)
+    for n in (2, 5):
+        assert _got(bound_index.nearest(frame, index, n)) == _plain(sources, entries, n)
+    assert _got(bound_index.nearest(frame.limit(0), index, 2)) == set()
+
+
+def test_index_skips_blocks_that_cannot_matter(spark):
+    rnd = random.Random(1)
+    entries = {}
+    for c in range(40):
+        base = rnd.sample(range(2048), 50)
+        entries |= {f"C{c}x{k}": base[:46] + rnd.sample(range(2048), 4) for k in range(16)}
+    index = bound_index.build(_frame(spark, entries), 8, 4)
+    sources = {m: entries[m] for m in ("C0x0", "C9x1", "C39x2")}
+    scored, pairs = bound_index.pairs_scored(_frame(spark, sources), index, 10)
+    assert pairs == 3 * 640 and scored < pairs / 2
+    assert _got(bound_index.nearest(_frame(spark, sources), index, 10)) == _plain(sources, entries, 10)
+
+
+def test_empty_index(spark):
+    nothing = _frame(spark, {"D1": [1]}).limit(0)
+    assert bound_index.nearest(nothing, bound_index.build(nothing), 3).count() == 0
