@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tanimart import config
+from tanimart.sources import csv_records
 
 
 class HeaderError(ValueError):
@@ -105,46 +107,101 @@ def _source_key() -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
 
 
-def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """First record of every file, by file key, in one job."""
-    lines = spark.read.text(paths).select(_source_key().alias("key"), F.col("_metadata.file_block_start").alias("at"), "value")
-    first = (lines.filter("at = 0").withColumn("nth", F.monotonically_increasing_id())
-             .groupBy("key").agg(F.min_by("value", "nth").alias("header")).collect())
-    headers = {r.key: next(csv.reader([r.header])) for r in first}
-    empty = [p for p in paths if file_key(spark, p) not in headers]
+#: Bytes of a file read at first for its header.
+HEADER_BYTES = 1 << 14
+
+
+def _first_record(text: str, whole: bool) -> str | None:
+    """The first record of a text, None if it may go on behind the text."""
+    at, opened = 0, False
+    while True:
+        end = text.find("\n", at)
+        if end < 0:
+            return text if whole and text else None
+        opened = csv_records.ends_open(text[at:end], opened)
+        if not opened:
+            return text[:end]
+        at = end + 1
+
+
+def _look(spark: SparkSession, path: str) -> tuple[str, list[str] | None, int]:
+    """(file key, header fields, bytes) of a file: only its first bytes are read."""
+    jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(hconf)
+    stream, size = fs.open(p), fs.getFileStatus(p).getLen()
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hconf).getCodec(p)
+        if codec is not None:
+            stream, size = codec.createInputStream(stream), 0  # one split, whatever its size
+        data, step, record = b"", HEADER_BYTES, None
+        while record is None:
+            more = bytes(stream.readNBytes(step))
+            data, step = data + more, 2 * step
+            record = _first_record(data.decode("utf-8", "ignore"), not more)
+            if not more:
+                break
+    finally:
+        stream.close()
+    fields = next(csv.reader([record.removeprefix("\ufeff").rstrip("\r")]), None) if record else None
+    return file_key(spark, path), fields, size
+
+
+def look(spark: SparkSession, paths: list[str]) -> dict[str, tuple[list[str], int]]:
+    """(header fields, bytes) of every file, by file key.
+
+    A bounded read of each file's start, several files at a time; no job."""
+    with ThreadPoolExecutor(16) as pool:
+        seen = list(pool.map(lambda p: _look(spark, p), paths))
+    empty = [key for key, fields, _ in seen if not fields]
     if empty:
         raise HeaderError(f"empty file(s): {empty}")
-    return headers
+    return {key: (fields, size) for key, fields, size in seen}
 
 
 def read_batches(spark: SparkSession, paths: list[str], columns: list[str] | None = None,
-                 aliases: dict[str, str] | None = None, multi_line: bool = True) -> DataFrame:
+                 aliases: dict[str, str] | None = None) -> DataFrame:
     """Batch files as canonical all-text columns plus ``_source_file``.
 
     All headers are resolved before any data is read, so a bad one fails the
-    load before anything is written.  Files with one header are one read, so
-    the number of reads is that of different headers, not of files.  Quoted
-    fields are handled; a ragged row fails the read (FAILFAST).  With
-    ``multi_line`` quoted fields may span lines and a file is one task; without
-    it large files are split.
+    load before anything is written.  Large files are read in splits, also
+    where quoted fields hold line ends (see ``csv_records``); a header must end
+    in its file's first split.  Files whose headers have equally many fields are
+    one read, so there are at most as many reads as columns, whatever the number
+    of files and headers.  A record with another number of fields than its
+    header fails the read.  Empty fields, quoted or not, are NULL.
     """
-    alike: dict[tuple, list[str]] = {}
-    headers = read_headers(spark, paths)
+    columns = config.INPUT_COLUMNS if columns is None else columns
+    files = look(spark, paths)
+    split = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
+    widths: dict[int, list[str]] = {}
+    places: dict[str, list[int]] = {}
     for p in paths:
-        alike.setdefault(tuple(headers[file_key(spark, p)]), []).append(p)
+        key = file_key(spark, p)
+        header = files[key][0]
+        at = {column: k + 1 for k, column in header_columns(header, columns, aliases)}
+        places[key] = [at.get(c, 0) for c in columns]
+        widths.setdefault(len(header), []).append(p)
     reads = []
-    for header, files in alike.items():
-        pairs = header_columns(list(header), columns, aliases)
-        schema = T.StructType([T.StructField(c, T.StringType()) for _, c in pairs])
-        df = (spark.read.schema(schema)
-              .option("header", True).option("escape", '"').option("multiLine", multi_line)
-              .option("mode", "FAILFAST").option("enforceSchema", True)
-              .csv(files))
-        reads.append(align(df.withColumn("_source_file", _source_key()), columns, aliases={}))
+    for width, own in sorted(widths.items()):
+        several = [p for p in own if files[file_key(spark, p)][1] > split]
+        records = csv_records.records(spark, own, _source_key(), several)
+        schema = ", ".join(f"c{i} string" for i in range(width))
+        row = F.from_csv("value", schema, {"mode": "FAILFAST", "escape": '"', "multiLine": "true"})
+        # where each canonical column stands in a file: one row per file
+        keys = [file_key(spark, p) for p in own]
+        table = spark.createDataFrame(pa.table({"key": keys, "places": pa.array([places[k] for k in keys], pa.list_(pa.int32()))}))
+        fields = records.join(F.broadcast(table), "key").select("key", "places", F.array(*[row[f"c{i}"] for i in range(width)]).alias("f"))
+        reads.append(fields.select(*[F.when(F.col("places")[i] > 0, F.col("f")[F.col("places")[i] - 1]).alias(c) for i, c in enumerate(columns)],
+                                   F.col("key").alias("_source_file")))
     return union_batches(reads)
 
 
+def _bytes(spark: SparkSession, name: str) -> int:
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)))
+
+
 def read_batch(spark: SparkSession, path: str, columns: list[str] | None = None,
-               aliases: dict[str, str] | None = None, multi_line: bool = True) -> DataFrame:
+               aliases: dict[str, str] | None = None) -> DataFrame:
     """One batch file (see ``read_batches``)."""
-    return read_batches(spark, [path], columns, aliases, multi_line)
+    return read_batches(spark, [path], columns, aliases)
