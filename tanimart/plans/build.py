@@ -22,7 +22,7 @@ from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
 from tanimart.plans import loadlog, mart
 from tanimart.session import materialize
-from tanimart.sources import csv_ingest, sinks, tables
+from tanimart.sources import csv_ingest, relational, sinks, tables
 
 # Bronze mirror registry: bronze table -> (source table, columns read).
 MIRROR: dict[str, tuple[str, list[str]]] = {
@@ -91,11 +91,17 @@ class Warehouse:
 # --- bronze -------------------------------------------------------------------
 
 def mirror_tables(wh: Warehouse, sf_dir: str, version: str, force: bool = False) -> list[BuildResult]:
-    """Copy each registered source table (its columns only), '' -> NULL."""
+    """Copy each registered source table (its columns only), '' -> NULL.
+
+    ``sf_dir`` is a folder of Parquet tables or one relational file (.db,
+    .sqlite, .sqlite3)."""
+    relational_file = sf_dir.endswith((".db", ".sqlite", ".sqlite3"))
     out = []
     for target, (source, cols) in MIRROR.items():
         def make(source=source, cols=cols):
-            return tables.blank_strings_to_null(tables.read_table(wh.spark, sf_dir, source, cols))
+            rows = (relational.read_relational(wh.spark, sf_dir, source, cols) if relational_file
+                    else tables.read_table(wh.spark, sf_dir, source, cols))
+            return tables.blank_strings_to_null(rows)
         out.append(wh.build(target, version, make, force=force))
     return out
 

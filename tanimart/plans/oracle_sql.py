@@ -254,6 +254,7 @@ ORACLE.update({
         FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 500""",
     "fingerprint_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
     "fingerprint_roundtrip": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
+    "featuriser_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
     "fingerprint_counts": "WITH " + _PAYLOADS + r"""
         SELECT count(*) FILTER (WHERE regexp_matches(payload, '[\p{L}\p{N}]')) AS succeeded_rows,
                count(*) FILTER (WHERE payload IS NULL OR NOT regexp_matches(payload, '[\p{L}\p{N}]')) AS failed_rows

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tanimart.functions import fingerprint as fpx
 from tanimart.functions import text as tx
-from tanimart.operators import clean, lookup, match, paging, validate
+from tanimart.operators import clean, featurise, lookup, match, paging, validate
 from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
 from tanimart.plans import build, inputs, loadlog, mart
@@ -200,6 +200,20 @@ def fingerprint_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpo.fingerprint_bits(simplan.valid_molecules(spark, sf_dir))
 
 
+def word_featuriser():
+    """The built-in features as a caller's own function."""
+    import regex
+
+    word = regex.compile(r"[\p{L}\p{N}]+")
+    return lambda text: word.findall(text.lower())
+
+
+@register
+def featuriser_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints by a Python featuriser, in long form: equal to the built-in ones."""
+    return fpo.unpack(featurise.fingerprints(tables.molecules(spark, sf_dir), word_featuriser))
+
+
 @register
 def fingerprint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bits -> packed words -> 256-byte binary -> words -> bits (lossless)."""
