@@ -252,6 +252,9 @@ ORACLE.update({
     "keyset_page": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
         FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 500""",
+    "clustered_page": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
+        FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 500""",
     "fingerprint_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
     "fingerprint_roundtrip": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",
     "featuriser_bits": "WITH " + _BITS + "SELECT mol_id, bit FROM bits",

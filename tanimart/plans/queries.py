@@ -6,6 +6,7 @@ full; see ``oracle_sql`` for the equivalent SQL of each one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from tanimart.operators import fingerprints as fpo
 from tanimart.operators import similarity as sim
 from tanimart.plans import build, inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
-from tanimart.session import materialize
+from tanimart.session import ensure_checkpoint_dir, materialize
 from tanimart.sources import csv_ingest, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,6 +193,14 @@ def keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.keyset_page(scan_project(spark, sf_dir), "o_orderkey", after=700, size=500)
 
 
+@register
+def clustered_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same page from orders laid out by key: only the page's files are opened."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orders-by-key-{uuid.uuid4().hex}"
+    paging.write_clustered(scan_project(spark, sf_dir), path, "o_orderkey", file_rows=2000)
+    return paging.clustered_page(spark, path, "o_orderkey", after=700, size=500)
+
+
 # --- fingerprints and sources ------------------------------------------------
 
 @register

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tanimart.functions import text as tx
 from tanimart.operators import clean, match, validate
 
 RAW_SCHEMA = ("compound_id string, compound_name string, molecular_weight string, logp string, "
@@ -81,3 +82,48 @@ def test_validate_split(spark):
     assert validate.counts(df).first().asDict() == {"valid_rows": 3, "rejected_rows": 1}
     long = F.length("text") > 4
     assert sorted(r.doc_id for r in validate.split(df, long)[0].collect()) == [1, 2]
+
+
+def test_a_name_on_half_the_rows_is_dealt_to_all_tasks(spark):
+    rows = spark.range(8000).select(F.when(F.col("id") % 2 == 0, "Hot Name ").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("compound_name"), "id")
+    names = spark.range(4000).select(F.concat(F.lit("N"), F.col("id").cast("string")).alias("name"), F.col("id").alias("matched_id"))
+    names = names.unionByName(spark.createDataFrame([("HOT NAME", -1), ("hot name", -2)], "name string, matched_id long"))
+    hot = match.hot_keys(rows.select(tx.normalized_name("compound_name").alias("k")), "k", 8)
+    assert list(hot) == ["hot name"] and hot["hot name"] >= 7
+    held = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a large dictionary
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = match.match_names(rows, names, match.overrides_frame(spark))
+        each = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    assert sum(each) == 2 * 4000 + 4000  # two entries of the hot name, one row of every other
+    assert max(each) <= 2 * sum(each) / len(each)
+    got = out.groupBy("id").agg(F.sort_array(F.collect_list("matched_id")).alias("m")).collect()
+    assert all(r.m == ([-2, -1] if r.id % 2 == 0 else [r.id] if r.id < 4000 else []) for r in got)
+
+
+def test_match_without_rows_or_with_null_names(spark):
+    typed = spark.createDataFrame([(None,), ("A",)], "compound_name string")
+    names = spark.createDataFrame([("a", 1), (None, 2)], "name string, matched_id long")
+    assert sorted(map(tuple, match.match_names(typed, names, match.overrides_frame(spark, {})).collect()), key=str) == [("A", 1), (None, None)]
+    assert match.match_names(typed.limit(0), names, match.overrides_frame(spark)).count() == 0
+
+
+def test_clustered_page_opens_only_its_files(spark, scratch):
+    from tanimart.operators import paging
+    import random
+    keys = [*random.Random(1).sample(range(100_000), 5000), *[777] * 30, None]
+    df = spark.createDataFrame([(k, f"v{i}") for i, k in enumerate(keys)], "k long, v string").repartition(4)
+    zones = paging.write_clustered(df, f"{scratch}/t", "k", file_rows=300).collect()
+    assert len(zones) >= 15 and sum(z.rows for z in zones) == 5030
+    order = sorted(k for k in keys if k is not None)
+    for after, size in ((None, 10), (None, 6000), (50_000, 100), (50_000, 1000), (776, 5), (777, 40), (order[-1], 5), (-5, 1)):
+        want = [k for k in order if after is None or k > after][:size]
+        assert [r.k for r in paging.clustered_page(spark, f"{scratch}/t", "k", after, size).collect()] == want
+        assert [r.k for r in paging.keyset_page(df, "k", after, size).collect()] == want
+        files = paging.page_files(spark, f"{scratch}/t", after, size)
+        assert len(files) <= 2 + 2 * -(-len(want) // 200) or size > 5000
+    assert len(paging.page_files(spark, f"{scratch}/t", 50_000, 100)) <= 2
