@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import save
 
 #: Rounds end when no edge changes; the number of rounds is logarithmic in the
-#: longest path.  The bound only stops a run that cannot converge.
+#: longest path.  A run that does not converge within the bound is an error.
 MAX_ROUNDS = 60
 
 
@@ -45,6 +45,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         e = save(
             small.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
             .union(least.select("hi", F.col("m").alias("lo"))).distinct(), "cc-edges")
+    else:
+        raise RuntimeError(f"components still change after {MAX_ROUNDS} rounds")
     stars = e.where("hi <> lo")
     ends = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     nodes = ends.select(F.col(a).alias("node")).union(ends.select(b)).distinct()

@@ -2,8 +2,9 @@
 
 Each document is repeated Poisson(rate) times, rate = target rows of its
 source / rows of its source.  The count comes from inverting the Poisson
-distribution at a uniform number hashed from the seed and the document id, so
-a document's count does not depend on partitions, order or other documents.
+distribution at a uniform number hashed from the seed, the document's id and
+its text, so a document's count does not depend on partitions, order or other
+documents, and documents without an id have draws of their own.
 Copies are then dealt to partitions and ordered by a hash: a global shuffle.
 Everything runs as DataFrame functions.
 """
@@ -60,23 +61,27 @@ def poisson_cdf(rate):
 
 
 def mix(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, total: float | None = None, seed: int = 17,
-        id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Return the columns of ``docs`` plus ``mix_copies`` (the document's
     count), ``mix_copy`` (1 .. count) and ``mix_key`` (its place in the shuffled
     order, a 52-bit integer); rows are dealt to partitions by ``mix_key`` and
     ordered by it inside each.
 
-    A null id hashes as the empty string; a null source is a source of its own
-    (weight key "").  Repeated rows share their count and are copied each.
-    Columns of these names in ``docs`` are replaced.  An empty table gives none.
+    Rows are told apart by id and text (``text_col``, if ``docs`` has it): rows
+    that share an id, or have none, are drawn one by one as long as their texts
+    differ; rows equal in both share their count and are copied each.  A null id
+    and a null text hash as empty ones; a null source is a source of its own
+    (weight key "").  Columns of these names in ``docs`` are replaced.  An empty
+    table gives none.
     """
     docs = docs.drop("mix_copies", "mix_copy", "mix_key")
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")) if text_col in docs.columns else F.lit("")
+    key = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.col("__text"))
     table = rates(docs, weights, alpha, total, source_col).select(
         F.coalesce("source", F.lit("")).alias("__source"), F.col("source").isNull().alias("__none"),
         F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf"))
     counted = (
-        docs.withColumn("__source", F.coalesce(F.col(source_col), F.lit(""))).withColumn("__none", F.col(source_col).isNull())
+        docs.withColumn("__text", F.md5(text.cast("binary"))).withColumn("__source", F.coalesce(F.col(source_col), F.lit(""))).withColumn("__none", F.col(source_col).isNull())
         .join(bounded(save(table, "mix-rates"), 20_000), ["__source", "__none"])
         .withColumn("__us", F.transform(F.sequence(F.lit(1), F.col("__pieces")), lambda i: _uniform(seed, key, i)))
         .withColumn("mix_copies", F.aggregate("__us", F.lit(0), lambda n, u: n + F.size(F.filter("__cdf", lambda c: c < u))))
@@ -86,4 +91,4 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5, total:
     copies = counted.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies")))
     place = F.md5(F.concat(F.lit(f"{seed}/"), key, F.lit("/"), F.col("mix_copy").cast("string")).cast("binary"))
     keyed = copies.withColumn("mix_key", F.conv(F.substring(place, 1, 13), 16, 10).cast("long"))
-    return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
+    return keyed.drop("__text").repartition("mix_key").sortWithinPartitions("mix_key")

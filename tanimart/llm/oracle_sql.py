@@ -101,22 +101,22 @@ cdf AS (
     SELECT source, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c FROM terms
 ),
 drawn AS (
-    SELECT d.*, nth, unnest(range(1, p.parts + 1)) AS piece
+    SELECT d.*, nth, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS own, unnest(range(1, p.parts + 1)) AS piece
     FROM (SELECT *, row_number() OVER () AS nth FROM documents) d JOIN pieces p ON p.source IS NOT DISTINCT FROM d.source
 ),
 uniform AS (
-    SELECT *, (CAST('0x' || substr(md5('17:' || piece || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496 AS u
+    SELECT *, (CAST('0x' || substr(md5('17:' || piece || ':' || own), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496 AS u
     FROM drawn
 ),
 counted AS (
-    SELECT u.nth, any_value(u.doc_id) AS doc_id, any_value(u.text) AS text, any_value(u.lang) AS lang, any_value(u.source) AS source,
+    SELECT u.nth, any_value(u.own) AS own, any_value(u.doc_id) AS doc_id, any_value(u.text) AS text, any_value(u.lang) AS lang, any_value(u.source) AS source,
            any_value(u.n_chars) AS n_chars, count(*) AS copies
     FROM uniform u JOIN cdf ON cdf.source IS NOT DISTINCT FROM u.source AND cdf.c < u.u
     GROUP BY u.nth
 ),
 copied AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)
 SELECT doc_id, text, lang, source, n_chars, CAST(copies AS INTEGER) AS mix_copies, CAST(copy AS INTEGER) AS mix_copy,
-       CAST('0x' || substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || copy), 1, 13) AS BIGINT) AS mix_key
+       CAST('0x' || substr(md5('17/' || own || '/' || copy), 1, 13) AS BIGINT) AS mix_key
 FROM copied"""
 
 _GAP = "[\\x20\\x09-\\x0D]"

@@ -106,3 +106,11 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     assert out.where("source IS NULL").count() > 0
     assert mixing.mix(no_docs).count() == 0
     assert mixing.mix(odd_docs, {"nowhere": 1.0}).count() == 0
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(llm):
+    docs = llm.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.lit("a").alias("source"))
+    docs = docs.unionByName(llm.range(500).select((F.col("id") % 5).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit("b").alias("source")))
+    for seed in (1, 2, 3):
+        n = {r.source: r.n for r in mixing.mix(docs, alpha=1.0, seed=seed).groupBy("source").agg(F.count("*").alias("n")).collect()}
+        assert abs(n["a"] - 2000) < 4 * math.sqrt(2000) and abs(n["b"] - 500) < 4 * math.sqrt(500)
