@@ -77,8 +77,8 @@ def _numbered(prefix: str, key: str) -> F.Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 9, "0"))
 
 
-def catalogue_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A raw batch that names catalogue entries: suppliers refer to benchmark
+def catalogue_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw batches that name catalogue entries: suppliers refer to benchmark
     items (many to none that exists), nations to documents."""
     s = tables.read_table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("compound_id"),
@@ -87,7 +87,12 @@ def catalogue_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = tables.read_table(spark, sf_dir, "nation").select(
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("compound_id"),
         _numbered("Document#", "n_nationkey").alias("compound_name"), F.lit("batch_04_nations.csv").alias("_source_file"))
-    return csv_ingest.union_batches([csv_ingest.align(s), csv_ingest.align(n)])
+    return {"suppliers": s, "nations": n}
+
+
+def catalogue_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both of them, headers resolved, concatenated by name."""
+    return csv_ingest.union_batches([csv_ingest.align(b) for b in catalogue_batches(spark, sf_dir).values()])
 
 
 def catalogue_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,7 @@ ORACLE: dict[str, str] = {
     "indexed_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
     "maintained_topk": "WITH " + _fact(_ITEMS) + "SELECT * FROM fact",
     "matched_topk": "WITH " + _FACT + "SELECT * FROM fact",
+    "built_fact": "WITH " + _FACT + "SELECT * FROM fact",
     "scoped_dimension": "WITH " + _DIM + "SELECT * FROM dim",
     "avg_per_source": "WITH " + _FACT + """
         SELECT source_id, round(sum(score) / count(*), 4) AS avg_score FROM fact GROUP BY 1""",
@@ -232,6 +233,8 @@ ORACLE.update({
                NULLIF(coalesce(string_split(text, chr(10))[2], ''), '') AS second_line
         FROM documents""",
     "schema_align": "WITH " + _RAW + "SELECT * FROM raw",
+    "ingested_batches": "WITH " + _RAW + "SELECT * FROM raw",
+    "streamed_batches": "WITH " + _RAW + "SELECT * FROM raw",
     "typed_clean": "WITH " + _RAW + "SELECT * FROM typed",
     "name_match": "WITH " + _RAW + "SELECT * FROM matched",
     "match_audit": "WITH " + _RAW + """

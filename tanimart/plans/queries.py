@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tanimart import config
 from tanimart.functions import fingerprint as fpx
 from tanimart.functions import text as tx
 from tanimart.operators import clean, featurise, lookup, match, paging, validate
@@ -21,6 +22,7 @@ from tanimart.plans import build, inputs, loadlog, mart
 from tanimart.plans import similarity as simplan
 from tanimart.session import ensure_checkpoint_dir, materialize
 from tanimart.sources import csv_ingest, tables
+from tanimart.streaming import file_ingest
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -305,6 +307,65 @@ def key_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.regexp_extract("url", "/([0-9]+)", 1).cast("long").alias("number"))
 
 
+# --- files and jobs -----------------------------------------------------------
+
+def _scratch(spark: SparkSession) -> str:
+    """A fresh folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+def _as_files(batch: DataFrame, root: str, name: str) -> None:
+    """A raw batch as CSV files, padding and all, under ``root``/``name``."""
+    (batch.drop("_source_file").write.option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}"))
+
+
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    root = _scratch(spark)
+    _as_files(inputs.orders_batch(spark, sf_dir), f"{root}/in", "batch_01_orders.csv")
+    _as_files(inputs.events_batch(spark, sf_dir), f"{root}/in", "batch_02_events.csv")
+    return root
+
+
+def _batch_name(raw: DataFrame) -> DataFrame:
+    """The raw columns with the batch's name in place of its files' keys."""
+    name = F.concat(F.regexp_extract("_source_file", "(batch_[0-9]+_[a-z]+)", 1), F.lit(".csv"))
+    return raw.filter(F.col("_ingested_at").isNotNull()).select(*config.INPUT_COLUMNS, name.alias("_source_file"))
+
+
+@register
+def ingested_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw batches written as CSV files, found, read and appended to the raw
+    table; a second run of the ingest loads nothing more."""
+    root = _raw_files(spark, sf_dir)
+    wh = build.Warehouse(spark, f"{root}/wh")
+    loaded = build.ingest_input_files(wh, f"{root}/in")
+    if not loaded or build.ingest_input_files(wh, f"{root}/in"):
+        raise RuntimeError("a file was loaded twice, or none")
+    return _batch_name(spark.read.parquet(wh.path(build.RAW_INPUT)))
+
+
+@register
+def streamed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by the incremental stream, run twice."""
+    root = _raw_files(spark, sf_dir)
+    for _ in range(2):
+        file_ingest.run_once(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
+    return _batch_name(spark.read.parquet(f"{root}/out"))
+
+
+@register
+def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse's jobs in order, from the tables and CSV files to the written
+    fact: mirror, molecules, fingerprints, ingest, match, similarity, dimension."""
+    root = _scratch(spark)
+    for n, (name, batch) in enumerate(inputs.catalogue_batches(spark, sf_dir).items()):
+        _as_files(batch, f"{root}/in", f"batch_{n + 3:02d}_{name}.csv")
+    wh = build.Warehouse(spark, f"{root}/wh")
+    build.run_all(wh, sf_dir, "1", f"{root}/in")
+    return wh.read("gold.fact_similarity")
+
+
 # --- load log -----------------------------------------------------------------
 
 @register

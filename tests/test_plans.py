@@ -48,3 +48,34 @@ def test_override_map_is_broadcast(spark):
 def test_log_latest_is_partial_aggregate(spark):
     plan = E.queries()["load_log_latest"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["source_lookup", "fingerprint_bits", "fingerprint_roundtrip", "fingerprint_base64"])
+def test_a_text_is_hashed_once(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+
+
+@pytest.mark.parametrize("name", ["source_lookup", "source_missing", "sample_sources"])
+def test_ids_cut_the_catalogue_before_texts_are_read(spark, name):
+    lines = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    reads = [i for i, line in enumerate(lines) if "split(lower(text" in line]
+    joins = [i for i, line in enumerate(lines) if "Join LeftSemi" in line]
+    assert reads and joins
+    for i in reads:
+        below = next(k for k in joins if k > i)
+        assert depth(lines[below]) > depth(lines[i])
+        assert not any("split(lower(text" in line for line in lines[below:] if depth(line) > depth(lines[below]) and line not in [lines[r] for r in reads])
+
+
+def test_override_map_needs_no_shuffle_of_the_input(spark):
+    plan = QUERIES["name_match"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()  # before anything ran
+    at = plan.index("BroadcastHashJoin [_ov_key")
+    assert "LocalTableScan" in plan[at:] and "Exchange hashpartitioning(_ov_key" not in plan
+
+
+@pytest.mark.parametrize("name", ["flagship_topk", "matched_topk", "similarity_all_pairs"])
+def test_no_lambda_per_pair(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "zip_with" not in plan and "bit_count" not in plan
