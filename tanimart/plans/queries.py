@@ -88,7 +88,7 @@ def property_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten sources of the fact.  Every source with a fingerprint has
     candidates, so the found sources are the fact's, and nothing is scored."""
-    mols = lookup.found(simplan.valid_molecules(spark, sf_dir), simplan.matched_sources(spark, sf_dir))
+    mols, _ = validate.split(lookup.found(tables.molecules(spark, sf_dir), simplan.matched_sources(spark, sf_dir)))
     return mart.sampled_sources(mols.select(F.col("mol_id").alias("source_id")))
 
 
