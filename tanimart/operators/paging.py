@@ -32,8 +32,8 @@ def keyset_page(df: DataFrame, key: str, after=None, size: int = config.BATCH_RO
     one page together, not a page each.
     """
     rows = df.filter(F.col(key).isNotNull()) if after is None else df.filter(F.col(key) > F.lit(after))
-    steps = [i / STEPS for i in range(1, STEPS)]
-    n, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(key, steps, ACCURACY)).first()
+    steps = ", ".join(f"{i / STEPS}D" for i in range(1, STEPS))  # as SQL: one parse instead of a call per step
+    n, cuts = rows.agg(F.count(F.lit(1)), F.expr(f"percentile_approx(`{key}`, array({steps}), {ACCURACY})")).first()
     step = math.ceil(size / n * STEPS) + 1 if n else STEPS  # one more than the page: the quantile is approximate
     if step < STEPS:
         rows = rows.filter(F.col(key) <= F.lit(cuts[step - 1]))
