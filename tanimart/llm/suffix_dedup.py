@@ -7,9 +7,10 @@ Windows (100-byte strings) are routed by their minimizer, the least hash of
 their 32-byte substrings, so equal windows meet.  A run of windows with one
 minimizer travels as one string; minimizers that occur at one place only are
 left out before any text moves.  Equal strings are combined before the
-shuffle.  The windows of a minimizer with very many occurrences are routed by
-their own hash instead, and those that occur at one place only are left out
-in turn.
+shuffle, those of a minimizer with very many occurrences over all tasks.  Only
+where the different strings of a minimizer are very many, its windows are
+routed by their own hash instead, and those that occur at one place only are
+left out in turn.
 
 A task holds the different strings of its minimizers.  It cuts them into
 shards, builds each shard's Burrows-Wheeler transform, and merges these
@@ -39,9 +40,9 @@ from .common import bounded, save, settle
 
 #: Bytes of the minimizers' substrings.
 GRAM = 32
-#: Occurrences that make a minimizer's windows travel alone, and how many such
-#: minimizers there are at most (broadcast, 8 bytes each; with more the number
-#: of occurrences asked for grows).
+#: Occurrences that make a minimizer frequent, different strings that make its
+#: windows travel alone, and how many frequent minimizers there are at most
+#: (broadcast, 8 bytes each; with more the number asked for grows).
 HOT = 25_000
 MOST_HOT = 500_000
 #: Symbols merged together, shards they are cut into, bytes of a slice.
@@ -280,19 +281,44 @@ def _places(texts: DataFrame, length: int, hot: np.ndarray | None) -> DataFrame:
     return found.groupBy("h").agg(F.min("loc").alias("a"), F.max("loc").alias("b"), F.count("*").alias("c")).where("a <> b").select("h", "c")
 
 
-def _live(texts: DataFrame, length: int) -> tuple[DataFrame, np.ndarray]:
-    """(h) of the groups that can hold repeats, and the hot minimizers."""
+def _different(texts: DataFrame, length: int, often: np.ndarray) -> DataFrame:
+    """(h, d): number of different strings of the frequent minimizers."""
+    held = texts.sparkSession.sparkContext.broadcast(often)
+
+    def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = tk.flat(batch.column(0))
+            for i, j in tk.slices(off, SLICE):
+                _, _, _, h, s, *_ = _routed(data, off[i:j + 1], length, held.value[:0])
+                keep = _among(h, held.value)
+                yield _emit([_signed(h[keep]), _signed(s[keep])], ["h", "s"], [pa.int64()] * 2)
+
+    return texts.select("text").mapInArrow(strings, "h long, s long").distinct().groupBy("h").agg(F.count("*").alias("d"))
+
+
+def _hashes(groups: DataFrame) -> np.ndarray:
+    """Sorted hashes; the caller bounds their number."""
+    return np.sort(groups.select("h").toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def _live(texts: DataFrame, length: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(h) of the groups that can hold repeats, the minimizers whose windows
+    travel alone, and all frequent ones."""
     spark = texts.sparkSession
     many = save(_places(texts, length, None), "suffix-live")
     settle(spark)
     total = many.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first().n
     least = max(HOT, total // MOST_HOT)
-    hot = np.sort(np.array([r.h for r in many.where(F.col("c") >= least).select("h").collect()], dtype=np.int64).view(np.uint64))
+    often = _hashes(many.where(F.col("c") >= least))
+    if not len(often):
+        return many.select("h"), often, often
+    wide = save(_different(texts, length, often).where(F.col("d") >= least), "suffix-wide")
+    hot = _hashes(wide)
     if not len(hot):
-        return many.select("h"), hot
+        return many.select("h"), hot, often
     alone = save(_places(texts, length, hot), "suffix-live-windows")
     settle(spark)
-    return many.where(F.col("c") < least).select("h").union(alone.select("h")), hot
+    return many.join(wide, "h", "left_anti").select("h").union(alone.select("h")), hot, often
 
 
 def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
@@ -315,29 +341,31 @@ def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> D
     return save(found.groupBy("th").agg(F.collect_set("h").alias("hs")), "suffix-marks")
 
 
-_STRING = "h long, s long, id long, th long, start long, windows int, twice boolean, bytes binary"
+_STRING = "h long, s long, id long, th long, start long, windows int, twice boolean, bytes binary, often boolean"
 
 
-def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
+def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, often: np.ndarray, length: int) -> DataFrame:
     """Every occurrence of a live string; of equal ones in a slice the first
     carries the bytes."""
-    held = texts.sparkSession.sparkContext.broadcast(hot)
+    held = texts.sparkSession.sparkContext.broadcast((hot, often))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "s", "id", "th", "start", "windows", "twice", "bytes"]
-        kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.binary()]
+        names = ["h", "s", "id", "th", "start", "windows", "twice", "bytes", "often"]
+        kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.binary(), pa.bool_()]
+        hot, often = held.value
         for batch in batches:
             ids, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, off = tk.flat(batch.column(2))
             hs, n_hs = batch.column(3).flatten().to_numpy().view(np.uint64), batch.column(3).value_lengths().to_numpy()
             live = np.sort(tk.mixed(hs + tk.mixed(np.repeat(np.arange(len(n_hs)), n_hs).astype(np.uint64))))
             for i, j in tk.slices(off, SLICE):
-                row, start, windows, h, s, _, sums, part, o = _routed(data, off[i:j + 1], length, held.value)
+                row, start, windows, h, s, alone, sums, part, o = _routed(data, off[i:j + 1], length, hot)
                 keep = _among(tk.mixed(h + tk.mixed((row + i).astype(np.uint64))), live)
-                row, start, windows, h, s = (x[keep] for x in (row, start, windows, h, s))
+                row, start, windows, h, s, alone = (x[keep] for x in (row, start, windows, h, s, alone))
+                frequent = alone | _among(h, often)
                 twice = repeated_inside(part, o, row, start, windows, h, sums, length) if len(h) else np.zeros(0, bool)
                 order = np.lexsort((start, ths[i + row], ids[i + row], s, h))
-                row, start, windows, h, s, twice = (x[order] for x in (row, start, windows, h, s, twice))
+                row, start, windows, h, s, twice, frequent = (x[order] for x in (row, start, windows, h, s, twice, frequent))
                 at, size = o[row] + start, windows + length - 1
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
@@ -345,7 +373,7 @@ def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, length: int) -
                 ends = np.concatenate([[0], np.cumsum(lens)])
                 flat = part[np.repeat(at - ends[:-1], lens) + np.arange(ends[-1])]
                 carried = pa.Array.from_buffers(pa.binary(), len(h), [pa.py_buffer(np.packbits(first, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
-                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), twice, carried], names, kinds)
+                yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), twice, carried, frequent], names, kinds)
 
     both = texts.select("id", "th", "text").join(marks, "th").select("id", "th", "text", "hs")
     return save(both.mapInArrow(cut, _STRING), "suffix-strings")
@@ -357,9 +385,10 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def _merged(strings: DataFrame, length: int) -> DataFrame:
+def _merged(strings: DataFrame, often: bool, length: int) -> DataFrame:
     """(h, s, id, th, start, again): of every different string the first place
-    and the windows (packed bits) that also start earlier."""
+    and the windows (packed bits) that also start earlier.  With ``often``
+    there are strings of frequent minimizers: equal ones meet before the groups."""
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["h", "s", "id", "th", "start", "again"], [pa.int64()] * 5 + [pa.binary()]
         ready: list = []  # strings of finished groups that hold two or more
@@ -400,28 +429,51 @@ def _merged(strings: DataFrame, length: int) -> DataFrame:
         solve()
         yield drain()
 
-    near = strings.where("bytes IS NOT NULL").repartition("h").sortWithinPartitions("h")
+    near = strings.where("bytes IS NOT NULL")
+    if often:
+        same = near.where("often").groupBy("h", "s").agg(
+            F.min(F.struct("id", "th", "start")).alias("p"), F.first("windows").alias("windows"),
+            F.bool_or("twice").alias("twice"), F.first("bytes").alias("bytes"))
+        near = near.where("NOT often").drop("often").unionByName(same.select("h", "s", "p.*", "windows", "twice", "bytes"))
+    near = near.drop("often").repartition("h").sortWithinPartitions("h")
     return near.mapInArrow(merge, "h long, s long, id long, th long, start long, again binary")
 
 
+def covered(at: np.ndarray, windows: np.ndarray, again: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, byte after the last) of the stretches that repeated windows
+    cover: all windows of a string, or those whose bit is set in ``again``."""
+    whole = again.is_null().to_numpy(zero_copy_only=False)
+    masks, size = again.drop_null(), (windows[~whole] + 7) // 8
+    bits = np.flatnonzero(np.unpackbits(np.frombuffer(b"".join(masks.to_pylist()), np.uint8)))
+    of = np.concatenate([[0], np.cumsum(8 * size)])
+    which = np.searchsorted(of, bits, side="right") - 1
+    one = at[~whole][which] + bits - of[which]
+    return np.concatenate([at[whole], one]), np.concatenate([at[whole] + windows[whole] + length - 1, one + length])
+
+
 def _cuts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """(th, n_removed, n_spans, kept_sha256) of the classes' first texts."""
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["th", "n_removed", "n_spans", "kept_sha256"], [pa.int64()] * 3 + [pa.string()]
         for batch in batches:
-            rows = []
-            for th, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                gain = np.zeros(len(data) + 1, dtype=np.int32)
-                for m in marks:
-                    n = m["windows"]
-                    own = np.arange(n) if m["again"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(m["again"], np.uint8), count=n))
-                    np.add.at(gain, m["start"] + own, 1)
-                    np.add.at(gain, m["start"] + own + length, -1)
+            th, (data, off) = batch.column(0).to_numpy(), tk.flat(batch.column(1))
+            marks, per_row = batch.column(2).flatten(), batch.column(2).value_lengths().to_numpy()
+            of = np.concatenate([[0], np.cumsum(per_row)])
+            for i, j in tk.slices(off, SLICE):
+                own = marks.slice(of[i], of[j] - of[i])
+                at = np.repeat(off[i:j] - off[i], per_row[i:j]) + own.field("start").to_numpy()
+                first, last = covered(at, own.field("windows").to_numpy(), own.field("again"), length)
+                part, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
+                gain = np.bincount(first, minlength=len(part) + 1) - np.bincount(last, minlength=len(part) + 1)
                 gone = np.cumsum(gain[:-1]) > 0
-                edges = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                rows.append((th, int(gone.sum()), edges, hashlib.sha256(kept).hexdigest()))
-            yield _emit(list(zip(*rows, strict=True)) or [[]] * 4, ["th", "n_removed", "n_spans", "kept_sha256"], [pa.int64()] * 3 + [pa.string()])
+                begins = gone.copy()
+                begins[1:] &= ~gone[:-1]
+                head = o[:-1][o[:-1] < o[1:]]
+                begins[head] = gone[head]
+                lost, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, begins))
+                kept, ends = part[~gone].tobytes(), o - lost[o]
+                sha = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield _emit([th[i:j], np.diff(lost[o]), np.diff(spans[o]), sha], names, kinds)
 
     lists = found.groupBy("th").agg(F.collect_list(F.struct("start", "windows", "again")).alias("marks"))
     lists = save(lists, "suffix-cuts")
@@ -450,18 +502,18 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     # rows that repeat an earlier row's text need no look at their text
     copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select("id", "th").distinct(), "suffix-copies")
     long = long.join(bounded(copies), ["id", "th"], "left_anti")
-    live, hot = _live(long, length)
+    live, hot, often = _live(long, length)
     marks = _marks(long, live, hot, length)
     settle(spark)
     marked = long.join(bounded(marks.select("th")), "th", "leftsemi")
-    strings = _strings(marked, marks, hot, length)
+    strings = _strings(marked, marks, hot, often, length)
     settle(spark)
-    merged = save(_merged(strings, length), "suffix-merged")
+    merged = save(_merged(strings, len(often) > 0, length), "suffix-merged")
     settle(spark)
     firsts = merged.select("h", "s", F.col("id").alias("i"), F.col("th").alias("t"), F.col("start").alias("p"), "again")
     here = (F.col("id") == F.col("i")) & (F.col("th") == F.col("t")) & (F.col("start") == F.col("p"))
     found = (
-        strings.drop("bytes").join(firsts, ["h", "s"])
+        strings.drop("bytes", "often").join(firsts, ["h", "s"])
         .withColumn("again", F.when(here, F.col("again")))
         .where("again IS NULL OR octet_length(again) > 0")
         .select("th", "start", "windows", "again")
