@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from .common import save
 from .components import components
 
-#: Rules are a parameter of the call, held in the plan; more than this many
-#: belong in another form and are refused.
-MAX_RULES = 10_000
+#: Rules up to which a list is held in the plan as an expression; a longer
+#: one is joined as a table.
+LITERAL_RULES = 10_000
 
 
 def url_host(url: Column) -> Column:
@@ -114,8 +114,6 @@ def fitting_rule(host: Column, path: Column, rules: list) -> Column:
 
     A rule fits its host and all subdomains where the path starts with the
     rule's.  Of equally long ones allow wins, then the smaller text."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES}")
     if not rules:
         return F.lit(None).cast("struct<rule:string,verdict:string>")
     table = F.array(*[
@@ -126,11 +124,39 @@ def fitting_rule(host: Column, path: Column, rules: list) -> Column:
     return F.when(F.size(fits) > 0, F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
 
-def judge(pages: DataFrame, rules: list, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
+def suffixes(host: Column) -> Column:
+    """The host and the hosts above it: what is left after each dot."""
+    parts = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+
+
+def fitting_table(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, fit) of the different (host, path) of ``urls`` that a row of
+    ``rules`` (host, path, verdict) fits, as ``fitting_rule`` decides.
+
+    A host's suffixes meet the lengths that the paths of a rule host have, and
+    the path cut to each length meets the rules by equality, so a URL makes at
+    most suffixes x lengths rows whatever the number of rules.  A rule with a
+    null host or path fits nothing; of repeated rules allow wins."""
+    kind = F.when(F.col("verdict") == "allow", 0).otherwise(1)
+    rules = rules.where("host IS NOT NULL AND path IS NOT NULL").groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(
+        F.min(F.struct(kind.alias("kind"), F.col("verdict"))).alias("v"))
+    rules = save(rules.select("h", "p", "v.kind", "v.verdict"), "url-rules")
+    lengths = rules.groupBy("h").agg(F.collect_set(F.length("p")).alias("lengths"))
+    hosts = urls.select("host").distinct().select("host", F.explode(suffixes(F.col("host"))).alias("h")).join(lengths, "h")
+    cut = urls.select("host", "path").distinct().join(hosts, "host").select("host", "path", "h", F.explode("lengths").alias("n"))
+    cut = cut.where(F.col("n") <= F.length("path")).withColumn("p", F.substring(F.col("path"), F.lit(1), F.col("n")))
+    size = (-F.length(F.concat("h", "p"))).alias("size")
+    best = cut.join(rules, ["h", "p"]).groupBy("host", "path").agg(F.min(F.struct(size, "kind", "h", "p", "verdict")).alias("b"))
+    return best.select("host", "path", F.struct(F.concat("b.h", "b.p").alias("rule"), F.col("b.verdict").alias("verdict")).alias("fit"))
+
+
+def judge(pages: DataFrame, rules: list | DataFrame, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
           html_col: str | None = "html", default: str = "allow") -> DataFrame:
     """Return (id, host, path, rule, verdict, alias_class) per page.
 
-    ``rules``: (host, path, "allow" | "block").  ``redirects``: optional
+    ``rules``: (host, path, "allow" | "block") as a list or, in any number, a
+    table of columns host, path, verdict.  ``redirects``: optional
     (src, dst) URLs besides the links found in the pages; a relative dst counts
     from src.  A null or odd url
     has empty host and path, fits no rule and gets the default; repeated rows
@@ -141,8 +167,13 @@ def judge(pages: DataFrame, rules: list, redirects: DataFrame | None = None, id_
     url = F.col(url_col)
     judged = pages.select(
         F.col(id_col).alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"), page_key(url).alias("node"))
-    fit = fitting_rule(F.col("host"), F.col("path"), rules)
-    judged = save(judged.withColumn("fit", fit).select("page_id", "host", "path", "node", "fit.rule", F.col("fit.verdict").alias("own")), "url-judged")
+    if isinstance(rules, list) and len(rules) > LITERAL_RULES:
+        rules = save(pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string"), "url-rule-list")
+    if isinstance(rules, list):
+        judged = judged.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
+    else:
+        judged = judged.join(fitting_table(judged, rules), ["host", "path"], "left")
+    judged = save(judged.select("page_id", "host", "path", "node", "fit.rule", F.col("fit.verdict").alias("own")), "url-judged")
     edges = [] if html_col is None else [link_edges(pages, url_col, html_col)]
     if redirects is not None:
         edges.append(redirects.select(page_key(F.col("src")).alias("a"), page_key(resolved(F.col("src"), F.col("dst"))).alias("b")))

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -91,6 +92,26 @@ def test_rules(llm):
     assert (got[9].host, got[9].path, got[9].verdict, got[11].host) == ("", "", "allow", "")
 
 
+def test_rule_table_decides_as_the_list(llm, monkeypatch):
+    """Many rules of one host, odd hosts, ties, repeated and null rules."""
+    rng = random.Random(4)
+    label = lambda: rng.choice(["a", "b", "com", "org", "", "é"])
+    host = lambda: ".".join(label() for _ in range(rng.randrange(1, 5)))
+    path = lambda: "/" + "".join(rng.choice("ab/é") for _ in range(rng.randrange(6)))
+    rules = [(host(), rng.choice(["", path()]), rng.choice(["allow", "block"])) for _ in range(150)]
+    rules += [("com", path(), "block") for _ in range(150)] + [("a.com", "/a", v) for v in ("block", "allow")] + rules[:9]
+    rows = [(i, f"http://{host()}{path()}", None) for i in range(600)] + [(900, None, None), (901, "odd", None), (902, "http://", None)] * 2
+    plain = lambda got: {i: (r.rule, r.verdict) for i, r in got.items()}
+    want = plain(_judge(llm, rows, rules))
+    assert len({rule for rule, _ in want.values()}) > 40
+    table = llm.createDataFrame([*rules, (None, "/", "block"), ("com", None, "block")], "host string, path string, verdict string")
+    assert plain(_judge(llm, rows, table.withColumn("h", F.lit("clash")))) == want
+    assert plain(_judge(llm, rows, table.where("1 = 0"))) == {i: (None, "allow") for i in want}
+    assert _judge(llm, [], table) == {}
+    monkeypatch.setattr(url_filter, "LITERAL_RULES", 3)
+    assert plain(_judge(llm, rows, rules)) == want
+
+
 def test_decisions_spread_over_redirects_and_canonical_links(llm):
     page = lambda to: f'<html><link rel="canonical" href="{to}"></html>'
     rows = [(1, "http://a.net/1", page("http://a.com/de/1")), (2, "http://a.com/de/1", None), (3, "http://b.net/1", '<meta http-equiv="refresh" content="0; url=http://a.net/1">'),
