@@ -4,6 +4,7 @@
         --version 37 [--input <csv folder>] [--force]
     python -m tanimart ingest-stream --input <csv folder> --output <table> \\
         --checkpoint <folder>
+    python -m tanimart expire --root <warehouse> [--keep 2]
 
 Runs on whatever session ``spark-submit`` / the cluster configures (master,
 memory, ``spark.checkpoint.dir``); nothing here forces a local master.
@@ -37,6 +38,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", required=True)
+    e = sub.add_parser("expire", help="remove replaced versions of the warehouse's tables")
+    e.add_argument("--root", required=True, help="warehouse root folder (shared storage)")
+    e.add_argument("--keep", type=int, default=2, help="versions to keep of each table, the published one included")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tanimart-{args.cmd}").getOrCreate()
@@ -45,6 +49,9 @@ def main(argv: list[str] | None = None) -> None:
         wh = build.Warehouse(spark, args.root)
         out = build.run_all(wh, args.tables, args.version, input_root=args.input, force=args.force)
         print(json.dumps({k: _plain(v) for k, v in out.items()}, default=str))
+    elif args.cmd == "expire":
+        from tanimart.plans import build
+        print(json.dumps(build.expire(build.Warehouse(spark, args.root), args.keep)))
     else:
         from tanimart.streaming import file_ingest
         file_ingest.run_once(spark, args.input, args.output, args.checkpoint)

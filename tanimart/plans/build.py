@@ -286,6 +286,17 @@ def register_views(wh: Warehouse) -> list[str]:
     return list(views)
 
 
+def expire(wh: Warehouse, keep: int = 2) -> list[str]:
+    """Remove replaced versions of all tables but the ``keep`` newest of each.
+
+    The fingerprints that the stored head was made from stay: the next upkeep
+    compares with them.  Run it when no build and no long reader is at work."""
+    last = wh.last_version(HEAD)
+    spare = (last.rpartition("#")[0],) if last else ()
+    names = {r.table_name for r in wh.log().select("table_name").distinct().collect()} | {"gold.similarity"}
+    return [folder for t in sorted(names) for folder in sinks.expire(wh.spark, wh.path(t), keep, spare)]
+
+
 def run_all(wh: Warehouse, sf_dir: str, version: str, input_root: str | None = None,
             force: bool = False) -> dict[str, BuildResult | int | list]:
     """The whole chain in dependency order (what a scheduler would order)."""

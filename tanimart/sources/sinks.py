@@ -4,7 +4,8 @@
 to a fresh version folder and a small pointer file is swapped afterwards
 (write-then-rename).  A failed or refused build leaves the previous
 version in place.  ``append`` adds files; ``overwrite_partitions`` replaces
-only the partitions present in the new data.
+only the partitions present in the new data.  ``expire`` removes versions
+that a later one replaced.
 """
 
 from __future__ import annotations
@@ -66,6 +67,37 @@ def read_current(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def expire(spark: SparkSession, table_path: str, keep: int = 2, spare: tuple[str, ...] = ()) -> list[str]:
+    """Remove old versions of a replaced table; returns the folders removed.
+
+    The published version stays, and of the complete ones written before it the
+    ``keep`` - 1 newest, for readers that opened them, and those whose folder is
+    in ``spare``.  Age is that of the job's success marker, so unfinished and
+    not yet published versions are never touched.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    current = current_path(spark, table_path)
+    if current is None:
+        return []
+    fs, p, jvm = _fs(spark, table_path)
+
+    def written(folder: str) -> int | None:
+        marker = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        return fs.getFileStatus(marker).getModificationTime() if fs.exists(marker) else None
+
+    published = written(current)
+    if published is None:
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    ages = {f"{table_path}/{n}": written(f"{table_path}/{n}") for n in names if n.startswith("v-")}
+    older = sorted((f for f, age in ages.items() if f != current and age is not None and age < published), key=lambda f: (ages[f], f), reverse=True)
+    gone = [f for f in older[keep - 1:] if f not in spare]
+    for folder in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    return gone
+
+
 class EmptyResult(RuntimeError):
     """A build produced no rows where rows are required; nothing was published."""
 

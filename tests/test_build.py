@@ -30,6 +30,38 @@ def test_replace_is_atomic_and_guarded(spark, scratch):
     assert sinks.read_current(spark, path).count() == 3
 
 
+def test_expire_keeps_published_new_and_spared_versions(spark, scratch):
+    path = f"{scratch}/t"
+    assert sinks.expire(spark, path) == []
+    folders = []
+    for n in range(1, 6):
+        sinks.replace(spark.range(n), path)
+        folders.append(sinks.current_path(spark, path))
+        os.utime(f"{folders[-1]}/_SUCCESS", (1_000_000 + n, 1_000_000 + n))
+    spark.range(9).write.parquet(f"{path}/v-unpublished")  # complete, later than the published one
+    os.makedirs(f"{path}/v-unfinished")
+    with pytest.raises(ValueError):
+        sinks.expire(spark, path, keep=0)
+    assert sinks.expire(spark, path, keep=9) == []
+    assert sorted(sinks.expire(spark, path, keep=2, spare=(folders[0],))) == sorted(folders[1:3])
+    left = {f for f in os.listdir(path) if f.startswith("v-")}
+    assert left == {os.path.basename(folders[k]) for k in (0, 3, 4)} | {"v-unpublished", "v-unfinished"}
+    assert sinks.read_current(spark, path).count() == 5
+    assert sinks.expire(spark, path, keep=1) == [folders[3], folders[0]]
+
+
+def test_warehouse_expire_spares_the_heads_fingerprints(spark, scratch):
+    wh = build.Warehouse(spark, f"{scratch}/wh")
+    prints = []
+    for n in range(1, 5):
+        wh.build("silver.fingerprint", str(n), lambda n=n: spark.range(n))
+        prints.append(sinks.current_path(spark, wh.path("silver.fingerprint")))
+        os.utime(f"{prints[-1]}/_SUCCESS", (1_000_000 + n, 1_000_000 + n))
+    wh.record((build.HEAD, f"{prints[0]}#10", 1))
+    assert sorted(build.expire(wh, keep=1)) == sorted(prints[1:3])
+    assert os.path.isdir(prints[0]) and wh.read("silver.fingerprint").count() == 4
+
+
 def test_version_gate_skip_and_force(spark, scratch):
     wh = build.Warehouse(spark, scratch)
     calls = []
