@@ -277,8 +277,9 @@ def _got(df):
     return collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize("hot,symbols", [(20_000, 1 << 19), (2, 2000)])
-def test_removed_spans_match_brute_force(llm, monkeypatch, hot, symbols):
+@pytest.mark.parametrize("hot,symbols,slice_bytes", [(20_000, 1 << 19, 1 << 18), (2, 2000, 1 << 18), (6, 2000, 900)])
+def test_removed_spans_match_brute_force(llm, monkeypatch, hot, symbols, slice_bytes):
+    monkeypatch.setattr(suffix_dedup, "SLICE", slice_bytes)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     monkeypatch.setattr(suffix_dedup, "MERGE_SYMBOLS", symbols)
     rng = random.Random(8)
