@@ -14,7 +14,7 @@ its bands, a candidate once per source block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,11 +96,22 @@ def best(sources: pa.Table, candidates: pa.Table, n: int, exclude_self: bool) ->
     """(source_id, target_id, score): the first ``n`` candidates of every source."""
     if not len(sources) or not len(candidates):
         return _result(sources, candidates, [])
+    candidates = in_order(candidates)
+    return firsts(sources, candidates, tiles(sources, candidates), n, exclude_self)
+
+
+def in_order(candidates: pa.Table) -> pa.Table:
+    """Candidates by their ``order_key``."""
     keys = candidates.column("order_key").to_pylist()
-    candidates = candidates.take(pa.array(sorted(range(len(keys)), key=keys.__getitem__)))
+    return candidates.take(pa.array(sorted(range(len(keys)), key=keys.__getitem__)))
+
+
+def firsts(sources: pa.Table, candidates: pa.Table, scored: Iterable[tuple[int, np.ndarray]], n: int, exclude_self: bool) -> pa.Table:
+    """``best`` of candidates in order, from (first source, scores) as ``tiles``
+    gives them; a negative score is none."""
     selves = _selves(sources, candidates) if exclude_self else {}
     found = []
-    for at, scores in tiles(sources, candidates):
+    for at, scores in scored:
         for k, row in enumerate(scores):
             row[selves.get(at + k, [])] = -1.0
             places = first_rows(row, n)

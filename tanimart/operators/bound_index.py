@@ -78,7 +78,8 @@ def clustered(fps: DataFrame, block_rows: int = BLOCK_ROWS, group_blocks: int =
 
     ship(fps.sparkSession)
     kind = "mol_id string, fp array<bigint>, n_bits int"
-    keyed = fps.select("mol_id", "fp", "n_bits").mapInArrow(_least_bits, f"{kind}, k1 int, k2 int, k3 int")
+    # written first: a range shuffle computes its input twice, once to sample the ranges
+    keyed = materialize(fps.select("mol_id", "fp", "n_bits").mapInArrow(_least_bits, f"{kind}, k1 int, k2 int, k3 int"))
     order = [sim.band(F.col("n_bits")), "k1", "k2", "k3", "mol_id"]
     laid = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("k1", "k2", "k3")
     return laid.mapInArrow(numbered, f"{kind}, grp long, block long")
@@ -181,26 +182,38 @@ def _descend(routed: DataFrame, low: DataFrame, rows: int) -> DataFrame:
 
 
 def _scored(wanted: DataFrame, rows: DataFrame, source_blocks: int, n: int, exclude_self: bool) -> DataFrame:
-    """First ``n`` rows of every source in its wanted blocks; ``wanted`` is (mol_id,
-    fp, n_bits, grp, asked: array of blocks)."""
+    """First ``n`` rows of every source in its wanted blocks of a group, without
+    those below its t; ``wanted`` is (mol_id, fp, n_bits, t, grp, asked: array of
+    blocks)."""
     def score(some: pa.Table, candidates: pa.Table) -> pa.Table:
         if not len(some) or not len(candidates):
             return blocks.best(some, candidates, n, exclude_self)
         asked = some.column("asked").combine_chunks()
         who, which = np.repeat(np.arange(len(some)), asked.value_lengths().to_numpy()), asked.flatten().to_numpy()
-        held, out = candidates.column("block").to_numpy(), []
+        candidates = blocks.in_order(candidates)
+        held, scores = candidates.column("block").to_numpy(), np.full((len(some), len(candidates)), -1.0)
         for b in np.unique(which).tolist():
-            out.append(blocks.best(some.take(pa.array(who[which == b])), candidates.filter(pa.array(held == b)), n, exclude_self))
-        return pa.concat_tables(out)
+            i, j = who[which == b], np.flatnonzero(held == b)
+            for at, part in blocks.tiles(some.take(pa.array(i)), candidates.take(pa.array(j))):
+                scores[np.ix_(i[at:at + len(part)], j)] = part
+        scores[scores < some.column("t").to_numpy()[:, None]] = -1.0
+        return blocks.firsts(some, candidates, [(0, scores)], n, exclude_self)
 
     keyed = rows.where("mol_id IS NOT NULL").select("mol_id", "fp", "n_bits", "grp", "block", blocks.order_key("mol_id").alias("order_key"))
     return _meet(*_by_source_block(wanted, keyed, source_blocks), ["grp", "r"], score, "source_id string, target_id string, score double")
 
 
 def _of(sources: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (mol_id, grp, block) as the sources' wanted blocks by group."""
+    """``pairs`` (mol_id, grp, block) as the wanted blocks by group of sources with t."""
     asked = pairs.groupBy("mol_id", "grp").agg(F.collect_set("block").alias("asked"))  # at most GROUP_BLOCKS
-    return sources.select("mol_id", "fp", "n_bits").join(asked, "mol_id")
+    return sources.select("mol_id", "fp", "n_bits", "t").join(asked, "mol_id")
+
+
+def _with_least(sources: DataFrame, first: DataFrame, n: int) -> DataFrame:
+    """``sources`` with t, the score of their last of ``n`` + 1 first rows: a row
+    of the result has at least that."""
+    least = first.filter(F.col("rank") == n + 1).select(F.col("source_id").alias("mol_id"), F.col("score").alias("_t"))
+    return sources.join(least, "mol_id", "left").withColumn("t", F.coalesce("_t", F.lit(0.0))).drop("_t")
 
 
 def plan(sources: DataFrame, index: Index, n: int = config.TOP_N, exclude_self: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -212,9 +225,8 @@ def plan(sources: DataFrame, index: Index, n: int = config.TOP_N, exclude_self:
     seeds = materialize(_routes(sources, index.groups, n_sources, n_groups, SEEDS))
     own = seeds.join(index.blocks.select("grp", "block"), "grp").select("mol_id", "grp", "block")
     near = index.rows.join(seeds.select("grp").distinct(), "grp", "left_semi")
-    first = materialize(sim.ranked(_scored(_of(sources, own), near, _source_blocks(n_sources), n + 1, exclude_self), n + 1))
-    least = first.filter(F.col("rank") == n + 1).select(F.col("source_id").alias("mol_id"), F.col("score").alias("_t"))
-    bounded = materialize(sources.join(least, "mol_id", "left").withColumn("t", F.coalesce("_t", F.lit(0.0))).drop("_t"))
+    first = materialize(sim.ranked(_scored(_of(sources.withColumn("t", F.lit(0.0)), own), near, _source_blocks(n_sources), n + 1, exclude_self), n + 1))
+    bounded = materialize(_with_least(sources, first, n))
     groups = _routes(bounded, index.groups, n_sources, n_groups, None).join(seeds, ["mol_id", "grp"], "left_anti")
     routed = bounded.join(groups.select("mol_id", "grp"), "mol_id")
     return first, materialize(_descend(routed, index.blocks, _source_blocks(n_sources)))
@@ -224,7 +236,7 @@ def head(sources: DataFrame, index: Index, n: int = config.TOP_N, exclude_self:
     """``similarity.head`` by the index: (source_id, target_id, score, rank)."""
     first, more = plan(sources, index, n, exclude_self)
     rows = index.rows.join(more.select("block").distinct(), "block", "left_semi")
-    rest = _scored(_of(sources, more), rows, _source_blocks(sources.count()), n + 1, exclude_self)
+    rest = _scored(_of(_with_least(sources, first, n), more), rows, _source_blocks(sources.count()), n + 1, exclude_self)
     return sim.ranked(first.drop("rank").unionByName(rest), n + 1)
 
 

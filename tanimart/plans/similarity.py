@@ -94,4 +94,4 @@ def indexed_fact(spark: SparkSession, sf_dir: str, n: int = config.TOP_N) -> Dat
     fps = catalogue_fingerprints(spark, sf_dir)
     index = bound_index.build(fps)
     ids = lookup.requested_ids(tables.source_requests(spark, sf_dir))
-    return bound_index.nearest(lookup.found(index.rows, ids), index, n)
+    return bound_index.nearest(materialize(lookup.found(index.rows, ids)), index, n)  # the sources are read several times

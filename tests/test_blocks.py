@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tanimart.operators import blocks, bound_index
 from tanimart.operators import similarity as sim
@@ -148,6 +149,39 @@ def test_index_skips_blocks_that_cannot_matter(spark):
     assert _got(bound_index.nearest(_frame(spark, sources), index, 10)) == _plain(sources, entries, 10)
 
 
+def test_index_computes_its_input_once(spark):
+    """The range shuffle samples its input: fingerprints behind it were made twice."""
+    rnd = random.Random(3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    fps = _frame(spark, _entries(rnd, [f"D{i}" for i in range(300)]))
+    index = bound_index.build(fps.mapInArrow(counted, fps.schema), 8, 4)
+    assert index.rows.count() == 300 and seen.value == 300
+
+
+def test_index_yields_few_rows_per_group(spark):
+    """A group yields a source's first rows once, not once per block, and none
+    below the source's t."""
+    rnd = random.Random(4)
+    entries = {f"D{i}": rnd.sample(range(60), 20) for i in range(200)}
+    index = bound_index.build(_frame(spark, entries).coalesce(1), 4, 8)
+    wanted = index.blocks.select("grp", "block").crossJoin(_frame(spark, {"D3": entries["D3"]}).withColumn("t", F.lit(0.4)))
+    asked = wanted.groupBy("mol_id", "fp", "n_bits", "t", "grp").agg(F.collect_set("block").alias("asked"))
+    rows = bound_index._scored(asked, index.rows, 1, 3, True).collect()
+    held = {r.mol_id: r.grp for r in index.rows.collect()}
+    by_group = {}
+    for t, b in entries.items():
+        if t != "D3" and _tanimoto(entries["D3"], b) >= 0.4:
+            by_group.setdefault(held[t], []).append((-_tanimoto(entries["D3"], b), *_number(t), t))
+    want = {("D3", r[3], -r[0]) for group in by_group.values() for r in sorted(group)[:3]}
+    assert want and len(rows) == len(want) and {tuple(r) for r in rows} == want
+
+
 def test_empty_index(spark):
     nothing = _frame(spark, {"D1": [1]}).limit(0)
     assert bound_index.nearest(nothing, bound_index.build(nothing), 3).count() == 0
