@@ -17,11 +17,14 @@ shards, builds each shard's Burrows-Wheeler transform, and merges these
 without sorting all suffixes again: the interleave (which shard the i-th
 suffix of the merged order comes from) starts as the plain sequence of the
 shards and is refined step by step; a stable distribution of the interleave
-by the transforms' symbols (four bytes each) orders the suffixes by one symbol
-more.  The boundaries that appear in step d separate common prefixes of d - 1
-symbols, so after 25 steps the blocks left are the intervals of equal 100-byte
-strings.  A string without another of its minimizer, and without that
-minimizer twice, is alone in its intervals and is not merged.
+by the transforms' symbols orders the suffixes by one symbol more.  The
+boundaries that appear in step d separate common prefixes of d - 1 symbols.  A
+symbol is twenty bytes, so after 5 steps the blocks left are the intervals of
+equal 100-byte strings (four or two bytes and more steps for lengths that are
+no multiple, or where two symbols share a hash).  A string without another of
+its minimizer, and without that minimizer twice, is alone in its intervals and
+is not merged; of the others only the stretch is whose windows share the bytes
+around their minimizer with another string.
 The smallest place in a block stays, all others are repeats.
 """
 
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import bounded, save, settle
+from .common import BROADCAST_ROWS, save, settle
 
 #: Bytes of the minimizers' substrings.
 GRAM = 32
@@ -46,23 +49,35 @@ GRAM = 32
 HOT = 25_000
 MOST_HOT = 500_000
 #: Symbols merged together, shards they are cut into, bytes of a slice.
-MERGE_SYMBOLS = 1 << 19
+MERGE_SYMBOLS = 1 << 17
 SHARDS = 4
+#: Bytes of a symbol in the merge (where the length is a multiple).
+WIDE = 20
+#: Ranges of a minimizer's place in its windows.
+PLACES = 4
 SLICE = 1 << 18
 LAST = (1 << 63) - 1
 
 
+def grams(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(prefix sums, hash of the 32-byte substring at every place)."""
+    sums = tk.prefix(tk.BYTE[part])
+    g = sums[GRAM:] - sums[:-GRAM]
+    g *= tk.powers(len(part))[1][:len(g)]
+    return sums, g
+
+
 def runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(row, start in the row, windows, minimizer) of the strings of a slice,
-    with the prefix sums and the slice's bytes and offsets."""
+    with the prefix sums, the substrings' hashes and the slice's bytes and
+    offsets."""
     lo, hi = int(off[0]), int(off[-1])
     part, off = data[lo:hi], off - lo
     n, span = len(part), length - GRAM + 1
-    sums = tk.prefix(tk.BYTE[part])
+    sums, g = grams(part)
     if n < length:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), sums, part, off
-    g = tk.mixed((sums[GRAM:] - sums[:-GRAM]) * tk.powers(n)[1][:n - GRAM + 1])
+        return none, none, none, none.astype(np.uint64), sums, g, part, off
     m, s = g, 1
     while 2 * s <= span:
         m = np.minimum(m[:-s], m[s:])
@@ -70,14 +85,16 @@ def runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ..
     if s < span:
         m = np.minimum(m[:len(m) - (span - s)], m[span - s:])
     # m[i]: minimizer of the window at i; windows that cross a row's end do not count
-    room = np.repeat(off[1:], np.diff(off))[:len(m)] - np.arange(len(m))
-    valid = room >= length
-    first = valid.copy()
-    first[1:] &= ~valid[:-1] | (m[1:] != m[:-1]) | (room[1:] > room[:-1])
-    start = np.flatnonzero(first)
-    after = np.append(start[1:], len(m)) if len(start) else start
-    total = np.concatenate([[0], np.cumsum(valid)])
-    count = total[after] - total[start]
+    edge = np.zeros(n + 1, dtype=np.int8)
+    some = off[:-1] < off[1:]
+    edge[np.maximum(off[:-1], off[1:] - length + 1)[some]] += 1
+    edge[off[1:][some]] -= 1
+    valid = np.cumsum(edge[:len(m)], dtype=np.int8) == 0
+    change = np.ones(len(m) + 1, dtype=bool)
+    np.not_equal(m[1:], m[:-1], out=change[1:-1])
+    change[1:-1] |= valid[1:] != valid[:-1]
+    start = np.flatnonzero(change[:-1] & valid)
+    count = np.flatnonzero(change[1:] & valid) + 1 - start
     pieces = -(-count // span)  # more windows only where the minimizer comes again
     which = np.repeat(np.arange(len(start)), pieces)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -85,17 +102,26 @@ def runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ..
     windows = np.minimum(span, count[which] - nth * span)
     row = np.searchsorted(off, at, side="right") - 1
     # empty rows share an offset; the last of them holds the byte
-    return row, at - off[row], windows, m[at], sums, part, off
+    return row, at - off[row], windows, m[at], sums, g, part, off
+
+
+def _cells(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(44)).astype(np.int64)
+
 
+def _cell_table(h: np.ndarray) -> np.ndarray:
+    """For every cell whether one of the hashes is in it."""
+    table = np.zeros(1 << 20, dtype=bool)
+    table[_cells(h)] = True
+    return table
 
-def repeated_inside(part: np.ndarray, off: np.ndarray, row, start, windows, h, sums, length: int) -> np.ndarray:
+
+def repeated_inside(off: np.ndarray, row, start, windows, h, g, length: int) -> np.ndarray:
     """Strings that hold their minimizer twice, so that a window can repeat inside."""
     span = length - GRAM + 1
-    g = tk.mixed((sums[GRAM:] - sums[:-GRAM]) * tk.powers(len(part))[1][:len(part) - GRAM + 1])
-    cell = lambda x: ((x >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.int64)
-    table = np.zeros(1 << 16, dtype=bool)
-    table[cell(h)] = True
-    pos = np.flatnonzero(table[cell(g)])
+    if not len(h):
+        return np.zeros(0, dtype=bool)
+    pos = np.flatnonzero(_cell_table(h)[_cells(g)])
     values, rank = np.unique(h, return_inverse=True)
     which = np.minimum(np.searchsorted(values, g[pos]), len(values) - 1)
     same = values[which] == g[pos]
@@ -130,19 +156,56 @@ def alphabet(strings: list[bytes]) -> tuple[int, np.ndarray | None]:
     return (4, table) if len(table) < 1 << 16 else (2, None)
 
 
-def transform(strings: list[bytes], width: int, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def wide(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """As codes(), for symbols of more than eight bytes: equal symbols have
+    one number, in the order of their hashes.  None if two different symbols
+    share a hash."""
+    size = np.array([len(s) + 1 for s in strings])
+    ends = np.cumsum(size) - 1
+    n = int(ends[-1]) + 1
+    part = np.zeros(n + width, dtype=np.uint8)
+    body = np.zeros(n + width, dtype=bool)
+    body[:n - 1] = True
+    body[ends] = False
+    part[body] = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    left = np.repeat(ends, size) - np.arange(n)
+    full = np.flatnonzero(left >= width)
+    code = np.zeros(n, dtype=np.int64)
+    if len(full):
+        sums = tk.prefix(tk.BYTE[part])
+        h = ((sums[width:n + width] - sums[:n]) * tk.powers(n + width)[1][:n])[full]
+        order = np.argsort(h)
+        ranked = h[order]
+        change = np.ones(len(order), dtype=bool)
+        np.not_equal(ranked[1:], ranked[:-1], out=change[1:])
+        rank = np.cumsum(change) - 1
+        code[full[order]] = rank
+        words = np.ndarray((n,), dtype=np.int64, buffer=part.data, strides=(1,))
+        first = full[order[change]][rank]
+        for k in (*range(0, width - 8, 8), width - 8):
+            if not np.array_equal(words[full[order] + k], words[first + k]):
+                return None
+    return code, left, size
+
+
+def transform(strings: list[bytes], width: int, table: np.ndarray | None, named: tuple | None = None, depth: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, string, offset) of a shard's suffixes in order.
 
     A symbol is ``width`` bytes; a suffix's symbol in the transform is the one
     before it.  Suffixes of less than a symbol are the ends: they come first,
-    by string and length, and no suffix is before their symbols."""
-    code, left, size = codes(strings, width)
+    by string and length, and no suffix is before their symbols.  ``named``
+    holds the shard's symbols where they are known.  Suffixes equal in their
+    first ``depth`` symbols may stay in any order: their blocks are not told
+    apart before that step."""
+    code, left, size = named or codes(strings, width)
     if table is not None:
         code = np.searchsorted(table, code)
     short = left < width
     rank = code + width * len(strings)
     rank[short] = np.arange(short.sum())
     step, most = 1, int(size.max())
+    if depth is not None:
+        most = min(most, depth * width)
     while True:
         order = np.argsort(rank)  # equal ranks are told apart by a later round
         change, ranked = np.zeros(len(order), dtype=np.int64), rank[order]
@@ -157,11 +220,22 @@ def transform(strings: list[bytes], width: int, table: np.ndarray | None) -> tup
         rank, step = new * (len(new) + 1) + after, 2 * step
     owner = np.repeat(np.arange(len(strings)), size)
     offset = size[owner] - 1 - left
-    before = np.zeros(len(code), dtype=np.uint16)
+    before = np.zeros(len(code), dtype=np.uint16 if width <= 4 else np.int64)
     before[width:] = code[:-width]
     return before[order], owner[order], offset[order]
 
 
+def stable(code: np.ndarray) -> np.ndarray:
+    """The stable order of the codes, sixteen bits at a time."""
+    if code.dtype == np.uint16:
+        return np.argsort(code, kind="stable")
+    order, shift, most = np.argsort(code.astype(np.uint16), kind="stable"), 16, int(code.max(initial=0))
+    while most >> shift:
+        order = order[np.argsort((code >> shift).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
 def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms: (shard of every merged rank, block of every merged
     rank), blocks being the suffixes with equal first ``depth`` symbols.
@@ -177,14 +251,14 @@ def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: in
     z = np.repeat(np.arange(len(size), dtype=np.uint8), size)
     top = np.repeat(np.arange(len(size), dtype=np.uint8), counts)
     block = np.zeros(n, dtype=np.int32)
-    merged, on = np.empty(n, dtype=np.uint16), np.empty(n, dtype=bool)
+    merged, on = np.empty(n, dtype=every.dtype), np.empty(n, dtype=bool)
     new = np.empty(n, dtype=np.int32)
     new[:ends] = np.arange(ends)
     for _ in range(depth):
         at = np.concatenate([np.flatnonzero(z == k) for k in range(len(size))])
         merged[at], on[at] = every, goes
         rows = np.flatnonzero(on)
-        move = rows[np.argsort(merged[rows], kind="stable")]
+        move = rows[stable(merged[rows])]
         c, b = merged[move], block[move]
         edge = np.ones(n - ends, dtype=np.int32)
         edge[1:] = (c[1:] != c[:-1]) | (b[1:] != b[:-1])
@@ -197,13 +271,56 @@ def interleave(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: in
     return z, block
 
 
+def stretches(strings: list[bytes], groups: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, windows) of the part of every string that can repeat; none where
+    it cannot.
+
+    Equal windows hold their minimizer at the same place, so windows whose
+    places are near each other share the bytes that all of these cover.  A
+    group with a string that holds its minimizer twice stays as it is."""
+    size = np.array([len(s) for s in strings])
+    off = np.concatenate([[0], np.cumsum(size)])
+    sums, g = grams(np.frombuffer(b"".join(strings), dtype=np.uint8))
+    owner = np.repeat(np.arange(len(strings)), size)[:len(g)]
+    pos = np.flatnonzero(g == groups[owner])
+    pos = pos[pos + GRAM <= off[1:][owner[pos]]]
+    at = np.zeros(len(strings), dtype=np.int64)
+    at[owner[pos]] = pos
+    odd = np.unique(groups[np.bincount(owner[pos], minlength=len(strings)) != 1])
+    one = np.flatnonzero(~_among(groups, odd))
+    p, q, w = at[one], (at - off[:-1])[one], windows[one]
+    span = length - GRAM + 1
+    low, high = np.full(len(one), span), np.full(len(one), -1)
+    for j in range(PLACES):
+        near, far = span * j // PLACES, span * (j + 1) // PLACES - 1
+        a, b = np.maximum(near, q - w + 1), np.minimum(far, q)  # the string's own places
+        has = np.flatnonzero(a <= b)
+        key = tk.mixed(tk.spans_hash(sums, p[has] - near, p[has] - far + length) + tk.mixed(groups[one[has]]))
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        again = has[times[which] > 1]
+        low[again] = np.minimum(low[again], (q - b)[again])
+        high[again] = np.maximum(high[again], (q - a)[again])
+    first, count = np.zeros(len(strings), dtype=np.int64), windows.astype(np.int64)
+    first[one], count[one] = np.where(high < 0, 0, low), np.where(high < 0, 0, high - low + 1)
+    return first, count
+
+
 def repeats(strings: list[bytes], places: list[tuple[int, int, int]], windows: list[int], length: int) -> list[np.ndarray]:
     """For each string the windows (booleans) that also start at an earlier
     place; ``places`` are (id, text, start) of the strings' first occurrences."""
     shards = [list(range(k, len(strings), SHARDS)) for k in range(min(SHARDS, len(strings)))]
-    width, table = alphabet(strings)
-    parts = [transform([strings[i] for i in own], width, table) for own in shards]
-    z, block = interleave(parts, length // width, width)
+    by_shard = [i for own in shards for i in own]
+    named = wide([strings[i] for i in by_shard], WIDE) if length % WIDE == 0 else None
+    if named is not None:
+        at = np.concatenate([[0], np.cumsum(named[2])])[np.cumsum([0, *map(len, shards)])]
+        cut = np.cumsum([0, *map(len, shards)])
+        parts = [transform([strings[i] for i in own], WIDE, None, (named[0][a:b], named[1][a:b], named[2][c:d]), length // WIDE)
+                 for own, a, b, c, d in zip(shards, at[:-1], at[1:], cut[:-1], cut[1:], strict=True)]
+        z, block = interleave(parts, length // WIDE, WIDE)
+    else:
+        width, table = alphabet(strings)
+        parts = [transform([strings[i] for i in own], width, table, depth=length // width) for own in shards]
+        z, block = interleave(parts, length // width, width)
     doc = {d: k for k, d in enumerate(sorted({p[:2] for p in places}))}
     rank, start = np.array([doc[p[:2]] for p in places]), np.array([p[2] for p in places])
     string, offset, found = [], [], []
@@ -214,6 +331,7 @@ def repeats(strings: list[bytes], places: list[tuple[int, int, int]], windows: l
     string, offset, found = np.concatenate(string), np.concatenate(offset), np.concatenate(found)
     count = np.array(windows)
     own = offset < count[string]
+    own[own] = np.bincount(found[own], minlength=1)[found[own]] > 1
     string, offset, found = string[own], offset[own], found[own]
     place = (rank[string].astype(np.int64) << 40) + start[string] + offset
     order = np.lexsort((place, found))
@@ -242,9 +360,10 @@ def _text_key():
 
 
 def _routed(data: np.ndarray, off: np.ndarray, length: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start, windows, group, hash, sums, bytes, offsets) of the strings
-    of a slice: runs of windows, or single windows of hot minimizers."""
-    row, start, windows, h, sums, part, o = runs(data, off, length)
+    """(row, start, windows, group, hash, alone, substrings' hashes, bytes,
+    offsets) of the strings of a slice: runs of windows, or single windows of
+    hot minimizers."""
+    row, start, windows, h, sums, g, part, o = runs(data, off, length)
     alone = _among(h, hot)
     if alone.any():
         times = np.where(alone, windows, 1)
@@ -253,7 +372,20 @@ def _routed(data: np.ndarray, off: np.ndarray, length: int, hot: np.ndarray) ->
         start, windows = start + np.where(alone, nth, 0), np.where(alone, 1, windows)
     at = o[row] + start
     s = tk.spans_hash(sums, at, at + windows + length - 1) if len(at) else h
-    return row, start, windows, np.where(alone, tk.mixed(h ^ s), h), s, alone, sums, part, o
+    return row, start, windows, np.where(alone, tk.mixed(h ^ s), h), s, alone, g, part, o
+
+
+def _holding(data: np.ndarray, off: np.ndarray, table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, bytes, offsets) of the rows of a slice that hold one of the
+    hashed substrings; ``table`` is the hashes' cell table."""
+    part, off = data[int(off[0]):int(off[-1])], off - off[0]
+    _, g = grams(part)
+    pos = np.flatnonzero(table[_cells(g)])
+    pos = pos[_among(g[pos], hashes)]
+    row = np.unique(np.searchsorted(off, pos, side="right") - 1)
+    size = np.diff(off)[row]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return row, part[np.repeat(off[row] - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
 def _places(texts: DataFrame, length: int, hot: np.ndarray | None) -> DataFrame:
@@ -262,16 +394,18 @@ def _places(texts: DataFrame, length: int, hot: np.ndarray | None) -> DataFrame:
     held = None if hot is None else texts.sparkSession.sparkContext.broadcast(hot)
 
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if held is None else _cell_table(held.value)
         for batch in batches:
             data, off = tk.flat(batch.column(1))
             th = batch.column(0).to_numpy().view(np.uint64)
             for i, j in tk.slices(off, SLICE):
                 if held is None:
-                    row, start, windows, h, sums, part, o = runs(data, off[i:j + 1], length)
-                    twice = repeated_inside(part, o, row, start, windows, h, sums, length) if len(h) else np.zeros(0, bool)
+                    row, start, windows, h, _, g, _, o = runs(data, off[i:j + 1], length)
+                    twice = repeated_inside(o, row, start, windows, h, g, length)
                 else:
-                    row, start, _, h, _, alone, *_ = _routed(data, off[i:j + 1], length, held.value)
-                    row, start, h = row[alone], start[alone], h[alone]
+                    rows, own, o = _holding(data, off[i:j + 1], table, held.value)
+                    row, start, _, h, _, alone, *_ = _routed(own, o, length, held.value)
+                    row, start, h = rows[row[alone]], start[alone], h[alone]
                     twice = np.zeros(len(h), dtype=bool)
                 loc = tk.mixed(th[i + row] + tk.mixed(start.astype(np.uint64)))
                 h, loc = np.concatenate([h, h[twice]]), np.concatenate([loc, loc[twice] + np.uint64(1)])
@@ -286,10 +420,12 @@ def _different(texts: DataFrame, length: int, often: np.ndarray) -> DataFrame:
     held = texts.sparkSession.sparkContext.broadcast(often)
 
     def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _cell_table(held.value)
         for batch in batches:
             data, off = tk.flat(batch.column(0))
             for i, j in tk.slices(off, SLICE):
-                _, _, _, h, s, *_ = _routed(data, off[i:j + 1], length, held.value[:0])
+                _, own, o = _holding(data, off[i:j + 1], table, held.value)
+                _, _, _, h, s, *_ = _routed(own, o, length, held.value[:0])
                 keep = _among(h, held.value)
                 yield _emit([_signed(h[keep]), _signed(s[keep])], ["h", "s"], [pa.int64()] * 2)
 
@@ -321,8 +457,8 @@ def _live(texts: DataFrame, length: int) -> tuple[DataFrame, np.ndarray, np.ndar
     return many.join(wide, "h", "left_anti").select("h").union(alone.select("h")), hot, often
 
 
-def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
-    """(th, hs): each class's live groups."""
+def _marks(texts: DataFrame, live: DataFrame, first: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
+    """(th, id, hs): each class's live groups, and its first row."""
     held = texts.sparkSession.sparkContext.broadcast(hot)
 
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +474,18 @@ def _marks(texts: DataFrame, live: DataFrame, hot: np.ndarray, length: int) -> D
                 yield _emit([_signed(h[once]), th[i + row[once]]], ["h", "th"], [pa.int64()] * 2)
 
     found = texts.select("th", "text").mapInArrow(pairs, "h long, th long").join(live, "h")
-    return save(found.groupBy("th").agg(F.collect_set("h").alias("hs")), "suffix-marks")
+    sets = found.groupBy("th").agg(F.collect_set("h").alias("hs"))
+    return save(sets.join(first.select("th", F.col("first").alias("id")), "th").select("th", "id", "hs"), "suffix-marks")
+
+
+def _of(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Texts joined with the (id, th) of ``rows``; hashes of few rows are
+    broadcast first, so that hardly any other texts are shuffled."""
+    key = F.xxhash64("id", "th")
+    if rows.count() <= BROADCAST_ROWS:
+        keys = rows.select(key.alias("key"))
+        texts = texts.withColumn("key", key).join(F.broadcast(keys), "key", "leftsemi").drop("key")
+    return texts.join(rows, ["id", "th"])
 
 
 _STRING = "h long, s long, id long, th long, start long, windows int, twice boolean, bytes binary, often boolean"
@@ -359,11 +506,11 @@ def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, often: np.ndar
             hs, n_hs = batch.column(3).flatten().to_numpy().view(np.uint64), batch.column(3).value_lengths().to_numpy()
             live = np.sort(tk.mixed(hs + tk.mixed(np.repeat(np.arange(len(n_hs)), n_hs).astype(np.uint64))))
             for i, j in tk.slices(off, SLICE):
-                row, start, windows, h, s, alone, sums, part, o = _routed(data, off[i:j + 1], length, hot)
+                row, start, windows, h, s, alone, g, part, o = _routed(data, off[i:j + 1], length, hot)
                 keep = _among(tk.mixed(h + tk.mixed((row + i).astype(np.uint64))), live)
                 row, start, windows, h, s, alone = (x[keep] for x in (row, start, windows, h, s, alone))
                 frequent = alone | _among(h, often)
-                twice = repeated_inside(part, o, row, start, windows, h, sums, length) if len(h) else np.zeros(0, bool)
+                twice = repeated_inside(o, row, start, windows, h, g, length)
                 order = np.lexsort((start, ths[i + row], ids[i + row], s, h))
                 row, start, windows, h, s, twice, frequent = (x[order] for x in (row, start, windows, h, s, twice, frequent))
                 at, size = o[row] + start, windows + length - 1
@@ -375,7 +522,7 @@ def _strings(texts: DataFrame, marks: DataFrame, hot: np.ndarray, often: np.ndar
                 carried = pa.Array.from_buffers(pa.binary(), len(h), [pa.py_buffer(np.packbits(first, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
                 yield _emit([_signed(h), _signed(s), ids[i + row], ths[i + row], start, windows.astype(np.int32), twice, carried, frequent], names, kinds)
 
-    both = texts.select("id", "th", "text").join(marks, "th").select("id", "th", "text", "hs")
+    both = _of(texts.select("id", "th", "text"), marks).select("id", "th", "text", "hs")
     return save(both.mapInArrow(cut, _STRING), "suffix-strings")
 
 
@@ -392,25 +539,45 @@ def _merged(strings: DataFrame, often: bool, length: int) -> DataFrame:
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["h", "s", "id", "th", "start", "again"], [pa.int64()] * 5 + [pa.binary()]
         ready: list = []  # strings of finished groups that hold two or more
+        parts: list = []  # their parts that can repeat: bytes, place, first window, windows, string
         group: dict = {}
-        state = {"h": None, "symbols": 0, "out": []}
+        state = {"h": None, "ready": 0, "parts": 0, "out": []}
 
         def close():
             if len(group) > 1 or any(v[2] for v in group.values()):
                 ready.extend((state["h"], b, *v) for b, v in group.items())
-                state["symbols"] += sum(len(b) + 1 for b in group)
+                state["ready"] += sum(len(b) + 1 for b in group)
             else:
                 state["out"] += [(state["h"], v[3], *v[0], b"") for v in group.values()]
             group.clear()
-            if state["symbols"] >= MERGE_SYMBOLS:
-                solve()
+            if state["ready"] >= MERGE_SYMBOLS:
+                narrow()
 
-        def solve():
+        def narrow():
             if ready:
-                masks = repeats([r[1] for r in ready], [r[2] for r in ready], [r[3] for r in ready], length)
-                state["out"] += [(r[0], r[5], *r[2], np.packbits(m).tobytes() if m.any() else b"") for r, m in zip(ready, masks, strict=True)]
+                hs = np.array([r[0] for r in ready], dtype=np.int64).view(np.uint64)
+                first, count = stretches([r[1] for r in ready], hs, np.array([r[3] for r in ready]), length)
+                for r, f, n in zip(ready, first.tolist(), count.tolist(), strict=True):
+                    if n:
+                        (i, th, start), b = r[2], r[1][f:f + n + length - 1]
+                        parts.append((b, (i, th, start + f), f, n, r))
+                        state["parts"] += len(b) + 1
+                    else:
+                        state["out"].append((r[0], r[5], *r[2], b""))
             ready.clear()
-            state["symbols"] = 0
+            state["ready"] = 0
+            if state["parts"] >= MERGE_SYMBOLS:
+                solve()
+
+        def solve():
+            if parts:
+                masks = repeats([x[0] for x in parts], [x[1] for x in parts], [x[3] for x in parts], length)
+                for (_, _, f, n, r), m in zip(parts, masks, strict=True):
+                    again = np.zeros(r[3], dtype=bool)
+                    again[f:f + n] = m
+                    state["out"].append((r[0], r[5], *r[2], np.packbits(again).tobytes() if m.any() else b""))
+            parts.clear()
+            state["parts"] = 0
 
         def drain():
             rows, state["out"] = state["out"], []
@@ -426,6 +593,7 @@ def _merged(strings: DataFrame, often: bool, length: int) -> DataFrame:
                     group[data] = ((i, th, start), windows, twice, s)
             yield drain()
         close()
+        narrow()
         solve()
         yield drain()
 
@@ -475,10 +643,9 @@ def _cuts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 sha = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield _emit([th[i:j], np.diff(lost[o]), np.diff(spans[o]), sha], names, kinds)
 
-    lists = found.groupBy("th").agg(F.collect_list(F.struct("start", "windows", "again")).alias("marks"))
+    lists = found.groupBy("id", "th").agg(F.collect_list(F.struct("start", "windows", "again")).alias("marks"))
     lists = save(lists, "suffix-cuts")
-    own = texts.select("th", "text").join(bounded(lists.select("th")), "th", "leftsemi")
-    out = own.join(lists, "th").select("th", "text", "marks").mapInArrow(cut, "th long, n_removed long, n_spans long, kept_sha256 string")
+    out = _of(texts.select("id", "th", "text"), lists).select("th", "text", "marks").mapInArrow(cut, "th long, n_removed long, n_spans long, kept_sha256 string")
     return save(out.dropDuplicates(["th"]), "suffix-removed")
 
 
@@ -499,14 +666,15 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     slim = save(texts.select("doc_id", "id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "suffix-rows")
     first = save(slim.groupBy("th").agg(F.min("id").alias("first"), F.count("*").alias("c")), "suffix-classes")
     long = texts.where(F.octet_length("text") >= length)
-    # rows that repeat an earlier row's text need no look at their text
+    # rows that repeat an earlier row's text need no look at their text; where
+    # they are too many to broadcast, a look costs less than to move all texts
+    # (equal texts are one place, and only a class's first row is cut)
     copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select("id", "th").distinct(), "suffix-copies")
-    long = long.join(bounded(copies), ["id", "th"], "left_anti")
-    live, hot, often = _live(long, length)
-    marks = _marks(long, live, hot, length)
+    seen = long.join(F.broadcast(copies), ["id", "th"], "left_anti") if copies.count() <= BROADCAST_ROWS else long
+    live, hot, often = _live(seen, length)
+    marks = _marks(seen, live, first, hot, length)
     settle(spark)
-    marked = long.join(bounded(marks.select("th")), "th", "leftsemi")
-    strings = _strings(marked, marks, hot, often, length)
+    strings = _strings(long, marks, hot, often, length)
     settle(spark)
     merged = save(_merged(strings, len(often) > 0, length), "suffix-merged")
     settle(spark)
@@ -516,9 +684,9 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
         strings.drop("bytes", "often").join(firsts, ["h", "s"])
         .withColumn("again", F.when(here, F.col("again")))
         .where("again IS NULL OR octet_length(again) > 0")
-        .select("th", "start", "windows", "again")
+        .select("id", "th", "start", "windows", "again")
     )
-    removed = _cuts(marked, found, length)
+    removed = _cuts(long, found, length)
     settle(spark)
     # of a class the first row has the text's own cuts, all others go whole
     alike = slim.groupBy("doc_id", "id", "th", "n_bytes", "sha").agg(F.count("*").cast("int").alias("m")).join(first.select("th", "first"), "th").join(removed, "th", "left")

@@ -345,6 +345,83 @@ def test_many_symbols_fall_back_to_pairs():
     assert not any(m.any() for m in masks[:700]) and masks[700].tolist() == [True] * 11 + [False] * 10
 
 
+def _brute(strings, windows, length):
+    seen, out = set(), []
+    for s, n in zip(strings, windows, strict=True):
+        out.append([s[p:p + length] in seen or seen.add(s[p:p + length]) or False for p in range(n)])
+    return out
+
+
+@pytest.mark.parametrize("length,depths", [(100, [5]), (60, [3]), (44, [11])])
+def test_merge_takes_few_steps(monkeypatch, length, depths):
+    """A step per symbol of twenty bytes; of four where the length is no multiple."""
+    steps, plain = [], suffix_dedup.interleave
+    monkeypatch.setattr(suffix_dedup, "interleave", lambda parts, depth, width: steps.append(depth) or plain(parts, depth, width))
+    rng = random.Random(5)
+    base = [bytes(rng.choice(b"abcd") for _ in range(160)) for _ in range(5)]
+    strings = [rng.choice(base)[:rng.randrange(length, 130)] + rng.choice(base)[:rng.randrange(length, 130)] for _ in range(60)] + [b"ab" * 120, b"x" * 200]
+    windows = [len(s) - length + 1 for s in strings]
+    masks = suffix_dedup.repeats(strings, [(i, 0, 0) for i in range(len(strings))], windows, length)
+    assert [m.tolist() for m in masks] == _brute(strings, windows, length) and steps == depths
+
+
+def test_symbols_that_share_a_hash_are_not_one(monkeypatch):
+    rng = random.Random(6)
+    strings = [bytes(rng.choice(b"ab") for _ in range(140)) for _ in range(30)]
+    strings.append(strings[4][20:] + strings[7][:20])
+    assert suffix_dedup.wide(strings, 20) is not None
+    monkeypatch.setattr(suffix_dedup.tk, "BYTE", suffix_dedup.tk.BYTE * 0)
+    assert suffix_dedup.wide(strings, 20) is None
+    masks = suffix_dedup.repeats(strings, [(i, 0, 0) for i in range(31)], [41] * 31, 100)
+    assert [m.tolist() for m in masks] == _brute(strings, [41] * 31, 100)
+
+
+def test_only_stretches_that_can_repeat_are_merged():
+    """No window that another string of the group holds is left out; strings
+    that share no more than their minimizer are."""
+    rng = random.Random(7)
+    noise = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    gram, before, after = noise(32), noise(70), noise(70)
+    strings = []
+    for _ in range(150):
+        left, right = rng.randrange(69), rng.randrange(69)
+        own = [rng.randrange(left + 1), rng.randrange(right + 1)]  # bytes of the context that are the same
+        s = noise(left - own[0]) + before[70 - own[0]:] + gram + after[:own[1]] + noise(right - own[1])
+        if len(s) >= 100:
+            strings.append(s)
+    strings.append(before[2:] + gram + after[:68])
+    windows = [len(s) - 99 for s in strings]
+    group = suffix_dedup.grams(suffix_dedup.np.frombuffer(gram, dtype="uint8"))[1]
+    groups = suffix_dedup.np.repeat(group, len(strings))
+    first, count = suffix_dedup.stretches(strings, groups, suffix_dedup.np.array(windows), 100)
+    times = collections.Counter(w for s in strings for w in {s[p:p + 100] for p in range(len(s) - 99)})
+    shared = [[p for p in range(n) if times[s[p:p + 100]] > 1] for s, n in zip(strings, windows, strict=True)]
+    assert sum(map(len, shared)) > 100
+    for own, f, n, w in zip(shared, first.tolist(), count.tolist(), windows, strict=True):
+        assert 0 <= f <= f + n <= w and all(f <= p < f + n for p in own)
+    assert sum(not n for n in count.tolist()) > len(strings) // 4
+    alone = [noise(68) + gram + noise(68) for _ in range(50)]
+    assert not suffix_dedup.stretches(alone, groups[:50], suffix_dedup.np.repeat(69, 50), 100)[1].any()
+    # a minimizer held twice: the group stays whole
+    strings[0] = gram + noise(10) + gram + noise(60)
+    assert suffix_dedup.stretches(strings, groups, suffix_dedup.np.array([35, *windows[1:]]), 100)[1].tolist() == [35, *windows[1:]]
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_many_copies_do_not_move_the_texts(llm, monkeypatch, hot):
+    """Beyond the broadcast bound the looks at all texts have no join."""
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    looks, live = [], suffix_dedup._live
+    monkeypatch.setattr(suffix_dedup, "_live", lambda texts, length: looks.append(plan_text(texts)) or live(texts, length))
+    rng = random.Random(12)
+    passage = prose(rng, 40)
+    rows = [(i, prose(rng, 15) + " " + passage + " " + prose(rng, 15)) for i in range(1, 8)]
+    rows += [(i + 20, t) for i, t in rows] * 2 + [(None, rows[2][1]), (0, rows[6][1]), (9, prose(rng, 60)), (10, rows[0][1][30:])]
+    assert _got(suffix_dedup.deduplicate(llm.createDataFrame(rows, DOC).repartition(3))) == _deduplicated(rows, 100)
+    assert looks and "Join" not in looks[0] and "Exchange hashpartitioning" not in looks[0]
+
+
 def test_suffix_odd_rows(llm, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert _got(suffix_dedup.deduplicate(odd_docs)) == _deduplicated(rows, 100)
