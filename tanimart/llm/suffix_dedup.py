@@ -667,10 +667,16 @@ def deduplicate(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     first = save(slim.groupBy("th").agg(F.min("id").alias("first"), F.count("*").alias("c")), "suffix-classes")
     long = texts.where(F.octet_length("text") >= length)
     # rows that repeat an earlier row's text need no look at their text; where
-    # they are too many to broadcast, a look costs less than to move all texts
-    # (equal texts are one place, and only a class's first row is cut)
+    # they are too many to broadcast, the others are written once if they are
+    # the lesser part, else all are looked at: that costs less than to move all
+    # texts (equal texts are one place, and only a class's first row is cut)
     copies = save(slim.join(first.where("c > 1"), "th").where("id <> first").select("id", "th").distinct(), "suffix-copies")
-    seen = long.join(F.broadcast(copies), ["id", "th"], "left_anti") if copies.count() <= BROADCAST_ROWS else long
+    n_copies, seen = copies.count(), long
+    if n_copies <= BROADCAST_ROWS:
+        seen = long.join(F.broadcast(copies), ["id", "th"], "left_anti")
+    elif 2 * n_copies > slim.count():
+        seen = long = save(long.join(copies, ["id", "th"], "left_anti"), "suffix-texts")
+        settle(spark)
     live, hot, often = _live(seen, length)
     marks = _marks(seen, live, first, hot, length)
     settle(spark)

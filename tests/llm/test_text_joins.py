@@ -407,9 +407,10 @@ def test_only_stretches_that_can_repeat_are_merged():
     assert suffix_dedup.stretches(strings, groups, suffix_dedup.np.array([35, *windows[1:]]), 100)[1].tolist() == [35, *windows[1:]]
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_many_copies_do_not_move_the_texts(llm, monkeypatch, hot):
-    """Beyond the broadcast bound the looks at all texts have no join."""
+@pytest.mark.parametrize("hot,times", [(20_000, 2), (2, 0)])
+def test_many_copies_do_not_move_the_texts(llm, monkeypatch, hot, times):
+    """Beyond the broadcast bound the looks at all texts have no join, with
+    more copies than other rows or less."""
     monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     looks, live = [], suffix_dedup._live
@@ -417,7 +418,7 @@ def test_many_copies_do_not_move_the_texts(llm, monkeypatch, hot):
     rng = random.Random(12)
     passage = prose(rng, 40)
     rows = [(i, prose(rng, 15) + " " + passage + " " + prose(rng, 15)) for i in range(1, 8)]
-    rows += [(i + 20, t) for i, t in rows] * 2 + [(None, rows[2][1]), (0, rows[6][1]), (9, prose(rng, 60)), (10, rows[0][1][30:])]
+    rows += [(i + 20, t) for i, t in rows] * times + [(i + 40, t) for i, t in rows] * times + [(None, rows[2][1]), (0, rows[6][1]), (9, prose(rng, 60)), (10, rows[0][1][30:])]
     assert _got(suffix_dedup.deduplicate(llm.createDataFrame(rows, DOC).repartition(3))) == _deduplicated(rows, 100)
     assert looks and "Join" not in looks[0] and "Exchange hashpartitioning" not in looks[0]
 
